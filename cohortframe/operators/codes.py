@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortframe.functions import scalars as S
-from cohortframe.operators.running import running
+from cohortframe.operators.running import running, sized, with_total
 
 
 def restrict_codes(coded: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -45,11 +45,10 @@ def past_code_counts(stays: DataFrame, coded: DataFrame) -> DataFrame:
     line = starts.select("subject_id", "at", "stays").unionByName(
         relevant.select("subject_id", "at", F.lit(0.0).alias("stays"))
     )
-    line = line.groupBy("subject_id", "at").agg(F.sum("stays").alias("stays"))
-    counted = running(line, "at", ["subject_id"], sums=["stays"], ticks=F.col("at"))
-    per_subject = starts.groupBy("subject_id").agg(F.sum("stays").alias("all_stays"))
-    later = counted.join(per_subject, "subject_id").select(
-        "subject_id", "at", (F.col("all_stays") - F.col("run_stays")).alias("later")
+    line, biggest = sized(line.groupBy("subject_id", "at").agg(F.sum("stays").alias("stays")), ["subject_id"], "line")
+    counted = running(line, "at", ["subject_id"], sums=["stays"], ticks=F.col("at"), biggest=biggest)
+    later = with_total(counted, line, "stays", ["subject_id"]).select(
+        "subject_id", "at", (F.col("_total") - F.col("run_stays")).alias("later")
     )
     pairs = relevant.join(later, ["subject_id", "at"]).where("later > 0")
     return pairs.groupBy("code").agg(F.sum(F.col("records") * F.col("later")).cast("bigint").alias("n"))

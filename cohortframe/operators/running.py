@@ -1,4 +1,4 @@
-"""Running totals and products over a global or per-group order, without one task holding a whole group."""
+"""Running totals and products over a global or per-group order, without one task holding an unbounded group."""
 
 from __future__ import annotations
 
@@ -6,9 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cohortframe import session
 from cohortframe.functions.scalars import MICROS_PER_HOUR
 
 _LOW, _HIGH = 20, 40
+TASK_ROWS = 1 << 20
+
+
+def biggest_group(df: DataFrame, by: Sequence[str] = ()) -> int:
+    """Rows of the largest group of a materialised table."""
+    if not by:
+        return df.count()
+    return df.groupBy(*by).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
+
+
+def sized(df: DataFrame, by: Sequence[str] = (), name: str = "sized") -> tuple[DataFrame, int]:
+    """Materialise ``df`` and measure its largest group."""
+    kept = session.barrier(df, name)
+    return kept, biggest_group(kept, by)
 
 
 def _scan(df: DataFrame, part: list[str], order: str, sums, factor, weighted, before: bool) -> DataFrame:
@@ -34,28 +49,18 @@ def _totals(df: DataFrame, part: list[str], sums, factor, weighted) -> DataFrame
     return df.groupBy(*part).agg(*aggs)
 
 
-def running(
-    df: DataFrame,
-    order: str,
-    by: Sequence[str] = (),
-    sums: Sequence[str] = (),
-    factor: str | None = None,
-    weighted: Sequence[str] = (),
-    ticks: Column | None = None,
-) -> DataFrame:
-    """Add, in ascending ``order`` (unique within ``by``):
+def _one_level(df: DataFrame, order: str, by: list, sums, factor, weighted) -> DataFrame:
+    done = _scan(df, by, order, sums, factor, weighted, before=False)
+    out = {f"run_{c}": F.col(f"_s_{c}") for c in sums}
+    if factor:
+        out |= {"run_product": F.col("_p"), "product_before": F.col("_q")}
+    out |= {f"run_{c}": F.col(f"_w_{c}") for c in weighted}
+    return done.select(*df.columns, *[v.alias(k) for k, v in out.items()])
 
-    * ``run_<c>`` for each of ``sums``: running sum up to and with the row,
-    * ``run_product``: running product of ``factor``, and ``product_before`` without the row itself,
-    * ``run_<c>`` for each of ``weighted``: running sum of ``product_before * c``.
 
-    ``ticks`` maps the order to non-decreasing whole numbers (default: an order in hours, to microseconds). They are
-    cut in three digits of 2^20 values; one window runs inside each digit and the totals carry over to the next.
-    So a task sorts at most the rows of 2^20 ticks however skewed the order values are, and the top level is tiny.
-    Columns in ``by`` must not be NULL.
-    """
-    by = list(by)
-    sums, weighted = list(sums), list(weighted)
+def _three_levels(df: DataFrame, order: str, by: list, sums, factor, weighted, ticks) -> DataFrame:
+    """The order is cut in three digits of 2^20 ticks. One window runs inside each digit, the totals carry over to the
+    next, so a task sorts at most the rows of 2^20 ticks however skewed the order is, and the top level is tiny."""
     tick = F.round(F.col(order) * F.lit(MICROS_PER_HOUR)).cast("bigint") if ticks is None else ticks
     base = df.withColumns({"_hi": F.shiftright(tick, _HIGH), "_mid": F.shiftright(tick, _LOW)})
     args = (sums, factor, weighted)
@@ -81,18 +86,45 @@ def running(
     return joined.select(*df.columns, *[v.alias(k) for k, v in out.items()])
 
 
+def running(
+    df: DataFrame,
+    order: str,
+    by: Sequence[str] = (),
+    sums: Sequence[str] = (),
+    factor: str | None = None,
+    weighted: Sequence[str] = (),
+    ticks: Column | None = None,
+    biggest: int | None = None,
+    task_rows: int = TASK_ROWS,
+) -> DataFrame:
+    """Add, in ascending ``order`` (unique within ``by``):
+
+    * ``run_<c>`` for each of ``sums``: running sum up to and with the row,
+    * ``run_product``: running product of ``factor``, and ``product_before`` without the row itself,
+    * ``run_<c>`` for each of ``weighted``: running sum of ``product_before * c``.
+
+    The largest group is measured first (``biggest`` passes a known size). Groups of at most ``task_rows`` rows go
+    through one window; larger ones through three levels of bounded windows, for which ``ticks`` maps the order to
+    non-decreasing whole numbers (default: an order in hours, to microseconds). Columns in ``by`` must not be NULL.
+    """
+    by, sums, weighted = list(by), list(sums), list(weighted)
+    if biggest is None:
+        df, biggest = sized(df, by, "running")
+    elif biggest > task_rows:
+        df = session.barrier(df, "running")
+    if biggest <= task_rows:
+        return _one_level(df, order, by, sums, factor, weighted)
+    return _three_levels(df, order, by, sums, factor, weighted, ticks)
+
+
 def quantile_of_counts(counts: DataFrame, value: str, n: str, by: Sequence[str] = (), q: float = 0.5) -> DataFrame:
     """Exact, linearly interpolated quantile of ``value`` repeated ``n`` times; one row per group.
 
     ``counts`` has one row per (group, value). No group is gathered in one aggregate buffer.
     """
     by = list(by)
-    ranked = running(counts, value, by, sums=[n])
-    total = counts.groupBy(*by).agg(F.sum(n).alias("_total")) if by else None
-    if by:
-        ranked = ranked.join(total, by)
-    else:
-        ranked = ranked.withColumn("_total", counts.agg(F.sum(n)).scalar())
+    counts, biggest = sized(counts, by, "counts")
+    ranked = with_total(running(counts, value, by, sums=[n], biggest=biggest), counts, n, by)
     at = (F.col("_total") - 1) * F.lit(q)
     ranked = ranked.withColumns({"_lo": F.floor(at) + 1, "_hi": F.ceil(at) + 1, "_frac": at - F.floor(at)})
     ends = ranked.groupBy(*by).agg(
@@ -101,3 +133,10 @@ def quantile_of_counts(counts: DataFrame, value: str, n: str, by: Sequence[str]
         F.first("_frac").alias("_frac"),
     )
     return ends.select(*by, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac")).alias("quantile"))
+
+
+def with_total(df: DataFrame, counts: DataFrame, n: str, by: Sequence[str] = ()) -> DataFrame:
+    """Add ``_total``: the sum of ``n`` over the row's group of ``counts``."""
+    if by:
+        return df.join(counts.groupBy(*by).agg(F.sum(n).alias("_total")), list(by))
+    return df.withColumn("_total", counts.agg(F.sum(n)).scalar())

@@ -21,8 +21,10 @@ def presence(cells: DataFrame, stays: DataFrame, max_hours: int, denominator: st
     ``rows`` counts the (stay, hour) rows that exist, ``grid`` all hours of all stays, ``grid_nonempty`` all hours of
     stays with any row. A cell with a NULL value marks an existing but unobserved row.
     """
-    kept = cells.join(stays.select("stay_id"), "stay_id", "left_semi")
-    counts = kept.groupBy("feature").agg(F.count("value").alias("observed"))
+    inside = stays.select("stay_id", F.lit(True).alias("_in"))
+    marked = cells.join(inside, "stay_id", "left")
+    counts = marked.groupBy("feature").agg(F.count(F.when(F.col("_in"), F.col("value"))).alias("observed"))
+    kept = cells.join(inside, "stay_id", "left_semi")
     total = counts.withColumn("total", _presence_denominator(kept, stays, max_hours, denominator))
     return total.withColumn("presence", F.try_divide("observed", "total"))
 

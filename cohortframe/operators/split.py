@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortframe.functions import scalars as S
-from cohortframe.operators.running import running
+from cohortframe.operators.running import running, sized, with_total
 from cohortframe.params import Split
 
 
@@ -29,12 +29,11 @@ def split_by_hash(df: DataFrame, split: Split = Split(), subject: str = "subject
 def split_exact(df: DataFrame, split: Split = Split(), subject: str = "subject_id") -> DataFrame:
     """Add ``split`` with exact patient counts: the held-out share is rounded up, then the test share of it."""
     hashes = df.select(subject).distinct().withColumn("_h", _hash_number(subject, split.seed))
-    counts = hashes.groupBy("_h").agg(F.count("*").cast("double").alias("_n"))
-    ranked = running(counts, "_h", sums=["_n"], ticks=F.col("_h"))
+    counts, biggest = sized(hashes.groupBy("_h").agg(F.count("*").cast("double").alias("_n")))
+    ranked = with_total(running(counts, "_h", sums=["_n"], ticks=F.col("_h"), biggest=biggest), counts, "_n")
     total = F.col("_total")
     held = F.ceil(F.round(total * (split.val + split.test), 6))
     test = F.ceil(F.round(held * (split.test / (split.val + split.test)), 6))
-    ranked = ranked.withColumn("_total", counts.agg(F.sum("_n")).scalar())
     parts = ranked.select(
         "_h",
         F.when(F.col("run__n") <= total - held, "train").when(F.col("run__n") <= total - test, "val")
@@ -55,11 +54,10 @@ def stratified_split(
     Ranks come from running counts over the hash, since one stratum may hold most stays.
     """
     hashed = df.withColumn("_h", _hash_number(unit, seed))
-    counts = hashed.groupBy(stratum, "_h").agg(F.count("*").cast("double").alias("_n"))
-    ranked = running(counts, "_h", [stratum], sums=["_n"], ticks=F.col("_h"))
-    totals = counts.groupBy(stratum).agg(F.sum("_n").alias("_total"))
+    counts, biggest = sized(hashed.groupBy(stratum, "_h").agg(F.count("*").cast("double").alias("_n")), [stratum])
+    ranked = running(counts, "_h", [stratum], sums=["_n"], ticks=F.col("_h"), biggest=biggest)
     held = F.ceil(F.round(F.col("_total") * test, 6))
-    parts = ranked.join(totals, stratum).select(
+    parts = with_total(ranked, counts, "_n", [stratum]).select(
         stratum, "_h", F.when(F.col("run__n") <= F.col("_total") - held, "train").otherwise("test").alias("split")
     )
     return hashed.join(parts, [stratum, "_h"]).drop("_h")

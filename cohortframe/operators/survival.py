@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortframe import session
 from cohortframe.functions import scalars as S
-from cohortframe.operators.running import running
+from cohortframe.operators.running import running, sized, with_total
 
 # --- labels ---------------------------------------------------------------------------------------------------------
 
@@ -76,36 +76,40 @@ def observed_event_count(labels: DataFrame) -> DataFrame:
 # --- curves ---------------------------------------------------------------------------------------------------------
 
 
-def risk_table(labels: DataFrame, by: Sequence[str] = (), event: Column | None = None) -> DataFrame:
-    """``(by, time, n, d, at_risk)``: stays ending, events and stays at risk per distinct duration."""
+def risk_table(
+    labels: DataFrame, by: Sequence[str] = (), codes: Sequence[int] = ()
+) -> tuple[DataFrame, int]:
+    """``(by, time, n, d, d_<code>, at_risk)``: stays ending, events and stays at risk per distinct duration.
+
+    Also returns the size of the largest group, which decides how later running values are computed. The counts are
+    written once; everything after works on distinct times instead of stays.
+    """
     by = list(by)
-    happened = any_event() if event is None else event
     counts = (
         labels.where(F.col("duration").isNotNull())
         .groupBy(*by, F.col("duration").alias("time"))
-        .agg(F.count("*").cast("double").alias("n"), F.sum(happened).cast("double").alias("d"))
+        .agg(
+            F.count("*").cast("double").alias("n"),
+            F.sum(any_event()).cast("double").alias("d"),
+            *[F.sum(S.indicator(F.col("event") == k)).cast("double").alias(f"d_{k}") for k in codes],
+        )
     )
-    return _at_risk(counts, by)
-
-
-def _at_risk(counts: DataFrame, by: list) -> DataFrame:
-    ranked = running(counts, "time", by, sums=["n"])
-    if by:
-        ranked = ranked.join(counts.groupBy(*by).agg(F.sum("n").alias("_all")), by)
-    else:
-        ranked = ranked.withColumn("_all", counts.agg(F.sum("n")).scalar())
-    return ranked.withColumn("at_risk", F.col("_all") - F.col("run_n") + F.col("n")).drop("_all", "run_n")
+    counts, biggest = sized(counts, by, "risk")
+    ranked = with_total(running(counts, "time", by, sums=["n"], biggest=biggest), counts, "n", by)
+    at_risk = F.col("_total") - F.col("run_n") + F.col("n")
+    return ranked.withColumn("at_risk", at_risk).drop("_total", "run_n"), biggest
 
 
 def km_curve(labels: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Kaplan-Meier survival per distinct duration, with the Greenwood sum."""
-    risk = risk_table(labels, by).withColumns(
+    risk, biggest = risk_table(labels, by)
+    risk = risk.withColumns(
         {
             "_stay": F.lit(1.0) - F.col("d") / F.col("at_risk"),
             "_green": F.coalesce(F.try_divide("d", F.col("at_risk") * (F.col("at_risk") - F.col("d"))), F.lit(0.0)),
         }
     )
-    curve = running(risk, "time", by, sums=["_green"], factor="_stay")
+    curve = running(risk, "time", by, sums=["_green"], factor="_stay", biggest=biggest)
     return curve.select(
         *by,
         "time",
@@ -136,19 +140,10 @@ def aj_cif(labels: DataFrame, codes: Sequence[int], by: Sequence[str] = (), vari
     differences are expanded, so that it too comes from running sums.
     """
     by = list(by)
-    per_code = {f"d_{k}": F.sum((F.col("event") == k).cast("double")) for k in codes}
-    counts = (
-        labels.where(F.col("duration").isNotNull())
-        .groupBy(*by, F.col("duration").alias("time"))
-        .agg(
-            F.count("*").cast("double").alias("n"),
-            F.sum(any_event().cast("double")).alias("d"),
-            *[v.alias(k) for k, v in per_code.items()],
-        )
-    )
-    risk = _at_risk(counts, by).withColumn("_stay", F.lit(1.0) - F.col("d") / F.col("at_risk"))
+    risk, biggest = risk_table(labels, by, codes)
+    risk = risk.withColumn("_stay", F.lit(1.0) - F.col("d") / F.col("at_risk"))
     risk = risk.withColumns({f"h_{k}": F.col(f"d_{k}") / F.col("at_risk") for k in codes})
-    curve = running(risk, "time", by, factor="_stay", weighted=[f"h_{k}" for k in codes])
+    curve = running(risk, "time", by, factor="_stay", weighted=[f"h_{k}" for k in codes], biggest=biggest)
     columns = [
         F.struct(
             F.lit(k).alias("event"), F.col(f"d_{k}").alias("d_event"), F.col(f"run_h_{k}").alias("cif")
@@ -160,10 +155,10 @@ def aj_cif(labels: DataFrame, codes: Sequence[int], by: Sequence[str] = (), vari
                        F.col("_k.d_event").alias("d"), "product_before", F.col("_k.cif").alias("cif"))
     if not variance:
         return long.drop("d_any", "product_before")
-    return _with_variance(long, [*by, "event"]).drop("d_any", "product_before")
+    return _with_variance(long, [*by, "event"], biggest).drop("d_any", "product_before")
 
 
-def _with_variance(long: DataFrame, by: list) -> DataFrame:
+def _with_variance(long: DataFrame, by: list, biggest: int) -> DataFrame:
     n, k, s, cif = F.col("at_risk"), F.col("d"), F.col("product_before"), F.col("cif")
     w = F.coalesce(F.try_divide("d_any", n * (n - F.col("d_any"))), F.lit(0.0))
     terms = {
@@ -174,7 +169,7 @@ def _with_variance(long: DataFrame, by: list) -> DataFrame:
         "_f": s * k / (n * n),
         "_g": cif * s * k / (n * n),
     }
-    summed = running(session.barrier(long.withColumns(terms), "cif"), "time", by, sums=list(terms))
+    summed = running(long.withColumns(terms), "time", by, sums=list(terms), biggest=biggest)
     first = cif * cif * F.col("run__a") - 2 * cif * F.col("run__b") + F.col("run__c")
     third = cif * F.col("run__f") - F.col("run__g")
     out = summed.withColumn("variance", first + F.col("run__e") - 2 * third)
