@@ -43,23 +43,26 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = session.tune(spark), folder
+        self._read: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     # -- series: events of a user ------------------------------------------------------------------------------------
 
-    @property
+    @cached_property
     def measurements(self) -> DataFrame:
         return self.read("events").select(
             F.col("user_id").alias("stay_id"), F.col("event_type").alias("feature"), "value", "ts", "event_id"
         )
 
-    @property
+    @cached_property
     def timed(self) -> DataFrame:
         return timeaxis.within(timeaxis.anchor_to_first_event(self.measurements), MAX_HOURS)
 
-    @property
+    @cached_property
     def hourly(self) -> DataFrame:
         return E.hourly_mean(self.timed)
 
@@ -67,14 +70,14 @@ class Tables:
     def windows(self) -> DataFrame:
         return E.window_mean(self.hourly, WINDOW_HOURS, NUM_WINDOWS)
 
-    @property
+    @cached_property
     def users(self) -> DataFrame:
         users = self.read("events").select(F.col("user_id").alias("stay_id")).distinct()
         return split.split_by_hash(users.withColumn("subject_id", F.col("stay_id")))
 
     # -- cohort: orders of a customer --------------------------------------------------------------------------------
 
-    @property
+    @cached_property
     def stays(self) -> DataFrame:
         shipped = self.read("lineitem").groupBy("l_orderkey").agg(
             F.max("l_shipdate").alias("outtime"),
@@ -95,7 +98,7 @@ class Tables:
             }
         )
 
-    @property
+    @cached_property
     def labels(self) -> DataFrame:
         known = self.stays.where(F.col("los_hours").isNotNull())
         coded = known.withColumns(
@@ -107,13 +110,13 @@ class Tables:
         cut = survival.censor_at(coded, HORIZON).select("stay_id", "subject_id", "duration", "event")
         return split.split_by_hash(cut)
 
-    @property
+    @cached_property
     def single_risk(self) -> DataFrame:
         return self.labels.withColumn("event", S.indicator(F.col("event") == 1))
 
     # -- static features: customers ----------------------------------------------------------------------------------
 
-    @property
+    @cached_property
     def customers(self) -> DataFrame:
         """Customers as stays; a negative balance counts as not recorded, and so does the segment of such a customer."""
         recorded = F.col("c_acctbal") >= 0
@@ -129,7 +132,7 @@ class Tables:
 
     # -- codes: part brands ordered by a customer ----------------------------------------------------------------------
 
-    @property
+    @cached_property
     def coded(self) -> DataFrame:
         orders = self.read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         parts = self.read("part").select("p_partkey", "p_brand")
@@ -142,7 +145,7 @@ class Tables:
             F.col("o_orderdate").alias("coded_ts"),
         )
 
-    @property
+    @cached_property
     def code_stays(self) -> DataFrame:
         return split.split_by_hash(
             self.read("orders").select(
@@ -153,11 +156,11 @@ class Tables:
 
     # -- vectors and texts ----------------------------------------------------------------------------------------------
 
-    @property
+    @cached_property
     def vectors(self) -> DataFrame:
         return self.read("embeddings").select((F.col("vec_id") % 150).alias("stay_id"), "embedding")
 
-    @property
+    @cached_property
     def texts(self) -> DataFrame:
         return self.read("documents").select("doc_id", (F.col("doc_id") % 150).alias("stay_id"), "lang", "source", "text")
 

@@ -37,7 +37,7 @@ def code_top_n(t: Tables):
     FROM code_stays s CROSS JOIN vocab v LEFT JOIN has h ON h.stay_id = s.stay_id AND h.code = v.code GROUP BY 1""",
 )
 def code_multi_hot(t: Tables):
-    vocab = session.barrier(_history_vocabulary(t))
+    vocab = session.bounded(_history_vocabulary(t))
     cells = K.code_cells(K.past_codes(t.code_stays, K.restrict_codes(t.coded, vocab)), vocab)
     rows = K.vector_per_stay(t.code_stays.select("stay_id"), cells, vocab.count(), "icd")
     return rows.select("stay_id", F.array_join(F.transform("icd", lambda v: v.cast("int").cast("string")), "").alias("bits"))
@@ -66,7 +66,7 @@ def code_counts(t: Tables):
         F.col("user_id").alias("subject_id"), F.get_json_object("props", "$.k").alias("code")
     )
     stays = t.code_stays.select("stay_id", "subject_id")
-    vocab = session.barrier(K.top_codes(K.code_counts(coded), 20))
+    vocab = session.bounded(K.top_codes(K.code_counts(coded), 20))
     cells = K.subject_code_cells(stays, coded, vocab)
     rows = K.vector_per_stay(stays.select("stay_id"), cells, vocab.count(), "n")
     return rows.select("stay_id", F.array_join(F.transform("n", lambda v: v.cast("int").cast("string")), ",").alias("counts"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortframe import session
 from cohortframe.catalog.base import LABELS, Tables, query, r6
-from cohortframe.operators import survival
+from cohortframe.operators import survival, timeaxis
 from cohortframe.operators.split import part_of
 
 _KM = """
@@ -50,10 +50,7 @@ def km_curve_by_split(t: Tables):
 )
 def km_curve_fine(t: Tables):
     """A curve with nearly as many distinct microsecond times as rows: time of every event since the user's first."""
-    timed = t.measurements
-    from cohortframe.operators import timeaxis
-
-    labels = timeaxis.anchor_to_first_event(timed).select(
+    labels = timeaxis.anchor_to_first_event(t.measurements).select(
         F.col("hours").alias("duration"), (F.col("feature") == "error").cast("int").alias("event")
     )
     curve = survival.km_curve(labels)
@@ -122,7 +119,7 @@ arr AS (SELECT list(cut ORDER BY cut) AS c FROM cuts)"""
 
 
 def _cuts(t: Tables):
-    return session.barrier(survival.km_cuts(part_of(t.labels, "train"), 10), "cuts")
+    return session.bounded(survival.km_cuts(part_of(t.labels, "train"), 10))
 
 
 @query("km_cuts", f"WITH {LABELS}, {_CUTS} SELECT cut_idx, round(cut, 6) AS cut FROM cuts")

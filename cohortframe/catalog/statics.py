@@ -93,10 +93,10 @@ def static_matrix(t: Tables):
     """The static-only matrix, unrolled."""
     customers = t.customers
     levels = static_ops.level_vocabulary(customers, CATEGORIES)
-    vocab = session.barrier(static_ops.static_vocabulary(levels, ["balance"], CATEGORIES))
+    vocab = static_ops.static_vocabulary(levels, ["balance"], CATEGORIES)
     rows = static_ops.static_long(customers, ["balance"], CATEGORIES)
     means = transform.static_means(rows, part_of(customers, "train"))
-    empty = t.spark.createDataFrame([], "feature string, block int, position int")
+    empty = session.literal_table(t.spark, [], "feature string, block int, position int")
     layout = assemble.make_layout(empty, vocab, None, means)
     matrix = assemble.static_rows(customers.select("stay_id"), rows, layout)
     both = matrix.select("stay_id", F.posexplode(F.arrays_zip("static", "static_mask")).alias("idx", "z"))

@@ -9,6 +9,7 @@ from cohortframe.catalog.base import (
     FEATURES, LABELS, NUM_WINDOWS, OUTCOMES, ST, TS, Tables, query, r6,
 )
 from cohortframe.catalog.statics import _LEVELS, CATEGORIES
+from cohortframe.functions import scalars as S
 from cohortframe.operators import assemble, report, static as static_ops
 
 _NAMES = ", ".join(f"({k}, '{v}')" for k, v in OUTCOMES.items())
@@ -32,8 +33,6 @@ def outcome_distribution(t: Tables):
       round(count(*) FILTER (WHERE event = 0) * 100.0::DOUBLE / count(*), 6) AS censoring_rate FROM labels GROUP BY 1""",
 )
 def percent_columns(t: Tables):
-    from cohortframe.functions import scalars as S
-
     counts = t.labels.groupBy("split").agg(
         F.count("*").alias("n"),
         F.count(F.when(F.col("event") == 1, 1)).alias("events"),
@@ -110,7 +109,7 @@ def feature_structure(t: Tables):
       max(d + s) AS n_features, CAST(10 AS INTEGER) AS n_codes FROM users, k GROUP BY 1""",
 )
 def shape_report(t: Tables):
-    return report.shape_report(t.users, NUM_WINDOWS, session.barrier(_structure(t)), n_codes=10)
+    return report.shape_report(t.users, NUM_WINDOWS, session.bounded(_structure(t)), n_codes=10)
 
 
 @query(

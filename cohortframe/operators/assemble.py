@@ -33,7 +33,7 @@ class Layout:
         """``(feature, kind, idx)``: dynamic features first, static after them."""
         rows = [(f, "dynamic", i) for i, f in enumerate(self.dynamic)]
         rows += [(f, "static", self.n_dynamic + i) for i, f in enumerate(self.static)]
-        return spark.createDataFrame(rows, "feature string, kind string, idx int")
+        return session.literal_table(spark, rows, "feature string, kind string, idx int")
 
 
 def feature_structure(dynamic: DataFrame, static: DataFrame) -> DataFrame:
@@ -97,7 +97,7 @@ def _doubles(values: list) -> Column:
 
 def _positions(spark: SparkSession, names: list) -> DataFrame:
     rows = [(name, i) for i, name in enumerate(names)]
-    return F.broadcast(spark.createDataFrame(rows, "feature string, _idx int"))
+    return F.broadcast(session.literal_table(spark, rows, "feature string, _idx int"))
 
 
 def _packed(cells: DataFrame, pos: Column, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cohortframe import session
 from cohortframe.operators.events import long_from_wide
 
 
@@ -54,13 +55,12 @@ def static_vocabulary(
 
     ``levels`` is ``level_vocabulary`` of the categorical columns. Kinds are ``numeric`` and ``level``.
     """
-    spark = levels.sparkSession
     schema = "feature string, kind string, block int, position int"
     fixed = [(c, "numeric", 0, i) for i, c in enumerate(numeric)]
     fixed += [(c, "numeric", 2 + len(categorical), i) for i, c in enumerate(trailing)]
     hot = levels.select("feature", F.lit("level").alias("kind"), (F.col("column_idx") + 1).alias("block"),
                         F.col("level_rank").alias("position"))
-    return spark.createDataFrame(fixed, schema).unionByName(hot)
+    return session.literal_table(levels.sparkSession, fixed, schema).unionByName(hot)
 
 
 def select_static(df: DataFrame, drop: Sequence[str]) -> DataFrame:

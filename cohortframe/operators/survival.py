@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortframe import session
 from cohortframe.functions import scalars as S
-from cohortframe.operators.running import running, sized, with_total
+from cohortframe.operators.running import TASK_ROWS, running, sized, with_total
 
 # --- labels ---------------------------------------------------------------------------------------------------------
 
@@ -103,6 +103,10 @@ def risk_table(
 def km_curve(labels: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Kaplan-Meier survival per distinct duration, with the Greenwood sum."""
     risk, biggest = risk_table(labels, by)
+    return _km(risk, biggest, list(by))
+
+
+def _km(risk: DataFrame, biggest: int, by: list) -> DataFrame:
     risk = risk.withColumns(
         {
             "_stay": F.lit(1.0) - F.col("d") / F.col("at_risk"),
@@ -191,9 +195,11 @@ def km_cuts(labels: DataFrame, n_cuts: int) -> DataFrame:
     Step j asks for survival s_j on a line from the lowest to the highest value and takes the last time with survival
     of at least s_j. The first cut becomes 0, the last is the longest duration.
     """
-    curve = session.barrier(km_curve(labels).select("time", "survival"), "km")
-    origin = curve.sparkSession.createDataFrame([(0.0, 1.0)], "time double, survival double")
-    curve = curve.unionByName(origin)
+    risk, biggest = risk_table(labels)
+    curve = _km(risk, biggest, []).select("time", "survival")
+    if biggest > TASK_ROWS:
+        curve = session.barrier(curve, "km")
+    curve = curve.unionByName(session.literal_table(curve.sparkSession, [(0.0, 1.0)], "time double, survival double"))
     curve = curve.withColumn("_low", curve.agg(F.min("survival")).scalar())
 
     def step(j: int) -> Column:

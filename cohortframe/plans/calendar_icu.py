@@ -58,12 +58,12 @@ def stay_codes(
         times = admissions.select("hadm_id", F.col("admittime").alias("coded_ts"))
         coded = coded.join(times, "hadm_id")
         counts = K.past_code_counts(fit, coded)
-        vocab = session.barrier(K.top_codes(counts, params.codes.top_n), "code_vocab")
+        vocab = session.bounded(K.top_codes(counts, params.codes.top_n))
         found = K.past_codes(stays, K.restrict_codes(coded, vocab))
     else:
         own = fit.select("subject_id", "hadm_id")
         counts = K.code_counts(coded.join(own, ["subject_id", "hadm_id"]))
-        vocab = session.barrier(K.top_codes(counts, params.codes.top_n), "code_vocab")
+        vocab = session.bounded(K.top_codes(counts, params.codes.top_n))
         found = K.current_codes(stays, K.restrict_codes(coded, vocab))
     named = vocab.withColumn("feature", F.concat(F.lit(params.codes.prefix), F.col("code")))
     return named, K.code_cells(found, vocab, params.codes.value)

@@ -31,8 +31,9 @@ def dynamic_vocabulary(cells: DataFrame, cohort: DataFrame, params: Preparation)
 
 def static_part(df: DataFrame, numeric: list, categorical: list, trailing: list = ()) -> tuple[DataFrame, DataFrame]:
     """Static rows and their vocabulary."""
-    levels = static_ops.level_vocabulary(df, categorical)
-    vocabulary = session.barrier(static_ops.static_vocabulary(levels, numeric, categorical, trailing), "static_vocab")
+    vocabulary = static_ops.static_vocabulary(
+        static_ops.level_vocabulary(df, categorical), numeric, categorical, trailing
+    )
     return static_ops.static_long(df, numeric, categorical, trailing), vocabulary
 
 
@@ -49,22 +50,18 @@ def outputs(
 ) -> dict[str, DataFrame]:
     """Fit on train, impute, scale and assemble. ``cells`` are hourly ``(stay_id, hour, feature, value[, block])``.
 
-    Each fitted table is materialised once; the rows themselves stay lazy until they are written.
+    Fitted tables are evaluated once; the rows themselves stay lazy until they are written.
     """
     spark = cohort.sparkSession
     w = params.windows
     train = train_of(cohort)
-    cuts = session.barrier(
-        survival.make_cuts(
-            train.withColumn("event", survival.any_event()), params.labels.n_time_bins, params.labels.scheme
-        ),
-        "cuts",
-    )
+    any_event = train.withColumn("event", survival.any_event())
+    cuts = session.bounded(survival.make_cuts(any_event, params.labels.n_time_bins, params.labels.scheme))
     out: dict[str, DataFrame] = {"cuts": cuts}
 
     means = None
     if static is not None and params.static_imputation == "mean":
-        means = session.barrier(transform.static_means(static, train), "static_means")
+        means = transform.static_means(static, train)
     scaler = None
     if cells is not None:
         cells = session.barrier(cells, "cells")
@@ -78,7 +75,7 @@ def outputs(
             )
             out["scaler_params"] = scaler
     else:
-        vocab = spark.createDataFrame([], "feature string, block int, position int")
+        vocab = session.literal_table(spark, [], "feature string, block int, position int")
     layout = assemble.make_layout(vocab, static_vocab, scaler, means, params.max_features)
     out["feature_vocab"] = layout.feature_table(spark)
 
@@ -104,7 +101,8 @@ def outputs(
         [("timeseries", cells), ("static", static), ("icd", code_cells), ("radiology", vectors)]
         if part is not None
     ]
-    out["run_info"] = spark.createDataFrame(
+    out["run_info"] = session.literal_table(
+        spark,
         [
             (
                 modalities, params.labels.competing, params.labels.n_events, params.labels.n_time_bins, cuts.count(),

@@ -66,7 +66,7 @@ def stay_codes(
     coded = C.canonical(pmh, {"MRN": "subject_id", "Code": "code"})
     fit = common.train_of(cohort) if params.codes.fit_on == "train" else visits
     counts = K.code_counts(E.members(coded, fit, "subject_id"))
-    vocab = session.barrier(K.top_codes(counts, params.codes.top_n), "code_vocab")
+    vocab = session.bounded(K.top_codes(counts, params.codes.top_n))
     cells = K.subject_code_cells(cohort, coded, vocab, params.codes.value)
     return vocab.withColumn("feature", F.concat(F.lit(params.codes.prefix), F.col("code"))), cells
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
@@ -47,13 +50,14 @@ def barrier(df: DataFrame, name: str = "barrier") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, max_rows: int = 100_000, name: str = "small") -> DataFrame:
-    """Materialise ``df`` and mark it for broadcast if it really has at most ``max_rows`` rows.
-
-    A larger table is returned unmarked, so the join falls back to a shuffle, where AQE splits hot keys.
-    """
-    kept = barrier(df, name)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+def literal_table(spark: SparkSession, rows: list, schema: str | StructType) -> DataFrame:
+    """A table of driver-side rows as a local relation: no task reads it, the planner knows its size."""
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = [[row[i] for row in rows] for i in range(len(fields))]
+    arrow = pa.Table.from_arrays(
+        [pa.array(values, to_arrow_type(f.dataType)) for values, f in zip(columns, fields)], names=fields.names
+    )
+    return spark.createDataFrame(arrow, fields)
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> list:
@@ -62,3 +66,19 @@ def bounded_rows(df: DataFrame, max_rows: int) -> list:
     if len(rows) > max_rows:
         raise ValueError(f"table has more than {max_rows} rows; it cannot be used as metadata")
     return rows
+
+
+def bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Evaluate a table that must be small once and hold it as a local relation."""
+    return literal_table(df.sparkSession, bounded_rows(df, max_rows), df.schema)
+
+
+def small(df: DataFrame, max_rows: int = 100_000, name: str = "small") -> DataFrame:
+    """Evaluate ``df`` once and mark it for broadcast if it really has at most ``max_rows`` rows.
+
+    A larger table is written instead and left unmarked, so the join is a shuffle join, where AQE splits hot keys.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return barrier(df, name)
+    return F.broadcast(literal_table(df.sparkSession, rows, df.schema))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from cohortframe import session
 
 
 def read_csv(
@@ -33,7 +36,7 @@ def read_csv_by_name(spark: SparkSession, path: str, schema: str) -> DataFrame:
     parse gives NULL.
     """
     raw = spark.read.option("header", True).csv(path)
-    wanted = spark.createDataFrame([], schema).schema
+    wanted = StructType.fromDDL(schema)
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
 
 
@@ -70,7 +73,7 @@ def check_inputs(
             continue
         rows.append((table, None, "empty table" if df.isEmpty() else "found"))
         rows += [(table, c, "found" if c in df.columns else "missing column") for c in columns]
-    return spark.createDataFrame(rows, "table string, column string, status string")
+    return session.literal_table(spark, rows, "table string, column string, status string")
 
 
 def require_inputs(report: DataFrame) -> None:
