@@ -1,6 +1,8 @@
 """The checkable queries: each runs library operators on the test tables; most have an SQL equivalent."""
 
 from cohortframe.catalog.base import ORACLES, QUERIES
-from cohortframe.catalog import codes, cohorts, curves, files, series, statics, summary, tensors, texts  # noqa: F401
+from cohortframe.catalog import (  # noqa: F401
+    codes, cohorts, curves, datasets, files, series, statics, summary, tensors, texts,
+)
 
 __all__ = ["ORACLES", "QUERIES"]

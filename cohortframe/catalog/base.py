@@ -70,6 +70,11 @@ class Tables:
     def windows(self) -> DataFrame:
         return E.window_mean(self.hourly, WINDOW_HOURS, NUM_WINDOWS)
 
+    @cached_property
+    def split_windows(self) -> DataFrame:
+        """Window means with the split of the user, a function of the user's number alone."""
+        return split.split_by_hash(self.windows, subject="stay_id")
+
     @cached_property
     def users(self) -> DataFrame:
         users = self.read("events").select(F.col("user_id").alias("stay_id")).distinct()

@@ -94,7 +94,7 @@ def code_cells_of_stays(t: Tables):
 )
 def codes_per_stay_hist(t: Tables):
     found = K.past_codes(t.code_stays, t.coded).withColumn("value", F.lit(1.0))
-    return report.histogram(report.codes_per_stay(t.code_stays, found), "n_codes", 30)
+    return report.histogram(session.barrier(report.codes_per_stay(t.code_stays, found)), "n_codes", 30)
 
 
 @query(

@@ -10,7 +10,7 @@ from cohortframe.catalog.base import (
 )
 from cohortframe.functions import scalars as S
 from cohortframe.operators import assemble, events as E, select, timeaxis
-from cohortframe.operators.split import part_of
+from cohortframe.operators.split import part_of, split_by_hash
 
 
 @query(
@@ -209,7 +209,7 @@ _PRESENCE = {
     ),
 )
 def feature_presence(t: Tables):
-    cells, train = session.barrier(t.hourly, "cells"), part_of(t.users, "train")
+    cells, train = session.barrier(split_by_hash(t.hourly, subject="stay_id"), "cells"), part_of(t.users, "train")
     tables = []
     for kind in _PRESENCE:
         rates = select.presence(cells, train, MAX_HOURS, kind)

@@ -119,7 +119,7 @@ def shape_report(t: Tables):
       count(*) AS n FROM labels, r GROUP BY 1, 2""",
 )
 def duration_histogram(t: Tables):
-    return report.duration_histogram(t.labels)
+    return report.duration_histogram(session.barrier(t.labels, "labels"))
 
 
 @query(

@@ -33,7 +33,7 @@ def impute_zero(t: Tables):
     FROM scaler""",
 )
 def scaler_params(t: Tables):
-    params = transform.scaler_params(t.windows, part_of(t.users, "train"), NUM_WINDOWS)
+    params = transform.scaler_params(t.split_windows, part_of(t.users, "train"), NUM_WINDOWS)
     return params.withColumns({"mean": r6("mean"), "scale": r6("scale")})
 
 
@@ -43,7 +43,7 @@ def scaler_params(t: Tables):
     FROM grid WHERE split = 'train' AND value IS NOT NULL GROUP BY feature""",
 )
 def scaler_params_observed(t: Tables):
-    params = transform.scaler_params(t.windows, part_of(t.users, "train"), NUM_WINDOWS, fit_on_observed=True)
+    params = transform.scaler_params(t.split_windows, part_of(t.users, "train"), NUM_WINDOWS, fit_on_observed=True)
     return params.withColumns({"mean": r6("mean"), "scale": r6("scale")})
 
 
@@ -53,7 +53,7 @@ def scaler_params_observed(t: Tables):
     FROM grid g JOIN scaler s ON g.feature = s.feature WHERE value IS NOT NULL""",
 )
 def scaled_values(t: Tables):
-    windows = session.barrier(t.windows, "windows")
+    windows = session.barrier(t.split_windows, "windows")
     params = session.small(transform.scaler_params(windows, part_of(t.users, "train"), NUM_WINDOWS))
     return transform.scaled(windows, params).select("stay_id", "window", "feature", r6("value").alias("value"))
 
@@ -72,7 +72,7 @@ def prepared(t: Tables) -> dict:
     cohort = common.split_cohort(stays, PARAMS)
     customers = E.members(t.customers.drop("subject_id", "split"), cohort)
     static, vocab = common.static_part(customers, ["balance"], CATEGORIES)
-    return common.outputs(cohort, PARAMS, t.hourly, static, vocab)
+    return common.outputs(cohort, PARAMS, E.with_split(t.hourly, cohort), static, vocab)
 
 
 @query("tensor_rows")

@@ -48,6 +48,11 @@ def hourly_mean(events: DataFrame, keys: Sequence[str] = ("stay_id",)) -> DataFr
     return mean_by(events.withColumn("hour", S.hour_bin("hours")), [*keys, "hour", "feature"])
 
 
+def with_split(cells: DataFrame, cohort: DataFrame) -> DataFrame:
+    """Cells of cohort stays with the split of their stay."""
+    return cells.join(cohort.select("stay_id", "split"), "stay_id")
+
+
 def instant_then_hour_mean(events: DataFrame, instant: str = "instant") -> DataFrame:
     """Mean per instant first, then the unweighted mean of the instants of each hour."""
     binned = events.withColumn("hour", S.hour_bin("hours"))
@@ -73,11 +78,13 @@ def outer_join_hourly(tables: Sequence[DataFrame], keys: Sequence[str] = ("stay_
     return reduce(lambda a, b: a.join(b, list(keys), "full"), tables)
 
 
-def window_mean(hourly: DataFrame, window_hours: int, num_windows: int) -> DataFrame:
+def window_mean(
+    hourly: DataFrame, window_hours: int, num_windows: int, keys: Sequence[str] = ("stay_id",)
+) -> DataFrame:
     """Unweighted mean of hourly values per fixed window; hours outside the windows drop out."""
     return (
         hourly.withColumn("window", S.window_index("hour", window_hours))
         .where((F.col("window") >= 0) & (F.col("window") < num_windows))
-        .groupBy("stay_id", "window", "feature")
+        .groupBy(*keys, "window", "feature")
         .agg(F.avg("value").alias("value"))
     )

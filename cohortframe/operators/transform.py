@@ -15,9 +15,10 @@ def scaler_params(cells: DataFrame, train: DataFrame, num_windows: int, fit_on_o
     """``(feature, mean, scale)`` on train windows, population deviation, scale 1 where a feature is constant.
 
     Missing windows count as zeros without being built: with m observed of n cells, observed mean u and variance v,
-    the mean is u*m/n and the variance v*m/n + u^2 * m*(n-m)/n^2. ``fit_on_observed`` leaves the zeros out.
+    the mean is u*m/n and the variance v*m/n + u^2 * m*(n-m)/n^2. ``fit_on_observed`` leaves the zeros out. ``cells``
+    carry the ``split`` of their stay; ``train`` has the train stays.
     """
-    kept = cells.join(train.select("stay_id"), "stay_id", "left_semi").where(F.col("value").isNotNull())
+    kept = cells.where((F.col("split") == "train") & F.col("value").isNotNull())
     seen = kept.groupBy("feature").agg(
         F.count("*").alias("m"), F.avg("value").alias("u"), F.var_pop("value").alias("v")
     )

@@ -33,14 +33,14 @@ def hourly_cells(
     lab_items: dict = LAB_ITEMS,
 ) -> DataFrame:
     """Listed vitals by stay and labs by patient, pooled to hourly means."""
-    anchors = stays.select("stay_id", F.col("intime").alias("anchor_ts"))
-    subjects = stays.select("subject_id", "stay_id", F.col("intime").alias("anchor_ts"))
-    columns = ["stay_id", "hours", "feature", F.col("valuenum").alias("value")]
+    anchors = stays.select("stay_id", "split", F.col("intime").alias("anchor_ts"))
+    subjects = stays.select("subject_id", "stay_id", "split", F.col("intime").alias("anchor_ts"))
+    columns = ["stay_id", "split", "hours", "feature", F.col("valuenum").alias("value")]
     vitals = E.drop_missing(E.allow_items(chartevents, vital_items), ["valuenum"])
     vitals = timeaxis.within(timeaxis.anchor_to_stays(vitals, anchors, "stay_id", "charttime"), max_hours)
     labs = E.drop_missing(E.allow_items(labevents, lab_items), ["valuenum"])
     labs = timeaxis.fan_out_to_stays(labs, subjects, max_hours, "subject_id", "charttime")
-    return E.hourly_mean(E.union_series(vitals.select(*columns), labs.select(*columns)))
+    return E.hourly_mean(E.union_series(vitals.select(*columns), labs.select(*columns)), ["stay_id", "split"])
 
 
 def stay_codes(

@@ -21,12 +21,12 @@ def train_of(cohort: DataFrame) -> DataFrame:
 
 def dynamic_vocabulary(cells: DataFrame, cohort: DataFrame, params: Preparation) -> DataFrame:
     """Features observed often enough in train, with their place: ``(feature, block, position)``."""
-    rates = select.presence(cells, train_of(cohort), params.windows.max_hours, params.presence_denominator)
-    kept = select.dense_enough(rates, params.presence_threshold)
-    block = F.min("block") if "block" in cells.columns else F.lit(0)
-    places = cells.groupBy("feature").agg(block.alias("block"))
-    placed = places.join(kept, "feature", "left_semi").withColumn("position", F.lit(0))
-    return session.small(placed, params.max_features, "dynamic_vocab")
+    block = F.min("block") if "block" in cells.columns else F.min(F.lit(0))
+    rates = select.presence(
+        cells, train_of(cohort), params.windows.max_hours, params.presence_denominator, [block.alias("block")]
+    )
+    kept = select.dense_enough(rates, params.presence_threshold).withColumn("position", F.lit(0))
+    return session.small(kept, params.max_features, "dynamic_vocab")
 
 
 def static_part(df: DataFrame, numeric: list, categorical: list, trailing: list = ()) -> tuple[DataFrame, DataFrame]:
@@ -48,7 +48,8 @@ def outputs(
     vectors: DataFrame | None = None,
     vector_dim: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Fit on train, impute, scale and assemble. ``cells`` are hourly ``(stay_id, hour, feature, value[, block])``.
+    """Fit on train, impute, scale and assemble. ``cells`` are hourly
+    ``(stay_id, split, hour, feature, value[, block])``.
 
     Fitted tables are evaluated once; the rows themselves stay lazy until they are written.
     """
@@ -66,7 +67,8 @@ def outputs(
     if cells is not None:
         cells = session.barrier(cells, "cells")
         vocab = dynamic_vocabulary(cells, cohort, params)
-        windows = events.window_mean(select.keep_features(cells, vocab.select("feature")), w.window_hours, w.num_windows)
+        kept = select.keep_features(cells, vocab.select("feature"))
+        windows = events.window_mean(kept, w.window_hours, w.num_windows, ["stay_id", "split"])
         windows = session.barrier(windows, "windows")
         if params.scaling != "none":
             scaler = session.small(

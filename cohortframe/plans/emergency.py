@@ -31,12 +31,11 @@ def visit_rows(visits: DataFrame, horizon: float) -> DataFrame:
     return survival.labels_competing(named.withColumn("Triage_acuity_ordinal", acuity), "ED_LOS", "outcome")
 
 
-def first_values(df: DataFrame, cohort: DataFrame, order: str, max_null_share: float) -> DataFrame:
-    """First value per stay, instant and feature, without features that are nearly always empty; still text or number."""
-    kept = E.members(E.drop_missing(df, ["instant", "feature", "value"]), cohort)
-    firsts = E.first_per_instant(kept, "instant", order)
-    features = session.small(select.not_sparse(firsts, "instant", max_null_share).select("feature"))
-    return select.keep_features(firsts, features)
+def first_values(df: DataFrame, cohort: DataFrame, block: int) -> DataFrame:
+    """First value per stay, instant and feature of the cohort, as a number or NULL where the text is none."""
+    kept = E.with_split(E.drop_missing(df, ["instant", "feature", "value"]), cohort)
+    firsts = E.first_per_instant(kept, "instant", "seq", ["stay_id", "split"])
+    return firsts.withColumns({"value": S.to_number("value"), "block": F.lit(block)})
 
 
 def hourly_cells(
@@ -44,18 +43,18 @@ def hourly_cells(
 ) -> DataFrame:
     """Labs and vitals on ceiled hours since the stay's first measurement.
 
-    ``labs`` and ``numerics`` are ``(stay_id, instant, feature, value, seq)``, lab values as text. Dropping features
-    and non-numeric values comes before the first instant is taken.
+    ``labs`` and ``numerics`` are ``(stay_id, instant, feature, value, seq)``, lab values as text. Nearly always empty
+    features and non-numeric values go before the first instant is taken; a text still counts as filled.
     """
-    lab_values = first_values(labs, cohort, "seq", max_null_share).withColumn("value", S.to_number("value"))
-    vital_values = first_values(numerics, cohort, "seq", max_null_share)
-    both = E.union_series(
-        lab_values.where(F.col("value").isNotNull()).withColumn("block", F.lit(0)),
-        vital_values.withColumn("block", F.lit(1)),
-    )
-    timed = timeaxis.anchor_to_first_event(session.barrier(both, "ed_values"), "stay_id", "instant")
+    firsts = E.union_series(first_values(labs, cohort, 0), first_values(numerics, cohort, 1))
+    firsts = session.barrier(firsts, "ed_values")
+    filled = select.not_sparse(firsts, "instant", max_null_share, ["block"], unique=True).drop("null_share")
+    both = select.keep_features(firsts.where(F.col("value").isNotNull()), session.small(filled), ["block", "feature"])
+    timed = timeaxis.anchor_to_first_event(both, "stay_id", "instant")
     binned = timeaxis.within(timed, max_hours, closed=True).withColumn("hour", S.ceil_bin("hours"))
-    cells = binned.groupBy("stay_id", "hour", "feature").agg(F.avg("value").alias("value"), F.min("block").alias("block"))
+    cells = binned.groupBy("stay_id", "split", "hour", "feature").agg(
+        F.avg("value").alias("value"), F.min("block").alias("block")
+    )
     return cells.where(F.col("hour") < max_hours)
 
 

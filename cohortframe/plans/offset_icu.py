@@ -48,14 +48,14 @@ def hourly_labs(lab: DataFrame, max_hours: int) -> DataFrame:
 def hourly_cells(
     stays: DataFrame, vital_periodic: DataFrame, vital_aperiodic: DataFrame, lab: DataFrame, max_hours: int
 ) -> DataFrame:
-    """All series as long hourly cells of the cohort. Membership is tested on the hourly means, not on raw rows."""
+    """All series as long hourly cells of the cohort. Hourly means meet the cohort, raw rows never do."""
     cells = E.union_series(
         hourly_vitals(vital_periodic, PERIODIC_VITALS, max_hours),
         hourly_vitals(vital_aperiodic, APERIODIC_VITALS, max_hours),
         hourly_labs(lab, max_hours),
     )
     order = {name: i for i, name in enumerate([*PERIODIC_VITALS, *APERIODIC_VITALS])}
-    return E.members(cells, stays).withColumn("block", S.lookup("feature", order, len(order)))
+    return E.with_split(cells, stays).withColumn("block", S.lookup("feature", order, len(order)))
 
 
 def prepare(
