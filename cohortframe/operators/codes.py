@@ -41,7 +41,7 @@ def past_code_counts(stays: DataFrame, coded: DataFrame) -> DataFrame:
     starts = starts.agg(F.count("*").cast("double").alias("stays"), F.lit(0.0).alias("records"))
     records = coded.where(F.col("coded_ts").isNotNull()).groupBy("subject_id", S.micros("coded_ts").alias("at"), "code")
     records = records.agg(F.count("*").cast("double").alias("records"))
-    relevant = records.join(starts.select("subject_id").distinct(), "subject_id", "left_semi")
+    relevant = records.join(starts.select("subject_id"), "subject_id", "left_semi")
     line = starts.select("subject_id", "at", "stays").unionByName(
         relevant.select("subject_id", "at", F.lit(0.0).alias("stays"))
     )

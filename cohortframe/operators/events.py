@@ -13,9 +13,9 @@ CELL = ["stay_id", "hour", "feature"]
 
 
 def members(df: DataFrame, cohort: DataFrame, key: str | list[str] = "stay_id") -> DataFrame:
-    """Rows whose key is in the cohort."""
+    """Rows whose key is in the cohort. No DISTINCT: a semi join needs none, and AQE splits hot keys without it."""
     keys = [key] if isinstance(key, str) else key
-    return df.join(cohort.select(*keys).distinct(), keys, "left_semi")
+    return df.join(cohort.select(*keys), keys, "left_semi")
 
 
 def allow_items(df: DataFrame, items: Mapping[int, str], item: str = "itemid") -> DataFrame:

@@ -71,7 +71,7 @@ def equal_width_bin(value, low, high, bins: int) -> Column:
     """Bin 0..bins-1 of an equal-width histogram whose last bin includes the upper end."""
     width = S.col(high) - S.col(low)
     position = F.try_divide((S.col(value) - S.col(low)) * F.lit(float(bins)), width)
-    return F.coalesce(F.least(F.floor(position), F.lit(bins - 1)), F.lit(0)).cast("int")
+    return F.coalesce(S.strict_least(F.floor(position), F.lit(bins - 1)), F.lit(0)).cast("int")
 
 
 def _with_range(df: DataFrame, value: str) -> DataFrame:

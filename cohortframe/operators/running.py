@@ -136,7 +136,11 @@ def quantile_of_counts(counts: DataFrame, value: str, n: str, by: Sequence[str]
 
 
 def with_total(df: DataFrame, counts: DataFrame, n: str, by: Sequence[str] = ()) -> DataFrame:
-    """Add ``_total``: the sum of ``n`` over the row's group of ``counts``."""
+    """Add ``_total``: the sum of ``n`` over the row's group of the materialised ``counts``.
+
+    The totals are broadcast if there are few groups; otherwise they are written, so that AQE can split a hot group.
+    """
     if by:
-        return df.join(counts.groupBy(*by).agg(F.sum(n).alias("_total")), list(by))
+        totals = session.small(counts.groupBy(*by).agg(F.sum(n).alias("_total")), name="totals")
+        return df.join(totals, list(by))
     return df.withColumn("_total", counts.agg(F.sum(n)).scalar())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from cohortframe import session
 from cohortframe.functions import scalars as S
 
 
@@ -17,8 +18,8 @@ def anchor_to_stays(
 ) -> DataFrame:
     """Add ``hours`` since the start of the stay; ``stays`` has one row per key.
 
-    Both sides shuffle on the key unless Spark measures ``stays`` as small. A hot key is split by AQE, as events are
-    the probe side of an inner or left join.
+    Both sides shuffle on the key unless Spark measures ``stays`` as small. AQE splits a hot key of the events if the
+    shuffles of both sides feed the join directly, so pass a materialised table of stays, not an aggregate.
     """
     return events.join(stays, key, how).withColumn("hours", S.hours_between(anchor, time))
 
@@ -50,8 +51,12 @@ def first_event_times(events: DataFrame, key: str = "stay_id", time: str = "ts")
 
 
 def anchor_to_first_event(events: DataFrame, key: str = "stay_id", time: str = "ts") -> DataFrame:
-    """Add ``hours`` since the first event of the stay. A minimum combines map-side; a window would sort each stay."""
-    return anchor_to_stays(events, first_event_times(events, key, time), key, time)
+    """Add ``hours`` since the first event of the stay.
+
+    The minimum combines map-side, where a window would sort each stay. It is written once: joined to the aggregate
+    itself, a hot stay could not be split.
+    """
+    return anchor_to_stays(events, session.barrier(first_event_times(events, key, time), "first_event"), key, time)
 
 
 def within(df: DataFrame, max_hours: float | None = None, hours: str = "hours", closed: bool = False) -> DataFrame:

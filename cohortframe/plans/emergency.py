@@ -35,7 +35,9 @@ def first_values(df: DataFrame, cohort: DataFrame, block: int) -> DataFrame:
     """First value per stay, instant and feature of the cohort, as a number or NULL where the text is none."""
     kept = E.with_split(E.drop_missing(df, ["instant", "feature", "value"]), cohort)
     firsts = E.first_per_instant(kept, "instant", "seq", ["stay_id", "split"])
-    return firsts.withColumns({"value": S.to_number("value"), "block": F.lit(block)})
+    is_text = dict(firsts.dtypes)["value"] == "string"
+    number = S.to_number("value") if is_text else S.nan_to_null(F.col("value").cast("double"))
+    return firsts.withColumns({"value": number, "block": F.lit(block)})
 
 
 def hourly_cells(
