@@ -16,8 +16,8 @@ vocab AS (SELECT code, n, row_number() OVER (ORDER BY n DESC, code) - 1 AS idx F
           QUALIFY row_number() OVER (ORDER BY n DESC, code) <= 10)"""
 
 
-def _history_vocabulary(t: Tables):
-    return K.top_codes(K.past_code_counts(part_of(t.code_stays, "train"), t.coded), 10)
+def _history_vocabulary(t: Tables, records):
+    return K.top_codes(K.past_code_counts(part_of(t.code_stays, "train"), records), 10)
 
 
 @query("code_history", f"WITH {CD}, {_PAST} SELECT DISTINCT stay_id, code FROM past")
@@ -27,7 +27,7 @@ def code_history(t: Tables):
 
 @query("code_top_n", f"WITH {CD}, {_PAST}, {_TOP} SELECT code, n, CAST(idx AS INTEGER) AS code_idx FROM vocab")
 def code_top_n(t: Tables):
-    return _history_vocabulary(t)
+    return _history_vocabulary(t, session.barrier(K.code_records(t.coded), "code_records"))
 
 
 @query(
@@ -37,8 +37,9 @@ def code_top_n(t: Tables):
     FROM code_stays s CROSS JOIN vocab v LEFT JOIN has h ON h.stay_id = s.stay_id AND h.code = v.code GROUP BY 1""",
 )
 def code_multi_hot(t: Tables):
-    vocab = session.bounded(_history_vocabulary(t))
-    cells = K.code_cells(K.past_codes(t.code_stays, K.restrict_codes(t.coded, vocab)), vocab)
+    records = session.barrier(K.code_records(t.coded), "code_records")
+    vocab = session.bounded(_history_vocabulary(t, records))
+    cells = K.code_cells(K.past_codes(t.code_stays, K.restrict_codes(records, vocab)), vocab)
     rows = K.vector_per_stay(t.code_stays.select("stay_id"), cells, vocab.count(), "icd")
     return rows.select("stay_id", F.array_join(F.transform("icd", lambda v: v.cast("int").cast("string")), "").alias("bits"))
 

@@ -91,24 +91,31 @@ def let(value, body) -> Column:
     return F.get(F.transform(F.array(col(value)), body), F.lit(0))
 
 
-def scatter(cells, size: int, value_type: str = "double") -> Column:
-    """Dense array of ``size`` slots from an array of ``(pos, value)`` sorted by distinct ``pos``; gaps are NULL.
+def overlay(base, cells, value) -> Column:
+    """The array ``base`` with ``value(cell)`` in place of the element at ``cell.pos``.
 
-    Linear in ``size``: each cell emits the gap before it and then itself.
+    ``cells`` is an array of structs sorted by distinct ``pos`` from 0, or NULL. Only the cells pass through a lambda; the
+    stretches of ``base`` between them are copied whole.
     """
-    missing = F.lit(None).cast(value_type)
+    base = col(base)
 
-    def dense(sorted_cells):
+    def filled(sorted_cells):
         def with_gap(cell, i):
             before = F.coalesce(F.get(sorted_cells, i - 1)["pos"], F.lit(-1))
-            return F.concat(F.array_repeat(missing, cell["pos"] - before - 1), F.array(cell["value"].cast(value_type)))
+            return F.concat(F.slice(base, before + 2, cell["pos"] - before - 1), F.array(value(cell)))
 
         last = F.coalesce(F.get(sorted_cells, F.size(sorted_cells) - 1)["pos"], F.lit(-1))
-        return F.concat(
-            F.flatten(F.transform(sorted_cells, with_gap)), F.array_repeat(missing, F.lit(size - 1) - last)
-        )
+        rest = F.slice(base, last + 2, F.greatest(F.size(base) - 1 - last, F.lit(0)))
+        return F.concat(F.flatten(F.transform(sorted_cells, with_gap)), rest)
 
-    return F.coalesce(let(cells, dense), F.array_repeat(missing, size))
+    return F.coalesce(let(cells, filled), base)
+
+
+def scatter(cells, size: int, default: Column | None = None) -> Column:
+    """Dense array of ``size`` doubles from ``(pos, value)`` cells; gaps are NULL or ``default``."""
+    missing = F.lit(None) if default is None else default
+    base = F.array_repeat(missing.cast("double"), size)
+    return overlay(base, cells, lambda cell: cell["value"].cast("double"))
 
 
 def rows_of(flat, rows: int, columns: int) -> Column:

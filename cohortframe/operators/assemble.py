@@ -90,9 +90,9 @@ def make_layout(
     )
 
 
-def _doubles(values: list) -> Column:
+def _floats(values: list) -> Column:
     """A constant array; written as JSON so that the plan holds one literal, not one per feature."""
-    return F.from_json(F.lit(json.dumps(values)), "array<double>")
+    return F.from_json(F.lit(json.dumps(values)), "array<double>").cast("array<float>")
 
 
 def _positions(spark: SparkSession, names: list) -> DataFrame:
@@ -111,13 +111,11 @@ def static_rows(cohort: DataFrame, static: DataFrame, layout: Layout) -> DataFra
     spark = cohort.sparkSession
     cells = static.join(_positions(spark, layout.static), "feature")
     packed = _packed(cells, F.col("_idx"), "_static")
-    dense = S.scatter("_static", layout.n_static)
-    level = F.array(*[F.lit(k == "level") for k in layout.static_kind]) if layout.static else F.array().cast("array<boolean>")
-    out = cohort.join(packed, "stay_id", "left").withColumns({"_flat": dense, "_level": level})
-    out = out.withColumn("_fill", _doubles(layout.static_fill))
-    value = F.transform("_flat", lambda v, i: F.coalesce(v, F.get("_fill", i)).cast("float"))
-    seen = F.transform("_flat", lambda v, i: F.when(v.isNotNull() | F.get("_level", i), 1.0).otherwise(0.0).cast("float"))
-    return out.withColumns({"static": value, "static_mask": seen}).drop("_static", "_flat", "_level", "_fill")
+    out = cohort.join(packed, "stay_id", "left")
+    value = S.overlay(_floats(layout.static_fill), "_static", lambda c: c["value"].cast("float"))
+    levels = _floats([float(kind == "level") for kind in layout.static_kind])
+    seen = S.overlay(levels, "_static", lambda c: F.lit(1.0).cast("float"))
+    return out.withColumns({"static": value, "static_mask": seen}).drop("_static")
 
 
 def tensor_rows(
@@ -139,16 +137,15 @@ def tensor_rows(
         empty = F.array().cast("array<float>")
         base = cohort.withColumns({"static": empty, "static_mask": empty})
     out = base.join(packed, "stay_id", "left")
-    out = out.withColumns({"_flat": S.scatter("_cells", nd * num_windows), "_fill": _doubles(layout.dynamic_fill)})
-    value = F.transform("_flat", lambda v, i: F.coalesce(v, F.get("_fill", i % F.lit(max(nd, 1)))).cast("float"))
-    seen = F.transform("_flat", lambda v: v.isNotNull().cast("float"))
+    value = S.overlay(_floats(layout.dynamic_fill * num_windows), "_cells", lambda c: c["value"].cast("float"))
+    seen = S.overlay(_floats([0.0] * nd * num_windows), "_cells", lambda c: F.lit(1.0).cast("float"))
 
     def with_static(flat: Column, static_part: str) -> Column:
         rows = S.rows_of(flat, num_windows, nd)
         return S.let(F.col(static_part), lambda s: F.transform(rows, lambda row: F.concat(row, s)))
 
     return out.withColumns({"x": with_static(value, "static"), "mask": with_static(seen, "static_mask")}).drop(
-        "_cells", "_flat", "_fill", "static", "static_mask"
+        "_cells", "static", "static_mask"
     )
 
 

@@ -13,6 +13,11 @@ def restrict_codes(coded: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return coded.join(F.broadcast(vocabulary.select("code")), "code", "left_semi")
 
 
+def code_records(coded: DataFrame) -> DataFrame:
+    """``(subject_id, code, coded_ts, n)``: records of the same patient, code and time as one row."""
+    return coded.groupBy("subject_id", "code", "coded_ts").agg(F.count("*").cast("double").alias("n"))
+
+
 def past_codes(stays: DataFrame, coded: DataFrame) -> DataFrame:
     """Distinct ``(stay_id, code)`` of codes the patient got strictly before the stay began.
 
@@ -31,17 +36,16 @@ def current_codes(stays: DataFrame, coded: DataFrame) -> DataFrame:
     return stays.select("stay_id", "subject_id", "hadm_id").join(own, ["subject_id", "hadm_id"]).select("stay_id", "code")
 
 
-def past_code_counts(stays: DataFrame, coded: DataFrame) -> DataFrame:
-    """``(code, n)``: past records per code, summed over stays, without pairing records and stays.
+def past_code_counts(stays: DataFrame, records: DataFrame) -> DataFrame:
+    """``(code, n)``: past ``code_records`` per code, summed over stays, without pairing records and stays.
 
     A record counts once for each later stay of the patient. The number of stays up to a time is a running count on
     the patient's time line of distinct times; the rest of the patient's stays come later.
     """
     starts = stays.where(F.col("anchor_ts").isNotNull()).groupBy("subject_id", S.micros("anchor_ts").alias("at"))
-    starts = starts.agg(F.count("*").cast("double").alias("stays"), F.lit(0.0).alias("records"))
-    records = coded.where(F.col("coded_ts").isNotNull()).groupBy("subject_id", S.micros("coded_ts").alias("at"), "code")
-    records = records.agg(F.count("*").cast("double").alias("records"))
-    relevant = records.join(starts.select("subject_id"), "subject_id", "left_semi")
+    starts = starts.agg(F.count("*").cast("double").alias("stays"))
+    timed = records.where(F.col("coded_ts").isNotNull()).select("subject_id", S.micros("coded_ts").alias("at"), "code", "n")
+    relevant = timed.join(starts.select("subject_id"), "subject_id", "left_semi")
     line = starts.select("subject_id", "at", "stays").unionByName(
         relevant.select("subject_id", "at", F.lit(0.0).alias("stays"))
     )
@@ -51,7 +55,7 @@ def past_code_counts(stays: DataFrame, coded: DataFrame) -> DataFrame:
         "subject_id", "at", (F.col("_total") - F.col("run_stays")).alias("later")
     )
     pairs = relevant.join(later, ["subject_id", "at"]).where("later > 0")
-    return pairs.groupBy("code").agg(F.sum(F.col("records") * F.col("later")).cast("bigint").alias("n"))
+    return pairs.groupBy("code").agg(F.sum(F.col("n") * F.col("later")).cast("bigint").alias("n"))
 
 
 def code_counts(coded: DataFrame) -> DataFrame:
@@ -84,5 +88,5 @@ def subject_code_cells(stays: DataFrame, coded: DataFrame, vocabulary: DataFrame
 def vector_per_stay(cohort: DataFrame, cells: DataFrame, size: int, name: str, default: float = 0.0) -> DataFrame:
     """Every cohort stay with a dense vector; a stay without cells gets ``default`` throughout."""
     packed = cells.groupBy("stay_id").agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("_cells"))
-    dense = F.transform(S.scatter("_cells", size), lambda v: F.coalesce(v, F.lit(default)).cast("float"))
+    dense = S.scatter("_cells", size, F.lit(default)).cast("array<float>")
     return cohort.join(packed, "stay_id", "left").withColumn(name, dense).drop("_cells")

@@ -25,7 +25,7 @@ def report_text(df: DataFrame, *parts: str) -> DataFrame:
 
 
 def tokens(text, max_tokens: int | None = None) -> Column:
-    words = F.filter(F.split(F.lower(S.col(text)), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
+    words = F.array_remove(F.split(F.lower(S.col(text)), "[^\\p{L}\\p{N}]+"), "")
     return words if max_tokens is None else F.slice(words, 1, max_tokens)
 
 

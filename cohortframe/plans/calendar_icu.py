@@ -56,10 +56,9 @@ def stay_codes(
     coded = diagnoses.withColumnRenamed("icd_code", "code")
     if params.codes.mode == "history":
         times = admissions.select("hadm_id", F.col("admittime").alias("coded_ts"))
-        coded = coded.join(times, "hadm_id")
-        counts = K.past_code_counts(fit, coded)
-        vocab = session.bounded(K.top_codes(counts, params.codes.top_n))
-        found = K.past_codes(stays, K.restrict_codes(coded, vocab))
+        records = session.barrier(K.code_records(coded.join(times, "hadm_id")), "code_records")
+        vocab = session.bounded(K.top_codes(K.past_code_counts(fit, records), params.codes.top_n))
+        found = K.past_codes(stays, K.restrict_codes(records, vocab))
     else:
         own = fit.select("subject_id", "hadm_id")
         counts = K.code_counts(coded.join(own, ["subject_id", "hadm_id"]))

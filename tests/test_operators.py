@@ -143,7 +143,7 @@ def test_history_is_strictly_before(frame):
     coded = frame("subject_id int, code string, coded_ts timestamp",
                   [(1, "A", at(10)), (1, "A", at(30)), (1, "B", at(1)), (1, "B", at(2)), (2, "C", at(9)), (7, "D", at(0))])
     assert rows(K.past_codes(stays, coded), "stay_id", "code") == [(1, "B"), (2, "A"), (2, "B")]
-    assert rows(K.past_code_counts(stays, coded), "code", "n") == [("A", 1), ("B", 4)]
+    assert rows(K.past_code_counts(stays, K.code_records(coded)), "code", "n") == [("A", 1), ("B", 4)]
 
 
 def test_top_codes_break_ties_by_code(frame):
