@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, functions as F
 
 from cohortframe import session
@@ -55,6 +57,8 @@ def outputs(
     """
     spark = cohort.sparkSession
     w = params.windows
+    if params.dynamic_imputation != "zero":
+        warnings.warn(f"dynamic imputation {params.dynamic_imputation!r} is not available; using zero", stacklevel=2)
     train = train_of(cohort)
     any_event = train.withColumn("event", survival.any_event())
     cuts = session.bounded(survival.make_cuts(any_event, params.labels.n_time_bins, params.labels.scheme))
