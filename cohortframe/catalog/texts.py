@@ -38,7 +38,8 @@ def report_text(t: Tables):
 )
 def report_embedding(t: Tables):
     """Hashed mean embedding of whole texts, pooled per stay."""
-    return R.hashed_cells(t.texts, DIM).withColumn("value", r6("value"))
+    vectors = R.hashed_vectors(t.texts, DIM).select("stay_id", F.posexplode("embedding").alias("pos", "value"))
+    return vectors.where("value > 0").withColumn("value", r6("value"))
 
 
 @query(

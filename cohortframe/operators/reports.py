@@ -34,17 +34,25 @@ def token_bucket(token, dim: int) -> Column:
     return (F.conv(F.substring(F.md5(S.col(token)), 1, 4), 16, 10).cast("int") % F.lit(dim)).cast("int")
 
 
-def hashed_cells(reports: DataFrame, dim: int, max_tokens: int | None = None) -> DataFrame:
-    """Native embedding pooled per stay, sparse: ``(stay_id, pos, value)``.
+def hashed_vectors(reports: DataFrame, dim: int, max_tokens: int | None = None) -> DataFrame:
+    """Native embedding pooled per stay: ``(stay_id, embedding)``.
 
-    A report's vector is the mean over its tokens of their one-hot slots; a stay's vector is the mean over reports.
-    Tokens shrink to at most ``dim`` sums per stay before the shuffle. A report without tokens counts as zeros.
+    A report's vector is the mean over its tokens of their one-hot slots; a stay's vector is the mean over reports. Texts
+    are read once: an extra NULL token per report counts the reports, in slot -1. Tokens shrink to ``dim`` + 1 sums per
+    stay before the shuffle. A report without tokens counts as zeros.
     """
     words = reports.select("stay_id", tokens("text", max_tokens).alias("w"))
-    slots = words.select("stay_id", (F.lit(1.0) / F.size("w")).alias("share"), F.explode("w").alias("t"))
-    sums = slots.groupBy("stay_id", token_bucket("t", dim).alias("pos")).agg(F.sum("share").alias("s"))
-    n = reports.groupBy("stay_id").agg(F.count("*").alias("n_reports"))
-    return sums.join(n, "stay_id").select("stay_id", "pos", (F.col("s") / F.col("n_reports")).alias("value"))
+    marked = F.concat(F.array(F.lit(None).cast("string")), F.col("w"))
+    spread = words.select("stay_id", F.try_divide(F.lit(1.0), F.size("w")).alias("share"), F.explode(marked).alias("t"))
+    is_token = F.col("t").isNotNull()
+    slots = spread.groupBy("stay_id", F.when(is_token, token_bucket("t", dim)).otherwise(-1).alias("pos"))
+    sums = slots.agg(F.sum(F.when(is_token, F.col("share")).otherwise(1.0)).alias("value"))
+    packed = sums.groupBy("stay_id").agg(
+        F.max(F.when(F.col("pos") < 0, F.col("value"))).alias("n"),
+        F.sort_array(F.collect_list(F.when(F.col("pos") >= 0, F.struct("pos", "value")))).alias("cells"),
+    )
+    mean = F.transform(S.scatter("cells", dim, F.lit(0.0)), lambda v: v / F.col("n"))
+    return packed.select("stay_id", mean.alias("embedding"))
 
 
 def encode_reports(reports: DataFrame, encoder: Encoder, batch_size: int = 32) -> DataFrame:

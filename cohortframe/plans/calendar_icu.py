@@ -17,8 +17,11 @@ STATIC = ["gender", "first_careunit", "admission_type", "admission_location"]
 def cohort_stays(
     icustays: DataFrame, patients: DataFrame, admissions: DataFrame, min_stay_hours: float = 24.0, horizon: float = 240.0
 ) -> DataFrame:
-    """First stay of each patient, then adults, then a minimum stay; labelled by death within the horizon."""
-    first = C.first_stay(C.stays_with_admissions(icustays, patients, admissions))
+    """First stay of each patient, then adults, then a minimum stay; labelled by death within the horizon.
+
+    The first stay is taken before the joins: they add columns, not rows, and so see one stay per patient.
+    """
+    first = C.stays_with_admissions(C.first_stay(icustays), patients, admissions)
     timed = C.adults(first, "anchor_age").withColumn("los_hours", S.hours_between("intime", "outtime"))
     kept = C.min_stay(timed, "los_hours", min_stay_hours).drop("los_hours")
     return survival.labels_from_calendar(kept, horizon)
@@ -82,9 +85,7 @@ def report_vectors(
     """Pooled vector per stay with reports, from a user's encoder (with its dimension) or the native hashed one."""
     if encoder is not None:
         return R.pool_vectors(R.encode_reports(texts, encoder, params.reports.batch_size)), dim
-    dim = params.reports.dim
-    sparse = R.hashed_cells(texts, dim, params.reports.max_tokens)
-    return K.vector_per_stay(texts.select("stay_id").distinct(), sparse, dim, "embedding"), dim
+    return R.hashed_vectors(texts, params.reports.dim, params.reports.max_tokens), params.reports.dim
 
 
 def prepare(

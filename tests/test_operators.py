@@ -169,10 +169,11 @@ def test_reports(frame):
     cohort = frame("stay_id bigint", [(1,), (2,), (3,)])
     got = {r.stay_id: (r.radiology, r.has_radiology) for r in R.with_vectors(cohort, vectors, 2).collect()}
     assert got == {1: ([5.0, 1.0], 1), 2: ([3.0, 1.0], 1), 3: ([0.0, 0.0], 0)}
-    native = {r.stay_id: 0.0 for r in texts.collect()}
-    for r in R.hashed_cells(texts, 8).collect():
-        native[r.stay_id] += r.value
-    assert native == pytest.approx({1: 1.0, 2: 1.0})
+    more = texts.unionByName(frame("stay_id bigint, text string", [(1, "..."), (5, "!"), (6, None)]), allowMissingColumns=True)
+    native = {r.stay_id: sum(r.embedding) for r in R.hashed_vectors(more, 8).collect()}
+    assert native == pytest.approx({1: 0.5, 2: 1.0, 5: 0.0})
+    short = {r.stay_id: r.embedding for r in R.hashed_vectors(texts, 8, max_tokens=1).collect()}
+    assert sorted(short[1]) == [0.0] * 7 + [1.0]
 
 
 def test_split_keeps_patients_together_and_hits_sizes(spark):

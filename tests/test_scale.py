@@ -75,6 +75,15 @@ def test_barrier_lies_in_the_shared_folder(spark):
     assert df.inputFiles()[0].replace("file://", "").startswith(session.shared_dir(spark).replace("file:", ""))
 
 
+def test_first_stay_limits_each_group_before_the_shuffle(spark):
+    from cohortframe.operators.cohort import first_stay
+
+    df = spark.range(1000).selectExpr("id AS stay_id", "id % 3 AS subject_id", "timestamp_micros(id) AS intime")
+    plan = first_stay(df)._jdf.queryExecution().executedPlan().toString()
+    before, after = plan.index("WindowGroupLimit"), plan.index("Exchange hashpartitioning(subject_id")
+    assert before < after < plan.rindex("WindowGroupLimit")
+
+
 def test_vocabulary_filters_reach_the_scan(spark):
     raw = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     plan = E.allow_items(raw, {"click": "c", "view": "v"}, "event_type").select("feature")
