@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortframe import session
 from cohortframe.catalog.base import ST, Tables, query, r6
 from cohortframe.functions import scalars as S
-from cohortframe.operators import assemble, codes as K, static as static_ops, transform
+from cohortframe.operators import codes as K, static as static_ops, transform
 from cohortframe.operators.split import part_of
 from cohortframe.plans import prepare
 
@@ -92,13 +92,8 @@ def impute_static_mean(t: Tables):
 def static_matrix(t: Tables):
     """The static-only matrix, unrolled."""
     customers = t.customers
-    levels = static_ops.level_vocabulary(customers, CATEGORIES)
-    vocab = static_ops.static_vocabulary(levels, ["balance"], CATEGORIES)
-    rows = static_ops.static_long(customers, ["balance"], CATEGORIES)
-    means = transform.static_means(rows, part_of(customers, "train"))
-    empty = session.literal_table(t.spark, [], "feature string, block int, position int")
-    layout = assemble.make_layout(empty, vocab, None, means)
-    matrix = assemble.static_rows(customers.select("stay_id"), rows, layout)
+    blocks = static_ops.static_blocks(customers, ["balance"], CATEGORIES, train=part_of(customers, "train"))
+    matrix = static_ops.with_static_arrays(customers, blocks)
     both = matrix.select("stay_id", F.posexplode(F.arrays_zip("static", "static_mask")).alias("idx", "z"))
     return both.select("stay_id", "idx", r6(F.col("z.static").cast("double")).alias("value"), F.col("z.static_mask").cast("int").alias("mask"))
 

@@ -69,10 +69,10 @@ def prepared(t: Tables) -> dict:
     )
     duration = (F.unix_micros(F.col("t1").cast("timestamp")) - F.unix_micros(F.col("t0").cast("timestamp"))) / F.lit(3.6e9)
     stays = per_user.select("stay_id", F.col("stay_id").alias("subject_id"), duration.alias("duration"), "event")
-    cohort = common.split_cohort(stays, PARAMS)
-    customers = E.members(t.customers.drop("subject_id", "split"), cohort)
-    static, vocab = common.static_part(customers, ["balance"], CATEGORIES)
-    return common.outputs(cohort, PARAMS, E.with_split(t.hourly, cohort), static, vocab)
+    described = stays.join(t.customers.drop("subject_id", "split"), "stay_id", "left")
+    cohort = common.split_cohort(described, PARAMS)
+    static = common.Static(["balance"], CATEGORIES)
+    return common.outputs(cohort, PARAMS, E.with_split(t.hourly, cohort), static)
 
 
 @query("tensor_rows")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -13,13 +14,11 @@ from cohortframe.functions import scalars as S
 
 @dataclass(frozen=True)
 class Layout:
-    """Feature order of the tensor with the value that replaces a missing cell. Held on the driver, size checked."""
+    """Feature order of the tensor and the value of a missing dynamic cell. Held on the driver, size checked."""
 
     dynamic: list
-    static: list
     dynamic_fill: list
-    static_fill: list
-    static_kind: list
+    static: list
 
     @property
     def n_dynamic(self) -> int:
@@ -50,44 +49,21 @@ def feature_structure(dynamic: DataFrame, static: DataFrame) -> DataFrame:
 
 
 def make_layout(
-    dynamic: DataFrame,
-    static: DataFrame | None,
-    params: DataFrame | None,
-    means: DataFrame | None,
-    max_features: int = 100_000,
+    dynamic: DataFrame, params: DataFrame | None = None, static: Sequence[str] = (), max_features: int = 100_000
 ) -> Layout:
-    """Collect the vocabularies (bounded) with their fill values.
+    """Collect the dynamic vocabulary ``(feature, block, position)`` (bounded) with its fill values.
 
-    ``dynamic`` has ``feature, block, position``, ``static`` also ``kind``; ``params`` is the scaler and ``means`` the
-    static train means. A missing dynamic cell becomes a scaled zero, a missing numeric static its train mean, a
-    missing level zero. Without ``means`` a missing numeric static stays NULL.
+    ``params`` is the scaler: a missing dynamic cell becomes a scaled zero. ``static`` names the static slots.
     """
-    order = ["block", "position", "feature"]
-    dyn = dynamic.select("feature", "block", "position")
+    named = dynamic.select("feature", "block", "position")
     if params is not None:
-        dyn = dyn.join(params, "feature", "left")
+        named = named.join(params, "feature", "left")
     else:
-        dyn = dyn.withColumns({"mean": F.lit(0.0), "scale": F.lit(1.0)})
+        named = named.withColumns({"mean": F.lit(0.0), "scale": F.lit(1.0)})
     fill = F.coalesce((F.lit(0.0) - F.col("mean")) / F.col("scale"), F.lit(0.0))
-    drows = session.bounded_rows(dyn.withColumn("fill", fill).orderBy(*order), max_features)
-
-    srows = []
-    if static is not None:
-        st = static
-        if means is not None:
-            st = st.join(means, "feature", "left").withColumn(
-                "fill", F.when(F.col("kind") == "numeric", F.coalesce("mean", F.lit(0.0))).otherwise(0.0)
-            )
-        else:
-            st = st.withColumn("fill", F.when(F.col("kind") == "level", 0.0))
-        srows = session.bounded_rows(st.orderBy(*order), max_features)
-    return Layout(
-        dynamic=[r["feature"] for r in drows],
-        static=[r["feature"] for r in srows],
-        dynamic_fill=[r["fill"] for r in drows],
-        static_fill=[r["fill"] for r in srows],
-        static_kind=[r["kind"] for r in srows],
-    )
+    ordered = named.withColumn("fill", fill).orderBy("block", "position", "feature")
+    rows = session.bounded_rows(ordered, max_features)
+    return Layout([r["feature"] for r in rows], [r["fill"] for r in rows], list(static))
 
 
 def _floats(values: list) -> Column:
@@ -106,45 +82,28 @@ def _packed(cells: DataFrame, pos: Column, name: str) -> DataFrame:
     return placed.groupBy("stay_id").agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias(name))
 
 
-def static_rows(cohort: DataFrame, static: DataFrame, layout: Layout) -> DataFrame:
-    """``static`` and ``static_mask``: the static-only matrix, one row per cohort stay."""
-    spark = cohort.sparkSession
-    cells = static.join(_positions(spark, layout.static), "feature")
-    packed = _packed(cells, F.col("_idx"), "_static")
-    out = cohort.join(packed, "stay_id", "left")
-    value = S.overlay(_floats(layout.static_fill), "_static", lambda c: c["value"].cast("float"))
-    levels = _floats([float(kind == "level") for kind in layout.static_kind])
-    seen = S.overlay(levels, "_static", lambda c: F.lit(1.0).cast("float"))
-    return out.withColumns({"static": value, "static_mask": seen}).drop("_static")
+def tensor_rows(cohort: DataFrame, cells: DataFrame, layout: Layout, num_windows: int) -> DataFrame:
+    """Add ``x`` and ``mask`` (``[window][feature]``) to every cohort stay.
 
-
-def tensor_rows(
-    cohort: DataFrame, cells: DataFrame, static: DataFrame | None, layout: Layout, num_windows: int
-) -> DataFrame:
-    """Add ``x`` and ``mask`` (``[window][feature]``) to every cohort stay, static features repeated per window.
-
-    ``cells`` are the (scaled) window means ``(stay_id, window, feature, value)``. Only observed cells are shuffled;
-    the dense form appears inside the task that writes the row.
+    ``cells`` are the (scaled) window means ``(stay_id, window, feature, value)``. Only observed cells are shuffled; the
+    dense form appears inside the task that writes the row. Columns ``static`` and ``static_mask`` of the cohort, if
+    there, are appended to every window and dropped.
     """
     spark = cohort.sparkSession
     nd = layout.n_dynamic
     placed = cells.join(_positions(spark, layout.dynamic), "feature")
     packed = _packed(placed, F.col("window") * F.lit(nd) + F.col("_idx"), "_cells")
-    base = cohort
-    if static is not None and layout.n_static:
-        base = static_rows(cohort, static, layout)
-    else:
-        empty = F.array().cast("array<float>")
-        base = cohort.withColumns({"static": empty, "static_mask": empty})
-    out = base.join(packed, "stay_id", "left")
+    out = cohort.join(packed, "stay_id", "left")
     value = S.overlay(_floats(layout.dynamic_fill * num_windows), "_cells", lambda c: c["value"].cast("float"))
     seen = S.overlay(_floats([0.0] * nd * num_windows), "_cells", lambda c: F.lit(1.0).cast("float"))
 
-    def with_static(flat: Column, static_part: str) -> Column:
+    def window_rows(flat: Column, static_part: str) -> Column:
         rows = S.rows_of(flat, num_windows, nd)
+        if static_part not in cohort.columns:
+            return rows
         return S.let(F.col(static_part), lambda s: F.transform(rows, lambda row: F.concat(row, s)))
 
-    return out.withColumns({"x": with_static(value, "static"), "mask": with_static(seen, "static_mask")}).drop(
+    return out.withColumns({"x": window_rows(value, "static"), "mask": window_rows(seen, "static_mask")}).drop(
         "_cells", "static", "static_mask"
     )
 

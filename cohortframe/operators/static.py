@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortframe import session
+from cohortframe.functions import scalars as S
 from cohortframe.operators.events import long_from_wide
 
 
@@ -44,10 +46,6 @@ def numeric_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long_from_wide(df, ["stay_id"], columns)
 
 
-def static_long(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], trailing: Sequence[str] = ()):
-    return numeric_features(df, [*numeric, *trailing]).unionByName(one_hot(df, categorical))
-
-
 def static_vocabulary(
     levels: DataFrame, numeric: Sequence[str], categorical: Sequence[str], trailing: Sequence[str] = ()
 ) -> DataFrame:
@@ -66,3 +64,74 @@ def static_vocabulary(
 def select_static(df: DataFrame, drop: Sequence[str]) -> DataFrame:
     """Remove id and outcome columns from the static features."""
     return df.drop(*drop)
+
+
+@dataclass(frozen=True)
+class Block:
+    """The slots of one static column: a number with the value that replaces a missing one, or a slot per level."""
+
+    column: str
+    levels: tuple | None = None
+    fill: float | None = None
+
+    @property
+    def names(self) -> list[str]:
+        return [self.column] if self.levels is None else [f"{self.column}_{level}" for level in self.levels]
+
+
+def static_blocks(
+    df: DataFrame,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    trailing: Sequence[str] = (),
+    train: DataFrame | None = None,
+    max_levels: int = 100_000,
+) -> list[Block]:
+    """Numeric columns, levels of each category, trailing numeric columns. Levels come from all of ``df``.
+
+    With ``train`` a missing number becomes its train mean (0 without any), otherwise it stays NULL.
+    """
+    numbers = [*numeric, *trailing]
+    fills = dict.fromkeys(numbers)
+    if train is not None and numbers:
+        means = train.agg(*[F.avg(_number(c)).alias(c) for c in numbers]).first()
+        fills = {c: 0.0 if means[c] is None else means[c] for c in numbers}
+    levels: dict[str, list] = {c: [] for c in categorical}
+    if categorical:
+        vocabulary = level_vocabulary(df, categorical).select("column", "level", "level_rank")
+        for row in sorted(session.bounded_rows(vocabulary, max_levels), key=lambda r: r.level_rank):
+            levels[row.column].append(row.level)
+    hot = [Block(c, tuple(found)) for c, found in levels.items() if found]
+    return [*[Block(c, fill=fills[c]) for c in numeric], *hot, *[Block(c, fill=fills[c]) for c in trailing]]
+
+
+def _number(column: str) -> Column:
+    return S.nan_to_null(F.col(column).cast("double"))
+
+
+def _hot_slots(column: str, levels: tuple) -> Column:
+    """A 1 at the level's slot, zeros elsewhere; copied array stretches, no test per level in a lambda."""
+    at = F.array_position(F.array(*[F.lit(level) for level in levels]), F.col(column).cast("string")).cast("int")
+    zero, one = F.lit(0.0).cast("float"), F.lit(1.0).cast("float")
+    found = F.concat(F.array_repeat(zero, at - 1), F.array(one), F.array_repeat(zero, F.lit(len(levels)) - at))
+    return F.coalesce(F.when(at > 0, found), F.array_repeat(zero, len(levels)))
+
+
+def with_static_arrays(df: DataFrame, blocks: Sequence[Block]) -> DataFrame:
+    """Add ``static`` and ``static_mask`` to rows that hold the static columns; nothing is shuffled.
+
+    A level is always observed, a missing number is not.
+    """
+    values, seen = [], []
+    for block in blocks:
+        if block.levels is None:
+            number = _number(block.column)
+            values.append(F.array(F.coalesce(number, F.lit(block.fill).cast("double")).cast("float")))
+            seen.append(F.array(number.isNotNull().cast("float")))
+        else:
+            values.append(_hot_slots(block.column, block.levels))
+            seen.append(F.array_repeat(F.lit(1.0).cast("float"), len(block.levels)))
+    empty = F.array().cast("array<float>")
+    return df.withColumns(
+        {"static": F.concat(*values) if values else empty, "static_mask": F.concat(*seen) if seen else empty}
+    )

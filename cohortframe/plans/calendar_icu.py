@@ -11,7 +11,7 @@ from cohortframe.operators import codes as K, cohort as C, events as E, reports
 from cohortframe.params import Preparation
 from cohortframe.plans import common
 
-STATIC = ["gender", "first_careunit", "admission_type", "admission_location"]
+STATIC = common.Static(["anchor_age"], ["gender", "first_careunit", "admission_type", "admission_location"])
 
 
 def cohort_stays(
@@ -107,7 +107,6 @@ def prepare(
     """Prepare whichever parts are given: series (chart and lab events), static, codes, reports."""
     stays = cohort_stays(icustays, patients, admissions, min_stay_hours, params.labels.horizon_hours)
     cohort = common.split_cohort(stays, params)
-    rows, vocab = common.static_part(cohort, ["anchor_age"], STATIC) if static else (None, None)
     cells = None
     if chartevents is not None:
         cells = hourly_cells(cohort, chartevents, labevents, params.windows.max_hours, vital_items, lab_items)
@@ -118,5 +117,4 @@ def prepare(
         vectors, dim = report_vectors(
             stay_reports(cohort, radiology, params.windows.max_hours), params, encoder, encoder_dim
         )
-    keys = cohort.select("stay_id", "subject_id", "split", "duration", "event")
-    return common.outputs(keys, params, cells, rows, vocab, code_cells, code_vocab, vectors, dim)
+    return common.outputs(cohort, params, cells, STATIC if static else None, code_cells, code_vocab, vectors, dim)

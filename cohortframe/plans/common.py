@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,6 +12,8 @@ from cohortframe import session
 from cohortframe.operators import assemble, codes, events, reports, select, split, static as static_ops, survival, transform
 from cohortframe.params import Preparation
 
+KEYS = ["stay_id", "subject_id", "split", "duration", "event"]
+
 
 def split_cohort(stays: DataFrame, params: Preparation) -> DataFrame:
     """Horizon-censored labels with their split, written once because every later pass needs them."""
@@ -31,27 +35,27 @@ def dynamic_vocabulary(cells: DataFrame, cohort: DataFrame, params: Preparation)
     return session.small(kept, params.max_features, "dynamic_vocab")
 
 
-def static_part(df: DataFrame, numeric: list, categorical: list, trailing: list = ()) -> tuple[DataFrame, DataFrame]:
-    """Static rows and their vocabulary."""
-    vocabulary = static_ops.static_vocabulary(
-        static_ops.level_vocabulary(df, categorical), numeric, categorical, trailing
-    )
-    return static_ops.static_long(df, numeric, categorical, trailing), vocabulary
+@dataclass(frozen=True)
+class Static:
+    """Static columns of the cohort in feature order."""
+
+    numeric: Sequence[str] = ()
+    categorical: Sequence[str] = ()
+    trailing: Sequence[str] = ()
 
 
 def outputs(
     cohort: DataFrame,
     params: Preparation,
     cells: DataFrame | None = None,
-    static: DataFrame | None = None,
-    static_vocab: DataFrame | None = None,
+    static: Static | None = None,
     code_cells: DataFrame | None = None,
     code_vocab: DataFrame | None = None,
     vectors: DataFrame | None = None,
     vector_dim: int | None = None,
 ) -> dict[str, DataFrame]:
     """Fit on train, impute, scale and assemble. ``cells`` are hourly
-    ``(stay_id, split, hour, feature, value[, block])``.
+    ``(stay_id, split, hour, feature, value[, block])``; ``static`` names columns of the cohort.
 
     Fitted tables are evaluated once; the rows themselves stay lazy until they are written.
     """
@@ -64,9 +68,16 @@ def outputs(
     cuts = session.bounded(survival.make_cuts(any_event, params.labels.n_time_bins, params.labels.scheme))
     out: dict[str, DataFrame] = {"cuts": cuts}
 
-    means = None
-    if static is not None and params.static_imputation == "mean":
-        means = transform.static_means(static, train)
+    rows, names = cohort, []
+    if static is not None:
+        fit = train if params.static_imputation == "mean" else None
+        parts = static_ops.static_blocks(
+            cohort, static.numeric, static.categorical, static.trailing, fit, params.max_features
+        )
+        names = [name for part in parts for name in part.names]
+        rows = static_ops.with_static_arrays(cohort, parts)
+    keys = [*KEYS, "static", "static_mask"] if static is not None else KEYS
+    rows = rows.select(*keys)
     scaler = None
     if cells is not None:
         cells = session.barrier(cells, "cells")
@@ -82,16 +93,11 @@ def outputs(
             out["scaler_params"] = scaler
     else:
         vocab = session.literal_table(spark, [], "feature string, block int, position int")
-    layout = assemble.make_layout(vocab, static_vocab, scaler, means, params.max_features)
+    layout = assemble.make_layout(vocab, scaler, names, params.max_features)
     out["feature_vocab"] = layout.feature_table(spark)
-
     if cells is not None:
         scaled = transform.scaled(windows, scaler) if scaler is not None else windows
-        rows = assemble.tensor_rows(cohort, scaled, static, layout, w.num_windows)
-    elif static is not None:
-        rows = assemble.static_rows(cohort, static, layout)
-    else:
-        rows = cohort
+        rows = assemble.tensor_rows(rows, scaled, layout, w.num_windows)
     n_codes = None
     if code_cells is not None:
         n_codes = code_vocab.count()

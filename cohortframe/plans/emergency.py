@@ -14,6 +14,7 @@ from cohortframe.params import Codes, Labels, Preparation, Windows
 from cohortframe.plans import common
 from cohortframe.plans.calendar_icu import report_vectors
 
+STATIC = common.Static(ED_NUMERIC, ED_CATEGORIES, ["Triage_acuity_ordinal"])
 DEFAULTS = Preparation(
     windows=Windows(6, 1),
     labels=Labels(horizon_hours=24.0, outcomes=ED_OUTCOME_NAMES, competing=True),
@@ -87,9 +88,7 @@ def prepare(
     """``labs`` and ``numerics`` carry their ingest order in ``seq`` (see ``sources.tables.with_file_order``)."""
     valid = visit_rows(visits, params.labels.horizon_hours)
     cohort = common.split_cohort(C.min_stay(valid, "duration", min_stay_hours), params)
-    rows = vocab = cells = code_vocab = code_cells = vectors = dim = None
-    if static:
-        rows, vocab = common.static_part(cohort, ED_NUMERIC, ED_CATEGORIES, ["Triage_acuity_ordinal"])
+    cells = code_vocab = code_cells = vectors = dim = None
     if labs is not None:
         lab_rows = labs.select(
             F.col("CSN").alias("stay_id"), S.to_time("Result_time").alias("instant"),
@@ -105,5 +104,4 @@ def prepare(
     if rads is not None:
         texts = E.members(R.report_text(rads.withColumnRenamed("CSN", "stay_id"), "Study", "Impression"), cohort)
         vectors, dim = report_vectors(texts.select("stay_id", "text"), params, encoder, encoder_dim)
-    keys = cohort.select("stay_id", "subject_id", "split", "duration", "event")
-    return common.outputs(keys, params, cells, rows, vocab, code_cells, code_vocab, vectors, dim)
+    return common.outputs(cohort, params, cells, STATIC if static else None, code_cells, code_vocab, vectors, dim)

@@ -10,7 +10,7 @@ from cohortframe.operators import cohort as C, events as E, survival, timeaxis
 from cohortframe.params import Preparation
 from cohortframe.plans import common
 
-STATIC = ["gender", "ethnicity", "unitstaytype"]
+STATIC = common.Static(["age"], ["gender", "ethnicity", "unitstaytype"])
 
 
 def cohort_stays(patient: DataFrame, min_stay_hours: float = 24.0, horizon: float = 240.0) -> DataFrame:
@@ -69,9 +69,7 @@ def prepare(
 ) -> dict[str, DataFrame]:
     stays = cohort_stays(patient, min_stay_hours, params.labels.horizon_hours)
     cohort = common.split_cohort(stays, params)
-    rows, vocab = common.static_part(cohort, ["age"], STATIC) if static else (None, None)
     cells = None
     if lab is not None:
         cells = hourly_cells(cohort, vital_periodic, vital_aperiodic, lab, params.windows.max_hours)
-    keys = cohort.select("stay_id", "subject_id", "split", "duration", "event")
-    return common.outputs(keys, params, cells, rows, vocab)
+    return common.outputs(cohort, params, cells, STATIC if static else None)

@@ -127,15 +127,29 @@ def test_scaler_counts_missing_as_zero(frame):
 
 
 def test_tensor_rows(frame):
-    cohort = frame("stay_id int", [(1,), (2,)])
+    cohort = frame("stay_id int, age double, g string", [(1, 50.0, None), (2, None, "F"), (3, float("nan"), "new")])
     cells = frame("stay_id int, window int, feature string, value double", [(1, 1, "b", 7.0), (1, 0, "a", 3.0)])
-    static = frame("stay_id int, feature string, value double", [(1, "age", 50.0), (2, "g_F", 1.0)])
-    layout = assemble.Layout(["a", "b"], ["age", "g_F"], [-1.0, -2.0], [40.0, 0.0], ["numeric", "level"])
-    got = {r.stay_id: r for r in assemble.tensor_rows(cohort, cells, static, layout, 2).collect()}
-    assert got[1].x == [[3.0, -2.0, 50.0, 0.0], [-1.0, 7.0, 50.0, 0.0]]
-    assert got[1].mask == [[1.0, 0.0, 1.0, 1.0], [0.0, 1.0, 1.0, 1.0]]
-    assert got[2].x == [[-1.0, -2.0, 40.0, 1.0]] * 2
-    assert got[2].mask == [[0.0, 0.0, 0.0, 1.0]] * 2
+    blocks = [St.Block("age", fill=40.0), St.Block("g", ("F", "M"))]
+    layout = assemble.Layout(["a", "b"], [-1.0, -2.0], ["age", "g_F", "g_M"])
+    rows_ = St.with_static_arrays(cohort, blocks).drop("age", "g")
+    got = {r.stay_id: r for r in assemble.tensor_rows(rows_, cells, layout, 2).collect()}
+    assert got[1].x == [[3.0, -2.0, 50.0, 0.0, 0.0], [-1.0, 7.0, 50.0, 0.0, 0.0]]
+    assert got[1].mask == [[1.0, 0.0, 1.0, 1.0, 1.0], [0.0, 1.0, 1.0, 1.0, 1.0]]
+    assert got[2].x == [[-1.0, -2.0, 40.0, 1.0, 0.0]] * 2
+    assert got[2].mask == [[0.0, 0.0, 0.0, 1.0, 1.0]] * 2
+    assert got[3].x == [[-1.0, -2.0, 40.0, 0.0, 0.0]] * 2
+    bare = assemble.tensor_rows(cohort.select("stay_id"), cells, layout, 2).where("stay_id = 1").first()
+    assert bare.x == [[3.0, -2.0], [-1.0, 7.0]]
+
+
+def test_static_blocks(frame):
+    df = frame("stay_id int, split string, a double, c string, z int",
+               [(1, "train", 1.0, "y", 2), (2, "train", None, "x", None), (3, "test", 9.0, None, 4)])
+    blocks = St.static_blocks(df, ["a"], ["c"], ["z"], df.where("split = 'train'"))
+    assert [n for b in blocks for n in b.names] == ["a", "c_x", "c_y", "z"]
+    assert [b.fill for b in blocks] == [1.0, None, 2.0]
+    kept = St.static_blocks(df, ["a"], ["c"], ["z"])
+    assert St.with_static_arrays(df, kept).where("stay_id = 2").first().static == [None, 1.0, 0.0, None]
 
 
 def test_history_is_strictly_before(frame):
