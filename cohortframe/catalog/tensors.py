@@ -100,16 +100,13 @@ _FLAT_SQL = f"""WITH {_FLAT} SELECT stay_id, win AS "window", idx, round(CAST(va
 
 
 def _flat(rows):
-    both = assemble.flatten_tensor(rows).join(
-        assemble.flatten_tensor(rows, "mask", "mask"), ["stay_id", "window", "idx"]
-    )
-    return both.select("stay_id", "window", "idx", F.round(F.col("value").cast("double"), 4).alias("value"),
-                       F.col("mask").cast("int").alias("mask"))
+    cells = assemble.flatten_tensor(rows)
+    return cells.withColumns({"value": F.round(F.col("value").cast("double"), 4), "mask": F.col("mask").cast("int")})
 
 
 @query("tensor_flat", _FLAT_SQL)
 def tensor_flat(t: Tables):
-    return _flat(session.barrier(prepared(t)["rows"], "rows"))
+    return _flat(prepared(t)["rows"])
 
 
 @query("dataset_roundtrip", _FLAT_SQL)

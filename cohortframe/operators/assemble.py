@@ -108,10 +108,13 @@ def tensor_rows(cohort: DataFrame, cells: DataFrame, layout: Layout, num_windows
     )
 
 
-def flatten_tensor(rows: DataFrame, column: str = "x", name: str = "value") -> DataFrame:
-    """``(stay_id, window, idx, <name>)`` from tensor rows; the dense grid of stays x windows x features."""
-    steps = rows.select("stay_id", F.posexplode(column).alias("window", "_row"))
-    return steps.select("stay_id", "window", F.posexplode("_row").alias("idx", name))
+def flatten_tensor(rows: DataFrame) -> DataFrame:
+    """``(stay_id, window, idx, value, mask)`` from tensor rows, unrolled in place."""
+    steps = rows.select("stay_id", "mask", F.posexplode("x").alias("window", "_x"))
+    cells = steps.select(
+        "stay_id", "window", F.get("mask", F.col("window")).alias("_m"), F.posexplode("_x").alias("idx", "value")
+    )
+    return cells.select("stay_id", "window", "idx", "value", F.get("_m", F.col("idx")).alias("mask"))
 
 
 def dense_grid(stays: DataFrame, cells: DataFrame, features: list, steps: int, step: str = "window") -> DataFrame:
