@@ -40,21 +40,20 @@ def past_code_counts(stays: DataFrame, records: DataFrame) -> DataFrame:
     """``(code, n)``: past ``code_records`` per code, summed over stays, without pairing records and stays.
 
     A record counts once for each later stay of the patient. The number of stays up to a time is a running count on
-    the patient's time line of distinct times; the rest of the patient's stays come later.
+    the patient's time line of distinct times; the rest of the patient's stays come later. Restrict the records to the
+    cohort's patients first.
     """
-    starts = stays.where(F.col("anchor_ts").isNotNull()).groupBy("subject_id", S.micros("anchor_ts").alias("at"))
-    starts = starts.agg(F.count("*").cast("double").alias("stays"))
+    starts = stays.where(F.col("anchor_ts").isNotNull()).select("subject_id", S.micros("anchor_ts").alias("at"))
     timed = records.where(F.col("coded_ts").isNotNull()).select("subject_id", S.micros("coded_ts").alias("at"), "code", "n")
-    relevant = timed.join(starts.select("subject_id"), "subject_id", "left_semi")
-    line = starts.select("subject_id", "at", "stays").unionByName(
-        relevant.select("subject_id", "at", F.lit(0.0).alias("stays"))
+    line = starts.withColumn("stays", F.lit(1.0)).unionByName(
+        timed.select("subject_id", "at", F.lit(0.0).alias("stays"))
     )
     line, biggest = sized(line.groupBy("subject_id", "at").agg(F.sum("stays").alias("stays")), ["subject_id"], "line")
     counted = running(line, "at", ["subject_id"], sums=["stays"], ticks=F.col("at"), biggest=biggest)
     later = with_total(counted, line, "stays", ["subject_id"]).select(
         "subject_id", "at", (F.col("_total") - F.col("run_stays")).alias("later")
     )
-    pairs = relevant.join(later, ["subject_id", "at"]).where("later > 0")
+    pairs = timed.join(later.where("later > 0"), ["subject_id", "at"])
     return pairs.groupBy("code").agg(F.sum(F.col("n") * F.col("later")).cast("bigint").alias("n"))
 
 

@@ -56,7 +56,7 @@ def stay_codes(
     """
     stays = cohort.select("stay_id", "subject_id", "hadm_id", "split", F.col("intime").alias("anchor_ts"))
     fit = common.train_of(stays) if params.codes.fit_on == "train" else stays
-    coded = diagnoses.withColumnRenamed("icd_code", "code")
+    coded = E.members(diagnoses.withColumnRenamed("icd_code", "code"), stays, "subject_id")
     if params.codes.mode == "history":
         times = admissions.select("hadm_id", F.col("admittime").alias("coded_ts"))
         records = session.barrier(K.code_records(coded.join(times, "hadm_id")), "code_records")
