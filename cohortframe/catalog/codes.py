@@ -67,8 +67,9 @@ def code_counts(t: Tables):
         F.col("user_id").alias("subject_id"), F.get_json_object("props", "$.k").alias("code")
     )
     stays = t.code_stays.select("stay_id", "subject_id")
-    vocab = session.bounded(K.top_codes(K.code_counts(coded), 20))
-    cells = K.subject_code_cells(stays, coded, vocab)
+    counts = session.barrier(K.subject_counts(coded), "subject_counts")
+    vocab = session.bounded(K.top_codes(K.total_counts(counts), 20))
+    cells = K.subject_code_cells(stays, counts, vocab)
     rows = K.vector_per_stay(stays.select("stay_id"), cells, vocab.count(), "n")
     return rows.select("stay_id", F.array_join(F.transform("n", lambda v: v.cast("int").cast("string")), ",").alias("counts"))
 

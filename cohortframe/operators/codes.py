@@ -76,11 +76,21 @@ def code_cells(stay_codes: DataFrame, vocabulary: DataFrame, value: str = "binar
     return counted if value == "count" else counted.withColumn("value", F.lit(1.0))
 
 
-def subject_code_cells(stays: DataFrame, coded: DataFrame, vocabulary: DataFrame, value: str = "count") -> DataFrame:
-    """Patient-level code counts given to each stay of the patient."""
-    placed = coded.join(F.broadcast(vocabulary.select("code", F.col("code_idx").alias("pos"))), "code")
-    counted = placed.groupBy("subject_id", "pos").agg(F.count("*").cast("double").alias("value"))
-    cells = stays.select("stay_id", "subject_id").join(counted, "subject_id").select("stay_id", "pos", "value")
+def subject_counts(coded: DataFrame) -> DataFrame:
+    """``(subject_id, code, n)``: rows per patient and code."""
+    return coded.groupBy("subject_id", "code").agg(F.count("*").alias("n"))
+
+
+def total_counts(counts: DataFrame) -> DataFrame:
+    """``(code, n)`` from counts per patient."""
+    return counts.groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def subject_code_cells(stays: DataFrame, counts: DataFrame, vocabulary: DataFrame, value: str = "count") -> DataFrame:
+    """``subject_counts`` of the vocabulary given to each stay of the patient: ``(stay_id, pos, value)``."""
+    slots = F.broadcast(vocabulary.select("code", F.col("code_idx").alias("pos")))
+    placed = counts.join(slots, "code").select("subject_id", "pos", F.col("n").cast("double").alias("value"))
+    cells = stays.select("stay_id", "subject_id").join(placed, "subject_id").select("stay_id", "pos", "value")
     return cells if value == "count" else cells.withColumn("value", F.lit(1.0))
 
 

@@ -65,11 +65,11 @@ def stay_codes(
     cohort: DataFrame, visits: DataFrame, pmh: DataFrame, params: Preparation
 ) -> tuple[DataFrame, DataFrame]:
     """Patient-level codes given to each visit. The vocabulary counts rows of all valid patients, or of train ones."""
-    coded = C.canonical(pmh, {"MRN": "subject_id", "Code": "code"})
-    fit = common.train_of(cohort) if params.codes.fit_on == "train" else visits
-    counts = K.code_counts(E.members(coded, fit, "subject_id"))
-    vocab = session.bounded(K.top_codes(counts, params.codes.top_n))
-    cells = K.subject_code_cells(cohort, coded, vocab, params.codes.value)
+    coded = E.members(C.canonical(pmh, {"MRN": "subject_id", "Code": "code"}), visits, "subject_id")
+    counts = session.barrier(K.subject_counts(coded), "subject_counts")
+    fit = E.members(counts, common.train_of(cohort), "subject_id") if params.codes.fit_on == "train" else counts
+    vocab = session.bounded(K.top_codes(K.total_counts(fit), params.codes.top_n))
+    cells = K.subject_code_cells(cohort, counts, vocab, params.codes.value)
     return vocab.withColumn("feature", F.concat(F.lit(params.codes.prefix), F.col("code"))), cells
 
 

@@ -168,8 +168,9 @@ def test_top_codes_break_ties_by_code(frame):
 def test_code_vectors(frame):
     cohort = frame("stay_id int, subject_id int", [(1, 1), (2, 1), (3, 2)])
     coded = frame("subject_id int, code string", [(1, "a"), (1, "a"), (1, "b"), (9, "b")])
-    vocab = K.top_codes(K.code_counts(coded), 5)
-    cells = K.subject_code_cells(cohort, coded, vocab)
+    counts = K.subject_counts(coded)
+    vocab = K.top_codes(K.total_counts(counts), 5)
+    cells = K.subject_code_cells(cohort, counts, vocab)
     got = {r.stay_id: r.n for r in K.vector_per_stay(cohort, cells, 2, "n").collect()}
     assert got == {1: [2.0, 1.0], 2: [2.0, 1.0], 3: [0.0, 0.0]}
 
