@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -27,15 +26,14 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a local run without one gets its own."""
+    """The folder for hand-over tables: ``spark.checkpoint.dir``, else one inside the warehouse, which is shared as well."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="cohortframe-")
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    return f"{warehouse.rstrip('/')}/_handover"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -74,11 +72,9 @@ def bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
 
 
 def small(df: DataFrame, max_rows: int = 100_000, name: str = "small") -> DataFrame:
-    """Evaluate ``df`` once and mark it for broadcast if it really has at most ``max_rows`` rows.
+    """Write ``df`` once and mark it for broadcast if it really has at most ``max_rows`` rows.
 
-    A larger table is written instead and left unmarked, so the join is a shuffle join, where AQE splits hot keys.
+    A larger table is left unmarked, so the join is a shuffle join, where AQE splits hot keys.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return barrier(df, name)
-    return F.broadcast(literal_table(df.sparkSession, rows, df.schema))
+    written = barrier(df, name)
+    return F.broadcast(written) if written.count() <= max_rows else written
