@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortframe.llm.base import query, read, words
+from cohortframe.llm.base import query, read, text_mark, words
 from cohortframe.session import barrier
 
 WEIGHTS = (5, 2, 1)
@@ -62,11 +62,14 @@ def _digits(level: int) -> Column:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
-    """One row per document: id, size, source, source_size, target, taken (size times the passes it is taken in)."""
+    """One row per document: id, size, source, source_size, target, taken (size times the passes), passes, mark.
+
+    ``mark`` tells rows with one id and different texts apart.
+    """
     sized = barrier(
         docs.select(
             F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.size(words(text_col)).cast("bigint").alias("size"),
-            number(id_col, text_col).alias("u"),
+            number(id_col, text_col).alias("u"), text_mark(text_col).alias("mark"),
         ),
         "sizes",
     )
@@ -104,7 +107,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     plan = per_source.withColumnRenamed("source", "t").join(limit, F.col("t").eqNullSafe(F.col("s"))).drop("s")
     once = F.col("passes") + F.when((F.col("u") < F.col("limit")) & (F.col("passes") < 2), 1).otherwise(0)
     return sized.join(plan, F.col("source").eqNullSafe(F.col("t"))).select(
-        F.col("id").alias(id_col), "size", "source", "source_size", "target", (F.col("size") * once).alias("taken"), once.alias("passes")
+        F.col("id").alias(id_col), "size", "source", "source_size", "target", (F.col("size") * once).alias("taken"), once.alias("passes"), "mark"
     )
 
 
@@ -132,4 +135,4 @@ SQL = r"""WITH d AS (
 @query("op2_mixing", SQL)
 def op2_mixing(spark, sf_dir):
     """All documents; 150 % of all words, weights 5, 2, 1 by source, at most two passes."""
-    return mix(read(spark, sf_dir, "documents"))
+    return mix(read(spark, sf_dir, "documents")).drop("mark")

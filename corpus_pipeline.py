@@ -1,24 +1,74 @@
-"""From raw documents to training sequences: the stages of the corpus pipeline, each written before the next reads it."""
+"""From raw documents to training sequences.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet and reread as the next
+stage's documents. All but the last return the columns of their input. Documents are told apart by id and text, so
+repeated ids are no problem; rows equal in both share every decision.
+
+* ``language``: documents in no language (no text, no letters) go.
+* ``lines``: boilerplate lines go, but for their first occurrence; so do documents that lose all their words by it.
+* ``near-dedup``: the first document of each group of near copies stays.
+* ``mixing``: each source is brought to its target; a document that is taken twice is two rows.
+* ``packing``: documents become pieces of training sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortframe import session
-from cohortframe.llm import mixing, near_dedup, packing
+from cohortframe.llm import language_id, line_dedup, mixing, near_dedup, packing
+from cohortframe.llm.base import SPACES, text_mark
+
+
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = language_id.language_id(docs, language_id.learn(docs))
+    out = found.where("lang_pred = 'und'").select(F.col("doc_id").alias("_id"), text_mark("text").alias("_mark")).distinct()
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_mark"))
+    return docs.withColumn("_m", text_mark("text")).join(out, on, "left_anti").drop("_m")
+
+
+def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.line_dedup(docs).where("n_removed > 0").dropDuplicates(["doc_id", "mark"])
+    cleaned = cleaned.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("text").alias("_text"))
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_mark"))
+    joined = docs.withColumn("_m", text_mark("text")).join(cleaned, on, "left")
+    joined = joined.where(F.col("_mark").isNull() | (F.btrim("_text", F.lit(SPACES)) != ""))
+    changed = {"text": F.when(F.col("_mark").isNull(), F.col("text")).otherwise(F.col("_text"))}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("_mark").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast(docs.schema["n_chars"].dataType))
+    return joined.withColumns(changed).select(docs.columns)
+
+
+def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    stay = near_dedup.near_dedup(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    passes = mixing.mix(docs).where("passes > 0").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "source", F.col("passes").alias("_passes"))
+    passes = passes.withColumnRenamed("source", "_source").distinct()
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_mark")) & F.col("source").eqNullSafe(F.col("_source"))
+    taken = docs.withColumn("_m", text_mark("text")).join(passes, on)
+    return taken.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_passes")))).select(docs.columns)
 
 
-def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays; documents without words have no copies and stay."""
-    found = near_dedup.near_dedup(docs)
-    return docs.join(found.where("kept").select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, packing.public_tokenizer())
 
 
-STAGES = [("near-dedup", deduplicate)]
+STAGES = [
+    ("language", identify_languages),
+    ("lines", deduplicate_lines),
+    ("near-dedup", remove_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+#: Language proportions and merges by EM and similarity have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of training sequences that come out of ``documents``."""
     session.tune(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
