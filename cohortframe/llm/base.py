@@ -52,3 +52,14 @@ def text_mark(text: str | Column) -> Column:
 def rows_per_group(rows: int, per_group: int) -> int:
     """How many groups of about ``per_group`` rows hold ``rows`` rows; at least one."""
     return max(1, -(-rows // per_group))
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, lengthened where a column is already called so (in any case)."""
+    have, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        have.add(name.lower())
+        out.append(name)
+    return out

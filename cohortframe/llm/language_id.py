@@ -39,24 +39,21 @@ def _is_letter() -> np.ndarray:
 
 def trigrams(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Text number and bucket of each trigram of letters, with one space around and between runs of letters."""
-    joined = "\x00".join(t.lower().replace("\x00", " ") for t in texts)
+    joined = "\x00".join(["", *(t.lower().replace("\x00", " ") for t in texts), ""])
     c = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     end = c == 0
-    owner = np.cumsum(end)
+    owner = np.cumsum(end) - 1
     letter = _is_letter()[c]
-    # Of a run without letters one place stays, and the text ends.
+    # Of a run without letters one place stays, and the ends of the texts.
     keep = letter.copy()
     keep[1:] |= letter[:-1] | end[:-1]
     keep |= end
-    if len(keep):
-        keep[0] = True
     c, owner, letter = np.where(letter, c, 32)[keep].astype(np.uint64), owner[keep], letter[keep]
     if len(c) < 3:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     x = (c[:-2] * np.uint64(0x9E3779B97F4A7C15)) ^ (c[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (c[2:] * np.uint64(0xD6E8FEB86659FD93))
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
     ok = letter[1:-1]  # a trigram has a letter in the middle
-    # The separator before a text belongs to the text before it; it serves as the space in front.
     return owner[1:-1][ok], (x >> np.uint64(64 - bits)).astype(np.int64)[ok]
 
 

@@ -17,39 +17,51 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortframe import session
 from cohortframe.llm import language_id, line_dedup, mixing, near_dedup, packing
-from cohortframe.llm.base import SPACES, text_mark
+from cohortframe.llm.base import SPACES, text_mark, unused
+
+
+def _decided(docs: DataFrame, decided: DataFrame, how: str, **also: str) -> DataFrame:
+    """``docs`` joined with ``decided`` (its first columns id and text mark) under names of its own; ``also``: more keys."""
+    at, = unused(docs.columns, "at")
+    mine = [F.col("doc_id"), F.col(at), *map(F.col, also)]
+    theirs = [F.col(c) for c in decided.columns[: len(mine)]]
+    on = theirs[0].eqNullSafe(mine[0])
+    for a, b in zip(mine[1:], theirs[1:]):
+        on = on & a.eqNullSafe(b)
+    return docs.withColumn(at, text_mark("text")).join(decided, on, how).drop(at)
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = language_id.language_id(docs, language_id.learn(docs))
-    out = found.where("lang_pred = 'und'").select(F.col("doc_id").alias("_id"), text_mark("text").alias("_mark")).distinct()
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_mark"))
-    return docs.withColumn("_m", text_mark("text")).join(out, on, "left_anti").drop("_m")
+    i, m = unused([*docs.columns, "at"], "i", "m")
+    return _decided(docs, found.where("lang_pred = 'und'").select(F.col("doc_id").alias(i), text_mark("text").alias(m)).distinct(), "left_anti")
 
 
 def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    i, m, t = unused([*docs.columns, "at"], "i", "m", "t")
     cleaned = line_dedup.line_dedup(docs).where("n_removed > 0").dropDuplicates(["doc_id", "mark"])
-    cleaned = cleaned.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("text").alias("_text"))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_mark"))
-    joined = docs.withColumn("_m", text_mark("text")).join(cleaned, on, "left")
-    joined = joined.where(F.col("_mark").isNull() | (F.btrim("_text", F.lit(SPACES)) != ""))
-    changed = {"text": F.when(F.col("_mark").isNull(), F.col("text")).otherwise(F.col("_text"))}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_mark").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast(docs.schema["n_chars"].dataType))
-    return joined.withColumns(changed).select(docs.columns)
+    joined = _decided(docs, cleaned.select(F.col("doc_id").alias(i), F.col("mark").alias(m), F.col("text").alias(t)), "left")
+    same = F.col(m).isNull()
+    joined = joined.where(same | (F.btrim(t, F.lit(SPACES)) != ""))
+    new = {"text": F.col(t), "n_chars": F.length(t)}
+    return joined.select(
+        *[F.when(same, F.col(c)).otherwise(new[c].cast(docs.schema[c].dataType)).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns]
+    )
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    stay = near_dedup.near_dedup(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    i, = unused(docs.columns, "i")
+    stay = near_dedup.near_dedup(docs).where("kept").select(F.col("doc_id").alias(i)).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col(i)), "left_semi")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    passes = mixing.mix(docs).where("passes > 0").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "source", F.col("passes").alias("_passes"))
-    passes = passes.withColumnRenamed("source", "_source").distinct()
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_mark")) & F.col("source").eqNullSafe(F.col("_source"))
-    taken = docs.withColumn("_m", text_mark("text")).join(passes, on)
-    return taken.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_passes")))).select(docs.columns)
+    i, m, s, n, k = unused([*docs.columns, "at"], "i", "m", "s", "n", "k")
+    passes = mixing.mix(docs).where("passes > 0").select(
+        F.col("doc_id").alias(i), F.col("mark").alias(m), F.col("source").alias(s), F.col("passes").alias(n)
+    )
+    taken = _decided(docs, passes.distinct(), "inner", source=s)
+    return taken.withColumn(k, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(n)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
