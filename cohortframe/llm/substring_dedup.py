@@ -9,7 +9,7 @@ Hot passages: a task first counts the windows of its own chunk of documents. Onl
 chunk travel; the others are flagged at once. So a passage costs a bucket at most one window for each chunk, however many
 documents hold it. The strings of a chunk for one bucket are compressed together.
 
-Windows are compared by their words: the sort runs on 64 bits, and equal bits count only if all words are equal.
+Windows are sorted by 64 bits, and equal bits count only if the words themselves are equal.
 
 Null and short texts have no windows and lose nothing. Rows with one id do not count as each other's copies; rows equal
 in id and text are treated alike. A null id counts as larger than any other. An empty table gives an empty result.
@@ -17,24 +17,25 @@ in id and text are treated alike. A null id counts as larger than any other. An
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from cohortframe.llm.base import query, read, rows_per_group, text_mark
 
 WIDTH, CORE = 13, 2
-#: Words of documents that a task holds at once, and bytes of text that one bucket stands for.
-CHUNK_WORDS, BUCKET_BYTES = 1_500_000, 4_000_000
+#: Text that a task holds at once, and text that one bucket stands for.
+CHUNK_BYTES, BUCKET_BYTES = 8_000_000, 4_000_000
 NO_ID = 2**63 - 1
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Parts strings in a pack; no byte of a text has this value.
+PART = 0xFF
+_BASE = 0x9E3779B97F4A7C15
 
 SENT = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("words", pa.binary())])
-FLAGS = pa.schema([("key", pa.int64()), ("mark", pa.int64()), ("starts", pa.binary())])
+FLAGS = pa.schema([("key", pa.int64()), ("mark", pa.int64()), ("runs", pa.binary())])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -43,44 +44,68 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class Ids(dict):
-    """Numbers words as they come; ``hashes`` has 64 bits of each."""
-
-    def __init__(self):
-        self.hashes: list[int] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self.hashes)
-        self.hashes.append(xxhash.xxh3_64_intdigest(word))
-        return n
+def _words(raw: np.ndarray, bounds: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and 64 bits of each word of a run of bytes; ``bounds`` are places where texts begin."""
+    solid = (raw != 32) & ((raw < 9) | (raw > 13)) & (raw != PART)
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    if bounds is not None:
+        begins[bounds] |= solid[bounds]
+    starts = np.flatnonzero(begins)
+    if not len(starts):
+        return starts, starts, np.empty(0, np.uint64)
+    # A word ends before white space, or where the next text begins.
+    span = np.diff(starts, append=len(raw))
+    size = np.add.reduceat(solid, starts, dtype=np.int64)
+    place = np.arange(starts[0], len(raw), dtype=np.int64) - np.repeat(starts, span)
+    factor = _mix(np.arange(1, int(span.max()) + 1, dtype=np.uint64)) | np.uint64(1)
+    value = (raw[starts[0] :].astype(np.uint64) + np.uint64(1)) * factor[place]
+    value[~solid[starts[0] :]] = 0
+    return starts, starts + size, _mix(np.add.reduceat(value, starts - starts[0]))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2**64, and those of its inverse."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 2**64)):
+        p = np.full(n, np.uint64(base))
+        p[:1] = 1
+        out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
 
 
 def _window_hashes(h: np.ndarray, width: int) -> np.ndarray:
-    """64 bits of each run of ``width`` word hashes (of the whole array; runs over document ends are masked later)."""
+    """64 bits of each run of ``width`` words (also of those that cross texts, which are left out later)."""
     n = len(h) - width + 1
-    out = np.zeros(max(n, 0), np.uint64)
-    for i in range(width if n > 0 else 0):
-        out = (out ^ h[i : i + n]) * _ODD
-        out ^= out >> np.uint64(29)
-    return _mix(out)
-
-
-def _groups(ids: np.ndarray, starts: np.ndarray, hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """An order of the windows, and in that order the number of the group of equal windows."""
-    order = np.argsort(hashes, kind="stable")
-    s, sorted_hashes = starts[order], hashes[order]
-    new = np.ones(len(s), bool)
-    new[1:] = sorted_hashes[1:] != sorted_hashes[:-1]
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    up, down = _powers(len(h))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up, dtype=np.uint64)])
+    return _mix((total[width:] - total[:-width]) * down[:n])
+
+
+def _groups(raw: bytes, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the windows (bytes from begin to end), and in that order the number of the group of equal windows."""
+    order = np.argsort(hashes)
+    in_order = hashes[order]
+    new = np.ones(len(order), bool)
+    new[1:] = in_order[1:] != in_order[:-1]
     same = np.flatnonzero(~new)
     if len(same):
-        differs = np.zeros(len(same), bool)
-        for i in range(width):
-            differs |= ids[s[same] + i] != ids[s[same - 1] + i]
-        if differs.any():  # equal bits of different windows: sort by the words themselves
-            wide = np.stack([ids[starts + i] for i in range(width)])
-            order = np.lexsort(wide)
-            wide = wide[:, order]
-            new = np.concatenate([[True], (wide[:, 1:] != wide[:, :-1]).any(0)])
+        view = memoryview(raw)
+        a0, a1 = begin[order[same]].tolist(), end[order[same]].tolist()
+        b0, b1 = begin[order[same - 1]].tolist(), end[order[same - 1]].tolist()
+        # White space inside may differ where the bytes do.
+        differ = [
+            k for k, (p, q, r, s) in enumerate(zip(a0, a1, b0, b1))
+            if view[p:q] != view[r:s] and raw[p:q].split() != raw[r:s].split()
+        ]
+        if differ:  # equal bits of different windows: sort those by their words
+            mixed = np.unique(in_order[same[differ]])
+            at = np.flatnonzero(np.isin(in_order, mixed))
+            text = {int(i): (int(hashes[i]), raw[begin[i] : end[i]].split()) for i in order[at]}
+            order[at] = sorted(order[at].tolist(), key=text.__getitem__)
+            new[at] = [k == 0 or order[k - 1] not in text or text[int(order[k - 1])] != text[int(order[k])] for k in at.tolist()]
     return order, np.cumsum(new) - 1
 
 
@@ -92,108 +117,144 @@ def _later(group: np.ndarray, key: np.ndarray) -> np.ndarray:
     return key > least[group]
 
 
-def _flag_batch(keys: list, marks: list, starts: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int64()), pa.array(marks, pa.int64()), pa.array(starts, pa.binary())], schema=FLAGS
-    )
-
-
-def _send(chunk: list[tuple[int, int, list[bytes]]], buckets: int, width: int, core: int) -> Iterator[pa.RecordBatch]:
-    """Super-k-mers of one chunk by bucket, and the flags that the chunk settles itself (bucket -1)."""
-    known = Ids()
-    number = known.__getitem__
-    ids = np.concatenate([np.fromiter(map(number, w), np.int32, len(w)) for _, _, w in chunk])
-    sizes = np.array([len(w) for _, _, w in chunk])
-    owner = np.repeat(np.arange(len(chunk)), sizes)
-    first = np.cumsum(sizes) - sizes
-    h = np.array(known.hashes, np.uint64)[ids]
-    if len(ids) < width:
-        return
-    n = len(ids) - width + 1
-    starts = np.flatnonzero(owner[:n] == owner[width - 1 :])
-    if not len(starts):
-        return
-    key = np.array([k for k, _, _ in chunk], np.int64)[owner]
-    hashes = _window_hashes(h, width)[starts]
-    order, group = _groups(ids, starts, hashes, width)
-    later = np.zeros(len(starts), bool)
-    later[order] = _later(group, key[starts[order]])
-    gone = starts[later]
-    if len(gone):
-        docs = owner[gone]
-        cuts = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1], [True]]))
-        rows = [
-            (np.array([chunk[docs[a]][0], chunk[docs[a]][1]], np.int64).tobytes(), (gone[a:b] - first[docs[a]]).astype(np.int32).tobytes())
-            for a, b in zip(cuts, cuts[1:])
-        ]
+def _runs(key: np.ndarray, mark: np.ndarray, where: np.ndarray) -> tuple[list, list, list]:
+    """Flags of each document as runs (first window, number of windows); sorted by document and place."""
+    by = np.lexsort((where, mark, key))
+    key, mark, where = key[by], mark[by], where[by]
+    other = np.concatenate([[True], (np.diff(key) != 0) | (np.diff(mark) != 0)])
+    fresh = np.flatnonzero(other | np.concatenate([[True], np.diff(where) != 1]))
+    runs = np.stack([where[fresh], np.diff(fresh, append=len(where))], 1).astype(np.int32)
+    cuts = np.append(np.flatnonzero(other[fresh]), len(fresh))
+    first = fresh[cuts[:-1]]
+    return key[first].tolist(), mark[first].tolist(), [runs[a:b].tobytes() for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+
+
+def _pack_info(info: np.ndarray) -> bytes:
+    """Columns one after another; ids as differences, which are small."""
+    out = info.copy()
+    out[1:, 0] = np.diff(info[:, 0])
+    return np.ascontiguousarray(out.T).view(np.uint8).reshape(4, -1, 8).transpose(0, 2, 1).tobytes()
+
+
+def _unpack_info(data: bytes) -> np.ndarray:
+    out = np.frombuffer(data, np.uint8).reshape(4, 8, -1).transpose(0, 2, 1)
+    out = np.ascontiguousarray(out).view(np.int64).reshape(4, -1).T.copy()
+    out[:, 0] = np.cumsum(out[:, 0])
+    return out
+
+
+class Sender:
+    """Super-k-mers of chunks of documents by bucket, and the flags that a chunk settles itself (negative buckets)."""
+
+    def __init__(self, buckets: int, width: int, core: int):
+        import zstandard
+
+        self.buckets, self.width, self.core = buckets, width, core
+        self.press = zstandard.ZstdCompressor(level=3).compress
+
+    def send(self, key: np.ndarray, mark: np.ndarray, column: pa.Array) -> Iterator[pa.RecordBatch]:
+        width, buckets = self.width, self.buckets
+        column = pc.fill_null(column.cast(pa.large_string()), "")
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        if offsets[0] == offsets[-1]:
+            return
+        raw = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        begin, end, h = _words(raw, offsets[:-1][np.diff(offsets) > 0])
+        n = len(h) - width + 1
+        if n <= 0:
+            return
+        owner = np.searchsorted(offsets, begin, "right") - 1
+        first = np.searchsorted(begin, offsets[:-1])
+        starts = np.flatnonzero(owner[:n] == owner[width - 1 :])
+        if not len(starts):
+            return
+        data = raw.tobytes()
+        hashes = _window_hashes(h, width)[starts]
+        order, group = _groups(data, begin[starts], end[starts + width - 1], hashes)
+        later = np.zeros(len(starts), bool)
+        later[order] = _later(group, key[owner[starts[order]]])
+        gone = starts[later]
+        if len(gone):
+            docs = owner[gone]
+            keys, marks, runs = _runs(key[docs], mark[docs], gone - first[docs])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([-1 - (k + m) % buckets for k, m in zip(keys, marks)], pa.int32()),
+                    pa.array([np.array(x, np.int64).tobytes() for x in zip(keys, marks)], pa.binary()), pa.array(runs, pa.binary()),
+                ],
+                schema=SENT,
+            )
+        stay = starts[~later]
+        if not len(stay):
+            return
+        # The minimiser: the smallest 64 bits of `core` neighbouring words of the window, by doubling steps.
+        least = _window_hashes(h, self.core)
+        have, want = 1, width - self.core + 1
+        while have < want:
+            step = min(have, want - have)
+            least = np.minimum(least[: len(least) - step], least[step:])
+            have += step
+        least = least[stay]
+        # A super-k-mer: neighbouring windows of one document with the same minimiser.
+        cuts = np.flatnonzero(np.concatenate([[True], (np.diff(stay) != 1) | (least[1:] != least[:-1]) | (np.diff(owner[stay]) != 0), [True]]))
+        word, count = stay[cuts[:-1]], np.diff(cuts)
+        bucket = (least[cuts[:-1]] % np.uint64(buckets)).astype(np.int32)
+        by = np.argsort(bucket, kind="stable")
+        bucket, word, count = bucket[by], word[by], count[by]
+        info = np.stack([key[owner[word]], mark[owner[word]], word - first[owner[word]], count], 1)
+        text = [data[a:b] for a, b in zip(begin[word].tolist(), end[word + count + width - 2].tolist())]
+        ends = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0, [True]])).tolist()
+        press, part = self.press, bytes([PART])
         yield pa.RecordBatch.from_arrays(
-            [pa.array([-1 - (i % buckets) for i in range(len(rows))], pa.int32()), pa.array([a for a, _ in rows]), pa.array([b for _, b in rows])],
+            [
+                pa.array(bucket[ends[:-1]], pa.int32()),
+                pa.array([press(_pack_info(info[a:b])) for a, b in zip(ends, ends[1:])], pa.binary()),
+                pa.array([press(part.join(text[a:b])) for a, b in zip(ends, ends[1:])], pa.binary()),
+            ],
             schema=SENT,
         )
-    stay = starts[~later]
-    if not len(stay):
-        return
-    # The minimiser of a window: the smallest hash of `core` neighbouring words, the leftmost of equals.
-    grams = _window_hashes(h, core)
-    at, best = np.zeros(n, np.int64), grams[:n].copy()
-    for i in range(1, width - core + 1):
-        less = grams[i : i + n] < best
-        best[less] = grams[i : i + n][less]
-        at[less] = i
-    where = stay + at[stay]
-    # A super-k-mer: neighbouring windows of one document with the same minimiser at the same place.
-    breaks = np.concatenate([[True], (np.diff(stay) != 1) | (np.diff(where) != 0) | (np.diff(owner[stay]) != 0), [True]])
-    cuts = np.flatnonzero(breaks)
-    begin, count = stay[cuts[:-1]], np.diff(cuts)
-    bucket = (best[begin] % np.uint64(buckets)).astype(np.int32)
-    by = np.argsort(bucket, kind="stable")
-    all_words = [w for _, _, ws in chunk for w in ws]
-    info = np.stack([key[begin], np.array([m for _, m, _ in chunk], np.int64)[owner[begin]], begin - first[owner[begin]], count], 1)
-    ends = np.flatnonzero(np.concatenate([[True], np.diff(bucket[by]) != 0, [True]]))
-    out: list[tuple] = []
-    for a, b in zip(ends, ends[1:]):
-        mine = by[a:b]
-        packed = b"\n".join(b" ".join(all_words[i : i + c + width - 1]) for i, c in zip(begin[mine].tolist(), count[mine].tolist()))
-        out.append((bucket[mine[0]], zlib.compress(info[mine].tobytes(), 1), zlib.compress(packed, 1)))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out]), pa.array([x[2] for x in out])], schema=SENT
-    )
 
 
 def _judge(parts: list[tuple[bytes, bytes]], width: int) -> pa.RecordBatch | None:
-    """The flags of one bucket."""
-    known = Ids()
-    number = known.__getitem__
-    infos, arrays = [], []
-    for docs, packed in parts:
-        infos.append(np.frombuffer(zlib.decompress(docs), np.int64).reshape(-1, 4))
-        tokens = zlib.decompress(packed).split()
-        arrays.append(np.fromiter(map(number, tokens), np.int32, len(tokens)))
-    info, ids = np.concatenate(infos), np.concatenate(arrays)
+    """The flags of one bucket. A chunk sends all it has for a bucket at once and has settled its own windows."""
+    import zstandard
+
     if len(parts) < 2:
-        return None  # one chunk, which has settled its own windows
-    sizes = info[:, 3] + width - 1
-    first = np.cumsum(sizes) - sizes
+        return None
+    unpress = zstandard.ZstdDecompressor().decompress
+    info = np.concatenate([_unpack_info(unpress(a)) for a, _ in parts])
+    data = bytes([PART]).join(unpress(b) for _, b in parts)
+    begin, end, h = _words(np.frombuffer(data, np.uint8))
     counts = info[:, 3]
+    sizes = counts + width - 1
+    first = np.cumsum(sizes) - sizes
     nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     source = np.repeat(np.arange(len(info)), counts)
     starts = first[source] + nth
-    hashes = _window_hashes(np.array(known.hashes, np.uint64)[ids], width)[starts]
-    order, group = _groups(ids, starts, hashes, width)
+    order, group = _groups(data, begin[starts], end[starts + width - 1], _window_hashes(h, width)[starts])
     later = _later(group, info[source[order], 0])
     gone = order[later]
     if not len(gone):
         return None
-    who, where = source[gone], (info[source[gone], 2] + nth[gone]).astype(np.int32)
-    by = np.lexsort((info[who, 1], info[who, 0]))
-    key, mark, where = info[who[by], 0], info[who[by], 1], where[by]
-    cuts = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(mark) != 0), [True]]))
-    return _flag_batch(key[cuts[:-1]], mark[cuts[:-1]], [where[a:b].tobytes() for a, b in zip(cuts, cuts[1:])])
+    who = source[gone]
+    keys, marks, runs = _runs(info[who, 0], info[who, 1], info[who, 2] + nth[gone])
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(marks, pa.int64()), pa.array(runs, pa.binary())], schema=FLAGS)
+
+
+def _slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` bytes of text (column 2), one row at least."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most)))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def substring_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, core: int = CORE,
-    buckets: int | None = None, chunk_words: int = CHUNK_WORDS,
+    buckets: int | None = None, chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_text.
 
@@ -208,18 +269,10 @@ def substring_dedup(
         buckets = rows_per_group(size, BUCKET_BYTES)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, held = [], 0
+        sender = Sender(buckets, width, core)
         for batch in batches:
-            for key, mark, text in zip(*(batch.column(i) for i in range(3))):
-                words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
-                if len(words) >= width:
-                    chunk.append((key.as_py(), mark.as_py(), words))
-                    held += len(words)
-                if held >= chunk_words:
-                    yield from _send(chunk, buckets, width, core)
-                    chunk, held = [], 0
-        if chunk:
-            yield from _send(chunk, buckets, width, core)
+            for part in _slices(batch, chunk_bytes):
+                yield from sender.send(*(part.column(i).to_numpy() for i in range(2)), part.column(2))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, []
@@ -227,7 +280,7 @@ def substring_dedup(
             for bucket, a, b in zip(*(x.to_pylist() for x in batch.columns)):
                 if bucket < 0:  # settled before
                     key, mark = np.frombuffer(a, np.int64)
-                    yield _flag_batch([key], [mark], [b])
+                    yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([mark], pa.int64()), pa.array([b], pa.binary())], schema=FLAGS)
                     continue
                 if bucket != now and parts:
                     flags = _judge(parts, width)
@@ -248,10 +301,10 @@ def substring_dedup(
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 n_words.append(len(words))
                 if flags:
-                    starts = np.unique(np.frombuffer(b"".join(flags), np.int32))
+                    runs = np.frombuffer(b"".join(flags), np.int32).reshape(-1, 2)
                     edge = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(edge, starts, 1)
-                    np.add.at(edge, starts + width, -1)
+                    np.add.at(edge, runs[:, 0], 1)
+                    np.add.at(edge, runs[:, 0] + runs[:, 1] + width - 1, -1)
                     stays = np.cumsum(edge[:-1]) == 0
                     words = [w for w, s in zip(words, stays.tolist()) if s]
                 n_gone.append(n_words[-1] - len(words))
@@ -263,8 +316,8 @@ def substring_dedup(
 
     sent = rows.select("key", "mark", "text").mapInArrow(send, "bucket int, docs binary, words binary")
     dealt = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    flags = dealt.mapInArrow(judge, "key bigint, mark bigint, starts binary")
-    flags = flags.groupBy("key", "mark").agg(F.collect_list("starts").alias("flags"))
+    flags = dealt.mapInArrow(judge, "key bigint, mark bigint, runs binary")
+    flags = flags.groupBy("key", "mark").agg(F.collect_list("runs").alias("flags"))
     id_type = docs.schema[id_col].dataType.simpleString()
     return (
         rows.join(flags, ["key", "mark"], "left")
