@@ -30,6 +30,7 @@ WIDTH, CORE = 13, 2
 #: Text that a task holds at once, and text that one bucket stands for.
 CHUNK_BYTES, BUCKET_BYTES = 8_000_000, 4_000_000
 NO_ID = 2**63 - 1
+BLOCK_WORDS = 100_000
 #: Parts strings in a pack; no byte of a text has this value.
 PART = 0xFF
 _BASE = 0x9E3779B97F4A7C15
@@ -57,11 +58,17 @@ def _words(raw: np.ndarray, bounds: np.ndarray | None = None) -> tuple[np.ndarra
     # A word ends before white space, or where the next text begins.
     span = np.diff(starts, append=len(raw))
     size = np.add.reduceat(solid, starts, dtype=np.int64)
-    place = np.arange(starts[0], len(raw), dtype=np.int64) - np.repeat(starts, span)
     factor = _mix(np.arange(1, int(span.max()) + 1, dtype=np.uint64)) | np.uint64(1)
-    value = (raw[starts[0] :].astype(np.uint64) + np.uint64(1)) * factor[place]
-    value[~solid[starts[0] :]] = 0
-    return starts, starts + size, _mix(np.add.reduceat(value, starts - starts[0]))
+    hashes = np.empty(len(starts), np.uint64)
+    for a in range(0, len(starts), BLOCK_WORDS):  # by blocks, since this takes many bytes for each byte of text
+        b = min(a + BLOCK_WORDS, len(starts))
+        low, high = starts[a], starts[b - 1] + span[b - 1]
+        value = raw[low:high].astype(np.uint64)
+        value += np.uint64(1)
+        value *= factor[np.arange(high - low) - np.repeat(starts[a:b] - low, span[a:b])]
+        value *= solid[low:high]
+        hashes[a:b] = np.add.reduceat(value, starts[a:b] - low)
+    return starts, starts + size, _mix(hashes)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +157,7 @@ class Sender:
         import zstandard
 
         self.buckets, self.width, self.core = buckets, width, core
-        self.press = zstandard.ZstdCompressor(level=3).compress
+        self.press = zstandard.ZstdCompressor(level=7).compress
 
     def send(self, key: np.ndarray, mark: np.ndarray, column: pa.Array) -> Iterator[pa.RecordBatch]:
         width, buckets = self.width, self.buckets
