@@ -38,7 +38,7 @@ def code_top_n(t: Tables):
 )
 def code_multi_hot(t: Tables):
     records = session.barrier(K.code_records(t.coded), "code_records")
-    vocab = session.bounded(_history_vocabulary(t, records))
+    vocab = session.held(_history_vocabulary(t, records))
     cells = K.code_cells(K.past_codes(t.code_stays, K.restrict_codes(records, vocab)), vocab)
     rows = K.vector_per_stay(t.code_stays.select("stay_id"), cells, vocab.count(), "icd")
     return rows.select("stay_id", F.array_join(F.transform("icd", lambda v: v.cast("int").cast("string")), "").alias("bits"))
@@ -68,9 +68,8 @@ def code_counts(t: Tables):
     )
     stays = t.code_stays.select("stay_id", "subject_id")
     counts = session.barrier(K.subject_counts(coded), "subject_counts")
-    vocab = session.bounded(K.top_codes(K.total_counts(counts), 20))
-    cells = K.subject_code_cells(stays, counts, vocab)
-    rows = K.vector_per_stay(stays.select("stay_id"), cells, vocab.count(), "n")
+    vocab = session.held(K.top_codes(K.total_counts(counts), 20))
+    rows = K.vector_per_subject(stays, counts, vocab, vocab.count(), "n")
     return rows.select("stay_id", F.array_join(F.transform("n", lambda v: v.cast("int").cast("string")), ",").alias("counts"))
 
 
@@ -91,19 +90,20 @@ def code_cells_of_stays(t: Tables):
     "codes_per_stay_hist",
     f"""WITH {CD}, {_PAST}, n AS (
       SELECT s.stay_id, count(DISTINCT p.code)::DOUBLE AS v FROM code_stays s LEFT JOIN past p ON p.stay_id = s.stay_id GROUP BY 1),
-    r AS (SELECT min(v) AS lo, max(v) AS hi FROM n)
-    SELECT CAST(least(floor((v - lo) * 30.0 / (hi - lo)), 29) AS INTEGER) AS bin, count(*) AS n FROM n, r GROUP BY 1""",
+    r AS (SELECT min(v) AS lo, max(v) AS hi FROM n),
+    c AS (SELECT CAST(least(floor((v - lo) * 30.0 / (hi - lo)), 29) AS INTEGER) AS bin, count(*) AS n FROM n, r GROUP BY 1)
+    SELECT CAST(range AS INTEGER) AS bin, coalesce(n, 0) AS n FROM range(30) LEFT JOIN c ON bin = range WHERE EXISTS (FROM c)""",
 )
 def codes_per_stay_hist(t: Tables):
-    found = K.past_codes(t.code_stays, t.coded).withColumn("value", F.lit(1.0))
-    return report.histogram(session.barrier(report.codes_per_stay(t.code_stays, found)), "n_codes", 30)
+    sums = K.past_code_sums(t.code_stays, t.coded)
+    return report.histogram(session.barrier(report.codes_per_stay(t.code_stays, sums)), "n_codes", 30)
 
 
 @query(
     "code_frequency",
     f"""WITH {CD}, {_PAST}, n AS (SELECT code, count(DISTINCT stay_id) AS n FROM past GROUP BY code),
     r AS (SELECT CAST(row_number() OVER (ORDER BY n DESC, code) AS INTEGER) AS rank, code, n FROM n)
-    SELECT rank, code, n FROM r WHERE rank <= 50""",
+    SELECT rank, code, n FROM r""",
 )
 def code_frequency(t: Tables):
-    return report.code_frequency(K.past_codes(t.code_stays, t.coded))
+    return report.code_frequency(K.past_code_counts(t.code_stays, K.first_records(t.coded)))

@@ -109,9 +109,9 @@ def aj_variance(t: Tables):
 
 _TRAIN_KM = _KM.replace("FROM labels", "FROM labels WHERE split = 'train'").replace("event = 1", "event > 0")
 _CUTS = f"""{_TRAIN_KM},
-curve AS (SELECT time, survival FROM km UNION ALL SELECT 0.0, 1.0),
-low AS (SELECT min(survival) AS s FROM curve),
-steps AS (SELECT s + (1.0 - s) * (range / 9.0) AS s FROM low, range(10)),
+curve AS (SELECT time, survival FROM km UNION ALL SELECT 0.0, 1.0 WHERE (SELECT min(time) FROM km) > 0),
+low AS (SELECT min(survival) AS s, max(survival) AS h FROM curve),
+steps AS (SELECT s + (h - s) * (range / 9.0) AS s FROM low, range(10)),
 raw AS (SELECT DISTINCT (SELECT max(time) FROM curve c WHERE c.survival + 1e-12 >= steps.s) AS cut FROM steps),
 numbered AS (SELECT CAST(row_number() OVER (ORDER BY cut) - 1 AS INTEGER) AS cut_idx, cut FROM raw),
 cuts AS (SELECT cut_idx, CASE WHEN cut_idx = 0 THEN 0.0 ELSE cut END::DOUBLE AS cut FROM numbered),
@@ -119,7 +119,7 @@ arr AS (SELECT list(cut ORDER BY cut) AS c FROM cuts)"""
 
 
 def _cuts(t: Tables):
-    return session.bounded(survival.km_cuts(part_of(t.labels, "train"), 10))
+    return session.held(survival.km_cuts(part_of(t.labels, "train"), 10))
 
 
 @query("km_cuts", f"WITH {LABELS}, {_CUTS} SELECT cut_idx, round(cut, 6) AS cut FROM cuts")
@@ -140,10 +140,10 @@ def equidistant_cuts(t: Tables):
     "discretise_labels",
     f"""WITH {LABELS}, {_CUTS} SELECT stay_id, event, CAST(greatest(0, least(len(c) - 1, CASE WHEN event > 0
         THEN len(list_filter(c, lambda x: x < duration)) ELSE len(list_filter(c, lambda x: x <= duration)) - 1 END)) AS INTEGER)
-      AS duration_idx FROM labels, arr""",
+      AS duration_idx, CASE WHEN duration > list_max(c) THEN 0 ELSE event END AS event_idx FROM labels, arr""",
 )
 def discretise_labels(t: Tables):
-    return survival.discretise_labels(t.labels, _cuts(t)).select("stay_id", "event", "duration_idx")
+    return survival.discretise_labels(t.labels, _cuts(t)).select("stay_id", "event", "duration_idx", "event_idx")
 
 
 @query(

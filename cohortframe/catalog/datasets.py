@@ -139,7 +139,7 @@ FROM flat f JOIN cohort c ON c.stay_id = f.stay_id JOIN weight ON weight.feature
 
 def _per_window(outputs: dict[str, DataFrame]) -> DataFrame:
     """One row per stay and window: the values weighted by the rank of their feature's name, and the mask in that order."""
-    vocab = session.bounded_rows(outputs["feature_vocab"], 100_000)
+    vocab = outputs["feature_vocab"].collect()
     by_name = F.array(*[F.lit(r.idx) for r in sorted(vocab, key=lambda r: r.feature)])
     rows = outputs["rows"].select("stay_id", "split", F.round("duration", 9).alias("duration"), "event", "mask",
                                   F.posexplode("x").alias("window", "_x"))

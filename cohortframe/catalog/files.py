@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortframe import session
 from cohortframe.catalog.base import Tables, query
 from cohortframe.functions import scalars as S
-from cohortframe.sources import tables
+from cohortframe.sources import schemas, tables
 
 _ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string"
 
@@ -40,6 +40,32 @@ def prepared_csv_roundtrip(t: Tables):
     return tables.read_csv_by_name(t.spark, path, schema)
 
 
+_TIMES = ("dd.MM.yyyy HH:mm:ss.SSSSSS",)
+
+
+@query(
+    "ed_csv_series",
+    """SELECT user_id AS stay_id, epoch_us(ts) AS instant_us, event_type AS feature, value, CAST(0 AS BIGINT) AS n_unparsed FROM events
+      UNION ALL SELECT -1, NULL, 'none', NULL, 1""",
+)
+def ed_csv_series(t: Tables):
+    """Events as a gzip CSV of the emergency schema with times in a form of their own; one time is no time at all."""
+    events = t.read("events").select(
+        F.col("user_id").alias("CSN"), F.date_format(F.col("ts").cast("timestamp"), _TIMES[0]).alias("Time"),
+        F.col("event_type").alias("Measure"), F.col("value").alias("Value"),
+    )
+    nothing = F.lit(None).cast("double").alias("Value")
+    bad = t.spark.range(1).select(F.lit(-1).alias("CSN"), F.lit("soon").alias("Time"), F.lit("none").alias("Measure"), nothing)
+    path = tables.write_csv(events.unionByName(bad), session.fresh_path(t.spark, "ed-csv"), compressed=True)
+    scan = tables.spread_after_gzip(tables.read_csv_by_name(t.spark, path, schemas.ED_NUMERICS), 8)
+    instant = S.to_time("Time", *_TIMES)
+    lost = tables.unparsed(scan, {"Time": instant}).select("n_unparsed").scalar()
+    named = scan.select(
+        F.col("CSN").alias("stay_id"), S.micros(instant).alias("instant_us"), F.col("Measure").alias("feature"), F.col("Value").alias("value")
+    )
+    return named.withColumn("n_unparsed", F.when(F.col("instant_us").isNull(), lost).otherwise(F.lit(0)).cast("bigint"))
+
+
 _REQUIRED = {
     "events": ["user_id", "ts", "event_type", "value"],
     "orders": ["o_orderkey", "o_custkey", "o_orderdate"],

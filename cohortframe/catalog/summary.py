@@ -29,13 +29,13 @@ def outcome_distribution(t: Tables):
 
 @query(
     "percent_columns",
-    f"""WITH {LABELS} SELECT split, round(count(*) FILTER (WHERE event = 1) * 100.0::DOUBLE / count(*), 6) AS event_rate,
+    f"""WITH {LABELS} SELECT split, round(count(*) FILTER (WHERE event > 0) * 100.0::DOUBLE / count(*), 6) AS event_rate,
       round(count(*) FILTER (WHERE event = 0) * 100.0::DOUBLE / count(*), 6) AS censoring_rate FROM labels GROUP BY 1""",
 )
 def percent_columns(t: Tables):
     counts = t.labels.groupBy("split").agg(
         F.count("*").alias("n"),
-        F.count(F.when(F.col("event") == 1, 1)).alias("events"),
+        F.count(F.when(F.col("event") > 0, 1)).alias("events"),
         F.count(F.when(F.col("event") == 0, 1)).alias("censored"),
     )
     return counts.select(
@@ -56,10 +56,13 @@ def duration_stats(t: Tables):
 
 @query(
     "split_counts",
-    f"WITH {LABELS} SELECT split, count(*) AS n_stays, count(DISTINCT subject_id) AS n_patients FROM labels GROUP BY 1",
+    f"""WITH {LABELS}, m AS (SELECT split, count(*) AS n FROM labels JOIN lineitem ON l_orderkey = stay_id GROUP BY 1)
+    SELECT split, count(*) AS n_stays, count(DISTINCT subject_id) AS n_patients, coalesce(max(n), 0) AS n_measurements
+    FROM labels LEFT JOIN m USING (split) GROUP BY 1""",
 )
 def split_counts(t: Tables):
-    return report.split_counts(t.labels)
+    """Stays, patients and line items (as measurements) per split."""
+    return report.split_counts(t.labels, t.read("lineitem").select(F.col("l_orderkey").alias("stay_id")))
 
 
 @query(
@@ -109,14 +112,16 @@ def feature_structure(t: Tables):
       max(d + s) AS n_features, CAST(10 AS INTEGER) AS n_codes FROM users, k GROUP BY 1""",
 )
 def shape_report(t: Tables):
-    return report.shape_report(t.users, NUM_WINDOWS, session.bounded(_structure(t)), n_codes=10)
+    return report.shape_report(t.users, NUM_WINDOWS, session.held(_structure(t)), n_codes=10)
 
 
 @query(
     "duration_histogram",
-    f"""WITH {LABELS}, r AS (SELECT min(duration) AS lo, max(duration) AS hi FROM labels)
-    SELECT CAST(event > 0 AS INTEGER) AS has_event, CAST(least(floor((duration - lo) * 50.0 / (hi - lo)), 49) AS INTEGER) AS bin,
-      count(*) AS n FROM labels, r GROUP BY 1, 2""",
+    f"""WITH {LABELS}, r AS (SELECT min(duration) AS lo, max(duration) AS hi FROM labels),
+    c AS (SELECT CAST(event > 0 AS INTEGER) AS has_event, CAST(least(floor((duration - lo) * 50.0 / (hi - lo)), 49) AS INTEGER) AS bin,
+      count(*) AS n FROM labels, r GROUP BY 1, 2),
+    g AS (SELECT has_event, CAST(range AS INTEGER) AS bin FROM (SELECT DISTINCT has_event FROM c), range(50))
+    SELECT has_event, bin, coalesce(n, 0) AS n FROM g LEFT JOIN c USING (has_event, bin)""",
 )
 def duration_histogram(t: Tables):
     return report.duration_histogram(session.barrier(t.labels, "labels"))

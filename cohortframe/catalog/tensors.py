@@ -58,6 +58,30 @@ def scaled_values(t: Tables):
     return transform.scaled(windows, params).select("stay_id", "window", "feature", r6("value").alias("value"))
 
 
+@query(
+    "scaled_unseen_feature",
+    f"""WITH {TS}, t AS (SELECT w.*, split FROM windows w JOIN users USING (stay_id) WHERE NOT (split = 'train' AND feature = 'view')),
+    n AS (SELECT count(*) * {NUM_WINDOWS} AS n FROM users WHERE split = 'train'),
+    s AS (SELECT feature, sum(value) / max(n) AS mean, sqrt(sum(value * value) / max(n) - (sum(value) / max(n)) ** 2) AS sd
+      FROM t, n WHERE split = 'train' GROUP BY 1)
+    SELECT stay_id, win AS "window", t.feature, round(CAST((value - coalesce(mean, 0)) / coalesce(sd, 1) AS FLOAT)::DOUBLE, 3) AS value,
+      CAST(1 AS INTEGER) AS mask FROM t LEFT JOIN s ON s.feature = t.feature""",
+)
+def scaled_unseen_feature(t: Tables):
+    """Cells and mask where one feature never occurs in train: none of its cells is lost, and they stay unscaled."""
+    unseen = (F.col("split") == "train") & (F.col("feature") == "view")
+    windows = session.barrier(t.split_windows.where(~unseen), "windows")
+    params = session.small(transform.scaler_params(windows, part_of(t.users, "train"), NUM_WINDOWS))
+    vocabulary = windows.select("feature").distinct().selectExpr("feature", "0 as block", "0 as position")
+    layout = assemble.make_layout(vocabulary, params)
+    rows = assemble.tensor_rows(t.users.select("stay_id"), transform.scaled(windows, params), layout, NUM_WINDOWS)
+    names = F.array(*[F.lit(f) for f in layout.dynamic])
+    return assemble.flatten_tensor(rows).where("mask = 1").select(
+        "stay_id", "window", F.get(names, F.col("idx")).alias("feature"),
+        F.round(F.col("value").cast("double"), 3).alias("value"), F.col("mask").cast("int").alias("mask"),
+    )
+
+
 PARAMS = Preparation(windows=Windows(NUM_WINDOWS, WINDOW_HOURS), labels=Labels(horizon_hours=600.0))
 
 

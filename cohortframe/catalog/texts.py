@@ -33,7 +33,7 @@ def report_text(t: Tables):
              list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS w FROM documents),
     n AS (SELECT stay_id, count(*) AS n FROM d GROUP BY 1),
     s AS (SELECT stay_id, 1.0::DOUBLE / len(w) AS share, unnest(w) AS tok FROM d WHERE len(w) > 0),
-    b AS (SELECT stay_id, CAST(('0x' || substr(md5(tok), 1, 4))::INTEGER % {DIM} AS INTEGER) AS pos, sum(share) AS v FROM s GROUP BY 1, 2)
+    b AS (SELECT stay_id, CAST(('0x' || substr(md5(tok), 1, 13))::BIGINT % {DIM} AS INTEGER) AS pos, sum(share) AS v FROM s GROUP BY 1, 2)
     SELECT stay_id, pos, round(v / n, 6) AS value FROM b JOIN n USING (stay_id)""",
 )
 def report_embedding(t: Tables):
@@ -55,15 +55,15 @@ def report_two_key_join(t: Tables):
 
 @query(
     "embedding_intake",
-    """SELECT vec_id AS stay_id, round(embedding[1]::DOUBLE, 6) AS first, round(embedding[3]::DOUBLE, 6) AS third, NULL::VARCHAR AS text
-      FROM embeddings UNION ALL SELECT doc_id, NULL, NULL, text FROM documents""",
+    f"""SELECT vec_id AS stay_id, {", ".join(f"round(embedding[{i + 1}]::DOUBLE, 6) AS e{i}" for i in range(DIM))}, NULL::VARCHAR AS text
+      FROM embeddings UNION ALL SELECT doc_id, {", ".join(["NULL"] * DIM)}, text FROM documents""",
 )
 def embedding_intake(t: Tables):
     """Pre-computed wide vectors where given, texts passed through where not."""
-    parts = [F.get("embedding", F.lit(i)).alias(f"e{i}") for i in range(3)]
+    parts = [F.get("embedding", F.lit(i)).alias(f"e{i}") for i in range(DIM)]
     wide = t.read("embeddings").select(F.col("vec_id").alias("stay_id"), *parts)
     given = R.intake_vectors(t.texts, wide).select(
-        "stay_id", r6(F.get("embedding", F.lit(0))).alias("first"), r6(F.get("embedding", F.lit(2))).alias("third")
+        "stay_id", *[r6(F.get("embedding", F.lit(i))).alias(f"e{i}") for i in range(DIM)]
     )
     texts = R.intake_vectors(t.texts.select(F.col("doc_id").alias("stay_id"), "text"))
     return given.unionByName(texts, allowMissingColumns=True)
@@ -73,9 +73,28 @@ def embedding_intake(t: Tables):
     "embedding_value_hist",
     """WITH e AS (SELECT vec_id AS stay_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS pos
       FROM embeddings),
-    s AS (SELECT v FROM e ORDER BY md5('42|' || CAST(stay_id AS VARCHAR) || '|' || CAST(pos AS VARCHAR)), stay_id, pos LIMIT 10000),
-    r AS (SELECT min(v) AS lo, max(v) AS hi FROM s)
-    SELECT CAST(least(floor((v - lo) * 50.0 / (hi - lo)), 49) AS INTEGER) AS bin, count(*) AS n FROM s, r GROUP BY 1""",
+    r AS (SELECT min(v) AS lo, max(v) AS hi FROM e),
+    c AS (SELECT CAST(least(floor((v - lo) * 50.0 / (hi - lo)), 49) AS INTEGER) AS bin, count(*) AS n FROM e, r GROUP BY 1)
+    SELECT CAST(range AS INTEGER) AS bin, coalesce(n, 0) AS n FROM range(50) LEFT JOIN c ON bin = range WHERE EXISTS (FROM c)""",
 )
 def embedding_value_hist(t: Tables):
-    return report.vector_value_histogram(t.read("embeddings").select(F.col("vec_id").alias("stay_id"), "embedding"))
+    return report.vector_value_histogram(t.read("embeddings"))
+
+
+def _lengths(texts: list[str]) -> list[list[float]]:
+    """A small encoder: characters, words and line feeds of each text."""
+    return [[float(len(x)), float(len(x.split(" "))), float(x.count("\n"))] for x in texts]
+
+
+@query(
+    "report_encoder",
+    """WITH d AS (SELECT doc_id % 150 AS stay_id, [length(text), len(string_split(text, ' ')), len(string_split(text, chr(10))) - 1] AS v
+      FROM documents WHERE text IS NOT NULL),
+    p AS (SELECT stay_id, unnest(v)::DOUBLE AS v, generate_subscripts(v, 1) - 1 AS pos FROM d)
+    SELECT stay_id, CAST(pos AS INTEGER) AS pos, round(avg(v), 6) AS value FROM p GROUP BY 1, 2""",
+)
+def report_encoder(t: Tables):
+    """A user's encoder over all reports, pooled per stay."""
+    vectors = R.encode_reports(t.texts.where(F.col("text").isNotNull()), _lengths)
+    pooled = R.pool_vectors(vectors).select("stay_id", F.posexplode("embedding").alias("pos", "value"))
+    return pooled.withColumn("value", r6("value"))

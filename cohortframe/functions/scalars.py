@@ -33,8 +33,10 @@ def to_number(c) -> Column:
     return F.when(~text.rlike("[0-9.][dDfF]\\s*$"), nan_to_null(text.try_cast("double")))
 
 
-def to_time(c) -> Column:
-    return F.try_to_timestamp(col(c))
+def to_time(c, *formats: str) -> Column:
+    """Text to timestamp: the standard form, then the first of ``formats`` that fits, else NULL."""
+    text = [F.try_to_timestamp(col(c).cast("string"), F.lit(f)) for f in formats]
+    return F.coalesce(F.try_to_timestamp(col(c)), *text)
 
 
 def strict_least(*cs) -> Column:

@@ -14,7 +14,10 @@ from cohortframe.functions import scalars as S
 
 @dataclass(frozen=True)
 class Layout:
-    """Feature order of the tensor and the value of a missing dynamic cell. Held on the driver, size checked."""
+    """Feature order of the tensor and the value of a missing dynamic cell.
+
+    Held on the driver: a tensor row has a slot for each feature in every window, so the names of one row fit there.
+    """
 
     dynamic: list
     dynamic_fill: list
@@ -48,10 +51,8 @@ def feature_structure(dynamic: DataFrame, static: DataFrame) -> DataFrame:
     return both.select("feature", "kind", (F.row_number().over(order) - 1).cast("int").alias("idx"))
 
 
-def make_layout(
-    dynamic: DataFrame, params: DataFrame | None = None, static: Sequence[str] = (), max_features: int = 100_000
-) -> Layout:
-    """Collect the dynamic vocabulary ``(feature, block, position)`` (bounded) with its fill values.
+def make_layout(dynamic: DataFrame, params: DataFrame | None = None, static: Sequence[str] = ()) -> Layout:
+    """Collect the dynamic vocabulary ``(feature, block, position)`` with its fill values.
 
     ``params`` is the scaler: a missing dynamic cell becomes a scaled zero. ``static`` names the static slots.
     """
@@ -62,7 +63,7 @@ def make_layout(
         named = named.withColumns({"mean": F.lit(0.0), "scale": F.lit(1.0)})
     fill = F.coalesce((F.lit(0.0) - F.col("mean")) / F.col("scale"), F.lit(0.0))
     ordered = named.withColumn("fill", fill).orderBy("block", "position", "feature")
-    rows = session.bounded_rows(ordered, max_features)
+    rows = ordered.collect()
     return Layout([r["feature"] for r in rows], [r["fill"] for r in rows], list(static))
 
 
@@ -72,8 +73,9 @@ def _floats(values: list) -> Column:
 
 
 def _positions(spark: SparkSession, names: list) -> DataFrame:
-    rows = [(name, i) for i, name in enumerate(names)]
-    return F.broadcast(session.literal_table(spark, rows, "feature string, _idx int"))
+    """Slots by name; a long list is written and joined by shuffle."""
+    table = session.literal_table(spark, [(name, i) for i, name in enumerate(names)], "feature string, _idx int")
+    return F.broadcast(table) if len(names) <= session.SMALL_ROWS else session.barrier(table, "positions")
 
 
 def _packed(cells: DataFrame, pos: Column, name: str) -> DataFrame:

@@ -57,6 +57,24 @@ def past_code_counts(stays: DataFrame, records: DataFrame) -> DataFrame:
     return pairs.groupBy("code").agg(F.sum(F.col("n") * F.col("later")).cast("bigint").alias("n"))
 
 
+def first_records(coded: DataFrame) -> DataFrame:
+    """``code_records`` of the first time a patient got each code, counted once."""
+    first = coded.groupBy("subject_id", "code").agg(F.min("coded_ts").alias("coded_ts"))
+    return first.withColumn("n", F.lit(1.0))
+
+
+def past_code_sums(stays: DataFrame, coded: DataFrame) -> DataFrame:
+    """``(stay_id, n_codes)``: distinct codes the patient got strictly before the stay, as running counts of first records."""
+    starts = stays.where(F.col("anchor_ts").isNotNull()).select("stay_id", "subject_id", S.micros("anchor_ts").alias("at"))
+    firsts = first_records(coded).where(F.col("coded_ts").isNotNull())
+    line = firsts.select("subject_id", S.micros("coded_ts").alias("at"), F.lit(1.0).alias("codes"))
+    line = line.unionByName(starts.select("subject_id", "at", F.lit(0.0).alias("codes")))
+    line, biggest = sized(line.groupBy("subject_id", "at").agg(F.sum("codes").alias("codes")), ["subject_id"], "line")
+    counted = running(line, "at", ["subject_id"], sums=["codes"], ticks=F.col("at"), biggest=biggest)
+    before = counted.select("subject_id", "at", (F.col("run_codes") - F.col("codes")).alias("n_codes"))
+    return starts.join(before, ["subject_id", "at"]).select("stay_id", "n_codes")
+
+
 def code_counts(coded: DataFrame) -> DataFrame:
     """``(code, n)``: plain row counts."""
     return coded.groupBy("code").agg(F.count("*").alias("n"))
@@ -86,12 +104,20 @@ def total_counts(counts: DataFrame) -> DataFrame:
     return counts.groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def subject_code_cells(stays: DataFrame, counts: DataFrame, vocabulary: DataFrame, value: str = "count") -> DataFrame:
-    """``subject_counts`` of the vocabulary given to each stay of the patient: ``(stay_id, pos, value)``."""
+def vector_per_subject(
+    cohort: DataFrame, counts: DataFrame, vocabulary: DataFrame, size: int, name: str, value: str = "count"
+) -> DataFrame:
+    """``cohort`` with the dense vector of its patient's ``subject_counts``; zeros throughout for a patient without any.
+
+    The vector is built once per patient, so the join moves patients x codes and not stays x codes.
+    """
     slots = F.broadcast(vocabulary.select("code", F.col("code_idx").alias("pos")))
-    placed = counts.join(slots, "code").select("subject_id", "pos", F.col("n").cast("double").alias("value"))
-    cells = stays.select("stay_id", "subject_id").join(placed, "subject_id").select("stay_id", "pos", "value")
-    return cells if value == "count" else cells.withColumn("value", F.lit(1.0))
+    number = F.col("n").cast("double") if value == "count" else F.lit(1.0)
+    placed = counts.join(slots, "code").select("subject_id", "pos", number.alias("value"))
+    packed = placed.groupBy("subject_id").agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("_cells"))
+    dense = packed.select("subject_id", S.scatter("_cells", size, F.lit(0.0)).cast("array<float>").alias("_dense"))
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), size)
+    return cohort.join(dense, "subject_id", "left").withColumn(name, F.coalesce("_dense", zeros)).drop("_dense")
 
 
 def vector_per_stay(cohort: DataFrame, cells: DataFrame, size: int, name: str, default: float = 0.0) -> DataFrame:

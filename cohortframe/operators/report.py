@@ -6,17 +6,22 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortframe import session
 from cohortframe.functions import scalars as S
-from cohortframe.operators.running import quantile_of_counts, running
+from cohortframe.operators.running import quantile_of_counts
 
 ALL_OUTCOMES = -1
 
 
-def split_counts(cohort: DataFrame) -> DataFrame:
-    """Stays and distinct patients per split."""
+def split_counts(cohort: DataFrame, measurements: DataFrame | None = None) -> DataFrame:
+    """Stays and distinct patients per split, and the rows of ``measurements`` (by ``stay_id``) where given."""
     per_patient = cohort.groupBy("split", "subject_id").agg(F.count("*").alias("_n"))
-    return per_patient.groupBy("split").agg(F.sum("_n").alias("n_stays"), F.count("subject_id").alias("n_patients"))
+    counts = per_patient.groupBy("split").agg(F.sum("_n").alias("n_stays"), F.count("subject_id").alias("n_patients"))
+    if measurements is None:
+        return counts
+    rows = measurements.groupBy("stay_id").agg(F.count("*").alias("_m"))
+    rows = cohort.select("stay_id", "split").join(rows, "stay_id").groupBy("split").agg(F.sum("_m").alias("_m"))
+    joined = counts.join(rows, "split", "left")
+    return joined.select("split", "n_stays", "n_patients", F.coalesce("_m", F.lit(0)).alias("n_measurements"))
 
 
 def outcome_distribution(labels: DataFrame, outcomes: Mapping[int, str]) -> DataFrame:
@@ -80,10 +85,14 @@ def _with_range(df: DataFrame, value: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
-    """``(by, bin, n)`` over the non-empty bins."""
+    """``(by, bin, n)`` with a row for every bin of each group of ``by``, also an empty one."""
     known = _with_range(df.where(F.col(value).isNotNull()), value)
     binned = known.withColumn("bin", equal_width_bin(value, "_lo", "_hi", bins))
-    return binned.groupBy(*by, "bin").agg(F.count("*").alias("n"))
+    counts = binned.groupBy(*by, "bin").agg(F.count("*").alias("n"))
+    # One map per group has at most ``bins`` entries; the missing ones count nothing.
+    packed = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_n"))
+    each = packed.where(F.size("_n") > 0).select(*by, "_n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return each.select(*by, "bin", F.coalesce(F.try_element_at("_n", "bin"), F.lit(0)).cast("bigint").alias("n"))
 
 
 def duration_histogram(labels: DataFrame, bins: int = 50) -> DataFrame:
@@ -91,15 +100,15 @@ def duration_histogram(labels: DataFrame, bins: int = 50) -> DataFrame:
     return histogram(labels.withColumn("has_event", S.indicator(F.col("event") > 0)), "duration", bins, ["has_event"])
 
 
-def codes_per_stay(cohort: DataFrame, cells: DataFrame) -> DataFrame:
-    sums = cells.groupBy("stay_id").agg(F.sum("value").cast("double").alias("n_codes"))
+def codes_per_stay(cohort: DataFrame, sums: DataFrame) -> DataFrame:
+    """Every stay with its number of codes, 0 where ``sums`` (``stay_id, n_codes``) has none."""
     joined = cohort.select("stay_id").join(sums, "stay_id", "left")
-    return joined.select("stay_id", F.coalesce("n_codes", F.lit(0.0)).alias("n_codes"))
+    return joined.select("stay_id", F.coalesce(F.col("n_codes").cast("double"), F.lit(0.0)).alias("n_codes"))
 
 
-def code_frequency(stay_codes: DataFrame, top: int = 50) -> DataFrame:
-    """Stays per code, the ``top`` most frequent with their rank from 1. Ranking sees the top rows only."""
-    best = stay_codes.groupBy("code").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "code").limit(top)
+def code_frequency(counts: DataFrame, top: int | None = None) -> DataFrame:
+    """``(code, n)`` with the rank from 1: all codes, or the ``top`` most frequent. The ranking has a row per code."""
+    best = counts if top is None else counts.orderBy(F.desc("n"), "code").limit(top)
     return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "code")))
 
 
@@ -123,26 +132,7 @@ def sample_features(features: DataFrame, k: int = 10, seed: int = 42) -> DataFra
     return features.select("feature").orderBy(seeded_order(seed, "feature"), "feature").limit(k)
 
 
-def seeded_sample(df: DataFrame, keys: Sequence[str], k: int, seed: int = 42) -> DataFrame:
-    """The ``k`` rows with the smallest seeded hash of ``keys``.
-
-    Counting five-digit hash prefixes first tells which prefixes the sample lies in, so the final sort gets little
-    more than ``k`` rows instead of ``k`` from every task.
-    """
-    hashed = df.withColumn("_order", seeded_order(seed, *keys)).withColumn("_prefix", F.substring("_order", 1, 5))
-    counts = hashed.groupBy("_prefix").agg(F.count("*").cast("double").alias("_n"))
-    ranked = running(counts, "_prefix", sums=["_n"], biggest=16**5)
-    last = ranked.agg(F.min(F.when(F.col("run__n") >= k, F.col("_prefix")))).scalar()
-    near = hashed.withColumn("_last", last).where(F.col("_last").isNull() | (F.col("_prefix") <= F.col("_last")))
-    return near.orderBy("_order", *keys).limit(k).drop("_order", "_prefix", "_last")
-
-
-def vector_value_histogram(
-    vectors: DataFrame, name: str = "embedding", bins: int = 50, sample: int | None = 10_000, seed: int = 42
-) -> DataFrame:
-    """Histogram of embedding values over a seeded sample of them; ``sample=None`` takes all values."""
-    values = vectors.select("stay_id", F.posexplode(name).alias("pos", "v"))
-    values = values.select("stay_id", "pos", F.col("v").cast("double").alias("v"))
-    if sample is not None:
-        values = session.bounded(seeded_sample(values, ["stay_id", "pos"], sample, seed), sample)
+def vector_value_histogram(vectors: DataFrame, name: str = "embedding", bins: int = 50) -> DataFrame:
+    """Histogram of all embedding values: one pass for the ends, one for the counts."""
+    values = vectors.select(F.explode(name).alias("v")).select(F.col("v").cast("double").alias("v"))
     return histogram(values, "v", bins)

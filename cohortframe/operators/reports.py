@@ -24,24 +24,23 @@ def report_text(df: DataFrame, *parts: str) -> DataFrame:
     return df.dropna(subset=list(parts)).withColumn("text", F.concat_ws(" ", *parts))
 
 
-def tokens(text, max_tokens: int | None = None) -> Column:
-    words = F.array_remove(F.split(F.lower(S.col(text)), "[^\\p{L}\\p{N}]+"), "")
-    return words if max_tokens is None else F.slice(words, 1, max_tokens)
+def tokens(text) -> Column:
+    return F.array_remove(F.split(F.lower(S.col(text)), "[^\\p{L}\\p{N}]+"), "")
 
 
 def token_bucket(token, dim: int) -> Column:
-    """Slot of a token in the hashed vector: first four hex digits of its md5, modulo the dimension."""
-    return (F.conv(F.substring(F.md5(S.col(token)), 1, 4), 16, 10).cast("int") % F.lit(dim)).cast("int")
+    """Slot of a token in the hashed vector: first thirteen hex digits (52 bits) of its md5, modulo the dimension."""
+    return (F.conv(F.substring(F.md5(S.col(token)), 1, 13), 16, 10).cast("bigint") % F.lit(dim)).cast("int")
 
 
-def hashed_vectors(reports: DataFrame, dim: int, max_tokens: int | None = None) -> DataFrame:
+def hashed_vectors(reports: DataFrame, dim: int) -> DataFrame:
     """Native embedding pooled per stay: ``(stay_id, embedding)``.
 
     A report's vector is the mean over its tokens of their one-hot slots; a stay's vector is the mean over reports. Texts
     are read once: an extra NULL token per report counts the reports, in slot -1. Tokens shrink to ``dim`` + 1 sums per
     stay before the shuffle. A report without tokens counts as zeros.
     """
-    words = reports.select("stay_id", tokens("text", max_tokens).alias("w"))
+    words = reports.select("stay_id", tokens("text").alias("w"))
     marked = F.concat(F.array(F.lit(None).cast("string")), F.col("w"))
     spread = words.select("stay_id", F.try_divide(F.lit(1.0), F.size("w")).alias("share"), F.explode(marked).alias("t"))
     is_token = F.col("t").isNotNull()

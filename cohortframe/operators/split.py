@@ -33,7 +33,8 @@ def split_exact(df: DataFrame, split: Split = Split(), subject: str = "subject_i
     ranked = with_total(running(counts, "_h", sums=["_n"], ticks=F.col("_h"), biggest=biggest), counts, "_n")
     total = F.col("_total")
     held = F.ceil(F.round(total * (split.val + split.test), 6))
-    test = F.ceil(F.round(held * (split.test / (split.val + split.test)), 6))
+    share = split.test / (split.val + split.test) if split.val + split.test > 0 else 0.0
+    test = F.ceil(F.round(held * share, 6))
     parts = ranked.select(
         "_h",
         F.when(F.col("run__n") <= total - held, "train").when(F.col("run__n") <= total - test, "val")

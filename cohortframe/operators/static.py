@@ -85,7 +85,6 @@ def static_blocks(
     categorical: Sequence[str],
     trailing: Sequence[str] = (),
     train: DataFrame | None = None,
-    max_levels: int = 100_000,
 ) -> list[Block]:
     """Numeric columns, levels of each category, trailing numeric columns. Levels come from all of ``df``.
 
@@ -99,7 +98,7 @@ def static_blocks(
     levels: dict[str, list] = {c: [] for c in categorical}
     if categorical:
         vocabulary = level_vocabulary(df, categorical).select("column", "level", "level_rank")
-        for row in sorted(session.bounded_rows(vocabulary, max_levels), key=lambda r: r.level_rank):
+        for row in sorted(vocabulary.collect(), key=lambda r: r.level_rank):
             levels[row.column].append(row.level)
     hot = [Block(c, tuple(found)) for c, found in levels.items() if found]
     return [*[Block(c, fill=fills[c]) for c in numeric], *hot, *[Block(c, fill=fills[c]) for c in trailing]]

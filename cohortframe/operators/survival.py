@@ -192,20 +192,23 @@ def _numbered(cuts: DataFrame) -> DataFrame:
 def km_cuts(labels: DataFrame, n_cuts: int) -> DataFrame:
     """``(cut_idx, cut)``: cuts at equal steps of Kaplan-Meier survival of any event; fewer if steps coincide.
 
-    Step j asks for survival s_j on a line from the lowest to the highest value and takes the last time with survival
-    of at least s_j. The first cut becomes 0, the last is the longest duration.
+    Step j asks for survival s_j on a line from the lowest to the highest value of the fitted curve and takes the last
+    time with survival of at least s_j. The curve begins with (0, 1) only if no duration is 0; with events at time 0 its
+    highest value is the survival after them. The first cut becomes 0, the last is the longest duration.
     """
     risk, biggest = risk_table(labels)
     curve = _km(risk, biggest, []).select("time", "survival")
-    if biggest > TASK_ROWS:
-        curve = session.barrier(curve, "km")
-    curve = curve.unionByName(session.literal_table(curve.sparkSession, [(0.0, 1.0)], "time double, survival double"))
-    curve = curve.withColumn("_low", curve.agg(F.min("survival")).scalar())
+    curve = session.barrier(curve, "km")
+    ends = curve.agg(F.min("survival").alias("low"), F.max("survival").alias("high"), F.min("time").alias("first")).first()
+    low, high = ends.low, ends.high
+    if ends.first is None or ends.first > 0:
+        high, low = 1.0, 1.0 if low is None else low
+        curve = curve.unionByName(session.literal_table(curve.sparkSession, [(0.0, 1.0)], "time double, survival double"))
 
     def step(j: int) -> Column:
         share = j / (n_cuts - 1) if n_cuts > 1 else 1.0
-        wanted = F.col("_low") + (F.lit(1.0) - F.col("_low")) * F.lit(share)
-        return F.max(F.when(F.col("survival") + F.lit(1e-12) >= wanted, F.col("time")))
+        wanted = low + (high - low) * share
+        return F.max(F.when(F.col("survival") + F.lit(1e-12) >= F.lit(wanted), F.col("time")))
 
     steps = curve.agg(F.array(*[step(j) for j in range(n_cuts)]).alias("cuts"))
     cuts = _numbered(steps.select(F.explode(F.array_distinct("cuts")).alias("cut")))
@@ -235,7 +238,8 @@ def _with_cuts(labels: DataFrame, cuts: DataFrame) -> DataFrame:
 def discretise_labels(labels: DataFrame, cuts: DataFrame) -> DataFrame:
     """Add ``duration_idx``: events go up to the next cut, censored stays down to the previous one.
 
-    Times past the last cut take the last index.
+    Times past the last cut take the last index; ``event_idx`` is 0 for an event there, since the grid ends before it,
+    and the event elsewhere.
     """
     t = F.col("duration")
     with_cuts = _with_cuts(labels, cuts)
@@ -243,7 +247,10 @@ def discretise_labels(labels: DataFrame, cuts: DataFrame) -> DataFrame:
     down = F.size(F.filter("_cuts", lambda c: c <= t)) - 1
     idx = F.when(any_event() == 1, up).otherwise(down)
     bounded = F.greatest(F.lit(0), F.least(idx, F.size("_cuts") - 1))
-    return with_cuts.withColumn("duration_idx", F.when(t.isNotNull(), bounded).cast("int")).drop("_cuts")
+    late = t > F.element_at("_cuts", -1)
+    return with_cuts.withColumns(
+        {"duration_idx": F.when(t.isNotNull(), bounded).cast("int"), "event_idx": F.when(late, 0).otherwise(F.col("event")).cast("int")}
+    ).drop("_cuts")
 
 
 def digitize_durations(labels: DataFrame, cuts: DataFrame) -> DataFrame:

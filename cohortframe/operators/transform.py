@@ -34,7 +34,10 @@ def scaler_params(cells: DataFrame, train: DataFrame, num_windows: int, fit_on_o
 
 
 def scaled(cells: DataFrame, params: DataFrame) -> DataFrame:
-    """Cells in units of the scaler. ``params`` has one row per feature; pass it through ``session.small``."""
-    joined = cells.join(params, "feature")
-    value = (F.col("value") - F.col("mean")) / F.col("scale")
+    """Cells in units of the scaler. ``params`` has one row per feature; pass it through ``session.small``.
+
+    A feature that train never saw was zero there throughout: mean 0, scale 1, so its cells stay as they are.
+    """
+    joined = cells.join(params, "feature", "left")
+    value = (F.col("value") - F.coalesce("mean", F.lit(0.0))) / F.coalesce("scale", F.lit(1.0))
     return joined.withColumn("value", value).drop("mean", "scale")

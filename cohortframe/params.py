@@ -55,7 +55,6 @@ class Codes:
 @dataclass(frozen=True)
 class Reports:
     dim: int = 64
-    max_tokens: int | None = None
     batch_size: int = 32
 
 
@@ -72,4 +71,3 @@ class Preparation:
     dynamic_imputation: str = "zero"
     scaling: str = "standard"
     fit_on_observed: bool = False
-    max_features: int = 100_000

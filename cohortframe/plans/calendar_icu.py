@@ -10,6 +10,7 @@ from cohortframe.functions.fixed import LAB_ITEMS, VITAL_ITEMS
 from cohortframe.operators import codes as K, cohort as C, events as E, reports as R, survival, timeaxis
 from cohortframe.params import Preparation
 from cohortframe.plans import common
+from cohortframe.sources import tables
 
 STATIC = common.Static(["anchor_age"], ["gender", "first_careunit", "admission_type", "admission_location"])
 
@@ -29,21 +30,25 @@ def cohort_stays(
 
 def hourly_cells(
     stays: DataFrame,
-    chartevents: DataFrame,
-    labevents: DataFrame,
+    chartevents: DataFrame | None,
+    labevents: DataFrame | None,
     max_hours: int,
     vital_items: dict = VITAL_ITEMS,
     lab_items: dict = LAB_ITEMS,
 ) -> DataFrame:
-    """Listed vitals by stay and labs by patient, pooled to hourly means."""
+    """Listed vitals by stay and labs by patient, pooled to hourly means; either may be absent."""
     anchors = stays.select("stay_id", "split", F.col("intime").alias("anchor_ts"))
     subjects = stays.select("subject_id", "stay_id", "split", F.col("intime").alias("anchor_ts"))
     columns = ["stay_id", "split", "hours", "feature", F.col("valuenum").alias("value")]
-    vitals = E.drop_missing(E.allow_items(chartevents, vital_items), ["valuenum"])
-    vitals = timeaxis.within(timeaxis.anchor_to_stays(vitals, anchors, "stay_id", "charttime"), max_hours)
-    labs = E.drop_missing(E.allow_items(labevents, lab_items), ["valuenum"])
-    labs = timeaxis.fan_out_to_stays(labs, subjects, max_hours, "subject_id", "charttime")
-    return E.hourly_mean(E.union_series(vitals.select(*columns), labs.select(*columns)), ["stay_id", "split"])
+    parts = []
+    if chartevents is not None:
+        vitals = E.drop_missing(E.allow_items(chartevents, vital_items), ["valuenum"])
+        vitals = timeaxis.within(timeaxis.anchor_to_stays(vitals, anchors, "stay_id", "charttime"), max_hours)
+        parts.append(vitals.select(*columns))
+    if labevents is not None:
+        labs = E.drop_missing(E.allow_items(labevents, lab_items), ["valuenum"])
+        parts.append(timeaxis.fan_out_to_stays(labs, subjects, max_hours, "subject_id", "charttime").select(*columns))
+    return E.hourly_mean(E.union_series(*parts), ["stay_id", "split"])
 
 
 def stay_codes(
@@ -60,12 +65,12 @@ def stay_codes(
     if params.codes.mode == "history":
         times = admissions.select("hadm_id", F.col("admittime").alias("coded_ts"))
         records = session.barrier(K.code_records(coded.join(times, "hadm_id")), "code_records")
-        vocab = session.bounded(K.top_codes(K.past_code_counts(fit, records), params.codes.top_n))
+        vocab = session.held(K.top_codes(K.past_code_counts(fit, records), params.codes.top_n))
         found = K.past_codes(stays, K.restrict_codes(records, vocab))
     else:
         own = fit.select("subject_id", "hadm_id")
         counts = K.code_counts(coded.join(own, ["subject_id", "hadm_id"]))
-        vocab = session.bounded(K.top_codes(counts, params.codes.top_n))
+        vocab = session.held(K.top_codes(counts, params.codes.top_n))
         found = K.current_codes(stays, K.restrict_codes(coded, vocab))
     named = vocab.withColumn("feature", F.concat(F.lit(params.codes.prefix), F.col("code")))
     return named, K.code_cells(found, vocab, params.codes.value)
@@ -85,7 +90,7 @@ def report_vectors(
     """Pooled vector per stay with reports, from a user's encoder (with its dimension) or the native hashed one."""
     if encoder is not None:
         return R.pool_vectors(R.encode_reports(texts, encoder, params.reports.batch_size)), dim
-    return R.hashed_vectors(texts, params.reports.dim, params.reports.max_tokens), params.reports.dim
+    return R.hashed_vectors(texts, params.reports.dim), params.reports.dim
 
 
 def prepare(
@@ -105,10 +110,11 @@ def prepare(
     lab_items: dict = LAB_ITEMS,
 ) -> dict[str, DataFrame]:
     """Prepare whichever parts are given: series (chart and lab events), static, codes, reports."""
+    tables.require_columns(icustays, ["subject_id", "hadm_id", "stay_id", "intime"])
     stays = cohort_stays(icustays, patients, admissions, min_stay_hours, params.labels.horizon_hours)
     cohort = common.split_cohort(stays, params)
     cells = None
-    if chartevents is not None:
+    if chartevents is not None or labevents is not None:
         cells = hourly_cells(cohort, chartevents, labevents, params.windows.max_hours, vital_items, lab_items)
     code_vocab = code_cells = vectors = dim = None
     if diagnoses is not None:

@@ -32,7 +32,7 @@ def dynamic_vocabulary(cells: DataFrame, cohort: DataFrame, params: Preparation)
         cells, train_of(cohort), params.windows.max_hours, params.presence_denominator, [block.alias("block")]
     )
     kept = select.dense_enough(rates, params.presence_threshold).withColumn("position", F.lit(0))
-    return session.small(kept, params.max_features, "dynamic_vocab")
+    return session.small(kept, name="dynamic_vocab")
 
 
 @dataclass(frozen=True)
@@ -53,9 +53,11 @@ def outputs(
     code_vocab: DataFrame | None = None,
     vectors: DataFrame | None = None,
     vector_dim: int | None = None,
+    subject_counts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Fit on train, impute, scale and assemble. ``cells`` are hourly
-    ``(stay_id, split, hour, feature, value[, block])``; ``static`` names columns of the cohort.
+    ``(stay_id, split, hour, feature, value[, block])``; ``static`` names columns of the cohort. Codes come per stay
+    (``code_cells``) or per patient (``subject_counts``).
 
     Fitted tables are evaluated once; the rows themselves stay lazy until they are written.
     """
@@ -65,15 +67,13 @@ def outputs(
         warnings.warn(f"dynamic imputation {params.dynamic_imputation!r} is not available; using zero", stacklevel=2)
     train = train_of(cohort)
     any_event = train.withColumn("event", survival.any_event())
-    cuts = session.bounded(survival.make_cuts(any_event, params.labels.n_time_bins, params.labels.scheme))
+    cuts = session.held(survival.make_cuts(any_event, params.labels.n_time_bins, params.labels.scheme))
     out: dict[str, DataFrame] = {"cuts": cuts}
 
     rows, names = cohort, []
     if static is not None:
         fit = train if params.static_imputation == "mean" else None
-        parts = static_ops.static_blocks(
-            cohort, static.numeric, static.categorical, static.trailing, fit, params.max_features
-        )
+        parts = static_ops.static_blocks(cohort, static.numeric, static.categorical, static.trailing, fit)
         names = [name for part in parts for name in part.names]
         rows = static_ops.with_static_arrays(cohort, parts)
     keys = [*KEYS, "static", "static_mask"] if static is not None else KEYS
@@ -86,22 +86,23 @@ def outputs(
         windows = events.window_mean(kept, w.window_hours, w.num_windows, ["stay_id", "split"])
         windows = session.barrier(windows, "windows")
         if params.scaling != "none":
-            scaler = session.small(
-                transform.scaler_params(windows, train, w.num_windows, params.fit_on_observed), params.max_features,
-                "scaler",
-            )
+            fitted = transform.scaler_params(windows, train, w.num_windows, params.fit_on_observed)
+            scaler = session.small(fitted, name="scaler")
             out["scaler_params"] = scaler
     else:
         vocab = session.literal_table(spark, [], "feature string, block int, position int")
-    layout = assemble.make_layout(vocab, scaler, names, params.max_features)
+    layout = assemble.make_layout(vocab, scaler, names)
     out["feature_vocab"] = layout.feature_table(spark)
     if cells is not None:
         scaled = transform.scaled(windows, scaler) if scaler is not None else windows
         rows = assemble.tensor_rows(rows, scaled, layout, w.num_windows)
     n_codes = None
-    if code_cells is not None:
+    if code_vocab is not None:
         n_codes = code_vocab.count()
-        rows = codes.vector_per_stay(rows, code_cells, n_codes, "icd")
+        if subject_counts is None:
+            rows = codes.vector_per_stay(rows, code_cells, n_codes, "icd")
+        else:
+            rows = codes.vector_per_subject(rows, subject_counts, code_vocab, n_codes, "icd", params.codes.value)
         out["code_vocab"] = code_vocab
     if vectors is not None:
         rows = reports.with_vectors(rows, vectors, vector_dim, "radiology")
@@ -110,7 +111,7 @@ def outputs(
     modalities = [
         name
         for name, part in
-        [("timeseries", cells), ("static", static), ("icd", code_cells), ("radiology", vectors)]
+        [("timeseries", cells), ("static", static), ("icd", code_vocab), ("radiology", vectors)]
         if part is not None
     ]
     out["run_info"] = session.literal_table(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from cohortframe import session
@@ -13,6 +15,7 @@ from cohortframe.operators import codes as K, cohort as C, events as E, reports
 from cohortframe.params import Codes, Labels, Preparation, Windows
 from cohortframe.plans import common
 from cohortframe.plans.calendar_icu import report_vectors
+from cohortframe.sources import tables
 
 STATIC = common.Static(ED_NUMERIC, ED_CATEGORIES, ["Triage_acuity_ordinal"])
 DEFAULTS = Preparation(
@@ -42,14 +45,14 @@ def first_values(df: DataFrame, cohort: DataFrame, block: int) -> DataFrame:
 
 
 def hourly_cells(
-    cohort: DataFrame, labs: DataFrame, numerics: DataFrame, max_hours: int, max_null_share: float = 0.95
+    cohort: DataFrame, labs: DataFrame | None, numerics: DataFrame | None, max_hours: int, max_null_share: float = 0.95
 ) -> DataFrame:
     """Labs and vitals on ceiled hours since the stay's first measurement.
 
-    ``labs`` and ``numerics`` are ``(stay_id, instant, feature, value, seq)``, lab values as text. Nearly always empty
+    ``labs`` and ``numerics`` (either may be absent) are ``(stay_id, instant, feature, value, seq)``, lab values as text. Nearly always empty
     features and non-numeric values go before the first instant is taken; a text still counts as filled.
     """
-    firsts = E.union_series(first_values(labs, cohort, 0), first_values(numerics, cohort, 1))
+    firsts = E.union_series(*[first_values(part, cohort, i) for i, part in enumerate((labs, numerics)) if part is not None])
     firsts = session.barrier(firsts, "ed_values")
     filled = select.not_sparse(firsts, "instant", max_null_share, ["block"], unique=True).drop("null_share")
     both = select.keep_features(firsts.where(F.col("value").isNotNull()), session.small(filled), ["block", "feature"])
@@ -61,16 +64,28 @@ def hourly_cells(
     return cells.where(F.col("hour") < max_hours)
 
 
-def stay_codes(
+def patient_codes(
     cohort: DataFrame, visits: DataFrame, pmh: DataFrame, params: Preparation
 ) -> tuple[DataFrame, DataFrame]:
-    """Patient-level codes given to each visit. The vocabulary counts rows of all valid patients, or of train ones."""
+    """Vocabulary and rows per patient and code. The vocabulary counts rows of all valid patients, or of train ones."""
     coded = E.members(C.canonical(pmh, {"MRN": "subject_id", "Code": "code"}), visits, "subject_id")
     counts = session.barrier(K.subject_counts(coded), "subject_counts")
     fit = E.members(counts, common.train_of(cohort), "subject_id") if params.codes.fit_on == "train" else counts
-    vocab = session.bounded(K.top_codes(K.total_counts(fit), params.codes.top_n))
-    cells = K.subject_code_cells(cohort, counts, vocab, params.codes.value)
-    return vocab.withColumn("feature", F.concat(F.lit(params.codes.prefix), F.col("code"))), cells
+    vocab = session.held(K.top_codes(K.total_counts(fit), params.codes.top_n))
+    return vocab.withColumn("feature", F.concat(F.lit(params.codes.prefix), F.col("code"))), counts
+
+
+def _series(
+    table: DataFrame | None, time: str, name: str, value: str, formats: Sequence[str]
+) -> DataFrame | None:
+    """``(stay_id, instant, feature, value, seq)`` of a series table, if it is there."""
+    if table is None:
+        return None
+    tables.require_columns(table, ["CSN", time, name, value, "seq"])
+    return table.select(
+        F.col("CSN").alias("stay_id"), S.to_time(time, *formats).alias("instant"), F.col(name).alias("feature"),
+        F.col(value).alias("value"), "seq",
+    )
 
 
 def prepare(
@@ -84,24 +99,20 @@ def prepare(
     encoder: R.Encoder | None = None,
     encoder_dim: int | None = None,
     static: bool = True,
+    time_formats: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """``labs`` and ``numerics`` carry their ingest order in ``seq`` (see ``sources.tables.with_file_order``)."""
+    """Each input may be absent. Texts in time columns are read by the first of ``time_formats`` that fits, after the
+    standard form (``sources.tables.unparsed`` counts those that none fits). ``labs`` and ``numerics`` carry their ingest order in ``seq`` (see ``sources.tables.with_file_order``)."""
     valid = visit_rows(visits, params.labels.horizon_hours)
     cohort = common.split_cohort(C.min_stay(valid, "duration", min_stay_hours), params)
-    cells = code_vocab = code_cells = vectors = dim = None
-    if labs is not None:
-        lab_rows = labs.select(
-            F.col("CSN").alias("stay_id"), S.to_time("Result_time").alias("instant"),
-            F.col("Component_name").alias("feature"), F.col("Component_value").alias("value"), "seq",
-        )
-        vital_rows = numerics.select(
-            F.col("CSN").alias("stay_id"), S.to_time("Time").alias("instant"), F.col("Measure").alias("feature"),
-            F.col("Value").alias("value"), "seq",
-        )
+    cells = code_vocab = counts = vectors = dim = None
+    if labs is not None or numerics is not None:
+        lab_rows = _series(labs, "Result_time", "Component_name", "Component_value", time_formats)
+        vital_rows = _series(numerics, "Time", "Measure", "Value", time_formats)
         cells = hourly_cells(cohort, lab_rows, vital_rows, params.windows.max_hours)
     if pmh is not None:
-        code_vocab, code_cells = stay_codes(cohort, valid, pmh, params)
+        code_vocab, counts = patient_codes(cohort, valid, pmh, params)
     if rads is not None:
         texts = E.members(R.report_text(rads.withColumnRenamed("CSN", "stay_id"), "Study", "Impression"), cohort)
         vectors, dim = report_vectors(texts.select("stay_id", "text"), params, encoder, encoder_dim)
-    return common.outputs(cohort, params, cells, STATIC if static else None, code_cells, code_vocab, vectors, dim)
+    return common.outputs(cohort, params, cells, STATIC if static else None, None, code_vocab, vectors, dim, counts)

@@ -46,14 +46,20 @@ def hourly_labs(lab: DataFrame, max_hours: int) -> DataFrame:
 
 
 def hourly_cells(
-    stays: DataFrame, vital_periodic: DataFrame, vital_aperiodic: DataFrame, lab: DataFrame, max_hours: int
+    stays: DataFrame, vital_periodic: DataFrame | None, vital_aperiodic: DataFrame | None, lab: DataFrame | None, max_hours: int
 ) -> DataFrame:
-    """All series as long hourly cells of the cohort. Hourly means meet the cohort, raw rows never do."""
-    cells = E.union_series(
-        hourly_vitals(vital_periodic, PERIODIC_VITALS, max_hours),
-        hourly_vitals(vital_aperiodic, APERIODIC_VITALS, max_hours),
-        hourly_labs(lab, max_hours),
-    )
+    """All series as long hourly cells of the cohort; any of them may be absent.
+
+    Rows of other stays go before the aggregates; the planner broadcasts the stays' ids where their size allows.
+    """
+    ids = stays.select(F.col("stay_id").alias("_own"))
+
+    def own(df: DataFrame) -> DataFrame:
+        return df.join(ids, F.col("patientunitstayid") == F.col("_own"), "left_semi")
+
+    vitals = ((vital_periodic, PERIODIC_VITALS), (vital_aperiodic, APERIODIC_VITALS))
+    parts = [hourly_vitals(own(df), names, max_hours) for df, names in vitals if df is not None]
+    cells = E.union_series(*parts, *([] if lab is None else [hourly_labs(own(lab), max_hours)]))
     order = {name: i for i, name in enumerate([*PERIODIC_VITALS, *APERIODIC_VITALS])}
     return E.with_split(cells, stays).withColumn("block", S.lookup("feature", order, len(order)))
 
@@ -70,6 +76,6 @@ def prepare(
     stays = cohort_stays(patient, min_stay_hours, params.labels.horizon_hours)
     cohort = common.split_cohort(stays, params)
     cells = None
-    if lab is not None:
+    if any(part is not None for part in (vital_periodic, vital_aperiodic, lab)):
         cells = hourly_cells(cohort, vital_periodic, vital_aperiodic, lab, params.windows.max_hours)
     return common.outputs(cohort, params, cells, STATIC if static else None)

@@ -48,7 +48,7 @@ def ed_series(vitals: DataFrame, labs: DataFrame, edstays: DataFrame) -> DataFra
 def ed_codes(diagnoses: DataFrame, top_n: int) -> tuple[DataFrame, DataFrame]:
     """Vocabulary over all rows and the binary cells of stays that have any of its codes."""
     coded = diagnoses.withColumnRenamed("icd_code", "code")
-    vocab = session.bounded(K.top_codes(K.code_counts(coded), top_n))
+    vocab = session.held(K.top_codes(K.code_counts(coded), top_n))
     return vocab, K.code_cells(coded.select("stay_id", "code"), vocab)
 
 

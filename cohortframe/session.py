@@ -18,6 +18,10 @@ RUNTIME = {
 }
 
 
+#: Rows up to which a written and counted table is marked for broadcast.
+SMALL_ROWS = 100_000
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Set the runtime options the operators count on; sizes and parallelism stay with the cluster."""
     for key, value in RUNTIME.items():
@@ -58,20 +62,15 @@ def literal_table(spark: SparkSession, rows: list, schema: str | StructType) ->
     return spark.createDataFrame(arrow, fields)
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> list:
-    """Collect a table that must be small (a vocabulary, cuts); refuse it when it is not."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"table has more than {max_rows} rows; it cannot be used as metadata")
-    return rows
+def held(df: DataFrame) -> DataFrame:
+    """Evaluate a table once and hold it as a local relation.
 
-
-def bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Evaluate a table that must be small once and hold it as a local relation."""
-    return literal_table(df.sparkSession, bounded_rows(df, max_rows), df.schema)
+    Only for tables that parameters bound: cuts (their number), top-n vocabularies (n), the features of one tensor row.
+    """
+    return literal_table(df.sparkSession, df.collect(), df.schema)
 
 
-def small(df: DataFrame, max_rows: int = 100_000, name: str = "small") -> DataFrame:
+def small(df: DataFrame, max_rows: int = SMALL_ROWS, name: str = "small") -> DataFrame:
     """Write ``df`` once and mark it for broadcast if it really has at most ``max_rows`` rows.
 
     A larger table is left unmarked, so the join is a shuffle join, where AQE splits hot keys.

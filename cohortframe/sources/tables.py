@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from cohortframe import session
@@ -40,13 +40,25 @@ def read_csv_by_name(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
 
 
+def unparsed(df: DataFrame, parsed: Mapping[str, Column]) -> DataFrame:
+    """``(column, n_text, n_unparsed)``: texts of each column, and those of which the parsed expression is NULL."""
+    sums = [
+        F.struct(F.lit(c).alias("column"), F.count(c).alias("n_text"), F.count(F.when(p.isNull(), F.col(c))).alias("n_unparsed"))
+        for c, p in parsed.items()
+    ]
+    return df.agg(F.array(*sums).alias("all")).select(F.inline("all"))
+
+
 def spread_after_gzip(df: DataFrame, partitions: int) -> DataFrame:
     """Split a scan of few unsplittable files over more tasks."""
     return df.repartition(partitions)
 
 
-def read_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names}
+def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
+    """Fail early, and by name, if a table lacks columns that a plan needs."""
+    lacking = [c for c in columns if c not in df.columns]
+    if lacking:
+        raise ValueError(f"columns missing: {', '.join(lacking)}")
 
 
 def with_file_order(df: DataFrame, name: str = "seq") -> DataFrame:

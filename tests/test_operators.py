@@ -170,8 +170,7 @@ def test_code_vectors(frame):
     coded = frame("subject_id int, code string", [(1, "a"), (1, "a"), (1, "b"), (9, "b")])
     counts = K.subject_counts(coded)
     vocab = K.top_codes(K.total_counts(counts), 5)
-    cells = K.subject_code_cells(cohort, counts, vocab)
-    got = {r.stay_id: r.n for r in K.vector_per_stay(cohort, cells, 2, "n").collect()}
+    got = {r.stay_id: r.n for r in K.vector_per_subject(cohort, counts, vocab, 2, "n").collect()}
     assert got == {1: [2.0, 1.0], 2: [2.0, 1.0], 3: [0.0, 0.0]}
 
 
@@ -187,8 +186,6 @@ def test_reports(frame):
     more = texts.unionByName(frame("stay_id bigint, text string", [(1, "..."), (5, "!"), (6, None)]), allowMissingColumns=True)
     native = {r.stay_id: sum(r.embedding) for r in R.hashed_vectors(more, 8).collect()}
     assert native == pytest.approx({1: 0.5, 2: 1.0, 5: 0.0})
-    short = {r.stay_id: r.embedding for r in R.hashed_vectors(texts, 8, max_tokens=1).collect()}
-    assert sorted(short[1]) == [0.0] * 7 + [1.0]
 
 
 def test_split_keeps_patients_together_and_hits_sizes(spark):
@@ -208,15 +205,42 @@ def test_stratified_split(spark):
 def test_histogram_closes_the_top_edge(frame):
     df = frame("v double", [(0.0,), (4.9,), (5.0,), (10.0,)])
     assert rows(report.histogram(df, "v", 2), "bin", "n") == [(0, 2), (1, 2)]
-    assert rows(report.histogram(frame("v double", [(3.0,), (3.0,)]), "v", 5), "bin", "n") == [(0, 2)]
+    assert rows(report.histogram(frame("v double", [(3.0,), (3.0,)]), "v", 3), "bin", "n") == [(0, 2), (1, 0), (2, 0)]
+    assert report.histogram(frame("v double", []), "v", 3).collect() == []
 
 
-def test_sample_is_exact_and_stable(spark):
-    df = spark.range(5000).selectExpr("id as k")
-    got = [r.k for r in report.seeded_sample(df, ["k"], 37).collect()]
-    want = [r.k for r in df.orderBy(report.seeded_order(42, "k")).limit(37).collect()]
-    assert sorted(got) == sorted(want)
-    assert report.seeded_sample(df, ["k"], 9999).count() == 5000
+def test_exact_split_without_held_out_share(spark):
+    df = spark.range(50).selectExpr("id as stay_id", "id as subject_id")
+    assert {r.split for r in split.split_exact(df, Split(1.0, 0.0, 0.0, exact=True)).collect()} == {"train"}
+
+
+def test_feature_unseen_in_train_keeps_its_cells(frame):
+    cells = frame("stay_id bigint, window int, feature string, value double", [(1, 0, "a", 3.0), (2, 0, "b", 5.0)])
+    params = frame("feature string, mean double, scale double", [("a", 1.0, 2.0)])
+    assert rows(transform.scaled(cells, params), "feature", "value") == [("a", 1.0), ("b", 5.0)]
+    vocabulary = frame("feature string, block int, position int", [("a", 0, 0), ("b", 0, 0)])
+    layout = assemble.make_layout(vocabulary, params)
+    out = assemble.tensor_rows(frame("stay_id bigint", [(1,), (2,)]), transform.scaled(cells, params), layout, 1)
+    got = {r.stay_id: (r.x, r.mask) for r in out.collect()}
+    assert got == {1: ([[1.0, 0.0]], [[1.0, 0.0]]), 2: ([[-0.5, 5.0]], [[0.0, 1.0]])}
+
+
+def test_many_features_need_no_limit(spark):
+    vocabulary = spark.range(150_000).selectExpr("concat('f', id) as feature", "0 as block", "0 as position")
+    layout = assemble.make_layout(vocabulary)
+    cells = spark.createDataFrame([(1, 0, "f149999", 2.0)], "stay_id bigint, window int, feature string, value double")
+    row = assemble.tensor_rows(spark.createDataFrame([(1,)], "stay_id bigint"), cells, layout, 1).first()
+    assert len(row.x[0]) == 150_000 and sum(row.mask[0]) == 1.0
+
+
+def test_times_in_other_forms(frame):
+    from cohortframe.functions import scalars as S
+    from cohortframe.sources import tables
+
+    df = frame("t string", [("2024-02-01 10:00:00",), ("01/02/2024 10:00",), ("soon",), (None,)])
+    parsed = S.to_time("t", "dd/MM/yyyy HH:mm")
+    assert [r.h for r in df.select(F.hour(parsed).alias("h")).collect()] == [10, 10, None, None]
+    assert rows(tables.unparsed(df, {"t": parsed}), "column", "n_text", "n_unparsed") == [("t", 3, 1)]
 
 
 def test_unseen_outcome_is_listed(frame):

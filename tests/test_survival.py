@@ -130,3 +130,15 @@ def test_band(frame, five):
 def test_event_count():
     assert survival.event_count({0: "a", 1: "b", 2: "c", 3: "d"}, True) == 3
     assert survival.event_count({0: "a", 1: "b"}, False) == 1
+
+
+def test_cuts_with_events_at_time_zero(frame):
+    """The curve then has no point (0, 1): it falls from 0.8 to 0, and steps of 0.4 end at 0, 2 and 4."""
+    zero = frame(LABELS, [(i, float(i), 1) for i in range(5)])
+    assert [r.cut for r in survival.km_cuts(zero, 3).orderBy("cut_idx").collect()] == [0.0, 2.0, 4.0]
+
+
+def test_events_after_the_grid_are_censored(frame):
+    cuts = frame("cut_idx int, cut double", [(0, 0.0), (1, 5.0)])
+    got = survival.discretise_labels(frame(LABELS, [(0, 9.0, 2), (1, 5.0, 2), (2, 9.0, 0)]), cuts).orderBy("stay_id").collect()
+    assert [(r.event, r.event_idx, r.duration_idx) for r in got] == [(2, 0, 1), (2, 2, 1), (0, 0, 1)]
