@@ -5,15 +5,18 @@ The raw tables are written once as SQL that both engines run; only the timestamp
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from cohortframe import session
 from cohortframe.catalog.base import Tables, query, r6, split_sql
 from cohortframe.functions import scalars as S
-from cohortframe.functions.fixed import APERIODIC_VITALS, PERIODIC_VITALS
+from cohortframe.functions.fixed import APERIODIC_VITALS, ED_CATEGORIES, ED_NUMERIC, PERIODIC_VITALS
 from cohortframe.operators import assemble
 from cohortframe.params import Codes, Labels, Preparation, Reports, Windows
 from cohortframe.plans import calendar_icu, emergency, offset_icu, prepare
+from cohortframe.sources import tables
 
 _DAY0 = 1_704_067_200_000_000  # 2024-01-01 in epoch microseconds
 _START = f"({_DAY0} + (dayofyear(o_orderdate) % 30) * 86400000000)"
@@ -102,8 +105,17 @@ def _ctes(sources: dict) -> str:
     return ",\n".join(f"{name} AS ({sql})" for name, sql in texts.items())
 
 
-def _assembled_sql(raw: dict, body: str, windows: Windows, denominator: str) -> str:
-    """From the CTEs ``cohort``, ``cells``, ``numeric`` and ``hot`` of ``body`` to the unrolled tensor."""
+def _assembled_ctes(
+    raw: dict, body: str, windows: Windows, denominator: str, block: str, numeric: Sequence[str],
+    categorical: Sequence[str], trailing: Sequence[str] = (), least: float = 0.01,
+) -> str:
+    """From the CTEs ``cohort``, ``cells``, ``numeric`` and ``hot`` of ``body`` to the unrolled tensor, a row per window.
+
+    Features stand by ``block`` (an SQL expression) and name, then numeric columns, levels by column, trailing columns.
+    """
+    fixed = [(c, 1, i) for i, c in enumerate(numeric)] + [(c, 3, i) for i, c in enumerate(trailing)]
+    fixed_rows = " UNION ALL ".join(f"SELECT '{c}', {a}, {i}" for c, a, i in fixed)
+    column = " ".join(f"WHEN feature LIKE '{c}\\_%' ESCAPE '\\' THEN {i}" for i, c in enumerate(categorical))
     counts = {
         "rows": "SELECT count(*) AS n FROM (SELECT DISTINCT stay_id, hour FROM tr)",
         "grid": f"SELECT count(*) * {windows.max_hours} AS n FROM cohort WHERE split = 'train'",
@@ -112,7 +124,7 @@ def _assembled_sql(raw: dict, body: str, windows: Windows, denominator: str) ->
     return f"""WITH {_ctes(raw)}, {body},
 tr AS (SELECT c.* FROM cells c JOIN cohort ON cohort.stay_id = c.stay_id WHERE split = 'train'),
 den AS ({counts[denominator]}),
-kept AS (SELECT feature FROM tr GROUP BY feature HAVING count(value) / (SELECT n::DOUBLE FROM den) >= 0.01),
+kept AS (SELECT feature FROM tr GROUP BY feature HAVING count(value) / (SELECT n::DOUBLE FROM den) >= {least}),
 win AS (SELECT stay_id, CAST(floor(hour / {windows.window_hours}.0) AS INTEGER) AS w, feature, avg(value) AS value FROM cells
         WHERE value IS NOT NULL GROUP BY 1, 2, 3),
 grid AS (SELECT c.stay_id, c.split, CAST(r.range AS INTEGER) AS w, k.feature, value FROM cohort c CROSS JOIN range({windows.num_windows}) r
@@ -131,26 +143,35 @@ flat AS (
   SELECT c.stay_id, CAST(r.range AS INTEGER), l.feature, CASE WHEN h.feature IS NULL THEN 0.0 ELSE 1.0 END, 1
   FROM cohort c CROSS JOIN range({windows.num_windows}) r CROSS JOIN levels l
   LEFT JOIN hot h ON h.stay_id = c.stay_id AND h.feature = l.feature),
-weight AS (SELECT feature, row_number() OVER (ORDER BY feature) AS k FROM (SELECT DISTINCT feature FROM flat))
+order_ AS (SELECT feature, 0 AS a, {block} AS b FROM kept UNION ALL {fixed_rows}
+  UNION ALL SELECT feature, 2, CASE {column} END FROM levels),
+place AS (SELECT feature, row_number() OVER (ORDER BY a, b, feature) AS k FROM order_),
+windows AS (
 SELECT f.stay_id, f.w AS "window", any_value(split) AS split, round(any_value(duration), 9) AS duration, any_value(event) AS event,
-  round(sum(CAST(f.value AS FLOAT)::DOUBLE * k), 3) AS total, string_agg(CAST(mask AS VARCHAR), '' ORDER BY k) AS observed
-FROM flat f JOIN cohort c ON c.stay_id = f.stay_id JOIN weight ON weight.feature = f.feature GROUP BY f.stay_id, f.w"""
+  string_agg(f.feature || '=' || CAST(CAST(round(CAST(f.value AS FLOAT)::DOUBLE * 10000) AS BIGINT) AS VARCHAR) || '/' || CAST(mask AS VARCHAR),
+    ' ' ORDER BY k) AS cells
+FROM flat f JOIN cohort c ON c.stay_id = f.stay_id JOIN place ON place.feature = f.feature GROUP BY f.stay_id, f.w)"""
+
 
+def _assembled_sql(*args, **kwargs) -> str:
+    return f"{_assembled_ctes(*args, **kwargs)} SELECT * FROM windows"
 
-def _per_window(outputs: dict[str, DataFrame]) -> DataFrame:
-    """One row per stay and window: the values weighted by the rank of their feature's name, and the mask in that order."""
-    vocab = outputs["feature_vocab"].collect()
-    by_name = F.array(*[F.lit(r.idx) for r in sorted(vocab, key=lambda r: r.feature)])
-    rows = outputs["rows"].select("stay_id", "split", F.round("duration", 9).alias("duration"), "event", "mask",
+
+def _per_window(outputs: dict[str, DataFrame], *more: str) -> DataFrame:
+    """One row per stay and window: every cell with its feature, value (four decimals) and mask, in feature order."""
+    vocab = sorted(outputs["feature_vocab"].collect(), key=lambda r: r.idx)
+    names = F.array(*[F.lit(r.feature) for r in vocab])
+    rows = outputs["rows"].select("stay_id", "split", F.round("duration", 9).alias("duration"), "event", "mask", *more,
                                   F.posexplode("x").alias("window", "_x"))
     rows = rows.withColumn("_m", F.get("mask", F.col("window")))
-    weighted = F.transform(by_name, lambda i, k: F.get("_x", i).cast("double") * (k + 1))
-    bits = F.transform(by_name, lambda i: F.get("_m", i).cast("int").cast("string"))
-    return rows.select(
-        "stay_id", "window", "split", "duration", "event",
-        F.round(F.aggregate(weighted, F.lit(0.0), lambda a, v: a + v), 3).alias("total"),
-        F.array_join(bits, "").alias("observed"),
+    cells = F.transform(
+        "_x",
+        lambda x, i: F.concat(
+            F.get(names, i), F.lit("="), F.round(x.cast("double") * 10000).cast("bigint").cast("string"), F.lit("/"),
+            F.get("_m", i).cast("int").cast("string"),
+        ),
     )
+    return rows.select("stay_id", "window", "split", "duration", "event", F.array_join(cells, " ").alias("cells"), *more)
 
 
 # --- offset ICU -------------------------------------------------------------------------------------------------------
@@ -185,7 +206,14 @@ hot AS (SELECT stay_id, 'gender_' || gender AS feature FROM cohort WHERE gender
   UNION ALL SELECT stay_id, 'unitstaytype_' || unitstaytype FROM cohort WHERE unitstaytype IS NOT NULL)"""
 
 
-@query("offset_icu_dataset", _assembled_sql(OFFSET_RAW, _OFFSET_BODY, _WIDE, "rows"))
+_VITALS = [*PERIODIC_VITALS, *APERIODIC_VITALS]
+_OFFSET_BLOCK = f"coalesce(list_position({_VITALS!r}, feature), {len(_VITALS) + 1})"
+
+
+@query(
+    "offset_icu_dataset",
+    _assembled_sql(OFFSET_RAW, _OFFSET_BODY, _WIDE, "rows", _OFFSET_BLOCK, ["age"], ["gender", "ethnicity", "unitstaytype"]),
+)
 def offset_icu_dataset(t: Tables):
     return _per_window(offset_icu.prepare(**_raw(t, OFFSET_RAW), params=_OFFSET))
 
@@ -228,7 +256,7 @@ hot AS (SELECT stay_id, 'gender_' || gender AS feature FROM cohort UNION ALL SEL
 
 @query(
     "calendar_icu_dataset",
-    _assembled_sql(CALENDAR_RAW, _CALENDAR_BODY, _WIDE, "grid").replace(">= 0.01),", ">= 0.0005),"),
+    _assembled_sql(CALENDAR_RAW, _CALENDAR_BODY, _WIDE, "grid", "0", ["anchor_age"], ["gender", "first_careunit", "admission_type"], least=0.0005),
 )
 def calendar_icu_dataset(t: Tables):
     raw = _raw(t, CALENDAR_RAW, "icustays", "patients", "admissions", "chartevents", "labevents")
@@ -264,11 +292,21 @@ _TOKENS = "list_filter(regexp_split_to_array(lower({}), '[^\\p{{L}}\\p{{N}}]+'),
 
 
 def _reports_sql(texts: str) -> str:
+    return f"""{_reports_ctes(texts)} {_REPORTS_SELECT}"""
+
+
+def _reports_select(texts: str) -> str:
+    return f"""WITH {_reports_ctes(texts)} {_REPORTS_SELECT}"""
+
+
+def _reports_ctes(texts: str) -> str:
     return f"""texts AS (SELECT stay_id, {_TOKENS.format('text')} AS w FROM ({texts})),
     n AS (SELECT stay_id, count(*) AS n FROM texts GROUP BY 1),
     s AS (SELECT stay_id, 1.0::DOUBLE / len(w) AS share, unnest(w) AS tok FROM texts WHERE len(w) > 0),
-    b AS (SELECT stay_id, ('0x' || substr(md5(tok), 1, 4))::INTEGER % 16 AS pos, sum(share) AS v FROM s GROUP BY 1, 2)
-    SELECT c.stay_id, CAST(p.range AS INTEGER) AS pos, CAST(CASE WHEN n.n IS NULL THEN 0 ELSE 1 END AS INTEGER) AS has_radiology,
+    b AS (SELECT stay_id, ('0x' || substr(md5(tok), 1, 13))::BIGINT % 16 AS pos, sum(share) AS v FROM s GROUP BY 1, 2)"""
+
+
+_REPORTS_SELECT = """SELECT c.stay_id, CAST(p.range AS INTEGER) AS pos, CAST(CASE WHEN n.n IS NULL THEN 0 ELSE 1 END AS INTEGER) AS has_radiology,
       round(CAST(coalesce(v / n.n, 0.0) AS FLOAT)::DOUBLE, 5) AS value
     FROM cohort c CROSS JOIN range(16) p LEFT JOIN n ON n.stay_id = c.stay_id
     LEFT JOIN b ON b.stay_id = c.stay_id AND b.pos = p.range"""
@@ -330,7 +368,13 @@ hot AS (SELECT stay_id, 'Race_' || Race AS feature FROM cohort UNION ALL SELECT
   UNION ALL SELECT stay_id, 'Ethnicity_' || Ethnicity FROM cohort)"""
 
 
-@query("emergency_dataset", _assembled_sql(EMERGENCY_RAW, _ED_BODY, Windows(6, 1), "grid_nonempty"))
+_ED_BLOCK = "CASE WHEN feature IN (SELECT feature FROM lab_kept) THEN 0 ELSE 1 END"
+_ED_CTES = _assembled_ctes(
+    EMERGENCY_RAW, _ED_BODY, Windows(6, 1), "grid_nonempty", _ED_BLOCK, ED_NUMERIC, ED_CATEGORIES, ["Triage_acuity_ordinal"]
+)
+
+
+@query("emergency_dataset", f"{_ED_CTES} SELECT * FROM windows")
 def emergency_dataset(t: Tables):
     return _per_window(emergency.prepare(**_raw(t, EMERGENCY_RAW, "visits", "labs", "numerics"), params=_EMERGENCY))
 
@@ -360,6 +404,34 @@ def emergency_reports(t: Tables):
     return rows.select("stay_id", "pos", "has_radiology", F.round(F.col("v").cast("double"), 5).alias("value"))
 
 
+@query(
+    "emergency_all_parts",
+    f"""{_ED_CTES}, mine AS (SELECT MRN, Code AS code FROM pmh WHERE MRN IN (SELECT MRN FROM valid)),
+    {_VOCAB.format(past="mine")}, per_code AS (SELECT MRN, code, count(*) AS k FROM mine GROUP BY 1, 2),
+    coded AS (SELECT c.stay_id, string_agg(CAST(coalesce(n.k, 0) AS VARCHAR), ',' ORDER BY v.idx) AS codes
+      FROM cohort c CROSS JOIN vocab v LEFT JOIN per_code n ON n.MRN = c.subject_id AND n.code = v.code GROUP BY 1),
+    reported AS ({_reports_select("SELECT CSN AS stay_id, Study || ' ' || Impression AS text FROM rads WHERE CSN IN (SELECT stay_id FROM cohort)")}),
+    vectors AS (SELECT stay_id, string_agg(CAST(CAST(round(value * 1000) AS BIGINT) AS VARCHAR), ',' ORDER BY pos) AS radiology FROM reported GROUP BY 1)
+    SELECT w.*, codes, radiology, CAST(3 AS INTEGER) AS n_events, CAST(12 AS INTEGER) AS n_codes,
+      (SELECT count(*) FROM scaler) AS n_scaled, list_aggregate(['timeseries', 'static', 'icd', 'radiology'], 'string_agg', ',') AS parts
+    FROM windows w JOIN coded USING (stay_id) JOIN vectors USING (stay_id)""",
+)
+def emergency_all_parts(t: Tables):
+    """One data set with series, static columns, codes and reports, written and read back with its small tables."""
+    path = session.fresh_path(t.spark, "dataset")
+    tables.write_dataset(emergency.prepare(**_raw(t, EMERGENCY_RAW, "visits", "labs", "numerics", "pmh", "rads"), params=_EMERGENCY), path)
+    out = tables.read_dataset(t.spark, path)
+    info = out["run_info"].first()
+    vector = F.transform("radiology", lambda v: F.round(F.round(v.cast("double"), 5) * 1000).cast("bigint").cast("string"))
+    windows = _per_window(out, "icd", "radiology")
+    return windows.withColumns({"codes": _bits("icd"), "radiology": F.array_join(vector, ",")}).drop("icd").withColumns(
+        {
+            "n_events": F.lit(info.n_events), "n_codes": F.lit(info.n_codes), "n_scaled": F.lit(out["scaler_params"].count()).cast("bigint"),
+            "parts": F.lit(",".join(info.active_modalities)),
+        }
+    )
+
+
 # --- stand-alone reshapes ---------------------------------------------------------------------------------------------
 
 
