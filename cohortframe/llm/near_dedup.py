@@ -6,10 +6,13 @@ the first filled bucket in a fixed random order of their own. Four registers are
 candidates; the share of equal registers, corrected for chance collisions, estimates their similarity; pairs that may
 reach the threshold are verified on the full shingle sets.
 
-Documents with equal sets form a class first, and only its smallest id goes on. Pairs of a bucket are not all formed:
-its members meet its leader; members that this joins into one component need no further pairs; what is left of other
-components in the bucket meets a new leader, and finally, once the pairs across components are few, each of them is
-tested. So no candidate is dropped and no link between different texts is lost.
+Documents with equal sets form a class first, and only its smallest id goes on. Pairs of a bucket are not all formed.
+A shingle that no other candidate document holds is shared with none, so a document with too many of them is linked with
+nothing. The member with the smallest share of them leads the bucket, and the others are compared with it. Members that
+this joins into one component need no further pairs. For two members of different components the overlap with the leader
+bounds their own: what they share lies within the leader, or among the shingles of both that the leader lacks and that
+occur elsewhere. Only pairs that this bound leaves open are tested, if need be after further leaders have been tried. So
+no candidate is dropped and no link between different texts is lost.
 
 A document without words has no set and is linked with nothing. With fewer words than a shingle the whole sequence is one
 shingle. A null id is larger than any other and reported as null. Rows with one id are one document whose set is that of
@@ -33,8 +36,8 @@ BUCKETS, ROWS = 128, 4
 ZERO_BITS, MANTISSA_BITS = 6, 10
 #: Standard errors below the threshold at which an estimate still leads to verification.
 SLACK = 5.0
-#: Pairs across components, for each member of a bucket, that are tested one by one rather than by another leader.
-PAIRS_PER_MEMBER, MAX_LEADER_ROUNDS = 4, 6
+#: Open pairs for each member of a bucket that are tested one by one rather than after one more leader; the most leaders.
+PAIRS_PER_MEMBER, MAX_LEADERS = 64, 3
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: For each bucket, the rank of every bucket in its order.
@@ -143,18 +146,34 @@ def _may_reach(least: float):
     return run
 
 
-def _verify(size: int, similar: int):
+def _overlap(size: int):
+    """The number of shingles that two texts share."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, last_id, last = WordHashes(), None, None
         for batch in batches:
-            ok = []
-            for a, b, ta, tb in zip(*(c for c in batch.columns)):
+            both = []
+            for _, b, ta, tb in zip(*(c for c in batch.columns)):
                 if b.as_py() != last_id:
                     last_id, last = b.as_py(), shingles(tb.as_py(), hashes, size)
-                s = shingles(ta.as_py(), hashes, size)
-                both = len(np.intersect1d(s, last, assume_unique=True))
-                ok.append(100 * both >= similar * (len(s) + len(last) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+                both.append(len(np.intersect1d(shingles(ta.as_py(), hashes, size), last, assume_unique=True)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64())], names=["a", "b", "o"])
+
+    return run
+
+
+def _single(size: int):
+    """All shingles of all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [shingles(t.as_py(), hashes, size) for t in part.column(1)]
+                ids = np.repeat(part.column(0).to_numpy(), [len(s) for s in sets])
+                h = np.concatenate(sets).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(h)], names=["id", "h"])
 
     return run
 
@@ -171,8 +190,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = barrier(
         full.groupBy("digest").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("sig").alias("sig")), "classes"
     )
-    links = _links(texts, classes, size, similar)
-    groups = components(links).select(F.col("id").alias("rep"), F.col("component").alias("least"))
+    groups = _groups(texts, classes, size, similar).select(F.col("id").alias("rep"), F.col("component").alias("least"))
     final = (
         classes.select("digest", F.col("id").alias("rep")).join(groups, "rep", "left")
         .select(F.col("digest").alias("d"), F.coalesce("least", "rep").alias("least"))
@@ -187,21 +205,29 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def _links(texts: DataFrame, classes: DataFrame, size: int, similar: int) -> DataFrame:
-    """Verified pairs (a, b) of class representatives, enough to join all that are linked."""
+def _groups(texts: DataFrame, classes: DataFrame, size: int, similar: int) -> DataFrame:
+    """``id, component`` of the class representatives that are linked with any other."""
     bits = F.hex("sig")
     bands = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS // ROWS - 1)), lambda i: F.xxhash64(i, F.substr(bits, i * 4 * ROWS + 1, F.lit(4 * ROWS))))
     rows = classes.select("id", F.explode(bands).alias("band"))
-    shared = rows.groupBy("band").agg(F.count("*").alias("c"), F.min("id").alias("leader")).where("c > 1").select(F.col("band").alias("k"), "leader")
-    members = barrier(rows.join(shared, F.col("band") == F.col("k")).select("band", "id", "leader"), "members")
-    pairs = members.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-    involved = members.select("id").distinct()
-    few = barrier(texts.join(involved.withColumnRenamed("id", "i"), F.col("id") == F.col("i")).groupBy("id").agg(F.min("text").alias("text")), "texts")
-
-    def verified(pairs: DataFrame) -> DataFrame:
+    shared = rows.groupBy("band").agg(F.count("*").alias("c")).where("c > 1").select(F.col("band").alias("k"))
+    members = barrier(rows.join(shared, F.col("band") == F.col("k")).select("band", "id"), "members")
+    involved = members.select(F.col("id").alias("i")).distinct()
+    few = barrier(texts.join(involved, F.col("id") == F.col("i")).groupBy("id").agg(F.min("text").alias("text")), "texts")
+    # u: shingles of a candidate that no other candidate holds.
+    alone = few.mapInArrow(_single(size), "id bigint, h bigint").groupBy("h").agg(F.count("*").alias("c"), F.min("id").alias("i"))
+    alone = alone.where("c = 1").groupBy("i").agg(F.count("*").alias("u"))
+    sizes = classes.select("id", "n").join(alone, F.col("id") == F.col("i")).select("id", "n", "u")
+    sizes = sizes.unionByName(classes.join(alone, F.col("id") == F.col("i"), "left_anti").select("id", "n", F.lit(0).cast("bigint").alias("u")))
+    possible = barrier(sizes.where(100 * (F.col("n") - F.col("u")) >= similar * F.col("n")).withColumnRenamed("id", "i"), "sizes")
+    open_ = members.join(possible, F.col("id") == F.col("i")).select("band", "id", "n", "u")
+
+    j = similar / 100
+    least = j - SLACK * (j * (1 - j) / BUCKETS) ** 0.5
+
+    def overlaps(pairs: DataFrame) -> DataFrame:
+        """a, b, o and whether they are linked, for the pairs whose registers agree enough."""
         side = lambda x: classes.select(F.col("id").alias(f"i{x}"), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
-        j = similar / 100
-        least = j - SLACK * (j * (1 - j) / BUCKETS) ** 0.5
         close = (
             pairs.join(side("a"), F.col("a") == F.col("ia")).join(side("b"), F.col("b") == F.col("ib"))
             .select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_may_reach(least), "a bigint, b bigint")
@@ -209,34 +235,61 @@ def _links(texts: DataFrame, classes: DataFrame, size: int, similar: int) -> Dat
         close = barrier(close, "close")
         text = lambda x: few.select(F.col("id").alias(f"i{x}"), F.col("text").alias(f"t{x}"))
         both = close.join(text("a"), F.col("a") == F.col("ia")).join(text("b"), F.col("b") == F.col("ib"))
-        return both.select("a", "b", "ta", "tb").mapInArrow(_verify(size, similar), "a bigint, b bigint")
-
-    links = barrier(verified(pairs), "links")
-    turn = 0
+        found = both.select("a", "b", "ta", "tb").mapInArrow(_overlap(size), "a bigint, b bigint, o bigint")
+        n = lambda x: classes.select(F.col("id").alias(f"i{x}"), F.col("n").alias(f"n{x}"))
+        found = found.join(n("a"), F.col("a") == F.col("ia")).join(n("b"), F.col("b") == F.col("ib"))
+        linked = 100 * F.col("o") >= similar * (F.col("na") + F.col("nb") - F.col("o"))
+        return barrier(found.select("a", "b", "o", linked.alias("linked")), "overlaps")
+
+    def joined(known: DataFrame | None, new: DataFrame) -> DataFrame:
+        """Components so far with new links; what is known stands as one edge for each member."""
+        edges = new if known is None else new.unionAll(known.select(F.col("id").alias("a"), F.col("component").alias("b")))
+        return components(edges)
+
+    known, turn = None, 0
     while True:
         turn += 1
-        known = components(links).withColumnRenamed("id", "i")
-        left = members.join(known, F.col("id") == F.col("i"), "left").select("band", "id", F.coalesce("component", "id").alias("comp"))
-        sizes = left.groupBy("band", "comp").agg(F.count("*").alias("c")).groupBy("band").agg(
-            F.count("*").alias("comps"), F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("squares"))
-        mixed = sizes.where("comps > 1").select(F.col("band").alias("k"), ((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("work"), "n")
-        left = barrier(left.join(mixed, F.col("band") == F.col("k")).select("band", "id", "comp", "work", "n"), "left")
-        work, n = left.select(F.sum(F.col("work") / F.col("n")), F.count("*")).first()
+        lead = F.min(F.struct(F.col("u") / F.col("n"), F.col("id").alias("leader")))
+        leaders = open_.groupBy("band").agg(lead.alias("l"), F.count("*").alias("c")).where("c > 1").select(F.col("band").alias("k"), "l.leader")
+        led = barrier(open_.join(leaders, F.col("band") == F.col("k")).where("id <> leader").select("band", "id", "n", "u", "leader"), "led")
+        met = overlaps(led.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
+        known = joined(known, met.where("linked").select("a", "b"))
+        # o: overlap with the leader; r: what the leader lacks and others hold. Both at their most where not measured.
+        rest = F.col("n") - F.col("u")
+        left = led.join(met, (F.col("id") == F.col("a")) & (F.col("leader") == F.col("b")), "left")
+        left = left.select("band", "id", "n", "u", F.coalesce("o", rest).alias("o"), F.coalesce(rest - F.col("o"), rest).alias("r"))
+        left = left.join(known.withColumnRenamed("id", "i"), F.col("id") == F.col("i"), "left").select("band", "id", "n", "u", "o", "r", F.coalesce("component", "id").alias("comp"))
+        left = barrier(left, "left")
+        # The best that a member may reach with any other of its bucket.
+        most = left.groupBy("band").agg(F.min("n").alias("n0"), F.max("o").alias("o0"), F.max("r").alias("r0")).withColumnRenamed("band", "k")
+        best = F.least(rest, F.least("o", "o0") + F.least("r", "r0"))
+        left = left.join(most, F.col("band") == F.col("k")).where(100 * best >= similar * (F.col("n") + F.greatest(F.col("n0"), best) - best)).drop("k", "n0", "o0", "r0")
+        counts = left.groupBy("band", "comp").agg(F.count("*").alias("c")).groupBy("band").agg(
+            F.count("*").alias("comps"), F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("squares"))
+        mixed = counts.where("comps > 1").select(F.col("band").alias("k"), ((F.col("all") * F.col("all") - F.col("squares")) / 2 / F.col("all")).alias("work"))
+        left = barrier(left.join(mixed, F.col("band") == F.col("k")).drop("k"), "left")
+        work, n = left.select(F.sum("work"), F.count("*")).first()
         if not n:
-            return links
-        if work <= PAIRS_PER_MEMBER * n or turn > MAX_LEADER_ROUNDS:
+            return known
+        if work <= PAIRS_PER_MEMBER * n or turn >= MAX_LEADERS:
             break
-        order = F.struct(F.xxhash64(F.lit(turn), "band", "id").alias("o"), F.col("id").alias("leader"), F.col("comp").alias("leads"))
-        leaders = left.groupBy("band").agg(F.min(order).alias("l")).select(F.col("band").alias("k"), "l.leader", "l.leads")
-        more = left.join(leaders, F.col("band") == F.col("k")).where("comp <> leads")
-        more = more.select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b")).distinct()
-        links = barrier(links.unionAll(verified(more)), "links")
-    # Every remaining pair across components. A side is dealt by band and by a part of its members, so that a large
-    # bucket is many tasks: parts of one side meet copies of the other.
-    other = left.select(F.col("band").alias("k"), F.col("id").alias("b"), F.col("comp").alias("other"))
-    rest = left.join(other, (F.col("band") == F.col("k")) & (F.col("comp") < F.col("other")))
-    rest = rest.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
-    return links.unionAll(barrier(verified(rest), "links"))
+        open_ = left.select("band", "id", "n", "u")
+    # Every pair across components that the bounds leave open, in the first bucket that both are in.
+    buckets = left.groupBy("id").agg(F.collect_set("band").alias("bands")).withColumnRenamed("id", "i")
+    left = left.join(buckets, F.col("id") == F.col("i")).drop("i")
+    left = left.join(classes.select(F.col("id").alias("i"), "sig"), F.col("id") == F.col("i"))
+    names = ["band", "id", "n", "u", "o", "r", "comp", "bands", "sig"]
+    one, two = (left.select(*[F.col(c).alias(f"{c}{x}") for c in names]) for x in (1, 2))
+    c = lambda name, f: f(F.col(f"{name}1"), F.col(f"{name}2"))
+    bound = F.least(F.least(F.col("n1") - F.col("u1"), F.col("n2") - F.col("u2")), c("o", F.least) + c("r", F.least))
+    may = (F.col("comp1") < F.col("comp2")) & (100 * bound >= similar * (F.col("n1") + F.col("n2") - bound))
+    first = F.array_min(c("bands", F.array_intersect)) == F.col("band1")
+    # The estimate without its correction is never below the one with it.
+    place = F.sequence(F.lit(0), F.lit(BUCKETS - 1))
+    alike = F.filter(place, lambda i: c("sig", lambda a, b: F.substr(a, 2 * i + 1, F.lit(2)) == F.substr(b, 2 * i + 1, F.lit(2))))
+    rest = one.join(two, (F.col("band1") == F.col("band2")) & may & first & (F.size(alike) >= least * BUCKETS))
+    rest = rest.select(c("id", F.greatest).alias("a"), c("id", F.least).alias("b"))
+    return joined(known, overlaps(rest).where("linked").select("a", "b"))
 
 
 @query("op5_near_dedup")
