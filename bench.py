@@ -18,7 +18,9 @@ HEADLINE = [
     "one_hot", "static_matrix", "code_top_n", "code_multi_hot", "code_counts", "scaler_params", "tensor_rows",
     "vector_mean_pool", "report_embedding", "km_curve", "km_curve_fine", "aj_cif", "km_cuts", "discretise_labels",
     "duration_stats", "duration_histogram", "trajectory_stats", "dataset_roundtrip", "offset_icu_dataset",
-    "calendar_icu_dataset", "emergency_dataset",
+    "calendar_icu_dataset", "emergency_dataset", "calendar_icu_codes", "calendar_icu_reports", "emergency_codes",
+    "emergency_reports", "emergency_all_parts", "stratified_split", "code_frequency", "codes_per_stay_hist",
+    "embedding_value_hist",
 ]
 
 

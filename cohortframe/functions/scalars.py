@@ -118,9 +118,3 @@ def scatter(cells, size: int, default: Column | None = None) -> Column:
     missing = F.lit(None) if default is None else default
     base = F.array_repeat(missing.cast("double"), size)
     return overlay(base, cells, lambda cell: cell["value"].cast("double"))
-
-
-def rows_of(flat, rows: int, columns: int) -> Column:
-    """A flat array as ``rows`` slices of ``columns`` consecutive elements."""
-    index = F.array(*[F.lit(r) for r in range(rows)])
-    return let(flat, lambda a: F.transform(index, lambda r: F.slice(a, r * F.lit(columns) + 1, columns)))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
 from cohortframe import session
 from cohortframe.functions import scalars as S
@@ -67,11 +70,6 @@ def make_layout(dynamic: DataFrame, params: DataFrame | None = None, static: Seq
     return Layout([r["feature"] for r in rows], [r["fill"] for r in rows], list(static))
 
 
-def _floats(values: list) -> Column:
-    """A constant array; written as JSON so that the plan holds one literal, not one per feature."""
-    return F.from_json(F.lit(json.dumps(values)), "array<double>").cast("array<float>")
-
-
 def _positions(spark: SparkSession, names: list) -> DataFrame:
     """Slots by name; a long list is written and joined by shuffle."""
     table = session.literal_table(spark, [(name, i) for i, name in enumerate(names)], "feature string, _idx int")
@@ -91,23 +89,59 @@ def tensor_rows(cohort: DataFrame, cells: DataFrame, layout: Layout, num_windows
     dense form appears inside the task that writes the row. Columns ``static`` and ``static_mask`` of the cohort, if
     there, are appended to every window and dropped.
     """
-    spark = cohort.sparkSession
     nd = layout.n_dynamic
-    placed = cells.join(_positions(spark, layout.dynamic), "feature")
+    placed = cells.join(_positions(cohort.sparkSession, layout.dynamic), "feature")
     packed = _packed(placed, F.col("window") * F.lit(nd) + F.col("_idx"), "_cells")
     out = cohort.join(packed, "stay_id", "left")
-    value = S.overlay(_floats(layout.dynamic_fill * num_windows), "_cells", lambda c: c["value"].cast("float"))
-    seen = S.overlay(_floats([0.0] * nd * num_windows), "_cells", lambda c: F.lit(1.0).cast("float"))
-
-    def window_rows(flat: Column, static_part: str) -> Column:
-        rows = S.rows_of(flat, num_windows, nd)
-        if static_part not in cohort.columns:
-            return rows
-        return S.let(F.col(static_part), lambda s: F.transform(rows, lambda row: F.concat(row, s)))
-
-    return out.withColumns({"x": window_rows(value, "static"), "mask": window_rows(seen, "static_mask")}).drop(
-        "_cells", "static", "static_mask"
-    )
+    parts = [c for c in ("static", "static_mask") if c in cohort.columns]
+    kept = [f for f in cohort.schema if f.name not in parts]
+    grid = ArrayType(ArrayType(FloatType()))
+    schema = StructType([*kept, StructField("x", grid), StructField("mask", grid)])
+    dense = _Dense(np.array(layout.dynamic_fill, np.float32), num_windows, len(kept), len(parts))
+    return out.select(*[f.name for f in kept], "_cells", *parts).mapInArrow(dense.run, schema)
+
+
+@dataclass
+class _Dense:
+    """Scatters the cells of a batch into dense values and mask: one assignment each, static slots appended."""
+
+    fill: np.ndarray
+    num_windows: int
+    n_kept: int
+    n_parts: int
+    most_floats: int = 8_000_000
+
+    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            width = len(self.fill)
+            if self.n_parts and batch.num_rows:
+                width += len(batch.column(self.n_kept + 1)[0])
+            step = max(1, self.most_floats // max(1, width * self.num_windows))
+            for at in range(0, batch.num_rows, step):
+                yield self._rows(batch.slice(at, step))
+
+    def _rows(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        n, windows, nd = batch.num_rows, self.num_windows, len(self.fill)
+        cells = batch.column(self.n_kept)
+        flat = cells.flatten()
+        row = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(cells), 0).to_numpy(zero_copy_only=False))
+        pos = pc.struct_field(flat, "pos").to_numpy(zero_copy_only=False)
+        x = np.tile(self.fill, (n, windows))
+        mask = np.zeros((n, windows * nd), np.float32)
+        x[row, pos] = pc.struct_field(flat, "value").to_numpy(zero_copy_only=False)
+        mask[row, pos] = 1
+        done = []
+        for i, part in enumerate((x, mask)):
+            part = part.reshape(n, windows, nd)
+            if self.n_parts:
+                static = batch.column(self.n_kept + 1 + i).flatten().to_numpy(zero_copy_only=False).reshape(n, 1, -1)
+                part = np.concatenate([part, np.broadcast_to(static, (n, windows, static.shape[2]))], axis=2)
+            inner = pa.ListArray.from_arrays(
+                pa.array(np.arange(n * windows + 1, dtype=np.int32) * part.shape[2]), pa.array(part.ravel(), pa.float32())
+            )
+            done.append(pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * windows), inner))
+        names = [*batch.schema.names[: self.n_kept], "x", "mask"]
+        return pa.RecordBatch.from_arrays([*batch.columns[: self.n_kept], *done], names=names)
 
 
 def flatten_tensor(rows: DataFrame) -> DataFrame:

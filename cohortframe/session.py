@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -40,8 +43,27 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{warehouse.rstrip('/')}/_handover"
 
 
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
+
+@contextmanager
+def run(spark: SparkSession) -> Iterator[str]:
+    """Hand-over tables written inside belong to this run and are removed when it ends: write its outputs inside.
+
+    Outside of any run they stay in the shared folder, since a returned DataFrame still reads them.
+    """
+    folder = f"{shared_dir(spark)}/cohortframe/run-{uuid.uuid4().hex}"
+    before = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/cohortframe/{name}-{uuid.uuid4().hex}"
+    return f"{_RUN.get() or f'{shared_dir(spark)}/cohortframe/kept'}/{name}-{uuid.uuid4().hex}"
 
 
 def barrier(df: DataFrame, name: str = "barrier") -> DataFrame:

@@ -47,12 +47,6 @@ def test_scatter(frame):
     assert got[4] == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
 
 
-def test_rows_of(frame):
-    df = frame("a array<int>", [([1, 2, 3, 4, 5, 6],)])
-    assert one(df, S.rows_of(F.col("a"), 2, 3)) == [[1, 2, 3], [4, 5, 6]]
-    assert one(df, S.rows_of(F.slice("a", 1, 0), 2, 0)) == [[], []]
-
-
 def test_percent_of_nothing(frame):
     assert one(frame("a int, b int", [(1, 0)]), S.percent("a", "b")) is None
 

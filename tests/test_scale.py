@@ -68,6 +68,15 @@ def test_small_checks_the_size(spark):
     assert hinted == [1, 0] and many.count() == 11
 
 
+def test_run_removes_its_hand_over_tables(spark):
+    with session.run(spark) as folder:
+        df = session.barrier(spark.range(5).toDF("k"))
+        assert df.count() == 5 and f"{folder.removeprefix('file:')}/" in df.inputFiles()[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    assert f"{folder}/" not in session.fresh_path(spark, "later")
+
+
 def test_barrier_lies_in_the_shared_folder(spark):
     df = session.barrier(spark.range(5).toDF("k"))
     assert df.inputFiles()[0].replace("file://", "").startswith(session.shared_dir(spark).replace("file:", ""))
