@@ -1,12 +1,14 @@
-"""License scans by patience alignment of documents with license templates.
+"""License scans by patience alignment of documents with license templates: notices and whole license texts.
 
 Words that occur once in the text and once in the template are anchors; the longest increasing subsequence of their
-places is kept, and the gaps between neighbouring anchors are aligned in the same way. A gap without anchors that is small
-is aligned exactly (longest common subsequence). The coverage of a template is the share of its words that are aligned.
+places is kept, and the gaps between neighbouring anchors are aligned in the same way. Only a gap without anchors is
+aligned by the longest common subsequence: a small one from a table, a large one from rows of bits. The coverage of a
+template is the share of its words that are aligned.
 
 A whole text is scanned: runs of the template's words, with no more than ``GAP`` other words between two of them, are cut
 into overlapping stretches of one and a half template lengths, so a license that occurs twice is found twice and not
-taken for one with repeated words. Words are compared in lower case without punctuation at their ends.
+taken for one with repeated words. Words are compared in lower case without punctuation at their ends; words of
+punctuation alone do not count. A whole license text goes before the notices, which it may quote.
 
 Null and empty texts have no license. Each row is scanned for itself. Ties go to the template that comes first. An empty
 table gives an empty result.
@@ -14,6 +16,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import pkgutil
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -24,10 +27,10 @@ from pyspark.sql import DataFrame
 from cohortframe.llm.base import query, read
 
 COVERAGE, GAP = 0.8, 6
-#: Cells of a gap up to which it is aligned exactly.
+#: Cells of a gap without anchors up to which it is aligned from a table, not from rows of bits.
 EXACT_CELLS = 4096
 
-#: Notices of public licenses, in order of preference.
+#: Notices of public licenses, in order of preference, then whole license texts.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction"),
@@ -46,6 +49,14 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
 ]
+N_NOTICES = len(TEMPLATES)
+TEMPLATES += [
+    (name, pkgutil.get_data(__package__, f"licenses/{file}.txt").decode())
+    for name, file in [
+        ("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("GPL-3.0", "GPL-3.0"), ("LGPL", "LGPL-3"), ("LGPL", "LGPL-2.1"), ("BSD", "BSD"),
+        ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0"), ("Unlicense", "Unlicense"), ("ISC", "ISC"),
+    ]
+]
 _ENDS = ".,;:!?()[]{}<>\"'`*#|/\\-_=+~"
 
 
@@ -72,6 +83,29 @@ def _exact(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return out
 
 
+def _exact_by_bits(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """The same by rows of bits: bit j of row i is 0 where the first i + 1 and j + 1 words have one more in common than those and j."""
+    full = (1 << len(b)) - 1
+    where: dict[str, int] = {}
+    for j, w in enumerate(b):
+        where[w] = where.get(w, 0) | 1 << j
+    rows, row = [], full
+    for w in a:
+        hit = row & where.get(w, 0)
+        row = ((row + hit) | (row - hit)) & full
+        rows.append(row)
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+            continue
+        i -= 1
+        if not i or rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+            out.append((i, j))
+    return out[::-1]
+
+
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest run of pairs, sorted by the first place, whose second places increase."""
     tops: list[int] = []
@@ -100,18 +134,12 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
         a0, a1, b0, b1 = todo.pop()
         if a0 >= a1 or b0 >= b1:
             continue
-        if (a1 - a0) * (b1 - b0) <= EXACT_CELLS:
-            out += [(a0 + i, b0 + j) for i, j in _exact(a[a0:a1], b[b0:b1])]
-            continue
         ca, cb = Counter(a[a0:a1]), Counter(b[b0:b1])
         place = {w: j for j, w in enumerate(b[b0:b1], b0) if cb[w] == 1}
         anchors = _increasing([(i, place[w]) for i, w in enumerate(a[a0:a1], a0) if ca[w] == 1 and w in place])
         if not anchors:
-            if a1 - a0 > 1:  # halves of the longer side may have words of their own
-                mid = (a0 + a1) // 2
-                left = align(a[a0:mid], b[b0:b1])
-                out += [(a0 + i, b0 + j) for i, j in left]
-                todo.append((mid, a1, b0 + (max(j for _, j in left) + 1 if left else 0), b1))
+            exact = _exact if (a1 - a0) * (b1 - b0) <= EXACT_CELLS else _exact_by_bits
+            out += [(a0 + i, b0 + j) for i, j in exact(a[a0:a1], b[b0:b1])]
             continue
         out += anchors
         edges = [(a0 - 1, b0 - 1), *anchors, (a1, b1)]
@@ -122,22 +150,26 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 class Scanner:
     def __init__(self, templates: list[tuple[str, str]] = TEMPLATES, coverage: float = COVERAGE, gap: int = GAP):
         self.coverage, self.gap = coverage, gap
+        #: Ranks of the whole license texts.
+        self.whole = {k for k, t in enumerate(templates) if t in TEMPLATES[N_NOTICES:]}
         self.templates = [(name, [w for w in plain_words(text) if w]) for name, text in templates]
         self.vocabulary = {w for _, words in self.templates for w in words}
-        self.sets = [set(words) for _, words in self.templates]
+        self.counts = [Counter(words) for _, words in self.templates]
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(license, coverage, first word, end) of each place found, best first; places do not overlap."""
         words = plain_words(text)
+        at = [i for i, w in enumerate(words) if w]  # rulers and comment marks part nothing
+        words = [words[i] for i in at]
         vocabulary = self.vocabulary
         hits = [i for i, w in enumerate(words) if w in vocabulary]
         if not hits:
             return []
         seen = {words[i] for i in hits}
         found = []
-        for rank, ((name, template), own) in enumerate(zip(self.templates, self.sets)):
+        for rank, ((name, template), own) in enumerate(zip(self.templates, self.counts)):
             need = self.coverage * len(template)
-            if len(own & seen) < self.coverage * len(own):
+            if sum(own[w] for w in own.keys() & seen) < need:
                 continue
             mine = [i for i in hits if words[i] in own]
             run = [mine[0]]
@@ -148,13 +180,13 @@ class Scanner:
                 if len(run) >= need:
                     found += self._stretches(words, run[0], run[-1] + 1, name, template, rank, need)
                 run = [i]
-        found.sort(key=lambda f: (-f[1], -f[4], f[5], f[2]))
+        found.sort(key=lambda f: (f[5] not in self.whole, -f[1], -f[4], f[5], f[2]))
         taken: list[tuple[int, int]] = []
         out = []
         for name, share, begin, end, _, _ in found:
             if all(end <= b or begin >= e for b, e in taken):
                 taken.append((begin, end))
-                out.append((name, share, begin, end))
+                out.append((name, share, at[begin], at[end - 1] + 1))
         return out
 
     def _stretches(self, words, begin, end, name, template, rank, need):

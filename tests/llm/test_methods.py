@@ -253,3 +253,38 @@ def test_licenses_in_long_texts():
     found = scanner.scan(text)
     assert [f[0] for f in found] == ["GPL-3.0", "Apache-2.0", "GPL-3.0"] or sorted(f[0] for f in found) == ["Apache-2.0", "GPL-3.0", "GPL-3.0"]
     assert not scanner.scan(noise)
+
+
+def test_notices_are_aligned_by_anchors(monkeypatch):
+    """At the values the query runs with, unique words come first and the exact table sees small gaps only."""
+    anchors, cells = [], []
+    increasing, exact = license_scan._increasing, license_scan._exact
+    monkeypatch.setattr(license_scan, "_increasing", lambda pairs: anchors.append(increasing(pairs)) or anchors[-1])
+    monkeypatch.setattr(license_scan, "_exact", lambda a, b: cells.append(len(a) * len(b)) or exact(a, b))
+    scanner = license_scan.Scanner()
+    for name, notice in license_scan.TEMPLATES[:16]:
+        anchors.clear(), cells.clear()
+        assert scanner.scan(f"some words\n{notice}\nother words")[0][:2] == (name, 1.0)
+        assert max(map(len, anchors)) > 2 and max(cells, default=0) <= 100
+
+
+def test_exact_alignment_by_bits():
+    random.seed(10)
+    for n in (0, 1, 7, 90):
+        a, b = ([random.choice("abcd") for _ in range(random.randrange(n + 1))] for _ in range(2))
+        pairs = license_scan._exact_by_bits(a, b)
+        assert all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+        assert len(pairs) == _longest(a, b)
+
+
+def test_whole_license_texts():
+    random.seed(11)
+    scanner = license_scan.Scanner()
+    noise = " ".join(f"the w{i} of" for i in range(300))
+    for name, text in license_scan.TEMPLATES[16:]:
+        changed = [w for w in text.split() if random.random() < 0.95]
+        for copy in (text.split(), changed):
+            found = scanner.scan(f"{noise}\n{' '.join(copy)}\n{noise}")
+            assert found[0][0] == name and found[0][3] - found[0][2] > 0.9 * len(copy)
+    twice = license_scan.TEMPLATES[21][1]
+    assert [f[0] for f in scanner.scan(f"{twice} {noise} {twice}")] == ["BSD", "BSD"]
