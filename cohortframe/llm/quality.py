@@ -6,8 +6,9 @@ with the smallest Mahalanobis distances, the start with the smallest determinant
 read from a histogram, so no group is sorted or gathered. A document whose distance passes the cut-off is rejected.
 
 The scatter gets the squares of ``FLOORS`` on its diagonal, the differences that never count as an outlier, so it is
-regular where most documents agree in a statistic. Documents that fail the base limits take no part in the estimate;
-groups with fewer than ``MIN_GROUP`` others give no verdict and keep theirs.
+regular where most documents agree in a statistic. Documents that fail the base limits take no part in the estimate.
+A group with fewer than ``MIN_GROUP`` others is judged by the estimate of its whole language, or of all documents where
+the language has fewer. Only a table with fewer than that gives no verdict.
 
 Null text has no words and fails the base limits. Null language and null source are groups of their own. Repeated rows
 count each. An empty table gives an empty result.
@@ -164,6 +165,20 @@ def mcd(rows: DataFrame) -> DataFrame:
     return params
 
 
+def _judges(stats: DataFrame) -> DataFrame:
+    """For each group ``g`` of the language ``w``: the key that ``judge``s it (null: none), and the ``keys`` its rows are estimated for."""
+    c = barrier(stats.groupBy("w", "g").agg(F.count_if(~F.col("base_failed")).alias("c")), "sizes")
+    own, whole = F.col("c") >= MIN_GROUP, F.col("cw") >= MIN_GROUP
+    by_lang = c.groupBy("w").agg(F.sum("c").alias("cw"), F.bool_or(~own).alias("few"))
+    by_lang = by_lang.select("w", "cw", (F.col("few") & whole).alias("lang_judges"), (F.col("few") & ~whole).alias("all_judge"))
+    total = by_lang.agg(F.sum("cw").alias("ca"), F.bool_or("all_judge").alias("any_all")).select(
+        F.when(F.col("any_all") & (F.col("ca") >= MIN_GROUP), "").alias("all_key")
+    )
+    keys = F.array(F.when(own, F.col("g")), F.when(F.col("lang_judges"), F.col("w")), F.col("all_key"))
+    judge = F.when(own, F.col("g")).when(whole, F.col("w")).otherwise(F.col("all_key"))
+    return barrier(c.join(by_lang, "w").crossJoin(total).select("g", judge.alias("judge"), F.array_compact(keys).alias("keys")), "judges")
+
+
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """One row per row of ``docs``: id, the statistics, base_failed, distance (squared; null without a verdict), kept."""
     table = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"))
@@ -173,7 +188,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     stats = barrier(
         stats.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))).select(
             "id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-            F.concat(part("lang"), part("source")).alias("g"),
+            part("lang").alias("w"), F.concat(part("lang"), part("source")).alias("g"),
             F.log(n).alias("x0"), F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n).alias("x1"),
             F.log1p(1000 * F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1))).alias("x2"),
             F.log1p(100 * F.col("n_dup_lines") / n).alias("x3"), F.log1p(100 * F.col("n_repeat_words") / n).alias("x4"),
@@ -181,9 +196,10 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         ),
         "statistics",
     )
-    params = mcd(stats.where(~F.col("base_failed")).select("g", "r", *X))
+    stats = stats.join(_judges(stats), "g", "left")
+    params = mcd(stats.where(~F.col("base_failed")).select(F.explode("keys").alias("g"), "r", *X))
     # The innermost share understates the scatter; the distance shrinks by the same factor.
-    judged = stats.join(params.withColumnRenamed("g", "h"), F.col("g") == F.col("h"), "left")
+    judged = stats.join(params.withColumnRenamed("g", "h"), F.col("judge") == F.col("h"), "left")
     distance = _distance([F.col(x) for x in X]) / CONSISTENCY
     return judged.select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -288,3 +288,16 @@ def test_whole_license_texts():
             assert found[0][0] == name and found[0][3] - found[0][2] > 0.9 * len(copy)
     twice = license_scan.TEMPLATES[21][1]
     assert [f[0] for f in scanner.scan(f"{twice} {noise} {twice}")] == ["BSD", "BSD"]
+
+
+def test_small_groups_are_judged_by_wider_ones(documents):
+    """A source too small for an estimate of its own is judged by its language, a small language by all documents."""
+    random.seed(12)
+    rows = []
+    for i in range(120):
+        w = ["".join(random.choice("abcdefgh") for _ in range(random.randrange(3, 8))) for _ in range(random.randrange(60, 300))]
+        bad = i % 20 == 7
+        lang, source = ("en", f"s{i // 60}") if i < 100 else ("en", f"tail{i}") if i < 110 else ("fr", "few") if i < 118 else (None, None)
+        rows.append((i, " ".join(x + "***" if bad else x for x in w), lang, source))
+    got = {r["doc_id"]: r for r in quality.quality(documents(rows)).collect()}
+    assert all(r["distance"] is not None and r["kept"] == (i % 20 != 7) for i, r in got.items())
