@@ -5,8 +5,9 @@ the minimum-covariance-determinant estimate: several starts, concentration steps
 with the smallest Mahalanobis distances, the start with the smallest determinant, more steps. The share's distance is
 read from a histogram, so no group is sorted or gathered. A document whose distance passes the cut-off is rejected.
 
-The scatter gets the squares of ``FLOORS`` on its diagonal, the differences that never count as an outlier, so it is
-regular where most documents agree in a statistic. Documents that fail the base limits take no part in the estimate.
+The scatter gets the squares of ``FLOORS`` on its diagonal, so it is regular where most documents agree in a statistic. The
+last two can reach 4.6 and 3.4 at most (a line has a word, the base limit has 30 % of the words). Their floors are less
+than a tenth of it, so either can reject alone: where the bulk has none, from 3 lines or words in 100 words on. Documents that fail the base limits take no part in the estimate.
 A group with fewer than ``MIN_GROUP`` others is judged by the estimate of its whole language, or of all documents where
 the language has fewer. Only a table with fewer than that gives no verdict.
 
@@ -27,10 +28,10 @@ WINDOW = 8
 SHARE, MIN_GROUP = 0.75, 50
 STARTS, START_ROWS, FIRST_STEPS, LAST_STEPS = 4, 60, 2, 3
 #: ln words, ln letters a word, ln(1 + 1000 symbols a letter), ln(1 + 100 repeated lines a word), ln(1 + 100 share of repeated words)
-FLOORS = (0.5, 0.15, 0.7, 0.7, 0.7)
+FLOORS = (0.5, 0.15, 0.7, 0.3, 0.3)
 P = len(FLOORS)
 #: Chance that a document of the bulk passes the cut-off.
-TAIL = 1e-6
+TAIL = 0.01
 #: Histogram cells for each doubling of a squared distance.
 CELLS = 64
 

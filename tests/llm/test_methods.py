@@ -301,3 +301,21 @@ def test_small_groups_are_judged_by_wider_ones(documents):
         rows.append((i, " ".join(x + "***" if bad else x for x in w), lang, source))
     got = {r["doc_id"]: r for r in quality.quality(documents(rows)).collect()}
     assert all(r["distance"] is not None and r["kept"] == (i % 20 != 7) for i, r in got.items())
+
+
+def test_duplicate_lines_alone_and_repeated_words_alone(documents):
+    """Where the bulk has none of them, either is enough; all other statistics are those of the bulk."""
+    random.seed(13)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(random.randrange(3, 8)))
+    rows = [(i, "\n".join(" ".join(word() for _ in range(7)) for _ in range(random.randrange(20, 40)))) for i in range(100)]
+    pool = [" ".join(word() for _ in range(7)) for _ in range(12)]
+    order = [(k + d * n) % 12 for d, k in ((1, 0), (5, 0), (7, 1)) for n in range(10)]  # no two lines follow each other twice
+    rows.append((100, "\n".join(pool[k] for k in order)))
+    passage = [word() for _ in range(25)]
+    rows.append((101, " ".join([*passage, *(word() for _ in range(120)), *passage, *(word() for _ in range(30))])))
+    got = {r["doc_id"]: r for r in quality.quality(documents(rows)).collect()}
+    lines, words = got[100], got[101]
+    assert lines["n_dup_lines"] > 10 and lines["n_repeat_words"] == 0
+    assert words["n_dup_lines"] == 0 and words["n_repeat_words"] == 50
+    assert not lines["base_failed"] and not lines["kept"] and not words["base_failed"] and not words["kept"]
+    assert sum(got[i]["kept"] for i in range(100)) >= 97
