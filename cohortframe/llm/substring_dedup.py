@@ -9,6 +9,10 @@ Hot passages: a task first counts the windows of its own chunk of documents. Onl
 chunk travel; the others are flagged at once. So a passage costs a bucket at most one window for each chunk, however many
 documents hold it. The strings of a chunk for one bucket are compressed together.
 
+Hot minimisers: a sample of the documents tells which minimisers stand for more windows than a task should hold. Their
+windows are dealt by the bits of the whole window instead, so equal windows still meet and different ones do not. The
+sample decides the dealing only, never a result.
+
 Windows are sorted by 64 bits, and equal bits count only if the words themselves are equal.
 
 Null and short texts have no windows and lose nothing. Rows with one id do not count as each other's copies; rows equal
@@ -29,6 +33,8 @@ from cohortframe.llm.base import query, read, rows_per_group, text_mark
 WIDTH, CORE = 13, 2
 #: Text that a task holds at once, and text that one bucket stands for.
 CHUNK_BYTES, BUCKET_BYTES = 8_000_000, 4_000_000
+#: Windows of one minimiser beyond which they are dealt one by one, and text of the sample that tells.
+HOT_WINDOWS, SAMPLE_BYTES = 1_000_000, 32_000_000
 NO_ID = 2**63 - 1
 BLOCK_WORDS = 100_000
 #: Parts strings in a pack; no byte of a text has this value.
@@ -150,23 +156,52 @@ def _unpack_info(data: bytes) -> np.ndarray:
     return out
 
 
+def _minimisers(h: np.ndarray, width: int, core: int) -> np.ndarray:
+    """The smallest 64 bits of ``core`` neighbouring words of each window, by doubling steps."""
+    least = _window_hashes(h, core)
+    have, want = 1, width - core + 1
+    while have < want:
+        step = min(have, want - have)
+        least = np.minimum(least[: len(least) - step], least[step:])
+        have += step
+    return least
+
+
+def _cut_out(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column of texts and where each begins (and the last ends)."""
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    if offsets[0] == offsets[-1]:
+        return np.empty(0, np.uint8), offsets - offsets[0]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _count(column: pa.Array, width: int, core: int) -> tuple[np.ndarray, np.ndarray]:
+    """The minimisers of the texts and the number of windows of each."""
+    raw, offsets = _cut_out(column)
+    begin, _, h = _words(raw, offsets[:-1][np.diff(offsets) > 0]) if len(raw) else (raw, raw, raw)
+    n = len(h) - width + 1
+    if n <= 0:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    owner = np.searchsorted(offsets, begin, "right") - 1
+    return np.unique(_minimisers(h, width, core)[owner[:n] == owner[width - 1 :]], return_counts=True)
+
+
 class Sender:
     """Super-k-mers of chunks of documents by bucket, and the flags that a chunk settles itself (negative buckets)."""
 
-    def __init__(self, buckets: int, width: int, core: int):
+    def __init__(self, buckets: int, width: int, core: int, hot: tuple[int, ...] = ()):
         import zstandard
 
         self.buckets, self.width, self.core = buckets, width, core
+        self.hot = np.array(hot, np.int64).view(np.uint64)
         self.press = zstandard.ZstdCompressor(level=7).compress
 
     def send(self, key: np.ndarray, mark: np.ndarray, column: pa.Array) -> Iterator[pa.RecordBatch]:
         width, buckets = self.width, self.buckets
-        column = pc.fill_null(column.cast(pa.large_string()), "")
-        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-        if offsets[0] == offsets[-1]:
+        raw, offsets = _cut_out(column)
+        if not len(raw):
             return
-        raw = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-        offsets = offsets - offsets[0]
         begin, end, h = _words(raw, offsets[:-1][np.diff(offsets) > 0])
         n = len(h) - width + 1
         if n <= 0:
@@ -195,14 +230,9 @@ class Sender:
         stay = starts[~later]
         if not len(stay):
             return
-        # The minimiser: the smallest 64 bits of `core` neighbouring words of the window, by doubling steps.
-        least = _window_hashes(h, self.core)
-        have, want = 1, width - self.core + 1
-        while have < want:
-            step = min(have, want - have)
-            least = np.minimum(least[: len(least) - step], least[step:])
-            have += step
-        least = least[stay]
+        least = _minimisers(h, width, self.core)[stay]
+        if len(self.hot):
+            least = np.where(np.isin(least, self.hot), hashes[~later], least)
         # A super-k-mer: neighbouring windows of one document with the same minimiser.
         cuts = np.flatnonzero(np.concatenate([[True], (np.diff(stay) != 1) | (least[1:] != least[:-1]) | (np.diff(owner[stay]) != 0), [True]]))
         word, count = stay[cuts[:-1]], np.diff(cuts)
@@ -261,7 +291,7 @@ def _slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
 
 def substring_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, core: int = CORE,
-    buckets: int | None = None, chunk_bytes: int = CHUNK_BYTES,
+    buckets: int | None = None, chunk_bytes: int = CHUNK_BYTES, hot_windows: int = HOT_WINDOWS,
 ) -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_text.
 
@@ -271,12 +301,22 @@ def substring_dedup(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("key"), text_mark(text_col).alias("mark"),
         F.col(id_col).alias("id"), F.col(text_col).alias("text"),
     )
+    size = docs.agg(F.sum(F.octet_length(F.coalesce(text_col, F.lit(""))))).first()[0] or 0
     if buckets is None:
-        size = docs.agg(F.sum(F.octet_length(F.coalesce(text_col, F.lit(""))))).first()[0] or 0
         buckets = rows_per_group(size, BUCKET_BYTES)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch, chunk_bytes):
+                least, n = _count(part.column(2), width, core)
+                yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64), pa.int64()), pa.array(n, pa.int64())], names=["least", "n"])
+
+    every = rows_per_group(size, SAMPLE_BYTES)
+    sample = rows.select("key", "mark", "text").where(F.pmod("mark", F.lit(every)) == 0).mapInArrow(count, "least bigint, n bigint")
+    hot = tuple(r["least"] for r in sample.groupBy("least").agg(F.sum("n").alias("n")).where(F.col("n") * every > hot_windows).collect())
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = Sender(buckets, width, core)
+        sender = Sender(buckets, width, core, hot)
         for batch in batches:
             for part in _slices(batch, chunk_bytes):
                 yield from sender.send(*(part.column(i).to_numpy() for i in range(2)), part.column(2))

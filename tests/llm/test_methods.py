@@ -319,3 +319,20 @@ def test_duplicate_lines_alone_and_repeated_words_alone(documents):
     assert words["n_dup_lines"] == 0 and words["n_repeat_words"] == 50
     assert not lines["base_failed"] and not lines["kept"] and not words["base_failed"] and not words["kept"]
     assert sum(got[i]["kept"] for i in range(100)) >= 97
+
+
+def test_hot_minimisers_are_split(frame):
+    """Different windows with one frequent word pair are dealt to many buckets; equal ones still meet."""
+    random.seed(14)
+    docs = []
+    for i in range(40):
+        w = [x for k in range(30) for x in ("der", "der", f"w{random.randrange(10**6)}")]
+        docs.append((i, " ".join(w + [f"p{k}" for k in range(20)] * (i % 2))))
+    got = substring_dedup.substring_dedup(frame("doc_id bigint, text string", docs).repartition(4), buckets=7, chunk_bytes=3000, hot_windows=5)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], __import__("hashlib").sha256(r["kept_text"].encode()).hexdigest()) for r in got.collect()}
+    assert got == brute.substrings(docs)
+    texts, ids = pa.array([t for _, t in docs]), np.arange(40)
+    least, n = substring_dedup._count(texts, 13, 2)
+    hot = tuple(least[n > 300].view(np.int64).tolist())
+    used = lambda hot: max(np.concatenate([substring_dedup._unpack_info(__import__("zstandard").decompress(d))[:, 3].sum(keepdims=True) for b in substring_dedup.Sender(1000, 13, 2, hot).send(ids, ids, texts) for k, d in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if k >= 0]))
+    assert hot and used(()) > 300 and used(hot) < 300
