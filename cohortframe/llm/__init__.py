@@ -9,7 +9,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 from cohortframe.llm.base import ORACLES, QUERIES  # noqa: E402
 from cohortframe.llm import (  # noqa: E402, F401
-    chat_format, exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, packing, quality, substring_dedup,
+    chat_format, exact_dedup, filter_audit, language_id, license_scan, line_dedup, mixing, near_dedup, packing, quality,
+    substring_dedup, token_counts, whitening,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

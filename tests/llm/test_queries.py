@@ -94,4 +94,4 @@ def test_entry_registers(spark):
     import __spark_entry__ as contract
 
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
