@@ -7,8 +7,15 @@ only if the likelihood gains more than the penalty for one more proportion.
 
 The prediction is the language with the largest proportion, the score that proportion. Null text and text without letters
 give ``und`` with score 0, as does any text when nothing could be learned. Ties go to the language that is first by code
-point. Case and everything but letters are left out. Every row is predicted, repeated ones too. The size of the model is
-bounded: languages x trigram buckets never exceed ``MODEL_CELLS``, so the buckets become fewer with very many languages.
+point. Case and everything but letters are left out. Every row is predicted, repeated ones too.
+
+``fit`` tells how far the chosen mixture explains a text better than a background in which every trigram is equally likely:
+the gain in log-likelihood, with the penalty of one proportion to its credit, so that few trigrams decide nothing. Below 0
+the text is in none of the languages. It is 0 for a text with letters when nothing could be learned, and null for a text
+without letters.
+
+A model holds 2**BITS trigram buckets for each language, about 260 KB, on the driver and in each task: hundreds of languages,
+whatever the number of texts.
 """
 
 from __future__ import annotations
@@ -21,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortframe.llm.base import query, read
 
-MODEL_CELLS, MOST_BITS = 1 << 21, 15
+BITS = 15
 CHUNK_CHARS = 1_000_000
 STEPS = 8
 #: Trigrams overlap and are no independent draws, so the usual half log of their number is multiplied.
@@ -84,9 +91,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     names = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not names:
         return None
-    bits = MOST_BITS
-    while bits > 8 and len(names) << bits > MODEL_CELLS:
-        bits -= 1
+    bits = BITS
     number = {n: i for i, n in enumerate(names)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,10 +128,15 @@ def _mixture(p: np.ndarray, n: np.ndarray, starts: np.ndarray, owner: np.ndarray
 
 def infer(model: Model, texts: list[str], steps: int = STEPS, penalty: float = PENALTY) -> np.ndarray:
     """Language proportions of each text (rows of zeros for texts without letters)."""
-    out = np.zeros((len(texts), len(model.names)), np.float32)
+    return infer_with_fit(model, texts, steps, penalty)[0]
+
+
+def infer_with_fit(model: Model, texts: list[str], steps: int = STEPS, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray]:
+    """Language proportions of each text, and its ``fit`` (NaN for texts without letters)."""
+    out, fit = np.zeros((len(texts), len(model.names)), np.float32), np.full(len(texts), np.nan)
     owner, bucket = trigrams(texts, model.bits)
     if not len(owner):
-        return out
+        return out, fit
     key, n = np.unique((owner << model.bits) + bucket, return_counts=True)
     n, owner, bucket = n.astype(np.float32), key >> model.bits, key & ((1 << model.bits) - 1)
     starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
@@ -139,9 +149,9 @@ def infer(model: Model, texts: list[str], steps: int = STEPS, penalty: float = P
     cost = penalty * 0.5 * np.log(np.maximum(size, 2))
     chosen = np.zeros((len(starts), p.shape[1]), np.float32)
     chosen[np.arange(len(best)), best] = 1
+    value = single[np.arange(len(best)), best]
     if p.shape[1] > 1:
         pi, like = _mixture(p, n, starts, owner, np.full(chosen.shape, 1 / p.shape[1], np.float32), steps)
-        value = single[np.arange(len(best)), best]
         open_ = like - value > cost
         order = np.argsort(-pi, axis=1, kind="stable")
         for k in range(2, p.shape[1] + 1):
@@ -158,17 +168,26 @@ def infer(model: Model, texts: list[str], steps: int = STEPS, penalty: float = P
             chosen[at[gain]], value[at[gain]] = pi_k[gain], like_k[gain]
             open_[at[~gain]] = False
     out[doc] = chosen
-    return out
+    fit[doc] = value + size * model.bits * np.log(2) + cost
+    return out, fit
+
+
+def _nothing_learned(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    fit = np.full(len(texts), np.nan)
+    fit[trigrams(texts, BITS)[0]] = 0.0
+    return np.zeros((len(texts), 1)), fit
 
 
 def language_id(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, text, lang_pred, score, languages (the chosen set) and their proportions."""
+    """One row per row of ``docs``: id, text, lang_pred, score, languages (the chosen set), their proportions, fit."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores, sets, shares = [], [], [], []
-            for _, part in _chunks(batch.column(1).to_pylist()) if model else [(0, [""] * batch.num_rows)]:
-                for row in infer(model, part) if model else np.zeros((len(part), 1)):
+            names, scores, sets, shares, fits = [], [], [], [], []
+            for _, part in _chunks(batch.column(1).to_pylist()):
+                found, fit = infer_with_fit(model, part) if model else _nothing_learned(part)
+                fits.append(fit)
+                for row in found:
                     at = int(row.argmax())
                     known = row[at] > 0
                     held = [i for i in np.argsort(-row, kind="stable") if row[i] > 0]
@@ -177,13 +196,16 @@ def language_id(docs: DataFrame, model: Model | None, id_col: str = "doc_id", te
                     sets.append([model.names[i] for i in held])
                     shares.append([float(row[i]) for i in held])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.list_(pa.string())), pa.array(shares, pa.list_(pa.float64()))],
-                names=[*batch.schema.names, "lang_pred", "score", "languages", "proportions"],
+                [
+                    *batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.list_(pa.string())),
+                    pa.array(shares, pa.list_(pa.float64())), pa.array(np.concatenate([*fits, []]), pa.float64(), from_pandas=True),
+                ],
+                names=[*batch.schema.names, "lang_pred", "score", "languages", "proportions", "fit"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(
-        predict, f"`{id_col}` {kind}, `{text_col}` string, lang_pred string, score double, languages array<string>, proportions array<double>"
+        predict, f"`{id_col}` {kind}, `{text_col}` string, lang_pred string, score double, languages array<string>, proportions array<double>, fit double"
     )
 
 
@@ -196,4 +218,4 @@ def op4_language_id(spark, sf_dir):
     """All documents; learned on three quarters of them by id."""
     docs = read(spark, sf_dir, "documents")
     found = language_id(docs, learn(docs.where(~held_out())))
-    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "languages", "proportions")
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "languages", "proportions", "fit")

@@ -6,17 +6,19 @@ the first filled bucket in a fixed random order of their own. Four registers are
 candidates; the share of equal registers, corrected for chance collisions, estimates their similarity; pairs that may
 reach the threshold are verified on the full shingle sets.
 
-Documents with equal sets form a class first, and only its smallest id goes on. Pairs of a bucket are not all formed.
+Documents with equal sets form a class first, and only the class goes on. Pairs of a bucket are not all formed.
 A shingle that no other candidate document holds is shared with none, so a document with too many of them is linked with
 nothing. The member with the smallest share of them leads the bucket, and the others are compared with it. Members that
 this joins into one component need no further pairs. For two members of different components the overlap with the leader
 bounds their own: what they share lies within the leader, or among the shingles of both that the leader lacks and that
 occur elsewhere. Only pairs that this bound leaves open are tested, if need be after further leaders have been tried. So
-no candidate is dropped and no link between different texts is lost.
+no candidate is dropped by the bounds. Candidates themselves come from the bands: a pair at the threshold misses all of them,
+or has an estimate below the slack, with a chance of some millionths.
 
 A document without words has no set and is linked with nothing. With fewer words than a shingle the whole sequence is one
-shingle. A null id is larger than any other and reported as null. Rows with one id are one document whose set is that of
-each row (rows with different texts: any of them). An empty table gives an empty result.
+shingle. Every row is a document of its own, told apart by id and text: rows without id and rows with one id and different
+texts are linked each by its own set. A null id is larger than any other and reported as null. Equal sets are known by a
+128-bit digest, texts of one id by 64 bits. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortframe.llm.base import SHINGLE, SIMILAR, query, read
+from cohortframe.llm.base import SHINGLE, SIMILAR, query, read, text_mark
 from cohortframe.llm.components import components
 from cohortframe.session import barrier
 
@@ -117,15 +119,15 @@ def _describe(size: int):
 
         hashes = WordHashes()
         for batch in batches:
-            n, digest, sig = [], [], []
+            n, digest, sig = [], [], []  # columns: id, text, mark
             for text in batch.column(1):
                 s = shingles(text.as_py(), hashes, size)
                 n.append(len(s))
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 sig.append(registers(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
-                names=["id", "n", "digest", "sig"],
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
+                names=["id", "mark", "n", "digest", "sig"],
             )
 
     return run
@@ -182,38 +184,46 @@ NO_ID = 2**63 - 1
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id, kept."""
-    texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
-    rows = barrier(texts.mapInArrow(_describe(size), "id bigint, n bigint, digest binary, sig binary"), "signatures")
-    full = rows.where("n > 0")
-    # Equal sets are one class. Within a class all else is equal too.
-    classes = barrier(
-        full.groupBy("digest").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("sig").alias("sig")), "classes"
-    )
-    groups = _groups(texts, classes, size, similar).select(F.col("id").alias("rep"), F.col("component").alias("least"))
-    final = (
-        classes.select("digest", F.col("id").alias("rep")).join(groups, "rep", "left")
-        .select(F.col("digest").alias("d"), F.coalesce("least", "rep").alias("least"))
+    """One row per row of ``docs``: id, n_shingles, component_id, kept, and mark and component.
+
+    ``mark`` tells rows with one id and different texts apart. ``component`` is the same for all rows of a group, whatever
+    their ids, and null for rows without words.
+    """
+    texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), text_mark(text_col).alias("mark"), F.col(text_col).alias("text"))
+    rows = barrier(
+        texts.select("id", "text", "mark").mapInArrow(_describe(size), "id bigint, mark bigint, n bigint, digest binary, sig binary"), "signatures"
     )
-    # A component of classes is one of documents: the smallest id of a class stands for it.
+    full = rows.where("n > 0")
+    # Equal sets are one class. Within a class all else is equal too. Its number is fixed by being written.
+    classes = full.groupBy("digest").agg(F.min(F.struct("id", "mark")).alias("head"), F.min("n").alias("n"), F.min("sig").alias("sig"))
+    classes = barrier(classes.select("digest", "head", F.monotonically_increasing_id().alias("id"), "n", "sig"), "classes")
+    groups = _groups(texts, classes, size, similar).select(F.col("id").alias("rep"), "component")
+    grouped = classes.select("digest", F.col("head.id").alias("least"), F.col("id").alias("rep")).join(groups, "rep", "left")
+    # Written because the smallest id of each group goes back to all of its classes.
+    grouped = barrier(grouped.select(F.col("digest").alias("d"), "least", F.coalesce("component", "rep").alias("component")), "groups")
+    least = grouped.groupBy(F.col("component").alias("c")).agg(F.min("least").alias("least"))
+    final = grouped.drop("least").join(least, F.col("component") == F.col("c")).select("d", "component", "least")
     out = rows.join(final, F.col("digest") == F.col("d"), "left")
     component = F.coalesce("least", "id")
     shown = lambda c: F.when(c != NO_ID, c)
     return out.select(
         shown(F.col("id")).alias(id_col), F.col("n").alias("n_shingles"), shown(component).alias("component_id"),
-        (F.col("id") == component).alias("kept"),
+        (F.col("id") == component).alias("kept"), "mark", "component",
     )
 
 
 def _groups(texts: DataFrame, classes: DataFrame, size: int, similar: int) -> DataFrame:
-    """``id, component`` of the class representatives that are linked with any other."""
+    """``id, component`` of the classes that are linked with any other."""
     bits = F.hex("sig")
     bands = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS // ROWS - 1)), lambda i: F.xxhash64(i, F.substr(bits, i * 4 * ROWS + 1, F.lit(4 * ROWS))))
     rows = classes.select("id", F.explode(bands).alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("c")).where("c > 1").select(F.col("band").alias("k"))
     members = barrier(rows.join(shared, F.col("band") == F.col("k")).select("band", "id"), "members")
-    involved = members.select(F.col("id").alias("i")).distinct()
-    few = barrier(texts.join(involved, F.col("id") == F.col("i")).groupBy("id").agg(F.min("text").alias("text")), "texts")
+    involved = members.select(F.col("id").alias("c")).distinct()
+    heads = classes.select("id", F.col("head.id").alias("i"), F.col("head.mark").alias("m")).join(involved, F.col("id") == F.col("c")).select(F.col("id").alias("rep"), "i", "m")
+    # Rows with one id and mark have one text.
+    few = texts.join(heads, (F.col("id") == F.col("i")) & (F.col("mark") == F.col("m")))
+    few = barrier(few.groupBy(F.col("rep").alias("id")).agg(F.min("text").alias("text")), "texts")
     # u: shingles of a candidate that no other candidate holds.
     alone = few.mapInArrow(_single(size), "id bigint, h bigint").groupBy("h").agg(F.count("*").alias("c"), F.min("id").alias("i"))
     alone = alone.where("c = 1").groupBy("i").agg(F.count("*").alias("u"))
@@ -295,4 +305,4 @@ def _groups(texts: DataFrame, classes: DataFrame, size: int, similar: int) -> Da
 @query("op5_near_dedup")
 def op5_near_dedup(spark, sf_dir):
     """All documents; shingles of five words, similarity of 0.75 or more."""
-    return near_dedup(read(spark, sf_dir, "documents"))
+    return near_dedup(read(spark, sf_dir, "documents")).drop("mark", "component")

@@ -107,6 +107,38 @@ def test_stage_decisions(spark, documents, odd_rows):
     stages = dict(corpus_pipeline.STAGES)
     ids = lambda df: Counter(r["doc_id"] for r in df.collect())
     assert ids(stages["language"](spark, docs, "")) == Counter({1: 2, 2: 1, 3: 1, None: 1, 7: 1, 8: 1, 9: 1, 10: 1})
-    assert ids(stages["near-dedup"](spark, docs, "")) == Counter({1: 2, 4: 1, 5: 1, 6: 1, 7: 1, 9: 1, 10: 1, 11: 1, None: 2})
+    assert ids(stages["near-dedup"](spark, docs, "")) == Counter({1: 1, 4: 1, 5: 1, 6: 1, 7: 1, 9: 1, 10: 1, 11: 1, None: 1})
     mixed = ids(stages["mixing"](spark, docs, ""))
     assert mixed == Counter({k: v for k, v in sum((Counter({r["doc_id"]: r["passes"]}) for r in mixing.mix(docs).collect()), Counter()).items() if v})
+
+
+@pytest.mark.parametrize("ids", [(1, 2, 5), (None, None, 5), (1, 1, 5), (None, None, None), (7, 7, 7)])
+def test_links_do_not_depend_on_ids(spark, documents, ids):
+    a, b = (" ".join(f"{x}{i}" for i in range(100)) for x in "ab")
+    docs = documents([(ids[0], a), (ids[1], b), (ids[2], b + " more"), (ids[2], b + " more")])
+    rows = near_dedup.near_dedup(docs).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault(r["component"], []).append(r["n_shingles"])
+    assert sorted(map(sorted, groups.values())) == [[96], [96, 97, 97]]
+    least = min((i for i in ids[1:] if i is not None), default=None)
+    assert {r["component_id"] for r in rows if r["component"] == max(groups, key=lambda g: len(groups[g]))} == {least}
+    left = dict(corpus_pipeline.STAGES)["near-dedup"](spark, docs, "").collect()
+    assert len(left) == 2 and {a} < {r["text"] for r in left}
+
+
+def test_languages_without_labels(spark, documents):
+    stage = dict(corpus_pipeline.STAGES)["language"]
+    rows = [(1, "some words here", None, "s"), (2, "12 34", None, "s"), (3, None, None, "s"), (4, "x", None, "s")]
+    assert sorted(r["doc_id"] for r in stage(spark, documents(rows), "").collect()) == [1, 4]
+
+
+def test_languages_reject_noise(spark, documents):
+    import random
+
+    draw = random.Random(2)
+    text = lambda seed: " ".join(random.Random(seed).choices("the of and to in that house water people small great never under over again where".split(), k=60))
+    noise = " ".join("".join(draw.choice("qxzjkvwpbgфшщ") for _ in range(7)) for _ in range(80))
+    docs = documents([*[(i, text(i), "en", "s") for i in range(40)], (90, noise, None, "s"), (91, text(99), None, "s"), (92, "zq", None, "s")])
+    left = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["language"](spark, docs, "").collect()}
+    assert left == {*range(40), 91, 92}
