@@ -4,9 +4,11 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is wri
 stage's documents. All but the last return the columns of their input. Documents are told apart by id and text, so
 repeated ids are no problem; rows equal in both share every decision.
 
-* ``language``: documents in no language (no text, no letters) go.
+* ``language``: documents in no language go: without letters, or explained worse by any mixture of the languages of the
+  labelled rows than by trigrams that are all equally likely. Where no row is labelled, every text with letters stays.
 * ``lines``: boilerplate lines go, but for their first occurrence; so do documents that lose all their words by it.
-* ``near-dedup``: the first document of each group of near copies stays.
+* ``near-dedup``: one document of each group of near copies stays: that with the smallest id (null last), then text mark,
+  then the other columns. Documents without words are no copies.
 * ``mixing``: each source is brought to its target; a document that is taken twice is two rows.
 * ``packing``: documents become pieces of training sequences.
 """
@@ -34,7 +36,7 @@ def _decided(docs: DataFrame, decided: DataFrame, how: str, **also: str) -> Data
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = language_id.language_id(docs, language_id.learn(docs))
     i, m = unused([*docs.columns, "at"], "i", "m")
-    return _decided(docs, found.where("lang_pred = 'und'").select(F.col("doc_id").alias(i), text_mark("text").alias(m)).distinct(), "left_anti")
+    return _decided(docs, found.where("fit IS NULL OR fit < 0").select(F.col("doc_id").alias(i), text_mark("text").alias(m)).distinct(), "left_anti")
 
 
 def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +52,20 @@ def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    i, = unused(docs.columns, "i")
-    stay = near_dedup.near_dedup(docs).where("kept").select(F.col("doc_id").alias(i)).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col(i)), "left_semi")
+    i, m, c = unused([*docs.columns, "at"], "i", "m", "c")
+    found = near_dedup.near_dedup(docs).select(F.col("doc_id").alias(i), F.col("mark").alias(m), F.col("component").alias(c))
+    found = session.barrier(found, "found")
+    first = F.min(F.struct(F.col(i).isNull().alias("last"), F.col(i), F.col(m))).alias("first")
+    stay = found.where(F.col(c).isNotNull()).groupBy(c).agg(first).select(f"first.{i}", f"first.{m}").unionAll(found.where(F.col(c).isNull()).select(i, m).distinct())
+    kept = _decided(docs, stay, "left_semi")
+    # Rows equal in id and text: one stays of those with words.
+    again = found.where(F.col(c).isNotNull()).groupBy(i, m).agg(F.count("*").alias(c)).where(F.col(c) > 1).select(i, m)
+    again = session.small(again, name="repeated")
+    others = [F.col(f"`{name}`") for name in docs.columns if name != "text"]
+    same = _decided(kept, again, "left_semi").groupBy("doc_id", text_mark("text").alias(m))
+    one = same.agg(F.min(F.struct(*others)).alias(c), F.min("text").alias("text"))
+    one = one.select(*[F.col("text") if name == "text" else F.col(f"{c}.`{name}`") for name in docs.columns])
+    return _decided(kept, again, "left_anti").unionAll(one)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
