@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cohortframe.llm.base import SPACES, query, read, text_mark
-from cohortframe.session import barrier
+from cohortframe.session import barrier, small
 
 MIN_SITES = 10
 #: log2 of a sketch's registers; estimates within this share of the threshold are counted exactly.
@@ -39,18 +39,20 @@ def line_dedup(
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "mark", "pos")).alias("first")
     # A line that occurs in one place needs no sketch, and most do.
     counted = lines.groupBy("key").agg(F.count("*").alias("n"), first)
-    often = barrier(counted.where(F.col("n") >= min_sites).select("key", "first"), "often")
-    spread = lines.select("key", "site").join(often, "key").groupBy("key").agg(
+    often = small(counted.where(F.col("n") >= min_sites).select("key", "first"), name="often")
+    # Line and site first: that combines before the shuffle and spreads a line that is on every page.
+    pairs = lines.select("key", "site").join(often, "key").groupBy("key", "site").agg(F.first("first").alias("first"))
+    spread = pairs.groupBy("key").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(SKETCH_BITS))).alias("sites"), F.first("first").alias("first")
     )
     spread = barrier(spread, "spread")
     near = spread.where(F.col("sites").between((1 - NEAR) * min_sites, (1 + NEAR) * min_sites)).select("key", "first")
     exact = (
-        lines.select("key", "site").join(near, "key").groupBy("key", "first").agg(F.countDistinct("site").alias("sites"))
+        lines.select("key", "site").join(small(near, name="near"), "key").groupBy("key", "first").agg(F.countDistinct("site").alias("sites"))
         .where(F.col("sites") >= min_sites).select("key", "first")
     )
     boilerplate = spread.where(F.col("sites") > (1 + NEAR) * min_sites).select("key", "first").unionByName(exact)
-    boilerplate = barrier(boilerplate, "boilerplate")
+    boilerplate = small(boilerplate, name="boilerplate")
     here = F.struct(F.col("id").isNull().alias("last"), "id", "mark", "pos")
     gone = lines.join(boilerplate, "key").where(~here.eqNullSafe(F.col("first"))).groupBy("id", "mark").agg(F.collect_set("pos").alias("gone"))
     gone = gone.withColumnsRenamed({"id": "gone_id", "mark": "gone_mark"})

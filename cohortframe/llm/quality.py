@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortframe.llm.base import SPACES, query, read, words
-from cohortframe.session import barrier
+from cohortframe.session import barrier, small
 
 WINDOW = 8
 SHARE, MIN_GROUP = 0.75, 50
@@ -145,22 +145,23 @@ def _concentrate(rows: DataFrame, params: DataFrame, keys: list[str]) -> DataFra
         cells.select(*keys, "cell", F.sum("c").over(run).alias("upto"), F.sum("c").over(all_of).alias("n"))
         .where(F.col("upto") >= F.col("n") * SHARE).groupBy(*keys).agg(F.min("cell").alias("edge"))
     )
-    return barrier(_estimate(near.join(edge, keys).where(F.col("cell") <= F.col("edge")), keys), "mcd")
+    return small(_estimate(near.join(small(edge, name="edge"), keys).where(F.col("cell") <= F.col("edge")), keys), name="mcd")
 
 
 def mcd(rows: DataFrame) -> DataFrame:
     """The estimate for each group ``g`` of rows (g, r, x0..; r a random number from 0 to 1 of the row itself)."""
     sizes = rows.groupBy("g").agg(F.count("*").alias("c")).where(F.col("c") >= MIN_GROUP)
-    rows = barrier(rows.join(sizes, "g"), "vectors")
+    rows = barrier(rows.join(small(sizes, name="groups"), "g"), "vectors")
     # Start 0 is the estimate from all rows; the others begin with a few rows each, taken by their number.
     starts = rows.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(STARTS))))
     low = (F.col("s") - 1) / STARTS
     starts = starts.where((F.col("s") == 0) | ((F.col("r") >= low) & (F.col("r") < low + F.least(F.lit(1.0 / STARTS), START_ROWS / F.col("c")))))
-    params = barrier(_estimate(starts, ["g", "s"]), "mcd")
+    # One row a group or start: marked for broadcast while they are few, so that a large group is not dealt to one task.
+    params = small(_estimate(starts, ["g", "s"]), name="mcd")
     for _ in range(FIRST_STEPS):
         params = _concentrate(rows, params, ["g", "s"])
     best = params.groupBy("g").agg(F.min(F.struct("det", "s")).alias("b")).select(F.col("g").alias("h"), F.col("b.s").alias("t"))
-    params = barrier(params.join(best, (F.col("g") == F.col("h")) & (F.col("s") == F.col("t"))).drop("h", "t", "s"), "mcd")
+    params = small(params.join(best, (F.col("g") == F.col("h")) & (F.col("s") == F.col("t"))).drop("h", "t", "s"), name="mcd")
     for _ in range(LAST_STEPS):
         params = _concentrate(rows, params, ["g"])
     return params
@@ -172,12 +173,11 @@ def _judges(stats: DataFrame) -> DataFrame:
     own, whole = F.col("c") >= MIN_GROUP, F.col("cw") >= MIN_GROUP
     by_lang = c.groupBy("w").agg(F.sum("c").alias("cw"), F.bool_or(~own).alias("few"))
     by_lang = by_lang.select("w", "cw", (F.col("few") & whole).alias("lang_judges"), (F.col("few") & ~whole).alias("all_judge"))
-    total = by_lang.agg(F.sum("cw").alias("ca"), F.bool_or("all_judge").alias("any_all")).select(
-        F.when(F.col("any_all") & (F.col("ca") >= MIN_GROUP), "").alias("all_key")
-    )
+    total = by_lang.agg(F.when(F.bool_or("all_judge") & (F.sum("cw") >= MIN_GROUP), "").alias("all_key")).scalar()
     keys = F.array(F.when(own, F.col("g")), F.when(F.col("lang_judges"), F.col("w")), F.col("all_key"))
     judge = F.when(own, F.col("g")).when(whole, F.col("w")).otherwise(F.col("all_key"))
-    return barrier(c.join(by_lang, "w").crossJoin(total).select("g", judge.alias("judge"), F.array_compact(keys).alias("keys")), "judges")
+    judges = c.join(by_lang, "w").withColumn("all_key", total)
+    return small(judges.select("g", judge.alias("judge"), F.array_compact(keys).alias("keys")), name="judges")
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
