@@ -2,7 +2,7 @@
 
 from cohortframe.catalog.base import ORACLES, QUERIES
 from cohortframe.catalog import (  # noqa: F401
-    codes, cohorts, curves, datasets, files, series, statics, summary, tensors, texts,
+    codes, cohorts, curves, datasets, files, losses, series, statics, summary, tensors, texts,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

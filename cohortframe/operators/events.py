@@ -20,7 +20,11 @@ def members(df: DataFrame, cohort: DataFrame, key: str | list[str] = "stay_id")
 
 def allow_items(df: DataFrame, items: Mapping[int, str], item: str = "itemid") -> DataFrame:
     """Keep listed items and name them. The list reaches the scan as a filter; nothing is joined."""
-    return df.where(F.col(item).isin(*items)).withColumn("feature", S.lookup(item, items))
+    return name_items(df.where(F.col(item).isin(*items)), items, item)
+
+
+def name_items(df: DataFrame, items: Mapping[int, str], item: str = "itemid") -> DataFrame:
+    return df.withColumn("feature", S.lookup(item, items))
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortframe import session
 from cohortframe.functions import scalars as S
@@ -59,9 +59,14 @@ def anchor_to_first_event(events: DataFrame, key: str = "stay_id", time: str = "
     return anchor_to_stays(events, session.barrier(first_event_times(events, key, time), "first_event"), key, time)
 
 
-def within(df: DataFrame, max_hours: float | None = None, hours: str = "hours", closed: bool = False) -> DataFrame:
+def inside(max_hours: float | None = None, hours: str | Column = "hours", closed: bool = False) -> Column:
     """``0 <= hours < max_hours``; ``closed`` keeps the end point, no ``max_hours`` leaves the window open."""
-    kept = df.where(F.col(hours) >= 0)
+    hours = S.col(hours)
     if max_hours is None:
-        return kept
-    return kept.where(F.col(hours) <= max_hours if closed else F.col(hours) < max_hours)
+        return hours >= 0
+    return (hours >= 0) & (hours <= max_hours if closed else hours < max_hours)
+
+
+def within(df: DataFrame, max_hours: float | None = None, hours: str = "hours", closed: bool = False) -> DataFrame:
+    """Rows ``inside`` the window."""
+    return df.where(inside(max_hours, hours, closed))

@@ -8,6 +8,7 @@ from cohortframe import session
 from cohortframe.functions import scalars as S
 from cohortframe.functions.fixed import LAB_ITEMS, VITAL_ITEMS
 from cohortframe.operators import codes as K, cohort as C, events as E, reports as R, survival, timeaxis
+from cohortframe.operators.losses import Losses
 from cohortframe.params import Preparation
 from cohortframe.plans import common
 from cohortframe.sources import tables
@@ -16,15 +17,19 @@ STATIC = common.Static(["anchor_age"], ["gender", "first_careunit", "admission_t
 
 
 def cohort_stays(
-    icustays: DataFrame, patients: DataFrame, admissions: DataFrame, min_stay_hours: float = 24.0, horizon: float = 240.0
+    icustays: DataFrame, patients: DataFrame, admissions: DataFrame, min_stay_hours: float = 24.0, horizon: float = 240.0,
+    losses: Losses | None = None,
 ) -> DataFrame:
     """First stay of each patient, then adults, then a minimum stay; labelled by death within the horizon.
 
     The first stay is taken before the joins: they add columns, not rows, and so see one stay per patient.
     """
-    first = C.stays_with_admissions(C.first_stay(icustays), patients, admissions)
-    timed = C.adults(first, "anchor_age").withColumn("los_hours", S.hours_between("intime", "outtime"))
-    kept = C.min_stay(timed, "los_hours", min_stay_hours).drop("los_hours")
+    losses = losses or Losses()
+    first = losses.passed(C.first_stay(losses.passed(icustays, "icustays")), "icustays", "later stay of the patient or no start")
+    first = C.stays_with_admissions(first, patients, admissions)
+    adult = losses.passed(C.adults(first, "anchor_age"), "icustays", "age below 18 or unknown")
+    timed = adult.withColumn("los_hours", S.hours_between("intime", "outtime"))
+    kept = losses.passed(C.min_stay(timed, "los_hours", min_stay_hours), "icustays", "stay too short or without end").drop("los_hours")
     return survival.labels_from_calendar(kept, horizon)
 
 
@@ -35,22 +40,33 @@ def hourly_cells(
     max_hours: int,
     vital_items: dict = VITAL_ITEMS,
     lab_items: dict = LAB_ITEMS,
+    losses: Losses | None = None,
 ) -> DataFrame:
     """Listed vitals by stay and labs by patient, pooled to hourly means; either may be absent."""
+    losses = losses or Losses()
     anchors = stays.select("stay_id", "split", F.col("intime").alias("anchor_ts"))
     subjects = stays.select("subject_id", "stay_id", "split", F.col("intime").alias("anchor_ts"))
     columns = ["stay_id", "split", "hours", "feature", F.col("valuenum").alias("value")]
     parts = []
     if chartevents is not None:
-        vitals = E.drop_missing(E.allow_items(chartevents, vital_items), ["valuenum"])
-        vitals = timeaxis.within(timeaxis.anchor_to_stays(vitals, anchors, "stay_id", "charttime"), max_hours)
-        parts.append(vitals.select(*columns))
+        vitals = E.name_items(losses.keep(chartevents, "chartevents", _unusable(vital_items)), vital_items)
+        vitals = timeaxis.anchor_to_stays(vitals, anchors, "stay_id", "charttime")
+        vitals = losses.passed(vitals, "chartevents", "of no stay in the cohort")
+        vitals = timeaxis.within(vitals, max_hours).select(*columns)
+        parts.append(losses.passed(vitals, "chartevents", "outside the window"))
     if labevents is not None:
-        labs = E.drop_missing(E.allow_items(labevents, lab_items), ["valuenum"])
-        parts.append(timeaxis.fan_out_to_stays(labs, subjects, max_hours, "subject_id", "charttime").select(*columns))
+        labs = E.name_items(losses.keep(labevents, "labevents", _unusable(lab_items)), lab_items)
+        # A patient has one stay here, so an event meets one at most.
+        labs = timeaxis.fan_out_to_stays(labs, subjects, max_hours, "subject_id", "charttime").select(*columns)
+        parts.append(losses.passed(labs, "labevents", "outside the window of a stay in the cohort"))
     return E.hourly_mean(E.union_series(*parts), ["stay_id", "split"])
 
 
+def _unusable(items: dict) -> dict:
+    missing = F.col("valuenum").isNull() | F.isnan(F.col("valuenum").cast("double"))
+    return {"item not listed": ~F.coalesce(F.col("itemid").isin(*items), F.lit(False)), "no value": missing, "no time": F.col("charttime").isNull()}
+
+
 def stay_codes(
     cohort: DataFrame, diagnoses: DataFrame, admissions: DataFrame, params: Preparation
 ) -> tuple[DataFrame, DataFrame]:
@@ -76,12 +92,14 @@ def stay_codes(
     return named, K.code_cells(found, vocab, params.codes.value)
 
 
-def stay_reports(cohort: DataFrame, radiology: DataFrame, max_hours: int) -> DataFrame:
+def stay_reports(cohort: DataFrame, radiology: DataFrame, max_hours: int, losses: Losses | None = None) -> DataFrame:
     """Texts written within the input window of the stay's own admission."""
+    losses = losses or Losses()
     stays = cohort.select("stay_id", "subject_id", "hadm_id", F.col("intime").alias("anchor_ts"))
-    joined = R.join_reports(E.drop_missing(radiology, ["text"]), stays)
+    known = losses.keep(radiology, "radiology", {"no text": F.col("text").isNull(), "no time": F.col("charttime").isNull()})
+    joined = losses.passed(R.join_reports(known, stays), "radiology", "of no stay in the cohort")
     timed = timeaxis.within(joined.withColumn("hours", S.hours_between("anchor_ts", "charttime")), max_hours)
-    return timed.select("stay_id", "hours", "text")
+    return losses.passed(timed.select("stay_id", "hours", "text"), "radiology", "outside the window")
 
 
 def report_vectors(
@@ -111,16 +129,17 @@ def prepare(
 ) -> dict[str, DataFrame]:
     """Prepare whichever parts are given: series (chart and lab events), static, codes, reports."""
     tables.require_columns(icustays, ["subject_id", "hadm_id", "stay_id", "intime"])
-    stays = cohort_stays(icustays, patients, admissions, min_stay_hours, params.labels.horizon_hours)
+    losses = Losses()
+    stays = cohort_stays(icustays, patients, admissions, min_stay_hours, params.labels.horizon_hours, losses)
     cohort = common.split_cohort(stays, params)
     cells = None
     if chartevents is not None or labevents is not None:
-        cells = hourly_cells(cohort, chartevents, labevents, params.windows.max_hours, vital_items, lab_items)
+        cells = hourly_cells(cohort, chartevents, labevents, params.windows.max_hours, vital_items, lab_items, losses)
     code_vocab = code_cells = vectors = dim = None
     if diagnoses is not None:
         code_vocab, code_cells = stay_codes(cohort, diagnoses, admissions, params)
     if radiology is not None:
         vectors, dim = report_vectors(
-            stay_reports(cohort, radiology, params.windows.max_hours), params, encoder, encoder_dim
+            stay_reports(cohort, radiology, params.windows.max_hours, losses), params, encoder, encoder_dim
         )
-    return common.outputs(cohort, params, cells, STATIC if static else None, code_cells, code_vocab, vectors, dim)
+    return common.outputs(cohort, params, cells, STATIC if static else None, code_cells, code_vocab, vectors, dim, losses=losses)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortframe import session
 from cohortframe.operators import assemble, codes, events, reports, select, split, static as static_ops, survival, transform
+from cohortframe.operators.losses import Losses
 from cohortframe.params import Preparation
 
 KEYS = ["stay_id", "subject_id", "split", "duration", "event"]
@@ -54,12 +55,14 @@ def outputs(
     vectors: DataFrame | None = None,
     vector_dim: int | None = None,
     subject_counts: DataFrame | None = None,
+    losses: Losses | None = None,
 ) -> dict[str, DataFrame]:
     """Fit on train, impute, scale and assemble. ``cells`` are hourly
     ``(stay_id, split, hour, feature, value[, block])``; ``static`` names columns of the cohort. Codes come per stay
     (``code_cells``) or per patient (``subject_counts``).
 
-    Fitted tables are evaluated once; the rows themselves stay lazy until they are written.
+    Fitted tables are evaluated once; the rows themselves stay lazy until they are written. ``losses`` counts what the
+    steps before left out, by input and reason; its numbers come with the hand-over tables written until here.
     """
     spark = cohort.sparkSession
     w = params.windows
@@ -105,6 +108,7 @@ def outputs(
             rows = codes.vector_per_subject(rows, subject_counts, code_vocab, n_codes, "icd", params.codes.value)
         out["code_vocab"] = code_vocab
     if vectors is not None:
+        vectors = session.barrier(vectors, "vectors")
         rows = reports.with_vectors(rows, vectors, vector_dim, "radiology")
     out["rows"] = rows
 
@@ -125,4 +129,6 @@ def outputs(
         "active_modalities array<string>, competing_risks boolean, n_events int, n_time_bins int, n_cuts bigint, "
         "n_windows int, n_dynamic int, n_static int, n_codes int, vector_dim int",
     )
+    if losses is not None:
+        out["losses"] = losses.table(spark)
     return out

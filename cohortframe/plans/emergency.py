@@ -12,6 +12,7 @@ from cohortframe.functions.fixed import (
     ED_CATEGORIES, ED_NUMERIC, ED_OUTCOME_NAMES, ED_OUTCOMES, ED_REQUIRED, TRIAGE_ACUITY,
 )
 from cohortframe.operators import codes as K, cohort as C, events as E, reports as R, select, survival, timeaxis
+from cohortframe.operators.losses import Losses
 from cohortframe.params import Codes, Labels, Preparation, Windows
 from cohortframe.plans import common
 from cohortframe.plans.calendar_icu import report_vectors
@@ -26,38 +27,51 @@ DEFAULTS = Preparation(
 )
 
 
-def visit_rows(visits: DataFrame, horizon: float) -> DataFrame:
+def visit_rows(visits: DataFrame, horizon: float, losses: Losses | None = None) -> DataFrame:
     """Complete visits with a listed outcome and a length of stay within the horizon."""
-    complete = C.complete_cases(visits, ED_REQUIRED)
-    coded = C.map_outcome(complete, "ED_dispo", ED_OUTCOMES, "outcome")
-    named = C.canonical(C.exclude_longer(coded, "ED_LOS", horizon), {"CSN": "stay_id", "MRN": "subject_id"})
+    losses = losses or Losses()
+    complete = losses.passed(C.complete_cases(losses.passed(visits, "visits"), ED_REQUIRED), "visits", "a required column is empty")
+    coded = losses.passed(C.map_outcome(complete, "ED_dispo", ED_OUTCOMES, "outcome"), "visits", "outcome not listed")
+    within = losses.passed(C.exclude_longer(coded, "ED_LOS", horizon), "visits", "stay beyond the horizon")
+    named = C.canonical(within, {"CSN": "stay_id", "MRN": "subject_id"})
     acuity = S.lookup("Triage_acuity", TRIAGE_ACUITY, -1)
     return survival.labels_competing(named.withColumn("Triage_acuity_ordinal", acuity), "ED_LOS", "outcome")
 
 
-def first_values(df: DataFrame, cohort: DataFrame, block: int) -> DataFrame:
+def first_values(df: DataFrame, cohort: DataFrame, block: int, losses: Losses, name: str) -> DataFrame:
     """First value per stay, instant and feature of the cohort, as a number or NULL where the text is none."""
-    kept = E.with_split(E.drop_missing(df, ["instant", "feature", "value"]), cohort)
+    kept = losses.keep(df, name, {
+        "no value": F.col("value").isNull(), "no feature": F.col("feature").isNull(), "no time": F.col("time").isNull(),
+        "time unreadable": F.col("instant").isNull(),
+    })
+    kept = losses.passed(E.with_split(kept.drop("time"), cohort), name, "of no stay in the cohort")
     firsts = E.first_per_instant(kept, "instant", "seq", ["stay_id", "split"])
+    firsts = losses.passed(firsts, name, "later value of the same instant")
     is_text = dict(firsts.dtypes)["value"] == "string"
     number = S.to_number("value") if is_text else S.nan_to_null(F.col("value").cast("double"))
     return firsts.withColumns({"value": number, "block": F.lit(block)})
 
 
 def hourly_cells(
-    cohort: DataFrame, labs: DataFrame | None, numerics: DataFrame | None, max_hours: int, max_null_share: float = 0.95
+    cohort: DataFrame, labs: DataFrame | None, numerics: DataFrame | None, max_hours: int, max_null_share: float = 0.95,
+    losses: Losses | None = None,
 ) -> DataFrame:
     """Labs and vitals on ceiled hours since the stay's first measurement.
 
     ``labs`` and ``numerics`` (either may be absent) are ``(stay_id, instant, feature, value, seq)``, lab values as text. Nearly always empty
     features and non-numeric values go before the first instant is taken; a text still counts as filled.
     """
-    firsts = E.union_series(*[first_values(part, cohort, i) for i, part in enumerate((labs, numerics)) if part is not None])
+    losses = losses or Losses()
+    given = ((0, "labs", labs), (1, "numerics", numerics))
+    firsts = E.union_series(*[first_values(part, cohort, i, losses, name) for i, name, part in given if part is not None])
     firsts = session.barrier(firsts, "ed_values")
     filled = select.not_sparse(firsts, "instant", max_null_share, ["block"], unique=True).drop("null_share")
-    both = select.keep_features(firsts.where(F.col("value").isNotNull()), session.small(filled), ["block", "feature"])
+    # Labs and vitals are one table from here on.
+    numbers = losses.keep(firsts, "first values", {"no number": F.col("value").isNull()})
+    both = select.keep_features(numbers, session.small(filled), ["block", "feature"])
+    both = losses.passed(both, "first values", "feature nearly always empty")
     timed = timeaxis.anchor_to_first_event(both, "stay_id", "instant")
-    binned = timeaxis.within(timed, max_hours, closed=True).withColumn("hour", S.ceil_bin("hours"))
+    binned = losses.keep(timed.withColumn("hour", S.ceil_bin("hours")), "first values", {"outside the window": ~timeaxis.inside(max_hours, closed=True)})
     cells = binned.groupBy("stay_id", "split", "hour", "feature").agg(
         F.avg("value").alias("value"), F.min("block").alias("block")
     )
@@ -78,13 +92,13 @@ def patient_codes(
 def _series(
     table: DataFrame | None, time: str, name: str, value: str, formats: Sequence[str]
 ) -> DataFrame | None:
-    """``(stay_id, instant, feature, value, seq)`` of a series table, if it is there."""
+    """``(stay_id, time, instant, feature, value, seq)`` of a series table, if it is there."""
     if table is None:
         return None
     tables.require_columns(table, ["CSN", time, name, value, "seq"])
     return table.select(
-        F.col("CSN").alias("stay_id"), S.to_time(time, *formats).alias("instant"), F.col(name).alias("feature"),
-        F.col(value).alias("value"), "seq",
+        F.col("CSN").alias("stay_id"), F.col(time).alias("time"), S.to_time(time, *formats).alias("instant"),
+        F.col(name).alias("feature"), F.col(value).alias("value"), "seq",
     )
 
 
@@ -102,17 +116,21 @@ def prepare(
     time_formats: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """Each input may be absent. Texts in time columns are read by the first of ``time_formats`` that fits, after the
-    standard form (``sources.tables.unparsed`` counts those that none fits). ``labs`` and ``numerics`` carry their ingest order in ``seq`` (see ``sources.tables.with_file_order``)."""
-    valid = visit_rows(visits, params.labels.horizon_hours)
-    cohort = common.split_cohort(C.min_stay(valid, "duration", min_stay_hours), params)
+    standard form; ``losses`` counts those that none fits. ``labs`` and ``numerics`` carry their ingest order in ``seq`` (see ``sources.tables.with_file_order``)."""
+    tables.require_columns(visits, ["CSN", "MRN", "ED_LOS", "ED_dispo", *ED_REQUIRED])
+    losses = Losses()
+    valid = visit_rows(visits, params.labels.horizon_hours, losses)
+    long_enough = losses.passed(C.min_stay(valid, "duration", min_stay_hours), "visits", "stay too short")
+    cohort = common.split_cohort(long_enough, params)
     cells = code_vocab = counts = vectors = dim = None
     if labs is not None or numerics is not None:
         lab_rows = _series(labs, "Result_time", "Component_name", "Component_value", time_formats)
         vital_rows = _series(numerics, "Time", "Measure", "Value", time_formats)
-        cells = hourly_cells(cohort, lab_rows, vital_rows, params.windows.max_hours)
+        cells = hourly_cells(cohort, lab_rows, vital_rows, params.windows.max_hours, losses=losses)
     if pmh is not None:
         code_vocab, counts = patient_codes(cohort, valid, pmh, params)
     if rads is not None:
-        texts = E.members(R.report_text(rads.withColumnRenamed("CSN", "stay_id"), "Study", "Impression"), cohort)
+        named = losses.keep(rads.withColumnRenamed("CSN", "stay_id"), "rads", {"no text": F.col("Study").isNull() | F.col("Impression").isNull()})
+        texts = losses.passed(E.members(R.report_text(named, "Study", "Impression"), cohort), "rads", "of no stay in the cohort")
         vectors, dim = report_vectors(texts.select("stay_id", "text"), params, encoder, encoder_dim)
-    return common.outputs(cohort, params, cells, STATIC if static else None, None, code_vocab, vectors, dim, counts)
+    return common.outputs(cohort, params, cells, STATIC if static else None, None, code_vocab, vectors, dim, counts, losses)

@@ -101,7 +101,7 @@ def write_csv(df: DataFrame, path: str, compressed: bool = False) -> str:
     return path
 
 
-OUTPUTS = ("rows", "feature_vocab", "cuts", "scaler_params", "code_vocab", "run_info")
+OUTPUTS = ("rows", "feature_vocab", "cuts", "scaler_params", "code_vocab", "run_info", "losses")
 
 
 def write_dataset(outputs: Mapping[str, DataFrame], path: str) -> str:
