@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from cohortframe import session
 from cohortframe.catalog.base import FEATURES, MAX_HOURS, NUM_WINDOWS, ST, TS, WINDOW_HOURS, Tables, query, r6
 from cohortframe.catalog.statics import _LEVELS, CATEGORIES
-from cohortframe.operators import assemble, events as E, transform
+from cohortframe.operators import assemble, events as E, static as static_ops, transform
 from cohortframe.operators.split import part_of
 from cohortframe.params import Labels, Preparation, Windows
 from cohortframe.plans import common
@@ -85,7 +87,7 @@ def scaled_unseen_feature(t: Tables):
 PARAMS = Preparation(windows=Windows(NUM_WINDOWS, WINDOW_HOURS), labels=Labels(horizon_hours=600.0))
 
 
-def prepared(t: Tables) -> dict:
+def prepared(t: Tables, params: Preparation = PARAMS) -> dict:
     """Users as stays: hours from first to last event, an error among them as the event, their events as series and
     the customer of the same number as static features."""
     per_user = t.measurements.groupBy("stay_id").agg(
@@ -94,9 +96,9 @@ def prepared(t: Tables) -> dict:
     duration = (F.unix_micros(F.col("t1").cast("timestamp")) - F.unix_micros(F.col("t0").cast("timestamp"))) / F.lit(3.6e9)
     stays = per_user.select("stay_id", F.col("stay_id").alias("subject_id"), duration.alias("duration"), "event")
     described = stays.join(t.customers.drop("subject_id", "split"), "stay_id", "left")
-    cohort = common.split_cohort(described, PARAMS)
+    cohort = common.split_cohort(described, params)
     static = common.Static(["balance"], CATEGORIES)
-    return common.outputs(cohort, PARAMS, E.with_split(t.hourly, cohort), static)
+    return common.outputs(cohort, params, E.with_split(t.hourly, cohort), static)
 
 
 @query("tensor_rows")
@@ -133,6 +135,32 @@ def tensor_flat(t: Tables):
     return _flat(prepared(t)["rows"])
 
 
+_SPARSE = dataclasses.replace(PARAMS, layout="sparse")
+
+
+@query("sparse_tensor_flat", _FLAT_SQL)
+def sparse_tensor_flat(t: Tables):
+    """The data set in sparse rows, made dense: the same cells as the dense one."""
+    out = prepared(t, _SPARSE)
+    levels = static_ops.level_vocabulary(t.customers, CATEGORIES)
+    return _flat(assemble.densify(out["rows"], out["feature_vocab"], NUM_WINDOWS, levels))
+
+
+@query(
+    "sparse_rows",
+    f"""WITH {_FLAT} SELECT f.stay_id, f.win AS "window", f.idx, round(CAST(value AS FLOAT)::DOUBLE, 4) AS value FROM flat f
+      JOIN idx i ON i.idx = f.idx WHERE mask = 1 AND (i.a = 0 OR (f.win = 0 AND (i.feature = 'balance' OR value = 1)))""",
+)
+def sparse_rows(t: Tables):
+    """The listed cells of the sparse rows; static ones, which a row lists once, as of window 0."""
+    rows = prepared(t, _SPARSE)["rows"]
+    steps = rows.select("stay_id", F.explode("steps").alias("s"))
+    steps = steps.select("stay_id", "s.window", F.explode(F.arrays_zip("s.indices", "s.values")).alias("c"))
+    fixed = rows.select("stay_id", F.lit(0).alias("window"), F.explode(F.arrays_zip("static.indices", "static.values")).alias("c"))
+    cells = steps.unionByName(fixed)
+    return cells.select("stay_id", "window", F.col("c.indices").alias("idx"), F.round(F.col("c.values").cast("double"), 4).alias("value"))
+
+
 @query("dataset_roundtrip", _FLAT_SQL)
 def dataset_roundtrip(t: Tables):
     """The whole prepared data set written, read back and unrolled."""

@@ -8,11 +8,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
 from cohortframe import session
 from cohortframe.functions import scalars as S
+from cohortframe.operators.running import ranked
 
 
 @dataclass(frozen=True)
@@ -34,24 +35,17 @@ class Layout:
     def n_static(self) -> int:
         return len(self.static)
 
-    def feature_table(self, spark: SparkSession) -> DataFrame:
-        """``(feature, kind, idx)``: dynamic features first, static after them."""
-        rows = [(f, "dynamic", i) for i, f in enumerate(self.dynamic)]
-        rows += [(f, "static", self.n_dynamic + i) for i, f in enumerate(self.static)]
-        return session.literal_table(spark, rows, "feature string, kind string, idx int")
-
 
 def feature_structure(dynamic: DataFrame, static: DataFrame) -> DataFrame:
-    """``(feature, kind, idx)`` from two vocabularies with ``feature`` and the ordering columns ``block, position``.
-
-    The ranking window sees the vocabularies only.
+    """``(feature, kind, idx)`` from two vocabularies with ``feature`` and the ordering columns ``block, position``:
+    dynamic features first, static after them.
     """
     both = dynamic.select("feature", F.lit("dynamic").alias("kind"), F.lit(0).alias("_k"), "block", "position")
     both = both.unionByName(
         static.select("feature", F.lit("static").alias("kind"), F.lit(1).alias("_k"), "block", "position")
     )
-    order = Window.orderBy("_k", "block", "position", "feature")
-    return both.select("feature", "kind", (F.row_number().over(order) - 1).cast("int").alias("idx"))
+    placed = ranked(both, ["_k", "block", "position", "feature"], name="idx")
+    return placed.select("feature", "kind", (F.col("idx") - 1).cast("int").alias("idx"))
 
 
 def make_layout(dynamic: DataFrame, params: DataFrame | None = None, static: Sequence[str] = ()) -> Layout:
@@ -144,6 +138,93 @@ class _Dense:
         return pa.RecordBatch.from_arrays([*batch.columns[: self.n_kept], *done], names=names)
 
 
+# --- sparse rows ------------------------------------------------------------------------------------------------------
+
+
+def sparse_vocabulary(
+    structure: DataFrame, dynamic_params: DataFrame | None = None, static_means: DataFrame | None = None
+) -> DataFrame:
+    """``(feature, kind, idx, fill)``: the place of each feature and the value of a cell that no row lists.
+
+    A missing dynamic cell is a scaled zero (``dynamic_params``: the scaler), a missing static number its train mean
+    (``static_means``; 0 without one), a level that is not listed is 0.
+    """
+    out = structure
+    fill = F.lit(0.0)
+    if dynamic_params is not None:
+        out = out.join(dynamic_params.select(F.col("feature").alias("_f"), "mean", "scale"), F.col("feature") == F.col("_f"), "left").drop("_f")
+        fill = F.when(F.col("kind") == "dynamic", (F.lit(0.0) - F.col("mean")) / F.col("scale"))
+        out = out.withColumn("fill", F.coalesce(fill, F.lit(0.0))).drop("mean", "scale")
+    else:
+        out = out.withColumn("fill", fill)
+    if static_means is not None:
+        means = static_means.select(F.col("feature").alias("_f"), F.col("mean").alias("_mean"))
+        out = out.join(means, F.col("feature") == F.col("_f"), "left")
+        out = out.withColumn("fill", F.when(F.col("kind") == "static", F.coalesce("_mean", "fill")).otherwise(F.col("fill"))).drop("_f", "_mean")
+    return out.select("feature", "kind", "idx", F.col("fill").cast("float").alias("fill"))
+
+
+def sparse_rows(cohort: DataFrame, vocabulary: DataFrame, cells: DataFrame | None, static_cells: DataFrame | None = None) -> DataFrame:
+    """Add ``steps`` (``[(window, indices, values)]`` by window) and ``static`` (``(indices, values)``) to every cohort stay.
+
+    ``cells`` are the (scaled) window means ``(stay_id, window, feature, value)``, ``static_cells`` are ``(stay_id, feature,
+    value)``. Only observed cells appear, in rising index. The vocabulary is a table: it is joined, never collected, so a
+    row costs what was observed and the number of features has no bound. Pass it through ``session.small``.
+    """
+    entry = F.sort_array(F.collect_list(F.struct("idx", F.col("value").cast("float").alias("value"))))
+
+    def listed(part: DataFrame, kind: str, keys: list[str]) -> DataFrame:
+        places = vocabulary.where(F.col("kind") == kind).select("feature", "idx")
+        placed = part.where(F.col("value").isNotNull()).join(places, "feature")
+        return placed.groupBy(*keys).agg(entry.alias("_e")).withColumns({"indices": F.col("_e.idx"), "values": F.col("_e.value")}).drop("_e")
+
+    out = cohort
+    if cells is not None:
+        steps = listed(cells, "dynamic", ["stay_id", "window"])
+        # At most one entry a window.
+        steps = steps.groupBy("stay_id").agg(F.sort_array(F.collect_list(F.struct("window", "indices", "values"))).alias("steps"))
+        out = out.join(steps, "stay_id", "left")
+        out = out.withColumn("steps", F.coalesce("steps", F.array().cast(steps.schema["steps"].dataType)))
+    if static_cells is not None:
+        static = listed(static_cells, "static", ["stay_id"]).select("stay_id", F.struct("indices", "values").alias("static"))
+        out = out.join(static, "stay_id", "left")
+        nothing = F.struct(F.array().cast("array<int>").alias("indices"), F.array().cast("array<float>").alias("values"))
+        out = out.withColumn("static", F.coalesce("static", nothing))
+    return out
+
+
+def densify(rows: DataFrame, vocabulary: DataFrame, num_windows: int, levels: DataFrame | None = None) -> DataFrame:
+    """``x`` and ``mask`` from ``steps`` and ``static`` of sparse rows: the dense rows of the same data set.
+
+    ``levels`` names the features (column ``feature``) that are always observed. The fill values become one row as wide as
+    a dense row, so this is for vocabularies of which a dense row can be held.
+    """
+    always = F.lit(0.0)
+    places = vocabulary
+    if levels is not None:
+        known = levels.select(F.col("feature").alias("_f")).distinct()
+        places = places.join(known, F.col("feature") == F.col("_f"), "left")
+        always = F.when(F.col("_f").isNotNull(), 1.0).otherwise(0.0)
+    base = places.agg(F.sort_array(F.collect_list(F.struct("idx", "fill", always.cast("float").alias("seen")))).alias("b"))
+    wide = rows.withColumn("_b", base.scalar())
+    wide = wide.withColumns({"_fill": F.col("_b.fill"), "_seen": F.col("_b.seen")}).drop("_b")
+
+    def filled(base_array: str, value) -> Column:
+        def window(w: Column) -> Column:
+            step = F.get(F.filter("steps", lambda s: s["window"] == w), F.lit(0)) if "steps" in rows.columns else None
+            pairs = [] if step is None else [F.coalesce(F.arrays_zip(step["indices"].alias("pos"), step["values"].alias("value")), no_pairs)]
+            if "static" in rows.columns:
+                pairs.append(F.arrays_zip(F.col("static.indices").alias("pos"), F.col("static.values").alias("value")))
+            named = [F.transform(p, lambda z: F.struct(z["pos"].alias("pos"), z["value"].alias("value"))) for p in pairs]
+            return S.overlay(F.col(base_array), F.concat(*named), value)
+
+        no_pairs = F.array().cast("array<struct<pos:int,value:float>>")
+        return F.transform(F.sequence(F.lit(0), F.lit(num_windows - 1)), window)
+
+    dense = wide.withColumns({"x": filled("_fill", lambda c: c["value"]), "mask": filled("_seen", lambda c: F.lit(1.0).cast("float"))})
+    return dense.drop("_fill", "_seen", "steps", "static")
+
+
 def flatten_tensor(rows: DataFrame) -> DataFrame:
     """``(stay_id, window, idx, value, mask)`` from tensor rows, unrolled in place."""
     steps = rows.select("stay_id", "mask", F.posexplode("x").alias("window", "_x"))

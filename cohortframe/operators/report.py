@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortframe.functions import scalars as S
-from cohortframe.operators.running import quantile_of_counts
+from cohortframe.operators.running import quantile_of_counts, ranked
 
 ALL_OUTCOMES = -1
 
@@ -109,7 +109,7 @@ def codes_per_stay(cohort: DataFrame, sums: DataFrame) -> DataFrame:
 def code_frequency(counts: DataFrame, top: int | None = None) -> DataFrame:
     """``(code, n)`` with the rank from 1: all codes, or the ``top`` most frequent. The ranking has a row per code."""
     best = counts if top is None else counts.orderBy(F.desc("n"), "code").limit(top)
-    return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "code")))
+    return ranked(best, [F.desc("n"), "code"])
 
 
 def trajectory_stats(cells: DataFrame, features: DataFrame | None = None) -> DataFrame:

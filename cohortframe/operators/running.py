@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortframe import session
+from cohortframe.functions import scalars as S
 from cohortframe.functions.scalars import MICROS_PER_HOUR
 
 _LOW, _HIGH = 20, 40
@@ -117,6 +118,39 @@ def running(
     return _three_levels(df, order, by, sums, factor, weighted, ticks)
 
 
+#: Bits of a row's place within its partition in ``monotonically_increasing_id``.
+_PLACE_BITS = 33
+
+
+def ranked(
+    df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = (), name: str = "rank", task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """Add the place of each row from 1 in ``order`` (unique within ``by``), whatever the type of the order.
+
+    Up to ``task_rows`` rows in the largest group go through one window. Beyond, rows are dealt to partitions by range,
+    sorted there and written with their place; the partitions' row counts, one number each, are added up to offsets. No
+    task sees more than its range. Both ways give the same places. NULLs come first.
+    """
+    by, keys = list(by), [S.col(c) for c in order]
+    kept, biggest = sized(df, by, "ranked")
+    if biggest <= task_rows:
+        return kept.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*keys)))
+    sort = [*map(F.col, by), *keys]
+    spread = kept.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("_at", F.monotonically_increasing_id())
+    spread = session.barrier(spread, "ranked").withColumn("_part", F.shiftright("_at", _PLACE_BITS))
+    # A row for each partition of the shuffle.
+    counts, offsets, before = sorted(map(tuple, spread.groupBy("_part").count().collect())), [], 0
+    for part, n in counts:
+        offsets.append((part, before - (part << _PLACE_BITS)))
+        before += n
+    table = session.literal_table(df.sparkSession, offsets, "_part bigint, _offset bigint")
+    placed = spread.join(F.broadcast(table), "_part").withColumn(name, F.col("_at") + F.col("_offset") + 1).drop("_part", "_offset", "_at")
+    if by:
+        first = session.small(placed.groupBy(*by).agg(F.min(name).alias("_first")), name="group_starts")
+        placed = placed.join(first, list(by)).withColumn(name, F.col(name) - F.col("_first") + 1).drop("_first")
+    return placed.withColumn(name, F.col(name).cast("int"))
+
+
 def quantile_of_counts(counts: DataFrame, value: str, n: str, by: Sequence[str] = (), q: float = 0.5) -> DataFrame:
     """Exact, linearly interpolated quantile of ``value`` repeated ``n`` times; one row per group.
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortframe import session
 from cohortframe.functions import scalars as S
 from cohortframe.operators.events import long_from_wide
+from cohortframe.operators.running import ranked
 
 
 def _level_pairs(columns: Sequence[str]) -> Column:
@@ -24,10 +25,8 @@ def _level_pairs(columns: Sequence[str]) -> Column:
 def level_vocabulary(df: DataFrame, columns: Sequence[str], drop_first: bool = False) -> DataFrame:
     """Distinct levels per column, sorted, as ``(column_idx, column, level, feature, level_rank)``."""
     levels = df.select(F.explode(_level_pairs(columns)).alias("p")).select("p.*").distinct()
-    ranked = levels.withColumn(
-        "level_rank", F.row_number().over(Window.partitionBy("column_idx", "column").orderBy("level"))
-    )
-    kept = ranked.where("level_rank > 1") if drop_first else ranked
+    places = ranked(levels, ["level"], ["column_idx", "column"], "level_rank")
+    kept = places.where("level_rank > 1") if drop_first else places
     return kept.withColumn("feature", F.concat_ws("_", "column", "level"))
 
 
@@ -53,12 +52,16 @@ def static_vocabulary(
 
     ``levels`` is ``level_vocabulary`` of the categorical columns. Kinds are ``numeric`` and ``level``.
     """
-    schema = "feature string, kind string, block int, position int"
-    fixed = [(c, "numeric", 0, i) for i, c in enumerate(numeric)]
-    fixed += [(c, "numeric", 2 + len(categorical), i) for i, c in enumerate(trailing)]
     hot = levels.select("feature", F.lit("level").alias("kind"), (F.col("column_idx") + 1).alias("block"),
                         F.col("level_rank").alias("position"))
-    return session.literal_table(levels.sparkSession, fixed, schema).unionByName(hot)
+    return numeric_vocabulary(levels.sparkSession, numeric, len(categorical), trailing).unionByName(hot)
+
+
+def numeric_vocabulary(spark: SparkSession, numeric: Sequence[str], n_categorical: int = 0, trailing: Sequence[str] = ()) -> DataFrame:
+    """The numeric columns of ``static_vocabulary``, with ``n_categorical`` blocks left free between the two kinds."""
+    fixed = [(c, "numeric", 0, i) for i, c in enumerate(numeric)]
+    fixed += [(c, "numeric", 2 + n_categorical, i) for i, c in enumerate(trailing)]
+    return session.literal_table(spark, fixed, "feature string, kind string, block int, position int")
 
 
 def select_static(df: DataFrame, drop: Sequence[str]) -> DataFrame:
@@ -85,8 +88,10 @@ def static_blocks(
     categorical: Sequence[str],
     trailing: Sequence[str] = (),
     train: DataFrame | None = None,
+    levels: DataFrame | None = None,
 ) -> list[Block]:
-    """Numeric columns, levels of each category, trailing numeric columns. Levels come from all of ``df``.
+    """Numeric columns, levels of each category, trailing numeric columns. Levels come from all of ``df``, or from
+    ``levels`` (its ``level_vocabulary``). They are held on the driver: a dense row has a slot for each of them.
 
     With ``train`` a missing number becomes its train mean (0 without any), otherwise it stays NULL.
     """
@@ -95,12 +100,12 @@ def static_blocks(
     if train is not None and numbers:
         means = train.agg(*[F.avg(_number(c)).alias(c) for c in numbers]).first()
         fills = {c: 0.0 if means[c] is None else means[c] for c in numbers}
-    levels: dict[str, list] = {c: [] for c in categorical}
+    by_column: dict[str, list] = {c: [] for c in categorical}
     if categorical:
-        vocabulary = level_vocabulary(df, categorical).select("column", "level", "level_rank")
+        vocabulary = (level_vocabulary(df, categorical) if levels is None else levels).select("column", "level", "level_rank")
         for row in sorted(vocabulary.collect(), key=lambda r: r.level_rank):
-            levels[row.column].append(row.level)
-    hot = [Block(c, tuple(found)) for c, found in levels.items() if found]
+            by_column[row.column].append(row.level)
+    hot = [Block(c, tuple(found)) for c, found in by_column.items() if found]
     return [*[Block(c, fill=fills[c]) for c in numeric], *hot, *[Block(c, fill=fills[c]) for c in trailing]]
 
 

@@ -71,3 +71,5 @@ class Preparation:
     dynamic_imputation: str = "zero"
     scaling: str = "standard"
     fit_on_observed: bool = False
+    #: ``dense``: a slot for every feature in every row; ``sparse``: observed cells against the vocabulary table.
+    layout: str = "dense"

@@ -73,14 +73,27 @@ def outputs(
     cuts = session.held(survival.make_cuts(any_event, params.labels.n_time_bins, params.labels.scheme))
     out: dict[str, DataFrame] = {"cuts": cuts}
 
-    rows, names = cohort, []
+    if params.layout not in ("dense", "sparse"):
+        raise ValueError(f"unknown layout {params.layout!r}")
+    sparse = params.layout == "sparse"
+    rows, names, means, static_cells = cohort.select(*KEYS), [], None, None
+    static_vocab = session.literal_table(spark, [], "feature string, kind string, block int, position int")
     if static is not None:
-        fit = train if params.static_imputation == "mean" else None
-        parts = static_ops.static_blocks(cohort, static.numeric, static.categorical, static.trailing, fit)
-        names = [name for part in parts for name in part.names]
-        rows = static_ops.with_static_arrays(cohort, parts)
-    keys = [*KEYS, "static", "static_mask"] if static is not None else KEYS
-    rows = rows.select(*keys)
+        levels = None
+        if static.categorical:
+            levels = session.small(static_ops.level_vocabulary(cohort, static.categorical), name="levels")
+            static_vocab = static_ops.static_vocabulary(levels, static.numeric, static.categorical, static.trailing)
+        else:
+            static_vocab = static_ops.numeric_vocabulary(spark, static.numeric, 0, static.trailing)
+        if sparse:
+            numbers = static_ops.numeric_features(cohort, [*static.numeric, *static.trailing])
+            means = transform.static_means(numbers, train) if params.static_imputation == "mean" else None
+            static_cells = numbers.unionByName(static_ops.one_hot(cohort, static.categorical)) if static.categorical else numbers
+        else:
+            fit = train if params.static_imputation == "mean" else None
+            parts = static_ops.static_blocks(cohort, static.numeric, static.categorical, static.trailing, fit, levels)
+            names = [name for part in parts for name in part.names]
+            rows = static_ops.with_static_arrays(cohort, parts).select(*KEYS, "static", "static_mask")
     scaler = None
     if cells is not None:
         cells = session.barrier(cells, "cells")
@@ -94,11 +107,19 @@ def outputs(
             out["scaler_params"] = scaler
     else:
         vocab = session.literal_table(spark, [], "feature string, block int, position int")
-    layout = assemble.make_layout(vocab, scaler, names)
-    out["feature_vocab"] = layout.feature_table(spark)
+    structure = session.small(assemble.feature_structure(vocab, static_vocab), name="structure")
+    scaled = None
     if cells is not None:
         scaled = transform.scaled(windows, scaler) if scaler is not None else windows
-        rows = assemble.tensor_rows(rows, scaled, layout, w.num_windows)
+    if sparse:
+        places = session.small(assemble.sparse_vocabulary(structure, scaler, means), name="feature_vocab")
+        out["feature_vocab"] = places
+        rows = assemble.sparse_rows(rows, places, scaled, static_cells)
+    else:
+        out["feature_vocab"] = structure
+        if scaled is not None:
+            rows = assemble.tensor_rows(rows, scaled, assemble.make_layout(vocab, scaler, names), w.num_windows)
+    width = {r["kind"]: r["count"] for r in structure.groupBy("kind").count().collect()}
     n_codes = None
     if code_vocab is not None:
         n_codes = code_vocab.count()
@@ -123,7 +144,7 @@ def outputs(
         [
             (
                 modalities, params.labels.competing, params.labels.n_events, params.labels.n_time_bins, cuts.count(),
-                w.num_windows, layout.n_dynamic, layout.n_static, n_codes, vector_dim,
+                w.num_windows, width.get("dynamic", 0), width.get("static", 0), n_codes, vector_dim,
             )
         ],
         "active_modalities array<string>, competing_risks boolean, n_events int, n_time_bins int, n_cuts bigint, "
