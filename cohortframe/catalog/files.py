@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cohortframe import session
@@ -88,3 +89,86 @@ _REQUIRED = {
 def input_check(t: Tables):
     given = {name: t.read(name) for name in _REQUIRED}
     return tables.check_inputs(t.spark, given, {**_REQUIRED, "vitals": ["stay_id"]})
+
+
+# --- header-checked scans ---------------------------------------------------------------------------------------------
+
+_MESSY = """CASE WHEN o_orderkey % 29 = 0 THEN 'n/a' WHEN o_orderkey % 31 = 0 THEN 'NaN' WHEN o_orderkey % 37 = 0 THEN ''
+    ELSE CAST(o_totalprice AS STRING) END AS price,
+  CASE WHEN o_orderkey % 23 = 0 THEN 'soon' ELSE CAST(o_orderdate AS STRING) END AS ordered,
+  o_orderkey % 41 = 0 AS cut, o_orderkey % 43 = 0 AND o_orderkey % 41 <> 0 AS longer"""
+_SCAN = "o_orderkey bigint, o_totalprice double, o_orderdate timestamp"
+
+
+def _messy_scan(t: Tables):
+    """Orders as CSV with the columns in another order, one column more, broken lines and texts that are no values."""
+    orders = t.read("orders").selectExpr("o_orderkey", "o_orderpriority", *_columns(_MESSY))
+    fields = F.concat_ws(",", "price", "o_orderpriority", F.col("o_orderkey").cast("string"), "ordered")
+    line = F.when(F.col("cut"), F.concat_ws(",", "price", F.col("o_orderkey").cast("string"))).otherwise(fields)
+    lines = orders.select(F.when(F.col("longer"), F.concat(line, F.lit(",more,and more"))).otherwise(line).alias("value"))
+
+    def with_header(batches):
+        kind = pa.schema([("value", pa.string())])
+        yield pa.RecordBatch.from_arrays([pa.array(["o_totalprice,o_orderpriority,o_orderkey,o_orderdate"])], schema=kind)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string())], schema=kind)
+
+    path = session.fresh_path(t.spark, "messy-csv")
+    lines.repartition(4).mapInArrow(with_header, "value string").write.text(path)
+    return tables.scan_csv(t.spark, path, _SCAN)
+
+
+def _columns(sql: str) -> list[str]:
+    """Top-level parts of a select list."""
+    return [part.strip() for part in sql.replace(" AS price,", " AS price;").replace(" AS ordered,", " AS ordered;").replace(" AS cut,", " AS cut;").split(";")]
+
+
+_MESSY_SQL = f"m AS (SELECT o_orderkey, o_orderdate, {_MESSY.replace('STRING', 'VARCHAR')} FROM orders)"
+
+
+@query(
+    "csv_scan_rows",
+    f"""WITH {_MESSY_SQL} SELECT o_orderkey, CASE WHEN price NOT IN ('n/a', 'NaN', '') THEN CAST(price AS DOUBLE) END AS o_totalprice,
+      CASE WHEN ordered <> 'soon' THEN epoch_us(o_orderdate) END AS ordered_us FROM m WHERE NOT cut AND NOT longer""",
+)
+def csv_scan_rows(t: Tables):
+    rows, _ = _messy_scan(t)
+    return rows.select("o_orderkey", "o_totalprice", S.micros("o_orderdate").alias("ordered_us"))
+
+
+@query(
+    "csv_scan_rejects",
+    f"""WITH {_MESSY_SQL} SELECT 'fields' AS kind, NULL::VARCHAR AS "column", count(*) AS n FROM m WHERE cut OR longer
+    UNION ALL SELECT 'values', 'o_totalprice', count(*) FROM m WHERE price = 'n/a' AND NOT cut AND NOT longer
+    UNION ALL SELECT 'values', 'o_orderdate', count(*) FROM m WHERE ordered = 'soon' AND NOT cut AND NOT longer""",
+)
+def csv_scan_rejects(t: Tables):
+    _, rejects = _messy_scan(t)
+    return tables.reject_counts(rejects)
+
+
+@query(
+    "clustered_file_order",
+    """SELECT o_orderkey AS stay_id, o_orderstatus AS split, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS place,
+      CAST(1 AS BIGINT) AS n_files, true AS in_order FROM orders""",
+)
+def clustered_file_order(t: Tables):
+    """Orders as the rows of a clustered data set: their place, read off the files, and the files that may hold each."""
+    rows = t.read("orders").select(F.col("o_orderkey").alias("stay_id"), F.col("o_orderstatus").alias("split"), "o_totalprice")
+    path = session.fresh_path(t.spark, "clustered")
+    tables.write_dataset({"rows": rows}, path, clustered=True)
+    index = t.spark.read.parquet(f"{path}/file_index")
+    later = index.select(F.col("split").alias("s"), F.col("first_stay").alias("f"), F.col("rows").alias("before"))
+    # A row for each file.
+    started = index.join(later, (F.col("s") == F.col("split")) & (F.col("f") < F.col("first_stay")), "left").groupBy(
+        "file", "split", "first_stay", "last_stay", "in_order").agg(F.coalesce(F.sum("before"), F.lit(0)).alias("start"))
+    started = session.small(started)
+    back = t.spark.read.parquet(f"{path}/rows").select(
+        "stay_id", "split", F.regexp_extract("_metadata.file_path", "/rows/(split=.*)$", 1).alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    holds = started.select(F.col("split").alias("s"), "first_stay", "last_stay")
+    placed = back.join(started.select("file", "start", "in_order"), "file").select(
+        "stay_id", "split", (F.col("start") + F.col("row") + 1).alias("place"), "in_order"
+    )
+    may = placed.join(holds, (F.col("s") == F.col("split")) & F.col("stay_id").between(F.col("first_stay"), F.col("last_stay")))
+    return may.groupBy("stay_id", "split", "place", "in_order").agg(F.count("*").alias("n_files"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import DataType, FractionalType, StringType, StructField, StructType, TimestampType
 
 from cohortframe import session
+from cohortframe.functions import scalars as S
 
 
 def read_csv(
@@ -40,6 +43,75 @@ def read_csv_by_name(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
 
 
+def header(spark: SparkSession, path: str) -> list[str]:
+    """The column names that the first file of a CSV folder states; only its first line is read."""
+    return spark.read.option("header", True).csv(path).columns
+
+
+def _typed(name: str, kind: DataType, formats: Sequence[str]) -> Column:
+    if isinstance(kind, FractionalType):
+        return S.to_number(name).cast(kind)
+    if isinstance(kind, TimestampType):
+        return S.to_time(name, *formats)
+    return F.col(name).try_cast(kind)
+
+
+def scan_csv(
+    spark: SparkSession, path: str, schema: str, time_formats: Sequence[str] = (), name: str = "scan"
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejects)`` of a CSV file or folder from one scan.
+
+    The columns of ``schema`` are found by the header, so the file may have them in any order and have more; one that is
+    not there, or is there twice, is an error that names it. Every file must state the header of the first one (Spark checks
+    that), unless columns have no name.
+
+    A line with too many or too few fields goes to ``rejects`` (kind ``fields``) with its text. A line with a text that
+    its column's type cannot hold stays in ``rows`` with NULL there, and ``rejects`` (kind ``values``) names the columns and
+    texts. Empty fields and numbers written as NaN are missing, not wrong. Both tables read one typed copy in the shared
+    folder. Fields do not contain line feeds. One gzip file is one task: pass a folder of many files for large inputs.
+    """
+    have = header(spark, path)
+    wanted = StructType.fromDDL(schema)
+    lacking = [f.name for f in wanted if have.count(f.name) != 1]
+    if lacking:
+        raise ValueError(f"columns not stated once in the header of {path}: {', '.join(lacking)}")
+    broken, = _free(have, "_broken")
+    texts = StructType([*[StructField(c, StringType()) for c in have], StructField(broken, StringType())])
+    named = not any(re.fullmatch(r"_c\d+", c) for c in have)
+    reader = spark.read.schema(texts).option("header", True).option("enforceSchema", not named)
+    # A pruned parser would not see that a line has too many or too few fields.
+    raw = reader.option("mode", "PERMISSIVE").option("columnPruning", False).option("columnNameOfCorruptRecord", broken).csv(path)
+    typed, wrong = [], []
+    for f in wanted:
+        value, text = _typed(f.name, f.dataType, time_formats), F.btrim(f.name)
+        nan = F.coalesce(F.isnan(text.try_cast("double")), F.lit(False)) if isinstance(f.dataType, FractionalType) else F.lit(False)
+        typed.append(value.alias(f.name))
+        wrong.append(F.when((text != "") & value.isNull() & ~nan, F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("text"))))
+    scanned = session.barrier(
+        raw.select(
+            *typed, F.col("_metadata.file_path").alias("_file"), F.col(broken).alias("_line"),
+            F.when(F.col(broken).isNull(), F.array_compact(F.array(*wrong))).alias("_wrong"),
+        ),
+        name,
+    )
+    rejects = scanned.where(F.col("_line").isNotNull() | (F.size("_wrong") > 0)).select(
+        F.col("_file").alias("file"), F.when(F.col("_line").isNotNull(), "fields").otherwise("values").alias("kind"),
+        F.col("_wrong").alias("wrong"), F.col("_line").alias("line"),
+    )
+    return scanned.where(F.col("_line").isNull()).select(*wanted.names), rejects
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """``(kind, column, n)`` of a scan's rejects: lines by kind ``fields``, texts by column for kind ``values``."""
+    each = rejects.select("kind", F.explode_outer("wrong").alias("w"))
+    return each.groupBy("kind", F.col("w.column").alias("column")).agg(F.count("*").alias("n"))
+
+
+def _free(taken: Sequence[str], *names: str) -> list[str]:
+    have = {c.lower() for c in taken}
+    return [next(n + "_" * i for i in range(len(have) + 1) if (n + "_" * i).lower() not in have) for n in names]
+
+
 def unparsed(df: DataFrame, parsed: Mapping[str, Column]) -> DataFrame:
     """``(column, n_text, n_unparsed)``: texts of each column, and those of which the parsed expression is NULL."""
     sums = [
@@ -104,11 +176,18 @@ def write_csv(df: DataFrame, path: str, compressed: bool = False) -> str:
 OUTPUTS = ("rows", "feature_vocab", "cuts", "scaler_params", "code_vocab", "run_info", "losses")
 
 
-def write_dataset(outputs: Mapping[str, DataFrame], path: str) -> str:
-    """Write the prepared data set: ``rows`` by split and sorted by stay within files, the small tables in one file."""
-    outputs["rows"].sortWithinPartitions("split", "stay_id").write.mode("overwrite").partitionBy("split").parquet(
-        f"{path}/rows"
-    )
+def write_dataset(outputs: Mapping[str, DataFrame], path: str, clustered: bool = False) -> str:
+    """Write the prepared data set: ``rows`` by split and sorted by stay within files, the small tables in one file.
+
+    ``clustered`` deals the rows to files by ranges of stays first, at the price of a shuffle of the rows, and writes the
+    table ``file_index`` (file, split, first and last stay, rows): then a stay is in one file, which ``read_stays`` finds.
+    """
+    rows = outputs["rows"]
+    if clustered:
+        rows = rows.repartitionByRange("split", "stay_id")
+    rows.sortWithinPartitions("split", "stay_id").write.mode("overwrite").partitionBy("split").parquet(f"{path}/rows")
+    if clustered:
+        file_index(rows.sparkSession, path).coalesce(1).write.mode("overwrite").parquet(f"{path}/file_index")
     for name in OUTPUTS[1:]:
         if outputs.get(name) is not None:
             outputs[name].coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
@@ -117,3 +196,31 @@ def write_dataset(outputs: Mapping[str, DataFrame], path: str) -> str:
 
 def read_dataset(spark: SparkSession, path: str, names: Sequence[str] = OUTPUTS) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{path}/{name}") for name in names}
+
+
+def file_index(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, split, first_stay, last_stay, rows, in_order)`` of a written data set, from its column of stays alone.
+
+    ``in_order``: the stays rise from row to row of the file.
+    """
+    rows = spark.read.parquet(f"{path}/rows").select(
+        "stay_id", "split", F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row")
+    )
+    # Relative to the data set, so that it may be moved.
+    file = F.regexp_extract("path", "/rows/(split=.*)$", 1)
+    before = F.lag("stay_id").over(Window.partitionBy("file").orderBy("row"))
+    rows = rows.withColumn("file", file).withColumn("rises", F.coalesce(F.col("stay_id") >= before, F.lit(True)))
+    return rows.groupBy("file", "split").agg(
+        F.min("stay_id").alias("first_stay"), F.max("stay_id").alias("last_stay"), F.count("*").alias("rows"), F.bool_and("rises").alias("in_order")
+    )
+
+
+def read_stays(spark: SparkSession, path: str, stays: Sequence) -> DataFrame:
+    """Rows of a few stays of a data set written ``clustered``; only the files that may hold them are opened."""
+    wanted = [F.col("first_stay") <= F.lit(s) for s in stays]
+    found = reduce(lambda a, b: a | b, [c & (F.col("last_stay") >= F.lit(s)) for c, s in zip(wanted, stays)])
+    files = [r["file"] for r in spark.read.parquet(f"{path}/file_index").where(found).select("file").collect()]
+    rows = spark.read.option("basePath", f"{path}/rows")
+    if not files:
+        return rows.parquet(f"{path}/rows").where(F.lit(False))
+    return rows.parquet(*[f"{path}/rows/{f}" for f in files]).where(F.col("stay_id").isin(*stays))
