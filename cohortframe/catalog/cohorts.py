@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortframe.catalog.base import CO, HORIZON, LABELS, OUTCOMES, Tables, query, r6, split_sql
 from cohortframe.functions import scalars as S
 from cohortframe.operators import cohort as C, split, survival
-from cohortframe.params import Split
+from cohortframe.params import Labels, Split
 from cohortframe.plans import prepare
 
 
@@ -227,7 +227,7 @@ def split_partition(t: Tables):
     FROM labels WHERE event <> 0""",
 )
 def n_events(t: Tables):
-    return survival.observed_event_count(t.labels).withColumn("configured", F.lit(survival.event_count(OUTCOMES, True)))
+    return survival.observed_event_count(t.labels).withColumn("configured", F.lit(Labels(outcomes=OUTCOMES, competing=True).n_events))
 
 
 @query(

@@ -73,21 +73,22 @@ def pivot_mean(t: Tables):
     return wide.select("stay_id", "hour", *[r6(f).alias(f) for f in FEATURES])
 
 
+_BY_TYPE = [f"{f[0]} AS (SELECT stay_id, hour, value AS {f} FROM hourly WHERE feature = '{f}')" for f in FEATURES]
+_OUTER = f"{FEATURES[0][0]} {' '.join(f'FULL JOIN {f[0]} USING (stay_id, hour)' for f in FEATURES[1:])}"
+
+
 @query(
     "outer_join_hourly",
-    f"""WITH {TS}, c AS (SELECT stay_id, hour, value AS click FROM hourly WHERE feature = 'click'),
-      v AS (SELECT stay_id, hour, value AS view FROM hourly WHERE feature = 'view'),
-      e AS (SELECT stay_id, hour, value AS error FROM hourly WHERE feature = 'error')
-    SELECT stay_id, hour, round(click, 6) AS click, round(view, 6) AS view, round(error, 6) AS error
-    FROM c FULL JOIN v USING (stay_id, hour) FULL JOIN e USING (stay_id, hour)""",
+    f"""WITH {TS}, {", ".join(_BY_TYPE)} SELECT stay_id, hour, {", ".join(f"round({f}, 6) AS {f}" for f in FEATURES)} FROM {_OUTER}""",
 )
 def outer_join_hourly(t: Tables):
+    """A wide hourly table for each of the event types, joined by stay and hour."""
     hourly = t.hourly
 
     def table(feature):
         return hourly.where(F.col("feature") == feature).select("stay_id", "hour", r6("value").alias(feature))
 
-    return E.outer_join_hourly([table("click"), table("view"), table("error")])
+    return E.outer_join_hourly([table(f) for f in FEATURES])
 
 
 @query(
@@ -95,19 +96,18 @@ def outer_join_hourly(t: Tables):
     f"""WITH {TS} SELECT stay_id, CAST(floor(hours) AS INTEGER) AS hour,
       round(avg(value) FILTER (WHERE feature = 'click'), 6) AS click,
       round(avg(value) FILTER (WHERE feature IN ('view', 'purchase')), 6) AS view,
-      round(avg(value) FILTER (WHERE feature = 'error'), 6) AS error
-    FROM inside WHERE feature IN ('click', 'view', 'purchase', 'error') GROUP BY 1, 2""",
+      round(avg(value) FILTER (WHERE feature = 'error'), 6) AS error,
+      round(avg(value) FILTER (WHERE feature = 'signup'), 6) AS signup FROM inside GROUP BY 1, 2""",
 )
 def union_by_name_mean(t: Tables):
+    """All event types, each in a table with columns of its own; two of them share one."""
     timed = t.timed.withColumn("hour", S.hour_bin("hours"))
 
-    def table(feature, *names):
-        kept = timed.where(F.col("feature") == feature)
-        return kept.select("stay_id", "hour", *[F.col("value").alias(n) for n in names])
+    def table(feature, name):
+        return timed.where(F.col("feature") == feature).select("stay_id", "hour", F.col("value").alias(name))
 
-    union = E.union_series(table("click", "click"), table("view", "view"), table("purchase", "view"), table("error", "error"))
-    means = union.groupBy("stay_id", "hour").agg(*[r6(F.avg(c)).alias(c) for c in ["click", "view", "error"]])
-    return means
+    union = E.union_series(*[table(f, "view" if f == "purchase" else f) for f in FEATURES])
+    return union.groupBy("stay_id", "hour").agg(*[r6(F.avg(c)).alias(c) for c in ["click", "view", "error", "signup"]])
 
 
 @query(
@@ -178,18 +178,12 @@ def null_measurement_drop(t: Tables):
 
 @query(
     "wide_vitals_to_long",
-    f"""WITH {TS}, h AS (
-      SELECT stay_id, CAST(floor(hours) AS INTEGER) AS hour, avg(value) FILTER (WHERE feature = 'click') AS click,
-             avg(value) FILTER (WHERE feature = 'view') AS view
-      FROM inside GROUP BY 1, 2)
-    SELECT stay_id, hour, 'click' AS feature, round(click, 6) AS value FROM h WHERE click IS NOT NULL
-    UNION ALL SELECT stay_id, hour, 'view', round(view, 6) FROM h WHERE view IS NOT NULL""",
+    f"WITH {TS} SELECT stay_id, hour, feature, round(value, 6) AS value FROM hourly WHERE value IS NOT NULL",
 )
 def wide_vitals_to_long(t: Tables):
     """A wide vital-sign table averaged per hour and unrolled; empty readings drop out."""
-    wide = E.pivot_mean(t.timed.withColumn("hour", S.hour_bin("hours")), ["stay_id", "hour"], ["click", "view"])
-    long = E.long_from_wide(wide, ["stay_id", "hour"], ["click", "view"])
-    return long.withColumn("value", r6("value"))
+    wide = E.pivot_mean(t.timed.withColumn("hour", S.hour_bin("hours")), ["stay_id", "hour"], FEATURES)
+    return E.long_from_wide(wide, ["stay_id", "hour"], FEATURES).withColumn("value", r6("value"))
 
 
 _PRESENCE = {

@@ -10,7 +10,7 @@ from cohortframe.catalog.base import (
 )
 from cohortframe.catalog.statics import _LEVELS, CATEGORIES
 from cohortframe.functions import scalars as S
-from cohortframe.operators import assemble, report, static as static_ops
+from cohortframe.operators import assemble, codes as K, report, static as static_ops
 
 _NAMES = ", ".join(f"({k}, '{v}')" for k, v in OUTCOMES.items())
 
@@ -109,10 +109,29 @@ def feature_structure(t: Tables):
       SELECT CAST(count(*) FILTER (WHERE kind = 'dynamic') AS INTEGER) AS d, CAST(count(*) FILTER (WHERE kind = 'static') AS INTEGER) AS s
       FROM structure)
     SELECT split, count(*) AS n_stays, CAST({NUM_WINDOWS} AS INTEGER) AS n_windows, max(d) AS n_dynamic, max(s) AS n_static,
-      max(d + s) AS n_features, CAST(10 AS INTEGER) AS n_codes FROM users, k GROUP BY 1""",
+      max(d + s) AS n_features,
+      (SELECT CAST(count(DISTINCT p_brand) AS INTEGER) FROM lineitem JOIN part ON l_partkey = p_partkey) AS n_codes,
+      (SELECT CAST(max(len(embedding)) AS INTEGER) FROM embeddings) AS n_report FROM users, k GROUP BY 1""",
 )
 def shape_report(t: Tables):
-    return report.shape_report(t.users, NUM_WINDOWS, session.held(_structure(t)), n_codes=10)
+    codes = session.held(K.top_codes(K.code_counts(t.coded), 500))
+    return report.shape_report(
+        t.users, NUM_WINDOWS, session.small(_structure(t)), n_codes=report.n_rows(codes), n_report=report.vector_width(t.vectors)
+    )
+
+
+@query(
+    "approximate_split_counts",
+    f"""WITH {LABELS} SELECT split, count(*) AS n_stays, count(DISTINCT subject_id) AS n_patients, true AS within FROM labels GROUP BY 1""",
+)
+def approximate_split_counts(t: Tables):
+    """Sketches of two runs, merged, against the exact number of patients: within three standard errors."""
+    labels = session.barrier(t.labels, "labels")
+    runs = [report.split_sketches(labels.where(F.col("stay_id") % 2 == i)) for i in (0, 1)]
+    exact = report.split_counts(labels).select("split", F.col("n_patients").alias("exact"))
+    both = report.approximate_counts(report.merge_sketches(*runs)).join(exact, "split")
+    error = 3 * 1.04 / 2 ** (report.SKETCH_BITS / 2)
+    return both.select("split", "n_stays", F.col("exact").alias("n_patients"), (F.abs(F.col("n_patients") - F.col("exact")) <= error * F.col("exact")).alias("within"))
 
 
 @query(

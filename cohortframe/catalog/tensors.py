@@ -167,3 +167,33 @@ def dataset_roundtrip(t: Tables):
     path = session.fresh_path(t.spark, "dataset")
     tables.write_dataset(prepared(t), path)
     return _flat(tables.read_dataset(t.spark, path, ["rows"])["rows"])
+
+
+_EVEN = dataclasses.replace(PARAMS, labels=Labels(horizon_hours=600.0, n_time_bins=7, scheme="equidistant"))
+
+
+@query(
+    "dataset_small_tables",
+    f"""WITH {TS}, {_SCALER}, ends AS (
+      SELECT user_id, least((epoch_us(max(ts)) - epoch_us(min(ts))) / 3.6e9, 600.0) AS duration FROM events GROUP BY 1),
+    longest AS (SELECT max(duration) AS m FROM ends JOIN users ON stay_id = user_id WHERE split = 'train')
+    SELECT 'cuts' AS "table", CAST(range AS VARCHAR) AS "key", round((SELECT m FROM longest) * range / 6.0, 6) AS value FROM range(7)
+    UNION ALL SELECT 'mean', feature, round(mean, 6) FROM scaler UNION ALL SELECT 'scale', feature, round(CASE WHEN sd > 1e-12 THEN sd ELSE 1 END, 6) FROM scaler
+    UNION ALL SELECT 'run_info', 'n_time_bins', 7.0::DOUBLE UNION ALL SELECT 'run_info', 'n_cuts', 7.0::DOUBLE
+    UNION ALL SELECT 'run_info', 'n_windows', {NUM_WINDOWS}.0::DOUBLE UNION ALL SELECT 'run_info', 'n_events', 1.0::DOUBLE
+    UNION ALL SELECT 'run_info', 'n_dynamic', count(*)::DOUBLE FROM features""",
+)
+def dataset_small_tables(t: Tables):
+    """Cuts, scaler and run information of a written data set, as they are read back."""
+    path = session.fresh_path(t.spark, "dataset")
+    tables.write_dataset(prepared(t, _EVEN), path)
+    back = tables.read_dataset(t.spark, path, ["cuts", "scaler_params", "run_info"])
+    cuts = back["cuts"].select(F.lit("cuts").alias("table"), F.col("cut_idx").cast("string").alias("key"), r6("cut").alias("value"))
+    scaler = back["scaler_params"].select(
+        F.inline(F.array(*[F.struct(F.lit(n).alias("table"), F.col("feature").alias("key"), r6(n).alias("value")) for n in ("mean", "scale")]))
+    )
+    names = ["n_time_bins", "n_cuts", "n_windows", "n_events", "n_dynamic"]
+    info = back["run_info"].select(
+        F.inline(F.array(*[F.struct(F.lit("run_info").alias("table"), F.lit(n).alias("key"), F.col(n).cast("double").alias("value")) for n in names]))
+    )
+    return cuts.unionByName(scaler).unionByName(info)

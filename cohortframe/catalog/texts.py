@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortframe.catalog.base import Tables, query, r6
-from cohortframe.operators import reports as R, report
+from cohortframe import session
+from cohortframe.catalog.base import Tables, query, r6, split_sql
+from cohortframe.operators import reports as R, report, split
+from cohortframe.operators.split import part_of
 
 DIM = 64
 
@@ -42,6 +44,48 @@ def report_embedding(t: Tables):
     return vectors.where("value > 0").withColumn("value", r6("value"))
 
 
+#: Slots enough that some of them occur in test texts only.
+WIDE = 4096
+_SLOTS = f"""t AS (SELECT doc_id, doc_id % 150 AS stay_id,
+      list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS w FROM documents),
+    d AS (SELECT *, {split_sql('stay_id')} AS split FROM t),
+    s AS (SELECT doc_id, stay_id, split, 1.0::DOUBLE / len(w) AS share, unnest(w) AS tok FROM d WHERE len(w) > 0),
+    p AS (SELECT doc_id, stay_id, split, share, CAST(('0x' || substr(md5(tok), 1, 13))::BIGINT % {WIDE} AS INTEGER) AS pos FROM s),
+    f AS (SELECT pos, count(DISTINCT doc_id) AS reports FROM p WHERE split = 'train' GROUP BY 1),
+    i AS (SELECT CAST(range AS INTEGER) AS pos, coalesce(reports, 0) AS reports,
+      ln((1.0 + (SELECT count(*) FROM d WHERE split = 'train')) / (1 + coalesce(reports, 0))) + 1 AS weight
+      FROM range({WIDE}) LEFT JOIN f ON f.pos = range)"""
+
+
+def _slot_sums(t: Tables):
+    return session.barrier(R.slot_sums(t.texts, WIDE), "slots")
+
+
+def _train_stays(t: Tables):
+    stays = t.texts.select("stay_id").distinct()
+    return part_of(split.split_by_hash(stays, subject="stay_id"), "train")
+
+
+@query("report_idf_weights", f"WITH {_SLOTS} SELECT pos, reports, round(weight, 6) AS weight FROM i")
+def report_idf_weights(t: Tables):
+    """Weights fitted on train reports; a slot that only others have gets the weight of no report at all."""
+    return R.idf_weights(_slot_sums(t), _train_stays(t), WIDE).withColumn("weight", r6("weight"))
+
+
+@query(
+    "report_embedding_idf",
+    f"""WITH {_SLOTS}, n AS (SELECT stay_id, count(*) AS n FROM d GROUP BY 1),
+    b AS (SELECT stay_id, pos, sum(share) AS v FROM p GROUP BY 1, 2)
+    SELECT stay_id, pos, round(v / n * weight, 6) AS value FROM b JOIN n USING (stay_id) JOIN i USING (pos) WHERE v / n * weight >= 1e-5""",
+)
+def report_embedding_idf(t: Tables):
+    """Hashed mean embedding per stay with its slots weighted."""
+    sums = _slot_sums(t)
+    vectors = R.weighted_vectors(sums, session.held(R.idf_weights(sums, _train_stays(t), WIDE)), WIDE)
+    cells = vectors.select("stay_id", F.posexplode("embedding").alias("pos", "value"))
+    return cells.where("value >= 1e-5").withColumn("value", r6("value"))
+
+
 @query(
     "report_two_key_join",
     """WITH g AS (SELECT lang, source, min(doc_id) AS stay_id FROM documents GROUP BY 1, 2)

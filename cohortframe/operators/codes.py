@@ -9,8 +9,8 @@ from cohortframe.operators.running import running, sized, with_total
 
 
 def restrict_codes(coded: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Rows whose code is in a top-n vocabulary (at most n rows, hence broadcast)."""
-    return coded.join(F.broadcast(vocabulary.select("code")), "code", "left_semi")
+    """Rows whose code is in the vocabulary. A held top-n vocabulary is small by its measured size, so it is broadcast."""
+    return coded.join(vocabulary.select("code"), "code", "left_semi")
 
 
 def code_records(coded: DataFrame) -> DataFrame:
@@ -30,10 +30,19 @@ def past_codes(stays: DataFrame, coded: DataFrame) -> DataFrame:
     return stays.join(first, "subject_id").where(early).select("stay_id", "code")
 
 
+def current_code_counts(stays: DataFrame, coded: DataFrame, *carried: str) -> DataFrame:
+    """``(stay_id, *carried, code, n)``: rows per code of the stay's own admission; ``carried`` are columns of the stays.
+
+    Such codes are assigned at discharge, so they know the outcome.
+    """
+    own = coded.groupBy("subject_id", "hadm_id", "code").agg(F.count("*").alias("n"))
+    joined = stays.select("stay_id", "subject_id", "hadm_id", *carried).join(own, ["subject_id", "hadm_id"])
+    return joined.select("stay_id", *carried, "code", "n")
+
+
 def current_codes(stays: DataFrame, coded: DataFrame) -> DataFrame:
-    """Codes of the stay's own admission. They are assigned at discharge, so they know the outcome."""
-    own = coded.select("subject_id", "hadm_id", "code").distinct()
-    return stays.select("stay_id", "subject_id", "hadm_id").join(own, ["subject_id", "hadm_id"]).select("stay_id", "code")
+    """Distinct ``(stay_id, code)`` of the stay's own admission."""
+    return current_code_counts(stays, coded).select("stay_id", "code")
 
 
 def past_code_counts(stays: DataFrame, records: DataFrame) -> DataFrame:
@@ -89,7 +98,7 @@ def top_codes(counts: DataFrame, n: int) -> DataFrame:
 
 def code_cells(stay_codes: DataFrame, vocabulary: DataFrame, value: str = "binary") -> DataFrame:
     """``(stay_id, pos, value)``: presence or row count of each vocabulary code."""
-    placed = stay_codes.join(F.broadcast(vocabulary.select("code", F.col("code_idx").alias("pos"))), "code")
+    placed = stay_codes.join(vocabulary.select("code", F.col("code_idx").alias("pos")), "code")
     counted = placed.groupBy("stay_id", "pos").agg(F.count("*").cast("double").alias("value"))
     return counted if value == "count" else counted.withColumn("value", F.lit(1.0))
 
@@ -111,7 +120,7 @@ def vector_per_subject(
 
     The vector is built once per patient, so the join moves patients x codes and not stays x codes.
     """
-    slots = F.broadcast(vocabulary.select("code", F.col("code_idx").alias("pos")))
+    slots = vocabulary.select("code", F.col("code_idx").alias("pos"))
     number = F.col("n").cast("double") if value == "count" else F.lit(1.0)
     placed = counts.join(slots, "code").select("subject_id", "pos", number.alias("value"))
     packed = placed.groupBy("subject_id").agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("_cells"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,6 +25,31 @@ def split_counts(cohort: DataFrame, measurements: DataFrame | None = None) -> Da
     return joined.select("split", "n_stays", "n_patients", F.coalesce("_m", F.lit(0)).alias("n_measurements"))
 
 
+#: log2 of the registers of a distinct-count sketch; the standard error is 1.04 / 2**(bits / 2), or 1.6 %.
+SKETCH_BITS = 12
+
+
+def split_sketches(cohort: DataFrame, column: str = "subject_id", bits: int = SKETCH_BITS) -> DataFrame:
+    """``(split, n_stays, sketch)``: a mergeable HyperLogLog sketch of the distinct values per split.
+
+    Keep the table of each run: sketches of several runs merge, where exact counts would need all rows again. Values of
+    all types are taken as text. A sketch has a fixed size, whatever it counts, and combines map-side.
+    """
+    value = F.col(column).cast("string")
+    return cohort.groupBy("split").agg(F.count("*").alias("n_stays"), F.hll_sketch_agg(value, F.lit(bits)).alias("sketch"))
+
+
+def merge_sketches(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """``(split, n_stays, sketch)`` over the tables of several runs."""
+    every = reduce(lambda a, b: a.unionByName(b), others, first)
+    return every.groupBy("split").agg(F.sum("n_stays").alias("n_stays"), F.hll_union_agg("sketch").alias("sketch"))
+
+
+def approximate_counts(sketches: DataFrame, name: str = "n_patients") -> DataFrame:
+    """``(split, n_stays, n_patients)`` with the estimated number of distinct values."""
+    return sketches.select("split", "n_stays", F.hll_sketch_estimate("sketch").alias(name))
+
+
 def outcome_distribution(labels: DataFrame, outcomes: Mapping[int, str]) -> DataFrame:
     """``(split, event, outcome, n, pct)`` with a row for every listed outcome, also an unseen one."""
     counts = labels.groupBy("split", "event").agg(F.count("*").alias("n"))
@@ -58,8 +84,18 @@ def missing_share(cells: DataFrame, cohort: DataFrame, num_windows: int, n_featu
     return joined.select("split", "observed", (F.lit(100.0) - S.percent("observed", "_all")).alias("missing_pct"))
 
 
-def shape_report(cohort: DataFrame, num_windows: int, structure: DataFrame, **extra: int) -> DataFrame:
-    """N, T and F per split with the dynamic and static parts and the width of further modalities."""
+def vector_width(vectors: DataFrame, name: str = "embedding") -> Column:
+    """Entries of the widest vector, as a scalar for ``shape_report``."""
+    return vectors.agg(F.coalesce(F.max(F.size(name)), F.lit(0)).cast("int")).scalar()
+
+
+def n_rows(table: DataFrame) -> Column:
+    """Rows of a vocabulary, as a scalar for ``shape_report``."""
+    return table.agg(F.count("*").cast("int")).scalar()
+
+
+def shape_report(cohort: DataFrame, num_windows: int, structure: DataFrame, **extra: int | Column) -> DataFrame:
+    """N, T and F per split with the dynamic and static parts and the width of further modalities, given or measured."""
     kinds = structure.agg(
         F.sum((F.col("kind") == "dynamic").cast("int")).cast("int").alias("n_dynamic"),
         F.sum((F.col("kind") == "static").cast("int")).cast("int").alias("n_static"),
@@ -69,7 +105,7 @@ def shape_report(cohort: DataFrame, num_windows: int, structure: DataFrame, **ex
         {"n_dynamic": kinds.select("n_dynamic").scalar(), "n_static": kinds.select("n_static").scalar()}
     )
     counts = counts.withColumn("n_features", F.col("n_dynamic") + F.col("n_static"))
-    return counts.withColumns({name: F.lit(width) for name, width in extra.items()})
+    return counts.withColumns({name: width if isinstance(width, Column) else F.lit(width) for name, width in extra.items()})
 
 
 def equal_width_bin(value, low, high, bins: int) -> Column:
@@ -114,7 +150,7 @@ def code_frequency(counts: DataFrame, top: int | None = None) -> DataFrame:
 
 def trajectory_stats(cells: DataFrame, features: DataFrame | None = None) -> DataFrame:
     """Mean and population deviation per (window, feature) over observed cells."""
-    kept = cells if features is None else cells.join(F.broadcast(features.select("feature")), "feature", "left_semi")
+    kept = cells if features is None else cells.join(features.select("feature"), "feature", "left_semi")
     return (
         kept.where(F.col("value").isNotNull())
         .groupBy("window", "feature")

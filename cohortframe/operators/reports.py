@@ -54,6 +54,53 @@ def hashed_vectors(reports: DataFrame, dim: int) -> DataFrame:
     return packed.select("stay_id", mean.alias("embedding"))
 
 
+def slot_sums(reports: DataFrame, dim: int) -> DataFrame:
+    """``(stay_id, n, cells)``: reports of each stay and, for each slot that occurs, ``(pos, value, reports)``.
+
+    ``value`` sums the slot's share of the tokens over the reports, ``reports`` counts those that have it. Texts are read
+    once; they shrink to ``dim`` + 1 sums per stay before the shuffle.
+    """
+    slots = reports.select("stay_id", F.transform(tokens("text"), lambda t: token_bucket(t, dim)).alias("s"))
+    share = F.try_divide(F.lit(1.0), F.size("s"))
+
+    def entry(pos, value, n) -> Column:
+        return F.struct(pos.cast("int").alias("pos"), value.cast("double").alias("value"), F.lit(n).cast("bigint").alias("reports"))
+
+    entries = F.concat(
+        F.array(entry(F.lit(-1), F.lit(1.0), 0)),
+        F.transform("s", lambda p: entry(p, share, 0)),
+        F.transform(F.array_distinct("s"), lambda p: entry(p, F.lit(0.0), 1)),
+    )
+    sums = slots.select("stay_id", F.inline(entries)).groupBy("stay_id", "pos").agg(F.sum("value").alias("value"), F.sum("reports").alias("reports"))
+    cell = F.when(F.col("pos") >= 0, F.struct("pos", "value", "reports"))
+    return sums.groupBy("stay_id").agg(
+        F.max(F.when(F.col("pos") < 0, F.col("value"))).alias("n"), F.sort_array(F.collect_list(cell)).alias("cells")
+    )
+
+
+def idf_weights(sums: DataFrame, train: DataFrame, dim: int) -> DataFrame:
+    """``(pos, reports, weight)`` of every slot, fitted on the reports of train stays only: ``ln((1 + n) / (1 + d)) + 1``.
+
+    ``n`` are the train reports, ``d`` those that have the slot; a slot that train never saw has the largest weight.
+    """
+    fit = sums.join(train.select("stay_id"), "stay_id", "left_semi")
+    n = fit.agg(F.coalesce(F.sum("n"), F.lit(0.0))).scalar()
+    seen = fit.select(F.inline("cells")).groupBy("pos").agg(F.sum("reports").alias("reports"))
+    slots = sums.sparkSession.range(dim).select(F.col("id").cast("int").alias("pos"))
+    counts = slots.join(seen, "pos", "left").withColumn("reports", F.coalesce("reports", F.lit(0)).cast("bigint")).withColumn("_n", n)
+    return counts.select("pos", "reports", (F.log((1 + F.col("_n")) / (1 + F.col("reports"))) + 1).alias("weight"))
+
+
+def weighted_vectors(sums: DataFrame, weights: DataFrame, dim: int) -> DataFrame:
+    """``(stay_id, embedding)``: mean over a stay's reports of their slots times the slots' weights (``dim`` numbers).
+
+    The weight belongs to the slot, so it may be applied to the sum of the reports.
+    """
+    by_slot = weights.agg(F.sort_array(F.collect_list(F.struct("pos", "weight"))).alias("w")).select(F.col("w.weight"))
+    dense = sums.withColumn("_w", by_slot.scalar()).withColumn("_v", S.scatter("cells", dim, F.lit(0.0)))
+    return dense.select("stay_id", F.zip_with("_v", "_w", lambda v, w: v * w / F.col("n")).alias("embedding"))
+
+
 def encode_reports(reports: DataFrame, encoder: Encoder, batch_size: int = 32) -> DataFrame:
     """``(stay_id, embedding)`` per report from a user's encoder, called on batches of texts inside the tasks."""
 

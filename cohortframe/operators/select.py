@@ -52,7 +52,7 @@ def not_sparse(
     filled = filled.groupBy(*by, "feature").agg(F.count("*").alias("filled"))
     instants = events.select(*by, "stay_id", instant).distinct().groupBy(*by).agg(F.count("*").alias("n_instants"))
     if by:
-        rates = filled.join(F.broadcast(instants), by)
+        rates = filled.join(instants, by)
     else:
         rates = filled.withColumn("n_instants", instants.scalar())
     rates = rates.withColumn("null_share", F.lit(1.0) - F.col("filled") / F.col("n_instants"))

@@ -56,6 +56,8 @@ class Codes:
 class Reports:
     dim: int = 64
     batch_size: int = 32
+    #: Weigh the slots of the hashed embedding by how few train reports have them.
+    idf: bool = False
 
 
 @dataclass(frozen=True)

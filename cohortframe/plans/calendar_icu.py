@@ -77,17 +77,18 @@ def stay_codes(
     """
     stays = cohort.select("stay_id", "subject_id", "hadm_id", "split", F.col("intime").alias("anchor_ts"))
     fit = common.train_of(stays) if params.codes.fit_on == "train" else stays
-    coded = E.members(diagnoses.withColumnRenamed("icd_code", "code"), stays, "subject_id")
+    coded = diagnoses.withColumnRenamed("icd_code", "code")
     if params.codes.mode == "history":
         times = admissions.select("hadm_id", F.col("admittime").alias("coded_ts"))
-        records = session.barrier(K.code_records(coded.join(times, "hadm_id")), "code_records")
+        records = session.barrier(K.code_records(E.members(coded, stays, "subject_id").join(times, "hadm_id")), "code_records")
         vocab = session.held(K.top_codes(K.past_code_counts(fit, records), params.codes.top_n))
         found = K.past_codes(stays, K.restrict_codes(records, vocab))
     else:
-        own = fit.select("subject_id", "hadm_id")
-        counts = K.code_counts(coded.join(own, ["subject_id", "hadm_id"]))
-        vocab = session.held(K.top_codes(counts, params.codes.top_n))
-        found = K.current_codes(stays, K.restrict_codes(coded, vocab))
+        # The codes of the stays' own admissions, written: the vocabulary and the cells both read them.
+        own = session.barrier(K.current_code_counts(stays, coded, "split"), "own_codes")
+        counted = own.where("split = 'train'") if params.codes.fit_on == "train" else own
+        vocab = session.held(K.top_codes(K.total_counts(counted), params.codes.top_n))
+        found = K.restrict_codes(own, vocab).select("stay_id", "code")
     named = vocab.withColumn("feature", F.concat(F.lit(params.codes.prefix), F.col("code")))
     return named, K.code_cells(found, vocab, params.codes.value)
 
@@ -103,12 +104,20 @@ def stay_reports(cohort: DataFrame, radiology: DataFrame, max_hours: int, losses
 
 
 def report_vectors(
-    texts: DataFrame, params: Preparation, encoder: R.Encoder | None = None, dim: int | None = None
-) -> tuple[DataFrame, int]:
-    """Pooled vector per stay with reports, from a user's encoder (with its dimension) or the native hashed one."""
+    texts: DataFrame, params: Preparation, encoder: R.Encoder | None = None, dim: int | None = None, train: DataFrame | None = None
+) -> tuple[DataFrame, int, DataFrame | None]:
+    """Pooled vector per stay with reports, from a user's encoder (with its dimension) or the native hashed one.
+
+    The third value is the table of slot weights, fitted on ``train``, where they are asked for.
+    """
     if encoder is not None:
-        return R.pool_vectors(R.encode_reports(texts, encoder, params.reports.batch_size)), dim
-    return R.hashed_vectors(texts, params.reports.dim), params.reports.dim
+        return R.pool_vectors(R.encode_reports(texts, encoder, params.reports.batch_size)), dim, None
+    dim = params.reports.dim
+    if not params.reports.idf:
+        return R.hashed_vectors(texts, dim), dim, None
+    sums = session.barrier(R.slot_sums(texts, dim), "slots")
+    weights = session.held(R.idf_weights(sums, train, dim))
+    return R.weighted_vectors(sums, weights, dim), dim, weights
 
 
 def prepare(
@@ -135,11 +144,12 @@ def prepare(
     cells = None
     if chartevents is not None or labevents is not None:
         cells = hourly_cells(cohort, chartevents, labevents, params.windows.max_hours, vital_items, lab_items, losses)
-    code_vocab = code_cells = vectors = dim = None
+    code_vocab = code_cells = vectors = dim = weights = None
     if diagnoses is not None:
         code_vocab, code_cells = stay_codes(cohort, diagnoses, admissions, params)
     if radiology is not None:
-        vectors, dim = report_vectors(
-            stay_reports(cohort, radiology, params.windows.max_hours, losses), params, encoder, encoder_dim
+        vectors, dim, weights = report_vectors(
+            stay_reports(cohort, radiology, params.windows.max_hours, losses), params, encoder, encoder_dim, common.train_of(cohort)
         )
-    return common.outputs(cohort, params, cells, STATIC if static else None, code_cells, code_vocab, vectors, dim, losses=losses)
+    out = common.outputs(cohort, params, cells, STATIC if static else None, code_cells, code_vocab, vectors, dim, losses=losses)
+    return out if weights is None else out | {"slot_weights": weights}

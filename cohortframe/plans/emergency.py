@@ -122,7 +122,7 @@ def prepare(
     valid = visit_rows(visits, params.labels.horizon_hours, losses)
     long_enough = losses.passed(C.min_stay(valid, "duration", min_stay_hours), "visits", "stay too short")
     cohort = common.split_cohort(long_enough, params)
-    cells = code_vocab = counts = vectors = dim = None
+    cells = code_vocab = counts = vectors = dim = weights = None
     if labs is not None or numerics is not None:
         lab_rows = _series(labs, "Result_time", "Component_name", "Component_value", time_formats)
         vital_rows = _series(numerics, "Time", "Measure", "Value", time_formats)
@@ -132,5 +132,6 @@ def prepare(
     if rads is not None:
         named = losses.keep(rads.withColumnRenamed("CSN", "stay_id"), "rads", {"no text": F.col("Study").isNull() | F.col("Impression").isNull()})
         texts = losses.passed(E.members(R.report_text(named, "Study", "Impression"), cohort), "rads", "of no stay in the cohort")
-        vectors, dim = report_vectors(texts.select("stay_id", "text"), params, encoder, encoder_dim)
-    return common.outputs(cohort, params, cells, STATIC if static else None, None, code_vocab, vectors, dim, counts, losses)
+        vectors, dim, weights = report_vectors(texts.select("stay_id", "text"), params, encoder, encoder_dim, common.train_of(cohort))
+    out = common.outputs(cohort, params, cells, STATIC if static else None, None, code_vocab, vectors, dim, counts, losses)
+    return out if weights is None else out | {"slot_weights": weights}

@@ -173,7 +173,7 @@ def write_csv(df: DataFrame, path: str, compressed: bool = False) -> str:
     return path
 
 
-OUTPUTS = ("rows", "feature_vocab", "cuts", "scaler_params", "code_vocab", "run_info", "losses")
+OUTPUTS = ("rows", "feature_vocab", "cuts", "scaler_params", "code_vocab", "run_info", "losses", "slot_weights")
 
 
 def write_dataset(outputs: Mapping[str, DataFrame], path: str, clustered: bool = False) -> str:
@@ -194,7 +194,7 @@ def write_dataset(outputs: Mapping[str, DataFrame], path: str, clustered: bool =
     return path
 
 
-def read_dataset(spark: SparkSession, path: str, names: Sequence[str] = OUTPUTS) -> dict[str, DataFrame]:
+def read_dataset(spark: SparkSession, path: str, names: Sequence[str] = OUTPUTS[:-1]) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{path}/{name}") for name in names}
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortframe.operators import survival
+from cohortframe.params import Labels
 
 LABELS = "stay_id int, duration double, event int"
 
@@ -128,8 +129,8 @@ def test_band(frame, five):
 
 
 def test_event_count():
-    assert survival.event_count({0: "a", 1: "b", 2: "c", 3: "d"}, True) == 3
-    assert survival.event_count({0: "a", 1: "b"}, False) == 1
+    assert Labels(outcomes={0: "a", 1: "b", 2: "c", 3: "d"}, competing=True).n_events == 3
+    assert Labels(outcomes={0: "a", 1: "b"}).n_events == 1
 
 
 def test_cuts_with_events_at_time_zero(frame):
