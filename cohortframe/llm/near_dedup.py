@@ -302,7 +302,21 @@ def _groups(texts: DataFrame, classes: DataFrame, size: int, similar: int) -> Da
     return joined(known, overlaps(rest).where("linked").select("a", "b"))
 
 
-@query("op5_near_dedup")
+@query(
+    "op5_near_dedup",
+    r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+    i AS (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws) - 3))) AS j FROM w WHERE len(ws) > 0),
+    s AS (SELECT DISTINCT doc_id, array_to_string(ws[j:j + 4], ' ') AS shingle FROM i),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 75 * (x.n + y.n - o)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id WHERE r.c < e.b),
+    g AS (SELECT id, min(c) AS c FROM r GROUP BY 1)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, d.doc_id = c AS kept
+    FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN g ON g.id = d.doc_id""",
+)
 def op5_near_dedup(spark, sf_dir):
     """All documents; shingles of five words, similarity of 0.75 or more."""
     return near_dedup(read(spark, sf_dir, "documents")).drop("mark", "component")

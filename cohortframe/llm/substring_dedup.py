@@ -373,7 +373,19 @@ def substring_dedup(
     )
 
 
-@query("op9_substring_dedup")
+@query(
+    "op9_substring_dedup",
+    r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+    i AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS j FROM w WHERE len(ws) >= 13),
+    v AS (SELECT doc_id, j, array_to_string(ws[j:j + 12], ' ') AS k FROM i),
+    f AS (SELECT k, min(doc_id) AS first FROM v GROUP BY 1),
+    b AS (SELECT DISTINCT doc_id, unnest(range(j, j + 13)) AS pos FROM v JOIN f USING (k) WHERE first < doc_id),
+    x AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+    t AS (SELECT x.doc_id, count(b.pos) AS gone, string_agg(word, ' ' ORDER BY x.pos) FILTER (b.pos IS NULL) AS kept
+        FROM x LEFT JOIN b ON b.doc_id = x.doc_id AND b.pos = x.pos GROUP BY 1)
+    SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM w LEFT JOIN t ON t.doc_id = w.doc_id""",
+)
 def op9_substring_dedup(spark, sf_dir):
     """All documents; windows of 13 words."""
     out = substring_dedup(read(spark, sf_dir, "documents"))
