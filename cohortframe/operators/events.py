@@ -12,10 +12,18 @@ from cohortframe.functions import scalars as S
 CELL = ["stay_id", "hour", "feature"]
 
 
+SPLITS = ("train", "val", "test")
+
+
 def members(df: DataFrame, cohort: DataFrame, key: str | list[str] = "stay_id") -> DataFrame:
-    """Rows whose key is in the cohort. No DISTINCT: a semi join needs none, and AQE splits hot keys without it."""
+    """Rows whose key is in the cohort. No DISTINCT: a semi join needs none, and AQE splits hot keys without it.
+
+    A cohort too large to broadcast meets the rows by shuffle. The planner may then send a Bloom filter of the cohort's keys
+    below the exchange of the rows, which it does only for a side that is filtered: that on the split lets every stay pass.
+    """
     keys = [key] if isinstance(key, str) else key
-    return df.join(cohort.select(*keys), keys, "left_semi")
+    known = cohort.where(F.col("split").isin(*SPLITS)) if "split" in cohort.columns else cohort
+    return df.join(known.select(*keys), keys, "left_semi")
 
 
 def allow_items(df: DataFrame, items: Mapping[int, str], item: str = "itemid") -> DataFrame:

@@ -66,10 +66,10 @@ def hourly_cells(
     size allows.
     """
     losses = losses or Losses()
-    ids = stays.select(F.col("stay_id").alias("_own"))
+    ids = stays.select(F.col("stay_id").alias("patientunitstayid"), "split")
 
     def own(df: DataFrame, name: str) -> DataFrame:
-        kept = df.join(ids, F.col("patientunitstayid") == F.col("_own"), "left_semi")
+        kept = E.members(df, ids, "patientunitstayid")
         return losses.passed(kept, name, "of no stay in the cohort")
 
     vitals = (("vital_periodic", vital_periodic, PERIODIC_VITALS), ("vital_aperiodic", vital_aperiodic, APERIODIC_VITALS))

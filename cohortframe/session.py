@@ -18,6 +18,10 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where the aggregate above then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Cohorts too large to broadcast prune the events before their shuffle, once the events' scan is worth a second look at the cohort.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
 }
 
 

@@ -108,3 +108,23 @@ def test_no_cross_join_and_no_single_task_window(spark, name):
     plan = final_plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Exchange SinglePartition" not in plan
+
+
+def test_large_cohort_prunes_events_before_their_shuffle(spark):
+    """A Bloom filter of the cohort's keys stands below the exchange of the events, and no row of the cohort is lost."""
+    events = session.barrier(spark.range(200_000).selectExpr("id % 50000 AS stay_id", "id AS value"), "events")
+    cohort = session.barrier(spark.range(0, 50_000, 50).selectExpr("id AS stay_id", "CASE WHEN id % 3 = 0 THEN 'val' ELSE 'train' END AS split"), "cohort")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        kept = E.members(events, cohort)
+        plan = final_plan(kept)
+        assert kept.count() == 4_000 and {r.stay_id % 50 for r in kept.select("stay_id").distinct().collect()} == {0}
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    lines = plan.splitlines()
+    above = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(stay_id" in line)
+    assert any("might_contain" in line for line in lines[above:])
