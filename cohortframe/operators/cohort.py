@@ -14,10 +14,11 @@ def canonical(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
 
-def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def require_columns(df: DataFrame, columns: Sequence[str], name: str = "cohort") -> DataFrame:
+    """``df``, or an error that names what it lacks."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise ValueError(f"cohort lacks required columns: {missing}")
+        raise ValueError(f"{name} lacks required columns: {missing}")
     return df
 
 

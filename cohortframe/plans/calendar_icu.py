@@ -10,8 +10,7 @@ from cohortframe.functions.fixed import LAB_ITEMS, VITAL_ITEMS
 from cohortframe.operators import codes as K, cohort as C, events as E, reports as R, survival, timeaxis
 from cohortframe.operators.losses import Losses
 from cohortframe.params import Preparation
-from cohortframe.plans import common
-from cohortframe.sources import tables
+from cohortframe.plans import common, spec
 
 STATIC = common.Static(["anchor_age"], ["gender", "first_careunit", "admission_type", "admission_location"])
 
@@ -103,23 +102,6 @@ def stay_reports(cohort: DataFrame, radiology: DataFrame, max_hours: int, losses
     return losses.passed(timed.select("stay_id", "hours", "text"), "radiology", "outside the window")
 
 
-def report_vectors(
-    texts: DataFrame, params: Preparation, encoder: R.Encoder | None = None, dim: int | None = None, train: DataFrame | None = None
-) -> tuple[DataFrame, int, DataFrame | None]:
-    """Pooled vector per stay with reports, from a user's encoder (with its dimension) or the native hashed one.
-
-    The third value is the table of slot weights, fitted on ``train``, where they are asked for.
-    """
-    if encoder is not None:
-        return R.pool_vectors(R.encode_reports(texts, encoder, params.reports.batch_size)), dim, None
-    dim = params.reports.dim
-    if not params.reports.idf:
-        return R.hashed_vectors(texts, dim), dim, None
-    sums = session.barrier(R.slot_sums(texts, dim), "slots")
-    weights = session.held(R.idf_weights(sums, train, dim))
-    return R.weighted_vectors(sums, weights, dim), dim, weights
-
-
 def prepare(
     icustays: DataFrame,
     patients: DataFrame,
@@ -137,19 +119,27 @@ def prepare(
     lab_items: dict = LAB_ITEMS,
 ) -> dict[str, DataFrame]:
     """Prepare whichever parts are given: series (chart and lab events), static, codes, reports."""
-    tables.require_columns(icustays, ["subject_id", "hadm_id", "stay_id", "intime"])
-    losses = Losses()
-    stays = cohort_stays(icustays, patients, admissions, min_stay_hours, params.labels.horizon_hours, losses)
-    cohort = common.split_cohort(stays, params)
-    cells = None
-    if chartevents is not None or labevents is not None:
-        cells = hourly_cells(cohort, chartevents, labevents, params.windows.max_hours, vital_items, lab_items, losses)
-    code_vocab = code_cells = vectors = dim = weights = None
-    if diagnoses is not None:
-        code_vocab, code_cells = stay_codes(cohort, diagnoses, admissions, params)
-    if radiology is not None:
-        vectors, dim, weights = report_vectors(
-            stay_reports(cohort, radiology, params.windows.max_hours, losses), params, encoder, encoder_dim, common.train_of(cohort)
-        )
-    out = common.outputs(cohort, params, cells, STATIC if static else None, code_cells, code_vocab, vectors, dim, losses=losses)
-    return out if weights is None else out | {"slot_weights": weights}
+    inputs = {
+        "icustays": icustays, "patients": patients, "admissions": admissions, "chartevents": chartevents, "labevents": labevents,
+        "diagnoses": diagnoses, "radiology": radiology,
+    }
+    return spec.prepare(data_set(min_stay_hours, vital_items, lab_items), inputs, params, static, encoder, encoder_dim)
+
+
+def data_set(min_stay_hours: float = 24.0, vital_items: dict = VITAL_ITEMS, lab_items: dict = LAB_ITEMS) -> spec.DataSet:
+    def stays(given, params, losses):
+        return cohort_stays(given["icustays"], given["patients"], given["admissions"], min_stay_hours, params.labels.horizon_hours, losses)
+
+    def cells(given, cohort, params, losses):
+        return hourly_cells(cohort, given.get("chartevents"), given.get("labevents"), params.windows.max_hours, vital_items, lab_items, losses)
+
+    def codes(given, cohort, params):
+        return spec.Codes(*stay_codes(cohort, given["diagnoses"], given["admissions"], params))
+
+    def texts(given, cohort, params, losses):
+        return stay_reports(cohort, given["radiology"], params.windows.max_hours, losses)
+
+    return spec.DataSet(
+        stays, STATIC, cells, ["chartevents", "labevents"], codes, "diagnoses", texts, "radiology",
+        {"icustays": ["subject_id", "hadm_id", "stay_id", "intime"]},
+    )

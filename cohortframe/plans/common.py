@@ -36,6 +36,23 @@ def dynamic_vocabulary(cells: DataFrame, cohort: DataFrame, params: Preparation)
     return session.small(kept, name="dynamic_vocab")
 
 
+def report_vectors(
+    texts: DataFrame, params: Preparation, encoder: reports.Encoder | None = None, dim: int | None = None, train: DataFrame | None = None
+) -> tuple[DataFrame, int, DataFrame | None]:
+    """Pooled vector per stay with reports, from a user's encoder (with its dimension) or the native hashed one.
+
+    The third value is the table of slot weights, fitted on ``train``, where they are asked for.
+    """
+    if encoder is not None:
+        return reports.pool_vectors(reports.encode_reports(texts, encoder, params.reports.batch_size)), dim, None
+    dim = params.reports.dim
+    if not params.reports.idf:
+        return reports.hashed_vectors(texts, dim), dim, None
+    sums = session.barrier(reports.slot_sums(texts, dim), "slots")
+    weights = session.held(reports.idf_weights(sums, train, dim))
+    return reports.weighted_vectors(sums, weights, dim), dim, weights
+
+
 @dataclass(frozen=True)
 class Static:
     """Static columns of the cohort in feature order."""

@@ -14,8 +14,7 @@ from cohortframe.functions.fixed import (
 from cohortframe.operators import codes as K, cohort as C, events as E, reports as R, select, survival, timeaxis
 from cohortframe.operators.losses import Losses
 from cohortframe.params import Codes, Labels, Preparation, Windows
-from cohortframe.plans import common
-from cohortframe.plans.calendar_icu import report_vectors
+from cohortframe.plans import common, spec
 from cohortframe.sources import tables
 
 STATIC = common.Static(ED_NUMERIC, ED_CATEGORIES, ["Triage_acuity_ordinal"])
@@ -117,21 +116,32 @@ def prepare(
 ) -> dict[str, DataFrame]:
     """Each input may be absent. Texts in time columns are read by the first of ``time_formats`` that fits, after the
     standard form; ``losses`` counts those that none fits. ``labs`` and ``numerics`` carry their ingest order in ``seq`` (see ``sources.tables.with_file_order``)."""
-    tables.require_columns(visits, ["CSN", "MRN", "ED_LOS", "ED_dispo", *ED_REQUIRED])
-    losses = Losses()
-    valid = visit_rows(visits, params.labels.horizon_hours, losses)
-    long_enough = losses.passed(C.min_stay(valid, "duration", min_stay_hours), "visits", "stay too short")
-    cohort = common.split_cohort(long_enough, params)
-    cells = code_vocab = counts = vectors = dim = weights = None
-    if labs is not None or numerics is not None:
-        lab_rows = _series(labs, "Result_time", "Component_name", "Component_value", time_formats)
-        vital_rows = _series(numerics, "Time", "Measure", "Value", time_formats)
-        cells = hourly_cells(cohort, lab_rows, vital_rows, params.windows.max_hours, losses=losses)
-    if pmh is not None:
-        code_vocab, counts = patient_codes(cohort, valid, pmh, params)
-    if rads is not None:
-        named = losses.keep(rads.withColumnRenamed("CSN", "stay_id"), "rads", {"no text": F.col("Study").isNull() | F.col("Impression").isNull()})
-        texts = losses.passed(E.members(R.report_text(named, "Study", "Impression"), cohort), "rads", "of no stay in the cohort")
-        vectors, dim, weights = report_vectors(texts.select("stay_id", "text"), params, encoder, encoder_dim, common.train_of(cohort))
-    out = common.outputs(cohort, params, cells, STATIC if static else None, None, code_vocab, vectors, dim, counts, losses)
-    return out if weights is None else out | {"slot_weights": weights}
+    inputs = {"visits": visits, "labs": labs, "numerics": numerics, "pmh": pmh, "rads": rads}
+    return spec.prepare(data_set(min_stay_hours, time_formats), inputs, params, static, encoder, encoder_dim)
+
+
+def data_set(min_stay_hours: float = 0.0, time_formats: Sequence[str] = ()) -> spec.DataSet:
+    def stays(given, params, losses):
+        valid = visit_rows(given["visits"], params.labels.horizon_hours, losses)
+        return losses.passed(C.min_stay(valid, "duration", min_stay_hours), "visits", "stay too short")
+
+    def cells(given, cohort, params, losses):
+        lab_rows = _series(given.get("labs"), "Result_time", "Component_name", "Component_value", time_formats)
+        vital_rows = _series(given.get("numerics"), "Time", "Measure", "Value", time_formats)
+        return hourly_cells(cohort, lab_rows, vital_rows, params.windows.max_hours, losses=losses)
+
+    def codes(given, cohort, params):
+        valid = visit_rows(given["visits"], params.labels.horizon_hours)
+        vocabulary, counts = patient_codes(cohort, valid, given["pmh"], params)
+        return spec.Codes(vocabulary, subject_counts=counts)
+
+    def texts(given, cohort, params, losses):
+        named = given["rads"].withColumnRenamed("CSN", "stay_id")
+        named = losses.keep(named, "rads", {"no text": F.col("Study").isNull() | F.col("Impression").isNull()})
+        own = E.members(R.report_text(named, "Study", "Impression"), cohort)
+        return losses.passed(own, "rads", "of no stay in the cohort").select("stay_id", "text")
+
+    return spec.DataSet(
+        stays, STATIC, cells, ["labs", "numerics"], codes, "pmh", texts, "rads",
+        {"visits": ["CSN", "MRN", "ED_LOS", "ED_dispo", *ED_REQUIRED]},
+    )

@@ -9,8 +9,9 @@ from cohortframe.functions.fixed import APERIODIC_VITALS, PERIODIC_VITALS
 from cohortframe.operators import cohort as C, events as E, survival, timeaxis
 from cohortframe.operators.losses import Losses
 from cohortframe.params import Preparation
-from cohortframe.plans import common
+from cohortframe.plans import common, spec
 
+SERIES = ("vital_periodic", "vital_aperiodic", "lab")
 STATIC = common.Static(["age"], ["gender", "ethnicity", "unitstaytype"])
 
 
@@ -94,10 +95,15 @@ def prepare(
     min_stay_hours: float = 24.0,
     static: bool = True,
 ) -> dict[str, DataFrame]:
-    losses = Losses()
-    stays = cohort_stays(patient, min_stay_hours, params.labels.horizon_hours, losses)
-    cohort = common.split_cohort(stays, params)
-    cells = None
-    if any(part is not None for part in (vital_periodic, vital_aperiodic, lab)):
-        cells = hourly_cells(cohort, vital_periodic, vital_aperiodic, lab, params.windows.max_hours, losses)
-    return common.outputs(cohort, params, cells, STATIC if static else None, losses=losses)
+    inputs = {"patient": patient, "vital_periodic": vital_periodic, "vital_aperiodic": vital_aperiodic, "lab": lab}
+    return spec.prepare(data_set(min_stay_hours), inputs, params, static)
+
+
+def data_set(min_stay_hours: float = 24.0) -> spec.DataSet:
+    def stays(given, params, losses):
+        return cohort_stays(given["patient"], min_stay_hours, params.labels.horizon_hours, losses)
+
+    def cells(given, cohort, params, losses):
+        return hourly_cells(cohort, *map(given.get, SERIES), params.windows.max_hours, losses)
+
+    return spec.DataSet(stays, STATIC, cells, SERIES)
