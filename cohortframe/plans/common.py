@@ -98,7 +98,7 @@ def outputs(
     if static is not None:
         levels = None
         if static.categorical:
-            levels = session.small(static_ops.level_vocabulary(cohort, static.categorical), name="levels")
+            levels = static_ops.level_vocabulary(cohort, static.categorical)
             static_vocab = static_ops.static_vocabulary(levels, static.numeric, static.categorical, static.trailing)
         else:
             static_vocab = static_ops.numeric_vocabulary(spark, static.numeric, 0, static.trailing)
@@ -124,7 +124,7 @@ def outputs(
             out["scaler_params"] = scaler
     else:
         vocab = session.literal_table(spark, [], "feature string, block int, position int")
-    structure = session.small(assemble.feature_structure(vocab, static_vocab), name="structure")
+    structure = assemble.feature_structure(vocab, static_vocab)
     scaled = None
     if cells is not None:
         scaled = transform.scaled(windows, scaler) if scaler is not None else windows
@@ -132,11 +132,14 @@ def outputs(
         places = session.small(assemble.sparse_vocabulary(structure, scaler, means), name="feature_vocab")
         out["feature_vocab"] = places
         rows = assemble.sparse_rows(rows, places, scaled, static_cells)
+        counts = {r["kind"]: r["count"] for r in places.groupBy("kind").count().collect()}
+        width = counts.get("dynamic", 0), counts.get("static", 0)
     else:
         out["feature_vocab"] = structure
+        layout = assemble.make_layout(vocab, scaler, names)
         if scaled is not None:
-            rows = assemble.tensor_rows(rows, scaled, assemble.make_layout(vocab, scaler, names), w.num_windows)
-    width = {r["kind"]: r["count"] for r in structure.groupBy("kind").count().collect()}
+            rows = assemble.tensor_rows(rows, scaled, layout, w.num_windows)
+        width = layout.n_dynamic, layout.n_static
     n_codes = None
     if code_vocab is not None:
         n_codes = code_vocab.count()
@@ -161,7 +164,7 @@ def outputs(
         [
             (
                 modalities, params.labels.competing, params.labels.n_events, params.labels.n_time_bins, cuts.count(),
-                w.num_windows, width.get("dynamic", 0), width.get("static", 0), n_codes, vector_dim,
+                w.num_windows, *width, n_codes, vector_dim,
             )
         ],
         "active_modalities array<string>, competing_risks boolean, n_events int, n_time_bins int, n_cuts bigint, "
