@@ -5,13 +5,17 @@ places is kept, and the gaps between neighbouring anchors are aligned in the sam
 aligned by the longest common subsequence: a small one from a table, a large one from rows of bits. The coverage of a
 template is the share of its words that are aligned.
 
-A whole text is scanned: runs of the template's words, with no more than ``GAP`` other words between two of them, are cut
-into overlapping stretches of one and a half template lengths, so a license that occurs twice is found twice and not
-taken for one with repeated words. Words are compared in lower case without punctuation at their ends; words of
-punctuation alone do not count. A whole license text goes before the notices, which it may quote.
+A whole text is scanned. Only the template's words can be aligned, so the others are left out first. Runs of the template's
+words have no more than ``GAP`` other words between two of them; runs of ``PART`` words or more are joined over an
+interruption as long as the template, so foreign words inside a license do not hide it. A joined run is cut into
+overlapping stretches of one and a half template lengths, so a license that occurs twice is found twice and not taken for
+one with repeated words; what these leave is cut into stretches of three lengths, for a license among many words of its
+own vocabulary. Words are compared in lower case without punctuation at their ends; words of punctuation alone do not
+count. A whole license text goes before the notices, which it may quote.
 
-Null and empty texts have no license. Each row is scanned for itself. Ties go to the template that comes first. An empty
-table gives an empty result.
+Null and empty texts have no license. Each row is scanned for itself. Ties go to the template that comes first. Of equally
+long alignments of a gap without anchors the two ways to align it may take different ones. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ from pyspark.sql import DataFrame
 from cohortframe.llm.base import query, read
 
 COVERAGE, GAP = 0.8, 6
+#: Words of the template in a run that an interruption may join to the next one.
+PART = 8
 #: Cells of a gap without anchors up to which it is aligned from a table, not from rows of bits.
 EXACT_CELLS = 4096
 
@@ -147,6 +153,21 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _tight(words: list[str], places: list[int]) -> tuple[int, int]:
+    """First place and end of an alignment whose words are moved together: to the right from its end, then to the left."""
+    for k in range(len(places) - 2, -1, -1):
+        i = places[k + 1] - 1
+        while words[i] != words[places[k]]:
+            i -= 1
+        places[k] = i
+    for k in range(1, len(places)):
+        i = places[k - 1] + 1
+        while words[i] != words[places[k]]:
+            i += 1
+        places[k] = i
+    return places[0], places[-1] + 1
+
+
 class Scanner:
     def __init__(self, templates: list[tuple[str, str]] = TEMPLATES, coverage: float = COVERAGE, gap: int = GAP):
         self.coverage, self.gap = coverage, gap
@@ -172,14 +193,8 @@ class Scanner:
             if sum(own[w] for w in own.keys() & seen) < need:
                 continue
             mine = [i for i in hits if words[i] in own]
-            run = [mine[0]]
-            for i in [*mine[1:], None]:
-                if i is not None and i - run[-1] <= self.gap + 1:
-                    run.append(i)
-                    continue
-                if len(run) >= need:
-                    found += self._stretches(words, run[0], run[-1] + 1, name, template, rank, need)
-                run = [i]
+            for run in self._runs(mine, len(template), need):
+                found += self._places([words[i] for i in run], run, name, template, rank, need)
         found.sort(key=lambda f: (f[5] not in self.whole, -f[1], -f[4], f[5], f[2]))
         taken: list[tuple[int, int]] = []
         out = []
@@ -189,13 +204,39 @@ class Scanner:
                 out.append((name, share, at[begin], at[end - 1] + 1))
         return out
 
-    def _stretches(self, words, begin, end, name, template, rank, need):
-        size = len(template) + len(template) // 2 + 1
-        step = max(1, len(template) // 2)
-        for at in range(begin, max(begin + 1, end - len(template) // 2), step):
+    def _runs(self, mine: list[int], length: int, need: float) -> Iterator[list[int]]:
+        """Places of the template's words in runs that can reach the coverage, joined over interruptions."""
+        cuts = [0, *(k for k in range(1, len(mine)) if mine[k] - mine[k - 1] > self.gap + 1), len(mine)]
+        solid = [(a, b) for a, b in zip(cuts, cuts[1:]) if b - a >= min(PART, need)]
+        joined: list[tuple[int, int]] = []
+        for a, b in solid:
+            if joined and mine[a] - mine[joined[-1][1] - 1] <= length + 1:
+                joined[-1] = joined[-1][0], b
+            else:
+                joined.append((a, b))
+        return (mine[a:b] for a, b in joined if b - a >= need)
+
+    def _places(self, words: list[str], at: list[int], name: str, template: list[str], rank: int, need: float) -> list[tuple]:
+        """What the stretches of a run find; wide stretches look only where the narrow ones found nothing."""
+        half = max(1, len(template) // 2)
+        found = list(self._stretches(words, 0, len(words), template, 3 * half + 2, half, need))
+        last = 0
+        free = []
+        for begin, end, _ in [*sorted(found), (len(words), len(words), 0)]:
+            free.append((last, begin))
+            last = max(last, end)
+        for begin, end in free if len(words) > 3 * half + 2 else []:
+            if end - begin >= need:
+                found += self._stretches(words, begin, end, template, 6 * half, 3 * half, need)
+        return [(name, n / len(template), at[begin], at[end - 1] + 1, n, rank) for begin, end, n in found]
+
+    @staticmethod
+    def _stretches(words: list[str], begin: int, end: int, template: list[str], size: int, step: int, need: float) -> Iterator[tuple[int, int, int]]:
+        for at in range(begin, max(begin + 1, end - step), step):
             pairs = align(words[at : min(end, at + size)], template)
             if len(pairs) >= need:
-                yield name, len(pairs) / len(template), at + pairs[0][0], at + pairs[-1][0] + 1, len(pairs), rank
+                begin_at, end_at = _tight(words, [at + i for i, _ in pairs])
+                yield begin_at, end_at, len(pairs)
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:

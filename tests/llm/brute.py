@@ -108,3 +108,26 @@ def repeated_words(text, width=8):
             for k in at:
                 gone.update(range(k, k + width))
     return len(gone)
+
+
+def notices(text, templates, coverage=0.8, gap=6):
+    """Names of the templates that a run of the text's words covers, by the longest common subsequence from every start."""
+    plain = lambda t: [x for x in (w.strip(".,;:!?()[]{}<>\"'`*#|/\\-_=+~") for w in (t or "").lower().split()) if x]
+    w, out = plain(text), set()
+    for name, template in templates:
+        t = plain(template)
+        for i in [i for i, x in enumerate(w) if x in t[: len(t) // 5 + 1]]:
+            row, last = [0] * (len(t) + 1), i
+            for j in range(i, len(w)):
+                if w[j] in t:
+                    if j - last > max(gap, len(t)) + 1:
+                        break
+                    last, new = j, [0]
+                    for k, y in enumerate(t):
+                        new.append(row[k] + 1 if w[j] == y else max(row[k + 1], new[k]))
+                    row = new
+                if j - i > 2 * len(t):
+                    break
+            if row[-1] >= coverage * len(t):
+                out.add(name)
+    return out

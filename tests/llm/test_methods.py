@@ -290,6 +290,26 @@ def test_whole_license_texts():
     assert [f[0] for f in scanner.scan(f"{twice} {noise} {twice}")] == ["BSD", "BSD"]
 
 
+def test_interrupted_licenses():
+    """Foreign words in the middle, at several places, and many words of the license's own vocabulary do not hide it."""
+    random.seed(15)
+    scanner = license_scan.Scanner()
+    name, text = license_scan.TEMPLATES[16]
+    w = text.split()
+    noise = [f"x{i}" for i in range(400)]
+    for foreign in (0, 6, 7, 40, 150):
+        found = scanner.scan(" ".join([*noise, *w[:80], *noise[:foreign], *w[80:], *noise]))
+        assert found[0][:2] == (name, 1.0) and found[0][3] - found[0][2] >= len(w) - 5 + foreign
+    several = " ".join([*noise, *w[:40], *noise[:40], *w[40:90], *noise[:25], *w[90:], *noise])
+    assert scanner.scan(several)[0][:2] == (name, 1.0)
+    own = [w[random.randrange(len(w))] for _ in range(len(w) // 3)]
+    assert scanner.scan(" ".join([*noise, *w[:80], *own, *w[80:], *noise]))[0][0] == name
+    twice = " ".join([*w[:80], *noise[:30], *w[80:], *noise, *w[:30], *noise[:30], *w[30:]])
+    assert [f[:2] for f in scanner.scan(twice)] == [(name, 1.0)] * 2
+    random.shuffle(w)
+    assert not [f for f in scanner.scan(" ".join(w * 5)) if f[1] > 0.99]
+
+
 def test_small_groups_are_judged_by_wider_ones(documents):
     """A source too small for an estimate of its own is judged by its language, a small language by all documents."""
     random.seed(12)

@@ -2,7 +2,7 @@
 
 import pytest
 
-from cohortframe.llm import ORACLES, QUERIES, packing
+from cohortframe.llm import ORACLES, QUERIES, license_scan, packing
 from tests.llm import brute
 from tests.oracle import database, spark_result, sql_result
 
@@ -75,6 +75,8 @@ def test_license_scan(spark, texts):
         assert {p["license"] for p in got[i]["places"]} >= held
         if "icen" not in (text or ""):
             assert got[i]["license"] is None
+        # Each notice that a part of the text aligns with by dynamic programming is found, and no other.
+        assert {p["license"] for p in got[i]["places"]} == brute.notices(text, license_scan.TEMPLATES[:16])
     assert found
 
 
