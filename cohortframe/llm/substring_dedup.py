@@ -11,7 +11,11 @@ documents hold it. The strings of a chunk for one bucket are compressed together
 
 Hot minimisers: a sample of the documents tells which minimisers stand for more windows than a task should hold. Their
 windows are dealt by the bits of the whole window instead, so equal windows still meet and different ones do not. The
-sample decides the dealing only, never a result.
+sample decides the dealing only, never a result. It grows with the texts (``SAMPLE_SHARE`` of them at least), and so does,
+beyond ``MOST_HOT`` times ``HOT_WINDOWS`` windows, what counts as hot: the list of hot minimisers stays below ``MOST_HOT``.
+
+Buckets follow from the size of the texts, shuffle partitions do not beyond ``MOST_PARTITIONS`` (or the session's number, if
+that is larger): a partition takes the packs of many buckets, sorted, and judges them one after another.
 
 Windows are sorted by 64 bits, and equal bits count only if the words themselves are equal.
 
@@ -34,7 +38,9 @@ WIDTH, CORE = 13, 2
 #: Text that a task holds at once, and text that one bucket stands for.
 CHUNK_BYTES, BUCKET_BYTES = 8_000_000, 4_000_000
 #: Windows of one minimiser beyond which they are dealt one by one, and text of the sample that tells.
-HOT_WINDOWS, SAMPLE_BYTES = 1_000_000, 32_000_000
+HOT_WINDOWS, SAMPLE_BYTES, SAMPLE_SHARE = 1_000_000, 32_000_000, 0.002
+#: Hot minimisers that the driver and the tasks hold at most, and shuffle partitions where the session does not ask for more.
+MOST_HOT, MOST_PARTITIONS = 1 << 20, 1 << 13
 NO_ID = 2**63 - 1
 BLOCK_WORDS = 100_000
 #: Parts strings in a pack; no byte of a text has this value.
@@ -291,12 +297,13 @@ def _slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
 
 def substring_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, core: int = CORE,
-    buckets: int | None = None, chunk_bytes: int = CHUNK_BYTES, hot_windows: int = HOT_WINDOWS,
+    buckets: int | None = None, chunk_bytes: int = CHUNK_BYTES, hot_windows: int = HOT_WINDOWS, most_partitions: int = MOST_PARTITIONS,
 ) -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_text.
 
     ``buckets`` follows from the size of the texts where it is not given.
     """
+    spark = docs.sparkSession
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("key"), text_mark(text_col).alias("mark"),
         F.col(id_col).alias("id"), F.col(text_col).alias("text"),
@@ -304,6 +311,7 @@ def substring_dedup(
     size = docs.agg(F.sum(F.octet_length(F.coalesce(text_col, F.lit(""))))).first()[0] or 0
     if buckets is None:
         buckets = rows_per_group(size, BUCKET_BYTES)
+    partitions = min(buckets, max(most_partitions, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,9 +319,11 @@ def substring_dedup(
                 least, n = _count(part.column(2), width, core)
                 yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64), pa.int64()), pa.array(n, pa.int64())], names=["least", "n"])
 
-    every = rows_per_group(size, SAMPLE_BYTES)
+    every = rows_per_group(size, max(SAMPLE_BYTES, int(size * SAMPLE_SHARE)))
     sample = rows.select("key", "mark", "text").where(F.pmod("mark", F.lit(every)) == 0).mapInArrow(count, "least bigint, n bigint")
-    hot = tuple(r["least"] for r in sample.groupBy("least").agg(F.sum("n").alias("n")).where(F.col("n") * every > hot_windows).collect())
+    # A window takes two bytes of text at least, so fewer than MOST_HOT minimisers can pass the second bound.
+    bound = max(hot_windows, size // 2 // MOST_HOT)
+    hot = tuple(r["least"] for r in sample.groupBy("least").agg(F.sum("n").alias("n")).where(F.col("n") * every > bound).collect())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = Sender(buckets, width, core, hot)
@@ -362,7 +372,7 @@ def substring_dedup(
             )
 
     sent = rows.select("key", "mark", "text").mapInArrow(send, "bucket int, docs binary, words binary")
-    dealt = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = sent.repartition(partitions, "bucket").sortWithinPartitions("bucket")
     flags = dealt.mapInArrow(judge, "key bigint, mark bigint, runs binary")
     flags = flags.groupBy("key", "mark").agg(F.collect_list("runs").alias("flags"))
     id_type = docs.schema[id_col].dataType.simpleString()

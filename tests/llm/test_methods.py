@@ -87,6 +87,19 @@ def test_windows_over_chunks(frame, buckets, chunk):
     assert got == brute.substrings(docs)
 
 
+def test_many_buckets_in_few_partitions(spark, frame):
+    """The partitions are the session's, however many buckets there are; a partition judges its buckets one by one."""
+    random.seed(16)
+    passage = [f"p{i}" for i in range(60)]
+    docs = [(i, " ".join([f"w{random.randrange(400)}" for _ in range(50)] + passage[i % 30 : i % 30 + 25])) for i in range(50)]
+    table = frame("doc_id bigint, text string", docs).repartition(3)
+    out = substring_dedup.substring_dedup(table, buckets=500, chunk_bytes=2000, most_partitions=1)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], __import__("hashlib").sha256(r["kept_text"].encode()).hexdigest()) for r in out.collect()}
+    assert got == brute.substrings(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(bucket#" in plan and f", {spark.conf.get('spark.sql.shuffle.partitions')}), REPARTITION_BY_NUM" in plan
+
+
 def test_equal_bits_of_different_windows():
     raw = b"a b c a b d a  b c"
     begin, end, _ = substring_dedup._words(np.frombuffer(raw, np.uint8))
