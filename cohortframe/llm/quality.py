@@ -8,11 +8,15 @@ read from a histogram, so no group is sorted or gathered. A document whose dista
 The scatter gets the squares of ``FLOORS`` on its diagonal, so it is regular where most documents agree in a statistic. The
 last two can reach 4.6 and 3.4 at most (a line has a word, the base limit has 30 % of the words). Their floors are less
 than a tenth of it, so either can reject alone: where the bulk has none, from 3 lines or words in 100 words on. Documents that fail the base limits take no part in the estimate.
-A group with fewer than ``MIN_GROUP`` others is judged by the estimate of its whole language, or of all documents where
-the language has fewer. Only a table with fewer than that gives no verdict.
+
+Every group is judged by its own estimate, shrunk towards that of its language, as that is towards the estimate of all
+documents: the wider estimate counts as ``PRIOR`` more documents, and the difference of the two centres adds to the scatter
+as it does in a pooled covariance. The estimate of all documents is widened by as many documents of the deviations ``WIDE``.
+So no size of a group or table changes the rule, and one document more or less moves a distance by little.
 
 Null text has no words and fails the base limits. Null language and null source are groups of their own. Repeated rows
-count each. An empty table gives an empty result.
+count each. Where all documents of a group fail the base limits they have no distance. An empty table gives an empty result.
+Repeated words are found by 64-bit hashes of their windows.
 """
 
 from __future__ import annotations
@@ -25,11 +29,13 @@ from cohortframe.llm.base import SPACES, query, read, words
 from cohortframe.session import barrier, small
 
 WINDOW = 8
-SHARE, MIN_GROUP = 0.75, 50
+SHARE, PRIOR = 0.75, 50
 STARTS, START_ROWS, FIRST_STEPS, LAST_STEPS = 4, 60, 2, 3
 #: ln words, ln letters a word, ln(1 + 1000 symbols a letter), ln(1 + 100 repeated lines a word), ln(1 + 100 share of repeated words)
 FLOORS = (0.5, 0.15, 0.7, 0.3, 0.3)
 P = len(FLOORS)
+#: Deviations that nothing but the statistics' own meaning tells, for tables with few documents.
+WIDE = (1.5, 0.3, 1.5, 1.0, 1.0)
 #: Chance that a document of the bulk passes the cut-off.
 TAIL = 0.01
 #: Histogram cells for each doubling of a squared distance.
@@ -111,32 +117,36 @@ def _distance(x: list[Column]) -> Column:
 X = [f"x{i}" for i in range(P)]
 
 
-def _estimate(rows: DataFrame, keys: list[str], scale: float = 1.0) -> DataFrame:
-    """Centre, inverse Cholesky factor and log determinant of the scatter of the rows of each key."""
-    pairs = [(i, j) for i in range(P) for j in range(i + 1)]
-    sums = rows.groupBy(*keys).agg(
-        F.count("*").alias("c"), *[F.avg(X[i]).alias(f"m{i}") for i in range(P)],
-        *[F.covar_pop(X[i], X[j]).alias(f"s{i}{j}") for i, j in pairs],
+PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
+MOMENTS = [*(f"m{i}" for i in range(P)), *(f"s{i}{j}" for i, j in PAIRS)]
+
+
+def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Centre and scatter of the rows of each key."""
+    return rows.groupBy(*keys).agg(
+        *[F.avg(X[i]).alias(f"m{i}") for i in range(P)], *[F.covar_pop(X[i], X[j]).alias(f"s{i}{j}") for i, j in PAIRS]
     )
-    have = {f"s{i}{i}": F.col(f"s{i}{i}") * scale + FLOORS[i] ** 2 for i in range(P)}
-    have |= {f"s{i}{j}": F.col(f"s{i}{j}") * scale for i, j in pairs if i != j}
-    sums = sums.withColumns(have)
-    for i, j in pairs:  # L of S = L L'
+
+
+def _factor(moments: DataFrame, keys: list[str]) -> DataFrame:
+    """Centre, inverse Cholesky factor and log determinant of the scatter with the floors on its diagonal."""
+    out = moments.withColumns({f"s{i}{i}": F.col(f"s{i}{i}") + FLOORS[i] ** 2 for i in range(P)})
+    for i, j in PAIRS:  # L of S = L L'
         rest = F.col(f"s{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-        sums = sums.withColumn(f"l{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"l{j}{j}"))
+        out = out.withColumn(f"l{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"l{j}{j}"))
     for j in range(P):  # Z = inverse of L
         for i in range(j, P):
             if i == j:
-                sums = sums.withColumn(f"z{i}{j}", 1 / F.col(f"l{i}{i}"))
+                out = out.withColumn(f"z{i}{j}", 1 / F.col(f"l{i}{i}"))
             else:
                 part = sum((F.col(f"l{i}{k}") * F.col(f"z{k}{j}") for k in range(j, i)), F.lit(0.0))
-                sums = sums.withColumn(f"z{i}{j}", -part / F.col(f"l{i}{i}"))
+                out = out.withColumn(f"z{i}{j}", -part / F.col(f"l{i}{i}"))
     det = sum((F.log(F.col(f"l{i}{i}")) for i in range(P)), F.lit(0.0))
-    return sums.select(*keys, *[f"m{i}" for i in range(P)], *[f"z{i}{j}" for i, j in pairs], det.alias("det"))
+    return out.select(*keys, *[f"m{i}" for i in range(P)], *[f"z{i}{j}" for i, j in PAIRS], det.alias("det"))
 
 
-def _concentrate(rows: DataFrame, params: DataFrame, keys: list[str]) -> DataFrame:
-    """One step: the estimate from the share of a group's rows that is nearest to the present one."""
+def _innermost(rows: DataFrame, params: DataFrame, keys: list[str]) -> DataFrame:
+    """Moments of the share of a group's rows that is nearest to the present estimate."""
     near = rows.join(params, "g").select(*keys, *X, F.floor(CELLS * F.log2(_distance([F.col(x) for x in X]) + 1e-4)).cast("int").alias("cell"))
     cells = near.groupBy(*keys, "cell").agg(F.count("*").alias("c"))
     run = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -145,43 +155,56 @@ def _concentrate(rows: DataFrame, params: DataFrame, keys: list[str]) -> DataFra
         cells.select(*keys, "cell", F.sum("c").over(run).alias("upto"), F.sum("c").over(all_of).alias("n"))
         .where(F.col("upto") >= F.col("n") * SHARE).groupBy(*keys).agg(F.min("cell").alias("edge"))
     )
-    return small(_estimate(near.join(small(edge, name="edge"), keys).where(F.col("cell") <= F.col("edge")), keys), name="mcd")
+    return _moments(near.join(small(edge, name="edge"), keys).where(F.col("cell") <= F.col("edge")), keys)
 
 
 def mcd(rows: DataFrame) -> DataFrame:
-    """The estimate for each group ``g`` of rows (g, r, x0..; r a random number from 0 to 1 of the row itself)."""
-    sizes = rows.groupBy("g").agg(F.count("*").alias("c")).where(F.col("c") >= MIN_GROUP)
-    rows = barrier(rows.join(small(sizes, name="groups"), "g"), "vectors")
+    """The moments for each group ``g`` of rows (g, c, r, x0..; c its size, r a random number from 0 to 1 of the row itself)."""
     # Start 0 is the estimate from all rows; the others begin with a few rows each, taken by their number.
     starts = rows.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(STARTS))))
     low = (F.col("s") - 1) / STARTS
     starts = starts.where((F.col("s") == 0) | ((F.col("r") >= low) & (F.col("r") < low + F.least(F.lit(1.0 / STARTS), START_ROWS / F.col("c")))))
     # One row a group or start: marked for broadcast while they are few, so that a large group is not dealt to one task.
-    params = small(_estimate(starts, ["g", "s"]), name="mcd")
+    params = small(_factor(_moments(starts, ["g", "s"]), ["g", "s"]), name="mcd")
     for _ in range(FIRST_STEPS):
-        params = _concentrate(rows, params, ["g", "s"])
+        params = small(_factor(_innermost(rows, params, ["g", "s"]), ["g", "s"]), name="mcd")
     best = params.groupBy("g").agg(F.min(F.struct("det", "s")).alias("b")).select(F.col("g").alias("h"), F.col("b.s").alias("t"))
     params = small(params.join(best, (F.col("g") == F.col("h")) & (F.col("s") == F.col("t"))).drop("h", "t", "s"), name="mcd")
-    for _ in range(LAST_STEPS):
-        params = _concentrate(rows, params, ["g"])
-    return params
-
-
-def _judges(stats: DataFrame) -> DataFrame:
-    """For each group ``g`` of the language ``w``: the key that ``judge``s it (null: none), and the ``keys`` its rows are estimated for."""
-    c = barrier(stats.groupBy("w", "g").agg(F.count_if(~F.col("base_failed")).alias("c")), "sizes")
-    own, whole = F.col("c") >= MIN_GROUP, F.col("cw") >= MIN_GROUP
-    by_lang = c.groupBy("w").agg(F.sum("c").alias("cw"), F.bool_or(~own).alias("few"))
-    by_lang = by_lang.select("w", "cw", (F.col("few") & whole).alias("lang_judges"), (F.col("few") & ~whole).alias("all_judge"))
-    total = by_lang.agg(F.when(F.bool_or("all_judge") & (F.sum("cw") >= MIN_GROUP), "").alias("all_key")).scalar()
-    keys = F.array(F.when(own, F.col("g")), F.when(F.col("lang_judges"), F.col("w")), F.col("all_key"))
-    judge = F.when(own, F.col("g")).when(whole, F.col("w")).otherwise(F.col("all_key"))
-    judges = c.join(by_lang, "w").withColumn("all_key", total)
-    return small(judges.select("g", judge.alias("judge"), F.array_compact(keys).alias("keys")), name="judges")
+    for _ in range(LAST_STEPS - 1):
+        params = small(_factor(_innermost(rows, params, ["g"]), ["g"]), name="mcd")
+    return _innermost(rows, params, ["g"])
+
+
+def _shrunk(own: DataFrame, wider: DataFrame) -> DataFrame:
+    """``own`` (g, wider, c, moments) with the moments of its wider group counted as ``PRIOR`` more rows."""
+    theirs = small(wider.select(F.col("g").alias("wider"), *[F.col(m).alias(f"w_{m}") for m in MOMENTS]), name="wider")
+    share = F.col("c") / (F.col("c") + PRIOR)
+    off = [F.col(f"m{i}") - F.col(f"w_m{i}") for i in range(P)]
+    mix = {m: share * F.col(m) + (1 - share) * F.col(f"w_{m}") for m in MOMENTS}
+    mix |= {f"s{i}{j}": mix[f"s{i}{j}"] + share * (1 - share) * off[i] * off[j] for i, j in PAIRS}
+    return own.join(theirs, "wider").select("g", *[mix[m].alias(m) for m in MOMENTS])
+
+
+def _estimates(stats: DataFrame) -> DataFrame:
+    """Centre and inverse factor for each group ``g`` (language ``w``) of the rows that pass the base limits."""
+    # A row counts for its group, for its language and for all; the name of a group begins with that of its language.
+    levels = F.array(*[
+        F.struct(F.lit(n).alias("level"), F.col(g).alias("g") if g else F.lit("").alias("g"), F.col(w).alias("wider") if w else F.lit("").alias("wider"))
+        for n, (g, w) in enumerate([(None, None), ("w", None), ("g", "w")])
+    ])
+    rows = stats.where(~F.col("base_failed")).select(F.explode(levels).alias("k"), "r", *X).select("k.*", "r", *X)
+    sizes = small(rows.groupBy("level", "g", "wider").agg(F.count("*").alias("c")), name="groups")
+    rows = barrier(rows.select("g", "r", *X).join(sizes.select("g", "c"), "g"), "vectors")
+    nodes = barrier(sizes.join(small(mcd(rows), name="mcd"), "g"), "nodes")
+    share = F.col("c") / (F.col("c") + PRIOR)
+    widened = {f"s{i}{j}": share * F.col(f"s{i}{j}") + (1 - share) * (WIDE[i] ** 2 if i == j else 0.0) for i, j in PAIRS}
+    every = nodes.where("level = 0").withColumns(widened)
+    by_language = _shrunk(nodes.where("level = 1"), every)
+    return small(_factor(_shrunk(nodes.where("level = 2"), by_language), ["g"]), name="estimates")
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """One row per row of ``docs``: id, the statistics, base_failed, distance (squared; null without a verdict), kept."""
+    """One row per row of ``docs``: id, the statistics, base_failed, distance (squared; null if its group has none), kept."""
     table = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"))
     stats = base_statistics(table, "i", "t")
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
@@ -197,10 +220,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         ),
         "statistics",
     )
-    stats = stats.join(_judges(stats), "g", "left")
-    params = mcd(stats.where(~F.col("base_failed")).select(F.explode("keys").alias("g"), "r", *X))
+    judged = stats.join(_estimates(stats), "g", "left")
     # The innermost share understates the scatter; the distance shrinks by the same factor.
-    judged = stats.join(params.withColumnRenamed("g", "h"), F.col("judge") == F.col("h"), "left")
     distance = _distance([F.col(x) for x in X]) / CONSISTENCY
     return judged.select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

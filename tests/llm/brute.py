@@ -7,6 +7,8 @@ import re
 import zlib
 from collections import defaultdict
 
+import numpy as np
+
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -131,3 +133,60 @@ def notices(text, templates, coverage=0.8, gap=6):
             if row[-1] >= coverage * len(t):
                 out.add(name)
     return out
+
+
+def quality(rows):
+    """{doc_id: (distance, kept)} of rows with the base statistics, base_failed, lang, source and r."""
+    floors, wide = np.diag(np.square([0.5, 0.15, 0.7, 0.3, 0.3])), np.diag(np.square([1.5, 0.3, 1.5, 1.0, 1.0]))
+    cut = 15.08627246938899  # chi-square with five degrees of freedom at 0.99; at 0.75 it is 6.625679763829255
+    consistency = 0.75 / 0.531134743246967  # chi-square with seven degrees of freedom up to that, by numerical integration
+    log = lambda a, b: np.log(max(a, 1) / max(b, 1))
+    x = {
+        r["doc_id"]: np.array([
+            log(r["n_words"], 1), log(r["word_chars"], r["n_words"]), np.log1p(1000 * r["n_symbols"] / max(r["word_chars"], 1)),
+            np.log1p(100 * r["n_dup_lines"] / max(r["n_words"], 1)), np.log1p(100 * r["n_repeat_words"] / max(r["n_words"], 1)),
+        ]) for r in rows
+    }
+    moments = lambda v: (v.mean(0), np.atleast_2d(np.cov(v.T, bias=True)))
+
+    def squares(v, estimate):
+        off = v - estimate[0]
+        return np.einsum("ij,ij->i", off, np.linalg.solve(estimate[1] + floors, off.T).T)
+
+    def step(v, estimate):
+        cell = np.floor(64 * np.log2(squares(v, estimate) + 1e-4))
+        order = np.sort(cell)
+        return moments(v[cell <= order[int(np.ceil(0.75 * len(v))) - 1]])
+
+    def innermost(group):
+        v, r = np.array([x[g["doc_id"]] for g in group]), np.array([g["r"] for g in group])
+        tries = [v] + [v[(r >= s / 4) & (r < s / 4 + min(0.25, 60 / len(v)))] for s in range(4)]
+        estimates = [moments(t) for t in tries if len(t)]
+        for _ in range(2):
+            estimates = [step(v, e) for e in estimates]
+        best = min(estimates, key=lambda e: np.linalg.slogdet(e[1] + floors)[1])
+        for _ in range(3):
+            best = step(v, best)
+        return best, len(v)
+
+    def mixed(own, n, wider):
+        a, off = n / (n + 50), own[0] - wider[0]
+        return a * own[0] + (1 - a) * wider[0], a * own[1] + (1 - a) * wider[1] + a * (1 - a) * np.outer(off, off)
+
+    good = [r for r in rows if not r["base_failed"]]
+    by = defaultdict(list)
+    for r in good:
+        for key in ((), (r["lang"],), (r["lang"], r["source"])):
+            by[key].append(r)
+    found = {key: innermost(group) for key, group in by.items()}
+    every = mixed(*found[()], (found[()][0][0], wide))
+    language = {key: mixed(*found[key], every) for key in found if len(key) == 1}
+    out = {}
+    for r in rows:
+        key = (r["lang"], r["source"])
+        if key not in found:
+            out[r["doc_id"]] = None, not r["base_failed"]
+            continue
+        distance = squares(x[r["doc_id"]][None], mixed(*found[key], language[key[:1]]))[0] / consistency
+        out[r["doc_id"]] = distance, not r["base_failed"] and distance <= cut
+    return out

@@ -216,9 +216,25 @@ def test_outliers_against_a_third_of_junk(documents):
     assert all(got[i] == (i % 4 != 0) for i in got)
 
 
-def test_small_groups_get_no_verdict(documents):
-    rows = [(i, " ".join(f"{k}###" for k in range(i, i + 30 + 40 * i))) for i in range(10)]
-    assert all(r["kept"] and r["distance"] is None for r in quality.quality(documents(rows)).collect())
+def test_few_documents_are_judged_by_wide_deviations(documents):
+    """Different but ordinary documents stay in a table of ten; one that is far from any text goes."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(60 + 40 * i))) for i in range(9)]
+    got = quality.quality(documents([*rows, (9, " ".join(f"{k}" + "#" * 300 for k in range(30)))])).collect()
+    assert all(r["distance"] is not None for r in got) and [r["doc_id"] for r in got if not r["kept"]] == [9]
+
+
+def test_verdict_is_smooth_in_the_group_size(documents):
+    """A group of 49, 50 or 51 documents beside a larger one: distances of the same document hardly move."""
+    random.seed(17)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(random.randrange(3, 8)))
+    texts = [" ".join(word() + "*" * (k % 5 == 0) for _ in range(random.randrange(60, 300))) for k in range(52)]
+    big = [(10_000 + i, " ".join(word() for _ in range(random.randrange(60, 300))), "en", "big") for i in range(120)]
+    sizes = (49, 50, 51)
+    rows = [(100 * n + i, texts[i], "en", f"small {n}") for n in sizes for i in range(n)]
+    got = {r["doc_id"]: r["distance"] for r in quality.quality(documents([*big, *rows])).collect()}
+    for i in range(49):
+        same = [got[100 * n + i] for n in sizes]
+        assert max(same) <= 1.25 * min(same) + 0.5
 
 
 def test_lines_near_the_threshold_are_exact(documents):

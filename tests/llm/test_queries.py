@@ -1,6 +1,7 @@
 """The registered queries against their SQL, or against plain versions, on the smallest tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortframe.llm import ORACLES, QUERIES, license_scan, packing
 from tests.llm import brute
@@ -61,6 +62,19 @@ def test_quality_statistics(spark, texts):
         assert got[i]["base_failed"] == failed and not (failed and got[i]["kept"])
 
 
+def test_quality_verdict(spark):
+    """Distances and verdicts against numpy: same starts and histogram cells, solved and determined by linear algebra."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang", "source")
+    rows = QUERIES["op3_quality"](spark, FOLDER).join(docs, "doc_id")
+    rows = rows.withColumn("r", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(1 << 30)) / (1 << 30)).collect()
+    want = brute.quality([r.asDict() for r in rows])
+    assert any(not w[1] for w in want.values())
+    for r in rows:
+        distance, kept = want[r["doc_id"]]
+        assert r["kept"] == kept
+        assert r["distance"] is None if distance is None else r["distance"] == pytest.approx(distance, rel=1e-5, abs=1e-5)
+
+
 def test_license_scan(spark, texts):
     got = {r["doc_id"]: r for r in QUERIES["op8_license_scan"](spark, FOLDER).collect()}
     known = {
