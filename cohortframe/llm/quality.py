@@ -64,30 +64,34 @@ CONSISTENCY = SHARE / _chi2(_quantile(SHARE, P), P + 2)
 CUT = _quantile(1 - TAIL, P)
 
 
+def _doubled(hashes: Column, of: str, step: int) -> Column:
+    """Each hash joined with the one ``step`` places on in column ``of``."""
+    return F.transform(hashes, lambda x, i: F.xxhash64(x, F.get(F.col(of), i + step)))
+
+
 def base_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """``id``, the ``keep`` columns, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), *[F.col(k).alias(k) for k in keep], text.alias("text"), words(text_col).alias("words"))
-    solid = F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    # Both columns are used more than once below, so the planner computes each of them once.
-    n = F.size("words")
-    windows = F.when(
-        n >= WINDOW, F.transform(F.sequence(F.lit(1), F.greatest(n - WINDOW + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, WINDOW)))
-    ).otherwise(F.array().cast("array<bigint>"))
+    # Each step's columns are used more than once in the next, so the planner computes them once.
     rows = rows.select(
-        "id", *keep, n.cast("bigint").alias("n_words"),
-        F.length(F.translate("text", SPACES, "")).cast("bigint").alias("word_chars"),
+        "id", *keep, F.size("words").cast("bigint").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("bigint").alias("n_symbols"),
-        solid.alias("lines"), windows.alias("windows"),
+        F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "").alias("lines"),
+        F.transform("words", lambda x: F.xxhash64(x)).alias("h1"),
     )
+    base = ["id", *keep, "n_words", "word_chars", "n_symbols"]
+    dup_lines = (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines")
+    # The hash of a window is that of its two halves: of 2, 4, then 8 words. What runs over the end is cut off at last.
+    rows = rows.select(*base, dup_lines, _doubled(F.col("h1"), "h1", 1).alias("h2"))
+    rows = rows.select(*base, "n_dup_lines", _doubled(F.col("h2"), "h2", 2).alias("h4"))
+    whole = F.slice("h4", F.lit(1), F.greatest(F.col("n_words") - WINDOW + 1, F.lit(0)).cast("int"))
+    rows = rows.select(*base, "n_dup_lines", _doubled(whole, "h4", 4).alias("windows"))
     # Sorted by hash, a window found twice has an equal neighbour; its places, sorted, give the words covered.
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     pairs = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    rows = rows.select(
-        "id", *keep, "n_words", "word_chars", "n_symbols",
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        F.when(repeats, pairs).alias("pairs"),
-    )
+    rows = rows.select(*base, "n_dup_lines", F.when(repeats, pairs).alias("pairs"))
     twice = F.filter(
         "pairs",
         lambda x, i: ((i > 0) & (F.get("pairs", i - 1)["h"] == x["h"])) | F.coalesce(F.get("pairs", i + 1)["h"] == x["h"], F.lit(False)),
@@ -100,18 +104,15 @@ def base_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lambda acc: acc["covered"],
     )
     return rows.select(
-        "id", *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        *base, "n_dup_lines",
         F.coalesce(F.when(F.col("pairs").isNotNull(), covered), F.lit(0)).cast("bigint").alias("n_repeat_words"),
     )
 
 
-def _distance(x: list[Column]) -> Column:
+def _distance() -> Column:
     """Squared distance from the inverse factor z{i}{j} and the centre m{i} of the row's group."""
-    out = F.lit(0.0)
-    for i in range(P):
-        z = sum((F.col(f"z{i}{j}") * (x[j] - F.col(f"m{j}")) for j in range(i + 1)), F.lit(0.0))
-        out = out + z * z
-    return out
+    z = [" + ".join(["0.0D", *(f"z{i}{j} * (x{j} - m{j})" for j in range(i + 1))]) for i in range(P)]
+    return F.expr(" + ".join(["0.0D", *(f"({x}) * ({x})" for x in z)]))
 
 
 X = [f"x{i}" for i in range(P)]
@@ -130,24 +131,23 @@ def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def _factor(moments: DataFrame, keys: list[str]) -> DataFrame:
     """Centre, inverse Cholesky factor and log determinant of the scatter with the floors on its diagonal."""
-    out = moments.withColumns({f"s{i}{i}": F.col(f"s{i}{i}") + FLOORS[i] ** 2 for i in range(P)})
+    total = lambda terms: " + ".join(["0.0D", *terms])
+    # One select whose columns use the ones before them: far fewer passes of the planner than a column at a time.
+    steps = []
     for i, j in PAIRS:  # L of S = L L'
-        rest = F.col(f"s{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-        out = out.withColumn(f"l{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"l{j}{j}"))
+        rest = f"(s{i}{j}" + (f" + {FLOORS[i] ** 2!r}D" if i == j else "") + f" - ({total(f'l{i}{k} * l{j}{k}' for k in range(j))}))"
+        steps.append(f"sqrt{rest} AS l{i}{j}" if i == j else f"{rest} / l{j}{j} AS l{i}{j}")
     for j in range(P):  # Z = inverse of L
-        for i in range(j, P):
-            if i == j:
-                out = out.withColumn(f"z{i}{j}", 1 / F.col(f"l{i}{i}"))
-            else:
-                part = sum((F.col(f"l{i}{k}") * F.col(f"z{k}{j}") for k in range(j, i)), F.lit(0.0))
-                out = out.withColumn(f"z{i}{j}", -part / F.col(f"l{i}{i}"))
-    det = sum((F.log(F.col(f"l{i}{i}")) for i in range(P)), F.lit(0.0))
-    return out.select(*keys, *[f"m{i}" for i in range(P)], *[f"z{i}{j}" for i, j in PAIRS], det.alias("det"))
+        steps.append(f"1 / l{j}{j} AS z{j}{j}")
+        steps += [f"-({total(f'l{i}{k} * z{k}{j}' for k in range(j, i))}) / l{i}{i} AS z{i}{j}" for i in range(j + 1, P)]
+    steps.append(total(f"ln(l{i}{i})" for i in range(P)) + " AS det")
+    centre, factor = [f"m{i}" for i in range(P)], [f"z{i}{j}" for i, j in PAIRS]
+    return moments.selectExpr(*keys, *centre, *steps).select(*keys, *centre, *factor, "det")
 
 
 def _innermost(rows: DataFrame, params: DataFrame, keys: list[str]) -> DataFrame:
     """Moments of the share of a group's rows that is nearest to the present estimate."""
-    near = rows.join(params, "g").select(*keys, *X, F.floor(CELLS * F.log2(_distance([F.col(x) for x in X]) + 1e-4)).cast("int").alias("cell"))
+    near = rows.join(params, "g").select(*keys, *X, F.floor(CELLS * F.log2(_distance() + 1e-4)).cast("int").alias("cell"))
     cells = near.groupBy(*keys, "cell").agg(F.count("*").alias("c"))
     run = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     all_of = Window.partitionBy(*keys)
@@ -222,7 +222,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     )
     judged = stats.join(_estimates(stats), "g", "left")
     # The innermost share understates the scatter; the distance shrinks by the same factor.
-    distance = _distance([F.col(x) for x in X]) / CONSISTENCY
+    distance = _distance() / CONSISTENCY
     return judged.select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         distance.alias("distance"),
