@@ -42,7 +42,7 @@ class Tables:
     """The test tables, and the library's canonical inputs derived from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = session.tune(spark), folder
+        self.spark, self.folder = session.small_parts(session.tune(spark)), folder
         self._read: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:

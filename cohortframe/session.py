@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -36,6 +37,24 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Shuffled bytes that a task of the catalog's queries takes, where Spark may choose, and the parts a shuffle is dealt into before
+#: small ones merge. Shuffled rows of these tables are ten to twenty times their compressed size once sorted or hashed.
+PART_BYTES, PARTS = 16 << 20, 200
+_UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def small_parts(spark: SparkSession) -> SparkSession:
+    """Let adaptive execution make tasks of ``PART_BYTES``. What the session sets finer stays."""
+    size, first = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(size).strip().lower()).groups()
+    if int(number) * _UNITS[unit] > PART_BYTES:
+        spark.conf.set(size, str(PART_BYTES))
+    parts = int(spark.conf.get(first, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if parts < PARTS:
+        spark.conf.set(first, str(PARTS))
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for hand-over tables: ``spark.checkpoint.dir``, else one inside the warehouse, which is shared as well."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
