@@ -465,8 +465,11 @@ def vitals_and_labs_series(t: Tables):
     """Two wide tables of one item each on one time axis; readings of the same moment are averaged."""
     raw = _raw(t, CALENDAR_RAW, "chartevents", "icustays")
 
+    # Written once: each of the two tables would join line items and orders anew.
+    charted = session.barrier(raw["chartevents"].where(F.col("itemid").isin(220045, 220179)), "charted")
+
     def wide(item: int, name: str) -> DataFrame:
-        kept = raw["chartevents"].where(F.col("itemid") == item)
+        kept = charted.where(F.col("itemid") == item)
         return kept.select("stay_id", "charttime", F.col("valuenum").alias(name))
 
     series = prepare.ed_series(wide(220045, "hr"), wide(220179, "lab"), raw["icustays"])

@@ -42,3 +42,17 @@ def test_queries_ask_for_small_parts(spark, conf):
     conf.set(SIZE, "64MB")
     QUERIES["code_current"](spark, "/root/testdata/sf0.001")
     assert int(conf.get(SIZE)) == session.PART_BYTES
+
+
+@pytest.fixture
+def charted(frame):
+    rows = [(1, "2024-01-01 01:00:00", 3.0), (1, "2024-01-01 01:00:00", 5.0), (2, "2023-12-31 00:00:00", 7.0), (9, "2024-01-01 00:00:00", 1.0), (None, "2024-01-01 00:00:00", 1.0)]
+    return frame("stay_id bigint, t string, v double", rows).select("stay_id", F.to_timestamp("t").alias("charttime"), "v")
+
+
+def test_ed_series_joins_both_tables_at_once(frame, charted):
+    stays = frame("stay_id bigint, t string", [(1, "2024-01-01 00:00:00"), (1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:00:00")])
+    stays = stays.select("stay_id", F.to_timestamp("t").alias("intime"))
+    series = prepare.ed_series(charted.withColumnRenamed("v", "hr"), charted.select("stay_id", "charttime", (F.col("v") * 2).alias("lab")), stays)
+    assert [tuple(r) for r in series.collect()] == [(1, 1.0, 4.0, 8.0)]
+    assert plan_of(series).count("Join ") == 1
