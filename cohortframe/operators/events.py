@@ -81,8 +81,11 @@ def first_per_instant(events: DataFrame, instant: str, order: str, keys: Sequenc
 
 
 def pivot_mean(df: DataFrame, keys: Sequence[str], features: Sequence[str], value: str = "value") -> DataFrame:
-    """Wide table of means. The columns are given, so Spark needs no pass to find them."""
-    return df.groupBy(*keys).pivot("feature", list(features)).agg(F.avg(value))
+    """Wide table of means. The columns are given, so Spark needs no pass to find them.
+
+    One aggregate by ``keys``; ``pivot`` would hash every key once with its feature and once more without.
+    """
+    return df.groupBy(*keys).agg(*[F.avg(F.when(F.col("feature") == F.lit(f), F.col(value))).alias(str(f)) for f in features])
 
 
 def outer_join_hourly(tables: Sequence[DataFrame], keys: Sequence[str] = ("stay_id", "hour")) -> DataFrame:

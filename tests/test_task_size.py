@@ -56,3 +56,10 @@ def test_ed_series_joins_both_tables_at_once(frame, charted):
     series = prepare.ed_series(charted.withColumnRenamed("v", "hr"), charted.select("stay_id", "charttime", (F.col("v") * 2).alias("lab")), stays)
     assert [tuple(r) for r in series.collect()] == [(1, 1.0, 4.0, 8.0)]
     assert plan_of(series).count("Join ") == 1
+
+
+def test_pivot_mean_is_one_aggregate(frame):
+    df = frame("k int, feature string, v double", [(1, "a", 1.0), (1, "a", 3.0), (1, "c", 9.0), (2, None, 4.0), (3, "b", None)])
+    wide = E.pivot_mean(df, ["k"], ["a", "b"], "v")
+    assert sorted(tuple(r) for r in wide.collect()) == [(1, 2.0, None), (2, None, None), (3, None, None)]
+    assert plan_of(wide).count("Aggregate(") == 2
