@@ -162,13 +162,16 @@ def clustered_file_order(t: Tables):
     # A row for each file.
     started = index.join(later, (F.col("s") == F.col("split")) & (F.col("f") < F.col("first_stay")), "left").groupBy(
         "file", "split", "first_stay", "last_stay", "in_order").agg(F.coalesce(F.sum("before"), F.lit(0)).alias("start"))
-    started = session.small(started)
+    # A stay lies in the range of its own file, so only files whose ranges meet that one may hold it too: few, and known by file.
+    spans = index.select(F.col("split").alias("s"), F.col("first_stay").alias("f"), F.col("last_stay").alias("l"))
+    meets = (F.col("s") == F.col("split")) & (F.col("f") <= F.col("last_stay")) & (F.col("l") >= F.col("first_stay"))
+    near = index.join(spans, meets).groupBy("file").agg(F.collect_list(F.struct("f", "l")).alias("near"))
+    started = session.small(started.join(near, "file"))
     back = t.spark.read.parquet(f"{path}/rows").select(
         "stay_id", "split", F.regexp_extract("_metadata.file_path", "/rows/(split=.*)$", 1).alias("file"), F.col("_metadata.row_index").alias("row")
     )
-    holds = started.select(F.col("split").alias("s"), "first_stay", "last_stay")
-    placed = back.join(started.select("file", "start", "in_order"), "file").select(
-        "stay_id", "split", (F.col("start") + F.col("row") + 1).alias("place"), "in_order"
-    )
-    may = placed.join(holds, (F.col("s") == F.col("split")) & F.col("stay_id").between(F.col("first_stay"), F.col("last_stay")))
-    return may.groupBy("stay_id", "split", "place", "in_order").agg(F.count("*").alias("n_files"))
+    holds = F.size(F.filter("near", lambda span: F.col("stay_id").between(span["f"], span["l"])))
+    placed = back.join(started.select("file", "start", "in_order", "near"), "file")
+    return placed.select(
+        "stay_id", "split", (F.col("start") + F.col("row") + 1).alias("place"), "in_order", holds.cast("bigint").alias("n_files")
+    ).where(F.col("n_files") > 0)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DataType, FractionalType, StringType, StructField, StructType, TimestampType
 
@@ -204,17 +207,46 @@ def file_index(spark: SparkSession, path: str) -> DataFrame:
     ``in_order``: the stays rise from row to row of the file.
     """
     rows = spark.read.parquet(f"{path}/rows").select(
-        "stay_id", "split", F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row")
+        "split", F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row"), "stay_id"
+    )
+    stay = rows.schema["stay_id"].dataType.simpleString()
+    runs = rows.mapInArrow(
+        _runs, f"split {rows.schema['split'].dataType.simpleString()}, path string, row bigint, rows bigint, first {stay}, last {stay}, low {stay}, high {stay}, rises boolean"
     )
     # Relative to the data set, so that it may be moved.
-    file = F.regexp_extract("path", "/rows/(split=.*)$", 1)
-    before = F.lag("stay_id").over(Window.partitionBy("file").orderBy("row"))
-    rows = rows.withColumn("file", file).withColumn("rises", F.coalesce(F.col("stay_id") >= before, F.lit(True)))
-    return rows.groupBy("file", "split").agg(
-        F.min("stay_id").alias("first_stay"), F.max("stay_id").alias("last_stay"), F.count("*").alias("rows"), F.bool_and("rises").alias("in_order")
+    runs = runs.withColumn("file", F.regexp_extract("path", "/rows/(split=.*)$", 1))
+    # A row for each run: a window over a file sees thousands of its rows as one.
+    before = F.lag("last").over(Window.partitionBy("file").orderBy("row"))
+    runs = runs.withColumn("joined", F.coalesce(F.col("first") >= before, F.lit(True)))
+    return runs.groupBy("file", "split").agg(
+        F.min("low").alias("first_stay"), F.max("high").alias("last_stay"), F.sum("rows").alias("rows"),
+        F.bool_and(F.col("rises") & F.col("joined")).alias("in_order"),
     )
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch that follow one another in a file, as one row; NULL stays are in order anywhere."""
+    for batch in batches:
+        split, path, row, stay = batch.columns
+        n = batch.num_rows
+        if not n:
+            continue
+        rises = pc.fill_null(pc.greater_equal(stay.slice(1), stay.slice(0, n - 1)), True).to_numpy(zero_copy_only=False)
+        same = pc.equal(path.slice(1), path.slice(0, n - 1)).to_numpy(zero_copy_only=False) & (np.diff(row.to_numpy()) == 1)
+        starts = np.flatnonzero(np.concatenate([[True], ~same]))
+        ends = np.append(starts[1:], n)
+        spans = [pc.min_max(stay.slice(a, b - a)) for a, b in zip(starts, ends)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                split.take(pa.array(starts)), path.take(pa.array(starts)), row.take(pa.array(starts)), pa.array(ends - starts),
+                stay.take(pa.array(starts)), stay.take(pa.array(ends - 1)),
+                pa.array([s["min"].as_py() for s in spans], stay.type), pa.array([s["max"].as_py() for s in spans], stay.type),
+                pa.array([bool(rises[a : b - 1].all()) for a, b in zip(starts, ends)]),
+            ],
+            names=["split", "path", "row", "rows", "first", "last", "low", "high", "rises"],
+        )
+
+
 def read_stays(spark: SparkSession, path: str, stays: Sequence) -> DataFrame:
     """Rows of a few stays of a data set written ``clustered``; only the files that may hold them are opened."""
     wanted = [F.col("first_stay") <= F.lit(s) for s in stays]

@@ -63,3 +63,28 @@ def test_pivot_mean_is_one_aggregate(frame):
     wide = E.pivot_mean(df, ["k"], ["a", "b"], "v")
     assert sorted(tuple(r) for r in wide.collect()) == [(1, 2.0, None), (2, None, None), (3, None, None)]
     assert plan_of(wide).count("Aggregate(") == 2
+
+
+def test_file_order_sees_runs_and_not_rows(spark, tmp_path):
+    rows = spark.range(30_000).select(F.col("id").alias("stay_id"), F.lit("train").alias("split")).coalesce(1)
+    rows.write.partitionBy("split").parquet(f"{tmp_path}/rows")
+    index = tables.file_index(spark, str(tmp_path))
+    assert [tuple(r)[1:] for r in index.collect()] == [("train", 0, 29_999, 30_000, True)]
+    plan = plan_of(index)
+    assert plan.index("Window") < plan.index("MapInArrow")
+    # Rows out of order within a batch and from one batch to the next.
+    for name, at in (("within", 3), ("between", 10_000)):
+        order = F.when(F.col("id") == at, -1).otherwise(F.col("id"))
+        rows = spark.range(0, 30_000, 1, 1).select(order.alias("stay_id"), F.lit("train").alias("split"))
+        rows.write.partitionBy("split").parquet(f"{tmp_path}/{name}/rows")
+        assert not tables.file_index(spark, f"{tmp_path}/{name}").first().in_order
+    empty = spark.range(0, 5, 1, 1).select(F.when(F.col("id") != 2, F.col("id")).alias("stay_id"), F.lit("train").alias("split"))
+    empty.write.partitionBy("split").parquet(f"{tmp_path}/nulls/rows")
+    assert tuple(tables.file_index(spark, f"{tmp_path}/nulls").first())[1:] == ("train", 0, 4, 5, True)
+
+
+def test_file_order_needs_no_aggregate_of_rows(spark):
+    from cohortframe.catalog import QUERIES
+
+    df = QUERIES["clustered_file_order"](spark, "/root/testdata/sf0.001")
+    assert "Aggregate" not in plan_of(df) and df.where("n_files <> 1 OR NOT in_order").isEmpty()
