@@ -5,9 +5,14 @@ The raw tables are written once as SQL that both engines run; only the timestamp
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from cohortframe import session
 from cohortframe.catalog.base import Tables, query, r6, split_sql
@@ -160,18 +165,51 @@ def _assembled_sql(*args, **kwargs) -> str:
 def _per_window(outputs: dict[str, DataFrame], *more: str) -> DataFrame:
     """One row per stay and window: every cell with its feature, value (four decimals) and mask, in feature order."""
     vocab = sorted(outputs["feature_vocab"].collect(), key=lambda r: r.idx)
-    names = F.array(*[F.lit(r.feature) for r in vocab])
-    rows = outputs["rows"].select("stay_id", "split", F.round("duration", 9).alias("duration"), "event", "mask", *more,
-                                  F.posexplode("x").alias("window", "_x"))
-    rows = rows.withColumn("_m", F.get("mask", F.col("window")))
-    cells = F.transform(
-        "_x",
-        lambda x, i: F.concat(
-            F.get(names, i), F.lit("="), F.round(x.cast("double") * 10000).cast("bigint").cast("string"), F.lit("/"),
-            F.get("_m", i).cast("int").cast("string"),
-        ),
-    )
-    return rows.select("stay_id", "window", "split", "duration", "event", F.array_join(cells, " ").alias("cells"), *more)
+    kept = ["stay_id", "split", "duration", "event", *more]
+    rows = outputs["rows"].withColumn("duration", F.round("duration", 9)).select(*kept, "x", "mask")
+    schema = StructType([*rows.schema[: len(kept)], StructField("window", IntegerType()), StructField("cells", StringType())])
+    texts = rows.mapInArrow(_CellTexts([r.feature for r in vocab], len(kept)).run, schema)
+    return texts.select("stay_id", "window", "split", "duration", "event", "cells", *more)
+
+
+@dataclass
+class _CellTexts:
+    """Writes ``feature=value/mask`` of the cells of a batch, a feature at a time, and joins them by row and window."""
+
+    names: list
+    n_kept: int
+    most_cells: int = 1_000_000
+
+    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                step = max(1, self.most_cells // max(1, len(batch.column(self.n_kept).flatten().flatten()) // batch.num_rows))
+                for at in range(0, batch.num_rows, step):
+                    yield self._rows(batch.slice(at, step))
+
+    def _rows(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        x, mask = batch.column(self.n_kept), batch.column(self.n_kept + 1)
+        windows = pc.list_value_length(x).to_numpy(zero_copy_only=False)
+        steps = x.flatten()
+        ten_thousandths = steps.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(steps), -1) * 10_000
+        if not np.isfinite(ten_thousandths).all():
+            raise ValueError("a cell is no finite number")
+        # Half away from zero, as ``round`` has it.
+        size = np.abs(ten_thousandths)
+        whole = np.floor(size)
+        values = (np.sign(ten_thousandths) * (whole + (size - whole >= 0.5))).astype(np.int64)
+        seen = mask.flatten().flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(values.shape)
+        # The last argument of a join is what stands between the others.
+        cells = [
+            pc.binary_join_element_wise(f"{name}=", pc.cast(pa.array(values[:, i]), pa.string()), "/", pc.cast(pa.array(seen[:, i]), pa.string()), "")
+            for i, name in enumerate(self.names[: values.shape[1]]) if name is not None
+        ]
+        text = pc.binary_join_element_wise(*cells, " ") if cells else pa.array([""] * len(steps), pa.string())
+        row = np.repeat(np.arange(batch.num_rows), windows)
+        place = np.arange(len(steps)) - np.repeat(np.cumsum(windows) - windows, windows)
+        kept = [column.take(pa.array(row)) for column in batch.columns[: self.n_kept]]
+        names = [*batch.schema.names[: self.n_kept], "window", "cells"]
+        return pa.RecordBatch.from_arrays([*kept, pa.array(place.astype(np.int32)), text], names=names)
 
 
 # --- offset ICU -------------------------------------------------------------------------------------------------------
@@ -423,8 +461,9 @@ def emergency_all_parts(t: Tables):
     out = tables.read_dataset(t.spark, path)
     info = out["run_info"].first()
     vector = F.transform("radiology", lambda v: F.round(F.round(v.cast("double"), 5) * 1000).cast("bigint").cast("string"))
-    windows = _per_window(out, "icd", "radiology")
-    return windows.withColumns({"codes": _bits("icd"), "radiology": F.array_join(vector, ",")}).drop("icd").withColumns(
+    # Texts of a stay are made before it becomes a row per window.
+    rows = out["rows"].withColumns({"codes": _bits("icd"), "radiology": F.array_join(vector, ",")})
+    return _per_window(out | {"rows": rows}, "radiology", "codes").withColumns(
         {
             "n_events": F.lit(info.n_events), "n_codes": F.lit(info.n_codes), "n_scaled": F.lit(out["scaler_params"].count()).cast("bigint"),
             "parts": F.lit(",".join(info.active_modalities)),
