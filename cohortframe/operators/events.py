@@ -71,12 +71,17 @@ def instant_then_hour_mean(events: DataFrame, instant: str = "instant") -> DataF
     return mean_by(mean_by(binned, [*CELL, instant]), CELL)
 
 
-def first_per_instant(events: DataFrame, instant: str, order: str, keys: Sequence[str] = ("stay_id",)) -> DataFrame:
-    """First non-null value in ingest order per stay, instant and feature."""
+def first_per_instant(
+    events: DataFrame, instant: str, order: str, keys: Sequence[str] = ("stay_id",), taken: str = "value"
+) -> DataFrame:
+    """First non-null value in ingest order per stay, instant and feature.
+
+    ``taken`` names what is returned of that row in place of the value. A number aggregates by hash, a text by sorting all rows.
+    """
     return (
         events.where(F.col("value").isNotNull())
         .groupBy(*keys, instant, "feature")
-        .agg(F.min_by("value", order).alias("value"))
+        .agg(F.min_by(taken, order).alias("value"))
     )
 
 

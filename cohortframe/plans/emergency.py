@@ -44,11 +44,11 @@ def first_values(df: DataFrame, cohort: DataFrame, block: int, losses: Losses, n
         "time unreadable": F.col("instant").isNull(),
     })
     kept = losses.passed(E.with_split(kept.drop("time"), cohort), name, "of no stay in the cohort")
-    firsts = E.first_per_instant(kept, "instant", "seq", ["stay_id", "split"])
-    firsts = losses.passed(firsts, name, "later value of the same instant")
-    is_text = dict(firsts.dtypes)["value"] == "string"
+    is_text = dict(kept.dtypes)["value"] == "string"
+    # Read before the first value is taken: a text in the aggregate would make it sort every row.
     number = S.to_number("value") if is_text else S.nan_to_null(F.col("value").cast("double"))
-    return firsts.withColumns({"value": number, "block": F.lit(block)})
+    firsts = E.first_per_instant(kept.withColumn("number", number), "instant", "seq", ["stay_id", "split"], "number")
+    return losses.passed(firsts, name, "later value of the same instant").withColumn("block", F.lit(block))
 
 
 def hourly_cells(

@@ -65,6 +65,26 @@ def test_pivot_mean_is_one_aggregate(frame):
     assert plan_of(wide).count("Aggregate(") == 2
 
 
+def test_first_numbers_of_texts_are_hashed(frame):
+    rows = [(1, 5, "x", "> 4", 0), (1, 5, "x", "7", 1), (2, 5, "x", "3", 4), (2, 5, "x", "1", 9), (2, 5, "x", None, 0)]
+    df = frame("stay_id int, instant int, feature string, value string, seq int", rows).withColumn("number", F.col("value").try_cast("double"))
+    firsts = E.first_per_instant(df, "instant", "seq", taken="number")
+    assert sorted((r.stay_id, r.value) for r in firsts.collect()) == [(1, None), (2, 3.0)]
+    assert "SortAggregate" not in plan_of(firsts)
+
+
+def test_first_values_of_a_stay_are_hashed(frame):
+    from cohortframe.operators.losses import Losses
+    from cohortframe.plans.emergency import first_values
+
+    rows = [(1, "t", "x", "> 4", 0), (1, "t", "x", "7", 1), (2, "t", "x", "3", 4), (2, "t", "x", "1", 9), (2, "t", "x", None, 0)]
+    df = frame("stay_id int, time string, feature string, value string, seq int", rows).withColumn("instant", F.timestamp_micros(F.lit(5)))
+    cohort = frame("stay_id int, split string", [(1, "train"), (2, "val")])
+    firsts = first_values(df, cohort, 0, Losses(), "labs")
+    assert sorted((r.stay_id, r.value) for r in firsts.collect()) == [(1, None), (2, 3.0)]
+    assert "SortAggregate" not in plan_of(firsts)
+
+
 def test_file_order_sees_runs_and_not_rows(spark, tmp_path):
     rows = spark.range(30_000).select(F.col("id").alias("stay_id"), F.lit("train").alias("split")).coalesce(1)
     rows.write.partitionBy("split").parquet(f"{tmp_path}/rows")
