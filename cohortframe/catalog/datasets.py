@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -172,6 +173,10 @@ def _per_window(outputs: dict[str, DataFrame], *more: str) -> DataFrame:
     return texts.select("stay_id", "window", "split", "duration", "event", "cells", *more)
 
 
+def _digits(numbers: np.ndarray) -> pa.Array:
+    return pc.cast(pa.array(numbers), pa.string())
+
+
 @dataclass
 class _CellTexts:
     """Writes ``feature=value/mask`` of the cells of a batch, a feature at a time, and joins them by row and window."""
@@ -199,14 +204,23 @@ class _CellTexts:
         whole = np.floor(size)
         values = (np.sign(ten_thousandths) * (whole + (size - whole >= 0.5))).astype(np.int64)
         seen = mask.flatten().flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(values.shape)
-        # The last argument of a join is what stands between the others.
-        cells = [
-            pc.binary_join_element_wise(f"{name}=", pc.cast(pa.array(values[:, i]), pa.string()), "/", pc.cast(pa.array(seen[:, i]), pa.string()), "")
-            for i, name in enumerate(self.names[: values.shape[1]]) if name is not None
-        ]
-        text = pc.binary_join_element_wise(*cells, " ") if cells else pa.array([""] * len(steps), pa.string())
         row = np.repeat(np.arange(batch.num_rows), windows)
         place = np.arange(len(steps)) - np.repeat(np.cumsum(windows) - windows, windows)
+        # Static features are the same in every window of a row: their texts are made once and repeated.
+        first = np.flatnonzero(place == 0)
+        which = np.repeat(np.arange(len(first)), windows[windows > 0])
+        fixed = ((values == values[first][which]) & (seen == seen[first][which])).all(axis=0)
+        named = [i for i in range(min(len(self.names), values.shape[1])) if self.names[i] is not None]
+        # The last argument of a join is what stands between the others.
+        texts = []
+        for once, places in groupby(named, lambda i: bool(fixed[i])):
+            at = first if once else slice(None)
+            cells = [
+                pc.binary_join_element_wise(f"{self.names[i]}=", _digits(values[at, i]), "/", _digits(seen[at, i]), "") for i in places
+            ]
+            text = pc.binary_join_element_wise(*cells, " ")
+            texts.append(text.take(pa.array(which)) if once else text)
+        text = pc.binary_join_element_wise(*texts, " ") if texts else pa.array([""] * len(steps), pa.string())
         kept = [column.take(pa.array(row)) for column in batch.columns[: self.n_kept]]
         names = [*batch.schema.names[: self.n_kept], "window", "cells"]
         return pa.RecordBatch.from_arrays([*kept, pa.array(place.astype(np.int32)), text], names=names)

@@ -114,12 +114,13 @@ def test_cell_texts_round_as_spark_does(spark):
     from cohortframe.catalog.datasets import _CellTexts
 
     values = np.array([0.00005, -0.00005, 0.00015, -0.00025, 0.000049999, 1.23456, -7.0, 0.0, 3e9, 0.5], np.float32)
-    x = pa.array([[values.tolist(), (-values).tolist()]], pa.list_(pa.list_(pa.float32())))
-    mask = pa.array([[[1.0] * 10, [0.0] * 10]], pa.list_(pa.list_(pa.float32())))
+    x = pa.array([[values.tolist(), [*(-values[:-1]).tolist(), 0.5]]], pa.list_(pa.list_(pa.float32())))
+    mask = pa.array([[[1.0] * 10, [*[0.0] * 9, 1.0]]], pa.list_(pa.list_(pa.float32())))
     batch = pa.RecordBatch.from_arrays([pa.array([4]), x, mask], names=["stay_id", "x", "mask"])
     names = [*"abcdefgh", None, "j"]
     got = pa.Table.from_batches(list(_CellTexts(names, 1, most_cells=7).run([batch]))).to_pylist()
     for w, row in enumerate(got):
         want = spark.createDataFrame([(float(v) * (-1) ** w,) for v in values], "v double")
         whole = [r.v for r in want.select(F.round(F.col("v") * 10000).cast("bigint").alias("v")).collect()]
-        assert row == {"stay_id": 4, "window": w, "cells": " ".join(f"{n}={v}/{1 - w}" for n, v in zip(names, whole) if n)}
+        whole[-1] = 5000
+        assert row == {"stay_id": 4, "window": w, "cells": " ".join(f"{n}={v}/{1 if n == 'j' else 1 - w}" for n, v in zip(names, whole) if n)}
